@@ -129,6 +129,11 @@ def round_array(a, digits: int = 6) -> Column:
     return F.transform(c(a), lambda x: F.round(x, digits))
 
 
-def array_md5(a, digits: int = 6) -> Column:
-    """Stable fingerprint of a numeric array after rounding (for oracle checks)."""
-    return F.md5(F.array_join(F.transform(c(a), lambda x: F.format_string("%.6f", F.round(x, digits) + F.lit(0.0))), ","))
+def fixed6(x) -> Column:
+    """A number rounded to 6 decimals as text (``-0`` prints as ``0.000000``)."""
+    return F.round(c(x), 6).cast("decimal(18,6)").cast("string")
+
+
+def array_md5(a) -> Column:
+    """Stable fingerprint of a numeric array after rounding to 6 decimals."""
+    return F.md5(F.array_join(F.transform(c(a), fixed6), ","))

@@ -73,3 +73,31 @@ def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, nm in enumerate(names, start=1):
         out = out.join(b.select((F.col("item_id") - k).alias("item_id"), F.col("text").alias(nm)), "item_id")
     return out
+
+
+# ---------------------------------------------------------------- vectors
+
+DICT_ROWS = 64  # embeddings with vec_id below this form the dictionary
+K = 4
+
+
+def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.columns import as_double_array
+    return read(spark, sf_dir, "embeddings").select("vec_id", "label", as_double_array("embedding").alias("vec"))
+
+
+def data_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors to encode: every embedding outside the dictionary rows."""
+    return embedding_vectors(spark, sf_dir).where(F.col("vec_id") >= DICT_ROWS)
+
+
+def dictionary(spark: SparkSession, sf_dir: str, k: int = K, **kw):
+    """Dictionary from the first embedding rows: encoder = the rows, decoder =
+    their unit-normed copy, encoder bias 0, decoder bias = mean data vector."""
+    from tessera.operators.sparse import SparseDictionary, mean_vector, normalize_rows
+    rows = embedding_vectors(spark, sf_dir).where(F.col("vec_id") < DICT_ROWS)
+    entries = normalize_rows(rows.select(F.col("vec_id").alias("latent_id"), F.col("vec").alias("w_enc"),
+                                         F.lit(0.0).alias("b_enc"), F.col("vec").alias("w_dec")), "w_dec")
+    # d doubles: the only value brought to the driver, as a model parameter
+    b_dec = mean_vector(data_vectors(spark, sf_dir), "vec").first()["mean"]
+    return SparseDictionary(entries=entries, b_dec=list(b_dec), k=k, **kw)

@@ -240,3 +240,149 @@ SELECT item_id, g AS gold_index,
            || {lit(chr(10) + 'C) ')} || c || {lit(chr(10) + 'D) ')} || d) AS query_md5,
        'ABCD' AS letters
 FROM o"""
+
+# ============================================================== E
+
+from tessera.plans import fixtures as fx  # noqa: E402
+
+_EPS = 1.1920929e-07
+
+
+def vec_ctes(k: int = fx.K, transcode: bool = False, dead: bool = False, groupmax: bool = False,
+             data: str = "data") -> str:
+    """Dictionary, decoder bias, pre-activations and codes as CTEs (cross join
+    of vectors and entries is fine for the oracle, not for the engine)."""
+    center = "data.v" if transcode else \
+        "list_transform(generate_series(1, len(data.v)), lambda i: data.v[i] - bdec.b[i])"
+    if groupmax:
+        g = f"latent_id // (64 // {k})"
+        rank = f"row_number() OVER (PARTITION BY vec_id, {g} ORDER BY act DESC, latent_id)"
+        keep = "r = 1"
+    else:
+        rank = "row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, latent_id)"
+        keep = f"r <= {k}"
+    where = f"WHERE latent_id % 3 = 0" if dead else ""
+    return f"""
+emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+data AS (SELECT vec_id, label, v FROM emb WHERE vec_id >= {fx.DICT_ROWS}),
+dict AS (SELECT vec_id AS latent_id, v AS w_enc, 0.0 AS b_enc,
+                list_transform(v, lambda x: x / (sqrt(list_sum(list_transform(v, lambda y: y * y))) + {_EPS})) AS w_dec
+         FROM emb WHERE vec_id < {fx.DICT_ROWS}),
+bpos AS (SELECT p, avg(x) AS m FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS p FROM data) GROUP BY p),
+bdec AS (SELECT list(m ORDER BY p) AS b FROM bpos),
+pre AS (SELECT data.vec_id, dict.latent_id,
+               greatest(list_inner_product({center}, dict.w_enc) + dict.b_enc, 0.0) AS act
+        FROM {data} AS data, dict, bdec {where}),
+codes AS (SELECT vec_id, latent_id, act FROM (SELECT *, {rank} AS r FROM pre) WHERE {keep}),
+wdec AS (SELECT latent_id, unnest(w_dec) AS w, generate_subscripts(w_dec, 1) AS p FROM dict),
+recon AS (SELECT c.vec_id, u.p, sum(c.act * u.w) + any_value(bdec.b[u.p]) AS h
+          FROM codes c JOIN wdec u USING (latent_id), bdec GROUP BY c.vec_id, u.p),
+err AS (SELECT r.vec_id, r.p, r.h, data.v[r.p] AS y FROM recon r JOIN {data} AS data USING (vec_id))"""
+
+
+def fixed6(x: str) -> str:
+    return f"CAST(CAST(round({x}, 6) AS DECIMAL(18,6)) AS VARCHAR)"
+
+
+def list_md5(x: str, order: str = "p") -> str:
+    return f"md5(string_agg({fixed6(x)}, ',' ORDER BY {order}))"
+
+
+def fvu_of(err: str = "err") -> str:
+    return f"""(SELECT sum(se) / sum(tv) FROM (SELECT var_pop(y) * count(y) AS tv, sum((y - h) * (y - h)) AS se
+              FROM {err} GROUP BY p))"""
+
+
+ORACLE["encode_topk"] = f"WITH {vec_ctes()} SELECT vec_id, latent_id, round(act, 6) AS act FROM codes"
+ORACLE["encode_groupmax"] = f"WITH {vec_ctes(groupmax=True)} SELECT vec_id, latent_id, round(act, 6) AS act FROM codes"
+ORACLE["decode"] = f"WITH {vec_ctes()} SELECT vec_id, {list_md5('h')} AS recon_md5 FROM recon GROUP BY vec_id"
+ORACLE["recon_mse"] = f"WITH {vec_ctes()} SELECT round(avg((y - h) * (y - h)), 6) AS mse FROM err"
+ORACLE["fvu"] = f"""WITH {vec_ctes()},
+pp AS (SELECT var_pop(y) * count(y) AS tv, sum((y - h) * (y - h)) AS se FROM err GROUP BY p)
+SELECT round(sum(se) / sum(tv), 6) AS fvu, round(sum(tv), 6) AS total_variance FROM pp"""
+ORACLE["fvu_by_step"] = f"""WITH {vec_ctes()},
+pp AS (SELECT vec_id // {q.STEP_ROWS} AS step, p, var_pop(y) * count(y) AS tv, sum((y - h) * (y - h)) AS se
+       FROM err GROUP BY vec_id // {q.STEP_ROWS}, p)
+SELECT step, round(sum(se) / sum(tv), 6) AS fvu FROM pp GROUP BY step"""
+ORACLE["fvu_multi"] = f"WITH {vec_ctes(k=4 * fx.K)} SELECT round({fvu_of()}, 6) AS multi_fvu"
+
+_AUX = f"""WITH {vec_ctes()},
+dead AS (SELECT count(*) AS n_dead FROM dict WHERE latent_id % {q.DEAD_EVERY} = 0),
+par AS (SELECT n_dead, least(32, n_dead) AS k_aux, least(n_dead / 32.0, 1.0) AS scale FROM dead),
+apre AS (SELECT p.* FROM pre p WHERE p.latent_id % {q.DEAD_EVERY} = 0),
+acodes AS (SELECT vec_id, latent_id, act FROM
+           (SELECT a.*, row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, latent_id) AS r FROM apre a), par
+           WHERE r <= par.k_aux),
+ahat AS (SELECT c.vec_id, u.p, sum(c.act * u.w) + any_value(bdec.b[u.p]) AS eh
+         FROM acodes c JOIN wdec u USING (latent_id), bdec GROUP BY c.vec_id, u.p),
+aerr AS (SELECT e.p, e.y, e.y - e.h AS e, a.eh FROM err e JOIN ahat a USING (vec_id, p)),
+aux AS (SELECT any_value(par.scale) * sum(se) / sum(tv) AS auxk, any_value(par.n_dead) AS n_dead FROM
+        (SELECT var_pop(y) * count(y) AS tv, sum((eh - e) * (eh - e)) AS se FROM aerr GROUP BY p), par)"""
+ORACLE["auxk"] = _AUX + "\nSELECT round(auxk, 6) AS auxk, CAST(n_dead AS BIGINT) AS n_dead FROM aux"
+
+_MULTI = vec_ctes(k=4 * fx.K).replace("\nemb AS", "\nemb AS", 1)
+ORACLE["total_loss"] = _AUX + f""",
+mcodes AS (SELECT vec_id, latent_id, act FROM
+           (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, latent_id) AS r FROM pre) WHERE r <= {4 * fx.K}),
+mrecon AS (SELECT c.vec_id, u.p, sum(c.act * u.w) + any_value(bdec.b[u.p]) AS h
+           FROM mcodes c JOIN wdec u USING (latent_id), bdec GROUP BY c.vec_id, u.p),
+merr AS (SELECT r.vec_id, r.p, r.h, data.v[r.p] AS y FROM mrecon r JOIN data USING (vec_id)),
+t AS (SELECT {fvu_of()} AS fvu, {fvu_of('merr')} AS multi, (SELECT auxk FROM aux) AS auxk)
+SELECT round(fvu, 6) AS fvu, round(auxk, 6) AS auxk, round(multi, 6) AS multi_fvu,
+       round(fvu + {q.AUXK_ALPHA} * auxk + multi / 8, 6) AS total FROM t"""
+
+ORACLE["skip_decode"] = f"""WITH {vec_ctes()},
+skip AS (SELECT data.vec_id, s.latent_id + 1 AS p, {q.SKIP_SCALE} * list_inner_product(data.v, s.w_enc) AS sv
+         FROM data, dict s)
+SELECT r.vec_id, {list_md5('r.h + s.sv', 'r.p')} AS recon_md5
+FROM recon r JOIN skip s ON s.vec_id = r.vec_id AND s.p = r.p GROUP BY r.vec_id"""
+
+_TC = vec_ctes(transcode=True, data="xin").replace(
+    "\nemb AS", "\nxin AS (SELECT vec_id // 2 AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings "
+    f"WHERE vec_id >= {fx.DICT_ROWS} AND vec_id % 2 = 0),\n"
+    "yt AS (SELECT vec_id // 2 AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings "
+    f"WHERE vec_id >= {fx.DICT_ROWS} AND vec_id % 2 = 1),\nemb AS", 1)
+_TC = _TC.replace("JOIN xin AS data USING (vec_id))", "JOIN yt AS data USING (vec_id))")
+ORACLE["transcode_pair"] = f"""WITH {_TC},
+pp AS (SELECT var_pop(y) * count(y) AS tv, sum((y - h) * (y - h)) AS se, count(*) AS n FROM err GROUP BY p)
+SELECT round(sum(se) / sum(tv), 6) AS fvu, CAST(max(n) AS BIGINT) AS n_pairs FROM pp"""
+
+ORACLE["reconstruct"] = f"""WITH {vec_ctes()}
+SELECT r.vec_id, any_value(data.label) AS label, {list_md5('r.h', 'r.p')} AS vec_md5
+FROM recon r JOIN data USING (vec_id) GROUP BY r.vec_id"""
+
+ORACLE["unit_rows"] = f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < {fx.DICT_ROWS}),
+u AS (SELECT vec_id, list_transform(v, lambda x: x / (sqrt(list_sum(list_transform(v, lambda y: y * y))) + {_EPS})) AS w FROM e),
+x AS (SELECT vec_id, unnest(w) AS z, generate_subscripts(w, 1) AS p FROM u)
+SELECT vec_id AS latent_id, round(sqrt(sum(z * z)), 6) AS norm, {list_md5('z')} AS w_md5 FROM x GROUP BY vec_id"""
+
+ORACLE["remove_parallel"] = f"""WITH {vec_ctes()},
+j AS (SELECT dict.latent_id, data.v AS g, dict.w_dec AS w FROM data JOIN dict ON dict.latent_id = data.vec_id - {fx.DICT_ROWS}),
+x AS (SELECT latent_id, unnest(g) AS gi, unnest(w) AS wi, generate_subscripts(g, 1) AS p,
+             list_inner_product(g, w) AS gw FROM j)
+SELECT latent_id, {list_md5('gi - gw * wi')} AS g_md5 FROM x GROUP BY latent_id"""
+
+ORACLE["mean_vector"] = f"""
+WITH d AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= {fx.DICT_ROWS}),
+x AS (SELECT label, unnest(v) AS z, generate_subscripts(v, 1) AS p FROM d),
+m AS (SELECT label, p, avg(z) AS mz, count(*) AS n FROM x GROUP BY label, p)
+SELECT label, {list_md5('mz')} AS mean_md5, max(n) AS n_rows FROM m GROUP BY label"""
+
+ORACLE["latent_index"] = f"""WITH {vec_ctes()}
+SELECT latent_id, vec_id, row_number() OVER (PARTITION BY latent_id ORDER BY vec_id) - 1 AS slot FROM codes"""
+
+ORACLE["latent_usage"] = f"""WITH {vec_ctes()},
+u AS (SELECT latent_id, count(*) AS n_codes FROM codes GROUP BY latent_id)
+SELECT latent_id, n_codes, CAST(coalesce(sum(n_codes) OVER (ORDER BY n_codes DESC, latent_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM u"""
+
+ORACLE["latent_grad"] = f"""WITH {vec_ctes()},
+g AS (SELECT c.latent_id, e.p, sum(c.act * (e.y - e.h)) AS s FROM codes c JOIN err e USING (vec_id)
+      GROUP BY c.latent_id, e.p)
+SELECT latent_id, {list_md5('s')} AS grad_md5 FROM g GROUP BY latent_id"""
+
+ORACLE["code_grad"] = f"""WITH {vec_ctes()}
+SELECT c.vec_id, c.latent_id, round(sum((e.y - e.h) * u.w), 6) AS grad_act
+FROM codes c JOIN err e USING (vec_id) JOIN wdec u ON u.latent_id = c.latent_id AND u.p = e.p
+GROUP BY c.vec_id, c.latent_id"""

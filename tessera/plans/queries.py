@@ -286,3 +286,207 @@ def choice_prompts(spark, d):
     c = pr.choice_prompts(fx.choice_items(spark, d), SEED, "item_id")
     return c.select("item_id", "gold_index", F.md5("query").alias("query_md5"),
                     F.array_join("choices", "").alias("letters"))
+
+
+# ============================================================== E: sparse coding
+
+AUXK_ALPHA = 1 / 32
+DEAD_EVERY = 3          # fixture dead set: latent_id % 3 == 0
+SKIP_SCALE = 0.1        # fixture skip matrix: 0.1 * encoder rows
+STEP_ROWS = 50          # fixture step: vec_id div 50
+
+
+def _r6(col, name):
+    return F.round(col, 6).alias(name)
+
+
+def _fw(spark, d, k=None, **kw):
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d, **kw)
+    data = fx.data_vectors(spark, d)
+    return D, data, sp.forward(data, D, "vec_id", "vec", k=k)
+
+
+@query("encode_topk")
+def encode_topk(spark, d):
+    from tessera.operators import sparse as sp
+    codes = sp.encode(fx.data_vectors(spark, d), fx.dictionary(spark, d), "vec_id", "vec")
+    return codes.select("vec_id", "latent_id", _r6(F.col("act"), "act"))
+
+
+@query("encode_groupmax")
+def encode_groupmax(spark, d):
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d, activation="groupmax")
+    codes = sp.encode(fx.data_vectors(spark, d), D, "vec_id", "vec")
+    return codes.select("vec_id", "latent_id", _r6(F.col("act"), "act"))
+
+
+@query("decode")
+def decode(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    codes = sp.encode(fx.data_vectors(spark, d), D, "vec_id", "vec")
+    return sp.decode(codes, D, "vec_id").select("vec_id", array_md5("recon").alias("recon_md5"))
+
+
+@query("recon_mse")
+def recon_mse(spark, d):
+    from tessera.operators import sparse as sp
+    _, _, fw = _fw(spark, d)
+    return sp.recon_mse(fw).select(_r6(F.col("mse"), "mse"))
+
+
+@query("fvu")
+def fvu_query(spark, d):
+    from tessera.operators import sparse as sp
+    _, _, fw = _fw(spark, d)
+    return sp.fvu(fw).select(_r6(F.col("fvu"), "fvu"), _r6(F.col("total_variance"), "total_variance"))
+
+
+@query("fvu_by_step")
+def fvu_by_step(spark, d):
+    from tessera.operators import sparse as sp
+    _, _, fw = _fw(spark, d)
+    fw = fw.withColumn("step", F.floor(F.col("vec_id") / STEP_ROWS).cast("bigint"))
+    return sp.fvu(fw, by="step").select("step", _r6(F.col("fvu"), "fvu"))
+
+
+@query("fvu_multi")
+def fvu_multi(spark, d):
+    from tessera.operators import sparse as sp
+    _, _, fw = _fw(spark, d, k=4 * fx.K)
+    return sp.fvu(fw).select(_r6(F.col("fvu"), "multi_fvu"))
+
+
+def _dead_ids(D):
+    ids = D.entries.select("latent_id").where(F.col("latent_id") % DEAD_EVERY == 0)
+    # bounded by the dictionary size
+    return [r["latent_id"] for r in ids.collect()]
+
+
+@query("auxk")
+def auxk(spark, d):
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    a = sp.auxk_loss(fx.data_vectors(spark, d), D, _dead_ids(D), "vec_id", "vec")
+    return a.select(_r6(F.col("auxk"), "auxk"), "n_dead")
+
+
+@query("total_loss")
+def total_loss(spark, d):
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    data = fx.data_vectors(spark, d)
+    f = sp.fvu(sp.forward(data, D, "vec_id", "vec")).select(F.lit(0).alias("_g"), "fvu")
+    m = sp.fvu(sp.forward(data, D, "vec_id", "vec", k=4 * D.k)).select(F.lit(0).alias("_g"), F.col("fvu").alias("multi"))
+    a = sp.auxk_loss(data, D, _dead_ids(D), "vec_id", "vec").select(F.lit(0).alias("_g"), "auxk")
+    j = f.join(m, "_g").join(a, "_g")
+    return j.select(_r6(F.col("fvu"), "fvu"), _r6(F.col("auxk"), "auxk"), _r6(F.col("multi"), "multi_fvu"),
+                    _r6(F.col("fvu") + F.lit(AUXK_ALPHA) * F.col("auxk") + F.col("multi") / 8, "total"))
+
+
+@query("skip_decode")
+def skip_decode(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    # d x d parameter (bounded by the vector width)
+    rows = D.entries.orderBy("latent_id").select("w_enc").limit(D.d).collect()
+    D.w_skip = [[SKIP_SCALE * v for v in r["w_enc"]] for r in rows]
+    fw = sp.forward(fx.data_vectors(spark, d), D, "vec_id", "vec")
+    return fw.select("vec_id", array_md5("recon").alias("recon_md5"))
+
+
+@query("transcode_pair")
+def transcode_pair(spark, d):
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d, transcode=True)
+    data = fx.data_vectors(spark, d).withColumn("sample_id", F.floor(F.col("vec_id") / 2).cast("bigint"))
+    inputs = data.where(F.col("vec_id") % 2 == 0).select("sample_id", F.col("vec").alias("x"))
+    targets = data.where(F.col("vec_id") % 2 == 1).select("sample_id", F.col("vec").alias("y"))
+    pairs_ = inputs.join(targets, "sample_id")
+    fw = sp.forward(pairs_, D, "sample_id", "x", target_col="y")
+    return sp.fvu(fw).select(_r6(F.col("fvu"), "fvu"), (F.col("n_elements") / D.d).cast("bigint").alias("n_pairs"))
+
+
+@query("reconstruct")
+def reconstruct(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    data = fx.data_vectors(spark, d)
+    fw = sp.forward(data, D, "vec_id", "vec")
+    out = data.drop("vec").join(fw.select("vec_id", F.col("recon").alias("vec")), "vec_id")
+    return out.select("vec_id", "label", array_md5("vec").alias("vec_md5"))
+
+
+@query("unit_rows")
+def unit_rows(spark, d):
+    from tessera.functions.columns import array_md5, l2_norm
+    from tessera.operators import sparse as sp
+    rows = fx.embedding_vectors(spark, d).where(F.col("vec_id") < fx.DICT_ROWS)
+    u = sp.normalize_rows(rows, "vec", out="w")
+    return u.select(F.col("vec_id").alias("latent_id"), _r6(l2_norm("w"), "norm"), array_md5("w").alias("w_md5"))
+
+
+@query("remove_parallel")
+def remove_parallel(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    g = fx.data_vectors(spark, d).select((F.col("vec_id") - fx.DICT_ROWS).alias("latent_id"), F.col("vec").alias("g"))
+    j = g.join(D.entries.select("latent_id", "w_dec"), "latent_id")
+    return sp.remove_parallel(j, "g", "w_dec").select("latent_id", array_md5("g").alias("g_md5"))
+
+
+@query("mean_vector")
+def mean_vector(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    m = sp.mean_vector(fx.data_vectors(spark, d), "vec", by="label")
+    return m.select("label", array_md5("mean").alias("mean_md5"), "n_rows")
+
+
+def _codes(spark, d):
+    from tessera.operators import sparse as sp
+    D = fx.dictionary(spark, d)
+    return D, sp.encode(fx.data_vectors(spark, d), D, "vec_id", "vec")
+
+
+@query("latent_index")
+def latent_index(spark, d):
+    from tessera.operators import sparse as sp
+    _, codes = _codes(spark, d)
+    return sp.latent_index(codes, "vec_id")
+
+
+@query("latent_usage")
+def latent_usage(spark, d):
+    from tessera.operators import sparse as sp
+    _, codes = _codes(spark, d)
+    return sp.latent_usage(codes)
+
+
+def _residual(spark, d):
+    from tessera.functions.columns import vsub
+    D, data, fw = _fw(spark, d)
+    return D, fw.select("vec_id", vsub("target", "recon").alias("grad"))
+
+
+@query("latent_grad")
+def latent_grad(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    D, codes = _codes(spark, d)
+    _, grad = _residual(spark, d)
+    return sp.latent_grad(codes, grad, D.d, "vec_id").select("latent_id", array_md5("grad").alias("grad_md5"))
+
+
+@query("code_grad")
+def code_grad(spark, d):
+    from tessera.operators import sparse as sp
+    D, codes = _codes(spark, d)
+    _, grad = _residual(spark, d)
+    return sp.code_grad(codes, grad, D, "vec_id").select("vec_id", "latent_id", _r6(F.col("grad_act"), "grad_act"))
