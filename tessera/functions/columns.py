@@ -120,9 +120,25 @@ def vadd(a, b) -> Column:
     return F.zip_with(c(a), c(b), lambda x, y: x + y)
 
 
+def _per_element(a, s) -> Column:
+    """Repeat a per-row scalar to the array's length.
+
+    A row scalar written inside a lambda is re-evaluated for every element
+    (Spark does not hoist it), so an O(d) scalar such as a norm would make
+    the lambda O(d^2); passing it as an array argument evaluates it once.
+    """
+    s = F.lit(float(s)) if isinstance(s, (int, float)) else c(s)
+    return F.array_repeat(s, F.size(c(a)))
+
+
 def vscale(a, s) -> Column:
-    s = c(s) if not isinstance(s, (int, float)) else F.lit(float(s))
-    return F.transform(c(a), lambda x: x * s)
+    """Multiply every element by a per-row scalar (evaluated once per row)."""
+    return F.zip_with(c(a), _per_element(a, s), lambda x, y: x * y)
+
+
+def vshift(a, s) -> Column:
+    """Subtract a per-row scalar from every element (evaluated once per row)."""
+    return F.zip_with(c(a), _per_element(a, s), lambda x, y: x - y)
 
 
 def round_array(a, digits: int = 6) -> Column:

@@ -113,3 +113,53 @@ def micro_chunks(df: DataFrame, pieces: int, by: str, order, name: str = "micro"
     n = F.count(F.lit(1)).over(Window.partitionBy(by))
     size = F.ceil(n / pieces)
     return df.withColumn(name, F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+
+
+def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None):
+    if num_partitions is None:
+        num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols)
+            .withColumn("_pid", F.spark_partition_id()))
+
+
+def prefix_sum(df: DataFrame, order, value: str, out: str = "cum", inclusive: bool = True,
+               num_partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value`` along a total ``order`` without a one-partition window.
+
+    Range-partition on the order; the sum of every earlier partition comes
+    from a per-partition table (one row per partition, broadcast); inside a
+    partition a window over ``_pid`` adds the local running sum. The ranges
+    are balanced by sampling, so the window groups are too.
+    """
+    cols = _order_cols(order)
+    ranged = _ranged(df, cols, num_partitions)
+    sums = ranged.groupBy("_pid").agg(F.sum(value).alias("_s"))
+    offsets = sums.select("_pid", F.coalesce(
+        F.sum("_s").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    frame = Window.partitionBy("_pid").orderBy(*cols).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1)
+    local = F.coalesce(F.sum(value).over(frame), F.lit(0))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_off") + local).drop("_pid", "_off"))
+
+
+def min_before(df: DataFrame, by, order, value: str, out: str = "prior_min",
+               num_partitions: int | None = None) -> DataFrame:
+    """Minimum of ``value`` over all earlier rows of the same ``by`` group.
+
+    Same two-level scheme as :func:`prefix_sum`: range partitions on
+    ``(by, order)`` so one hot group spreads over many partitions; the
+    minimum of the earlier partitions of each group comes from a summary with
+    one row per (partition, group); the in-partition part is a window over
+    ``(_pid, by)``.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    cols = [F.col(b) for b in by] + _order_cols(order)
+    ranged = _ranged(df, cols, num_partitions)
+    summary = ranged.groupBy("_pid", *by).agg(F.min(value).alias("_m"))
+    prior = summary.select("_pid", *by, F.min("_m").over(
+        Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_pm"))
+    frame = Window.partitionBy("_pid", *by).orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.join(prior, ["_pid", *by])
+            .withColumn(out, F.least(F.col("_pm"), F.min(value).over(frame)))
+            .drop("_pid", "_pm"))

@@ -136,4 +136,4 @@ def hookpoint_of(col) -> Column:
 
 def layer_index(col) -> Column:
     """Layer number of a dotted name such as ``layers.12.mlp``."""
-    return F.regexp_extract(c(col), r"layers\.(\d+)", 1).cast("bigint")
+    return F.regexp_extract(c(col), r"layers\.(\d+)", 1).try_cast("bigint")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import as_double_array, c, dot, l2_norm, vsub
+from tessera.functions.columns import as_double_array, c, dot, l2_norm, vscale, vsub
 
 # Fixed value: float32 machine epsilon used when unit-normalising rows.
 F32_EPS = 1.1920929e-07
@@ -391,15 +391,13 @@ def _ratio_row(x: DataFrame, scale: float, n_dead: int) -> DataFrame:
 def normalize_rows(df: DataFrame, col: str, eps: float = F32_EPS, out: str | None = None) -> DataFrame:
     """``w / (||w|| + eps)`` per row."""
     w = as_double_array(col)
-    norm = l2_norm(w)
-    return df.withColumn(out or col, F.transform(w, lambda v: v / (norm + F.lit(eps))))
+    return df.withColumn(out or col, vscale(w, F.lit(1.0) / (l2_norm(w) + F.lit(eps))))
 
 
 def remove_parallel(df: DataFrame, g: str, w: str, out: str | None = None) -> DataFrame:
     """``g - (g . w) w`` per row."""
     gd, wd = as_double_array(g), as_double_array(w)
-    p = dot(gd, wd)
-    return df.withColumn(out or g, F.zip_with(gd, wd, lambda a, b: a - p * b))
+    return df.withColumn(out or g, vsub(gd, vscale(wd, dot(gd, wd))))
 
 
 def mean_vector(df: DataFrame, vec: str, by=None, out: str = "mean") -> DataFrame:

@@ -101,3 +101,40 @@ def dictionary(spark: SparkSession, sf_dir: str, k: int = K, **kw):
     # d doubles: the only value brought to the driver, as a model parameter
     b_dec = mean_vector(data_vectors(spark, sf_dir), "vec").first()["mean"]
     return SparseDictionary(entries=entries, b_dec=list(b_dec), k=k, **kw)
+
+
+# ---------------------------------------------------------------- runs and answers
+
+def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric log rows: name = event type, step = event id, value."""
+    ev = read(spark, sf_dir, "events")
+    return ev.select(F.col("event_type").alias("name"), F.col("event_id").alias("step"), "value")
+
+
+def predictions(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
+    """Gold answers from line quantities and model outputs with a
+    deterministic share made wrong or left unboxed.
+
+    Tasks by return flag: R -> choice task (letter gold), A -> latex-gold
+    task, else expression-gold task; checkpoint from the line number.
+    """
+    from tessera.functions.columns import seeded_hash
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    h = F.pmod(seeded_hash(seed, "l_orderkey", "l_linenumber"), F.lit(10))
+    qty = F.col("l_quantity").cast("bigint")
+    letter = F.substr(F.lit("ABCD"), (F.col("l_linenumber") % 4 + 1).cast("int"), F.lit(1))
+    wrong_letter = F.substr(F.lit("ABCD"), ((F.col("l_linenumber") + 1) % 4 + 1).cast("int"), F.lit(1))
+    task = (F.when(F.col("l_returnflag") == "R", F.lit("gpqa:diamond"))
+            .when(F.col("l_returnflag") == "A", F.lit("aime24")).otherwise(F.lit("math_500")))
+    kind = (F.when(F.col("l_returnflag") == "R", F.lit("letter"))
+            .when(F.col("l_returnflag") == "A", F.lit("latex")).otherwise(F.lit("expr")))
+    num_pred = (F.when(h == 0, F.concat(F.lit("I think it is "), (qty + 1).cast("string")))
+                .when(h == 1, F.concat(F.lit("The result: "), qty.cast("string"), F.lit(" units")))
+                .when(h <= 3, F.concat(F.lit("so \\boxed{"), (qty + 1).cast("string"), F.lit("}")))
+                .otherwise(F.concat(F.lit("Therefore, the final answer is: $\\boxed{"), qty.cast("string"),
+                                    F.lit("}$. I hope it is correct"))))
+    let_pred = F.when(h < 2, F.concat(F.lit("Answer: "), wrong_letter)).otherwise(F.concat(F.lit("Answer: "), letter))
+    return li.select("l_orderkey", "l_linenumber", task.alias("task"), kind.alias("kind"),
+                     F.concat(F.lit("checkpoint-"), (F.col("l_linenumber") * 100).cast("string")).alias("checkpoint"),
+                     F.when(kind == "letter", letter).otherwise(qty.cast("string")).alias("gold"),
+                     F.when(kind == "letter", let_pred).otherwise(num_pred).alias("prediction"))

@@ -386,3 +386,109 @@ ORACLE["code_grad"] = f"""WITH {vec_ctes()}
 SELECT c.vec_id, c.latent_id, round(sum((e.y - e.h) * u.w), 6) AS grad_act
 FROM codes c JOIN err e USING (vec_id) JOIN wdec u ON u.latent_id = c.latent_id AND u.p = e.p
 GROUP BY c.vec_id, c.latent_id"""
+
+# ============================================================== F
+
+_SINCE = f"""WITH {vec_ctes()},
+steps AS (SELECT vec_id // {q.STEP_ROWS} AS step, count(*) AS tokens FROM data GROUP BY 1),
+cum AS (SELECT step, sum(tokens) OVER (ORDER BY step) AS cum FROM steps),
+f AS (SELECT DISTINCT vec_id // {q.STEP_ROWS} AS step, latent_id FROM codes),
+lastf AS (SELECT latent_id, max(cum) AS last_cum FROM f JOIN cum USING (step) GROUP BY latent_id),
+tot AS (SELECT sum(tokens) AS total FROM steps),
+since AS (SELECT d.latent_id, CAST(tot.total - coalesce(lastf.last_cum, 0) AS BIGINT) AS tokens_since_fired
+          FROM dict d LEFT JOIN lastf USING (latent_id), tot)"""
+
+ORACLE["fired"] = f"WITH {vec_ctes()} SELECT DISTINCT vec_id // {q.STEP_ROWS} AS step, latent_id FROM codes"
+ORACLE["tokens_since_fired"] = _SINCE + "\nSELECT * FROM since"
+ORACLE["dead_share"] = _SINCE + f"""
+SELECT CAST(sum(CASE WHEN tokens_since_fired > {q.DEAD_THRESHOLD} THEN 1 ELSE 0 END) AS BIGINT) AS n_dead,
+       round(avg(CASE WHEN tokens_since_fired > {q.DEAD_THRESHOLD} THEN 1.0 ELSE 0.0 END), 6) AS dead_share FROM since"""
+
+# ============================================================== G
+
+ORACLE["metric_windows"] = f"""
+SELECT event_type AS name, event_id // {q.METRIC_FREQ} AS period, round(avg(value), 6) AS mean_value, count(*) AS n
+FROM events GROUP BY 1, 2"""
+
+ORACLE["epoch_mean"] = f"""
+SELECT event_id // {q.EPOCH_STEPS} AS epoch, round(avg(value), 6) AS mean_value, count(*) AS n FROM events GROUP BY 1"""
+
+
+def _log_softmax(x: str) -> str:
+    return (f"list_transform({x}, lambda v: v - (list_max({x}) + "
+            f"ln(list_sum(list_transform({x}, lambda w: exp(w - list_max({x})))))))")
+
+
+ORACLE["kl"] = f"""
+WITH t AS (SELECT vec_id, vec_id // {q.STEP_ROWS} AS batch, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+s AS (SELECT vec_id - 1 AS vec_id, CAST(embedding AS DOUBLE[]) AS y FROM embeddings),
+j AS (SELECT t.batch, {_log_softmax('t.x')} AS lp, {_log_softmax('s.y')} AS lq FROM t JOIN s USING (vec_id))
+SELECT round(sum(list_sum(list_transform(generate_series(1, len(lp)), lambda i: exp(lp[i]) * (lp[i] - lq[i]))))
+             / count(DISTINCT batch), 6) AS kl FROM j"""
+
+_NORM = f"""nrm AS (SELECT sqrt(sum(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda z: z * z)))) AS norm
+               FROM embeddings WHERE vec_id >= {fx.DICT_ROWS})"""
+ORACLE["global_norm"] = f"""WITH {_NORM}
+SELECT round(norm, 6) AS norm, round(least(1.0, {q.MAX_NORM} / (norm + 1e-6)), 6) AS clip_coef FROM nrm"""
+
+ORACLE["clip_vectors"] = f"""WITH {_NORM},
+x AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS z, generate_subscripts(embedding, 1) AS p
+      FROM embeddings WHERE vec_id >= {fx.DICT_ROWS})
+SELECT vec_id, {list_md5('z * least(1.0, ' + str(q.MAX_NORM) + ' / (nrm.norm + 1e-6))')} AS vec_md5
+FROM x, nrm GROUP BY vec_id"""
+
+ORACLE["every_n"] = f"SELECT event_id AS step, value FROM events WHERE (event_id + 1) % {q.EVERY_N} = 0"
+
+ORACLE["best_so_far"] = f"""
+WITH m AS (SELECT event_type AS name, event_id AS step, value FROM events),
+lst AS (SELECT name, max(step) AS ls FROM m GROUP BY name),
+c AS (SELECT m.* FROM m JOIN lst USING (name) WHERE (m.step + 1) % {q.SAVE_EVERY} = 0 OR m.step = lst.ls),
+p AS (SELECT *, min(value) OVER (PARTITION BY name ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+      FROM c)
+SELECT name, step, value FROM p WHERE prior IS NULL OR value < prior"""
+
+ORACLE["latest_checkpoint"] = r"""
+WITH n AS (SELECT 'checkpoint-' || CAST(event_id // 100 AS VARCHAR) AS name FROM events
+           UNION ALL SELECT event_type AS name FROM events)
+SELECT arg_max(name, CAST(regexp_extract(name, '^checkpoint-(\d+)$', 1) AS BIGINT)) AS latest
+FROM n WHERE regexp_extract(name, '^checkpoint-(\d+)$', 1) <> ''"""
+
+# ============================================================== H
+
+from tessera.operators import evaluate as ev  # noqa: E402
+
+_PRED = f"""
+li AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS qty, l_returnflag,
+              {shash('l_orderkey', 'l_linenumber')} % 10 AS h FROM lineitem),
+p AS (SELECT l_orderkey, l_linenumber,
+        CASE l_returnflag WHEN 'R' THEN 'gpqa:diamond' WHEN 'A' THEN 'aime24' ELSE 'math_500' END AS task,
+        CASE l_returnflag WHEN 'R' THEN 'letter' WHEN 'A' THEN 'latex' ELSE 'expr' END AS kind,
+        'checkpoint-' || CAST(l_linenumber * 100 AS VARCHAR) AS checkpoint,
+        CASE WHEN l_returnflag = 'R' THEN substr('ABCD', l_linenumber % 4 + 1, 1) ELSE CAST(qty AS VARCHAR) END AS gold,
+        CASE WHEN l_returnflag = 'R' THEN
+               CASE WHEN h < 2 THEN 'Answer: ' || substr('ABCD', (l_linenumber + 1) % 4 + 1, 1)
+                    ELSE 'Answer: ' || substr('ABCD', l_linenumber % 4 + 1, 1) END
+             ELSE CASE WHEN h = 0 THEN 'I think it is ' || CAST(qty + 1 AS VARCHAR)
+                       WHEN h = 1 THEN 'The result: ' || CAST(qty AS VARCHAR) || ' units'
+                       WHEN h <= 3 THEN 'so \\boxed{{' || CAST(qty + 1 AS VARCHAR) || '}}'
+                       ELSE 'Therefore, the final answer is: $\\boxed{{' || CAST(qty AS VARCHAR) || '}}$. I hope it is correct'
+                  END END AS prediction
+      FROM li),
+x AS (SELECT *, CASE WHEN kind = 'letter' THEN
+          CASE WHEN regexp_extract(prediction, '{ev.LETTER}', 1) <> '' THEN regexp_extract(prediction, '{ev.LETTER}', 1)
+               ELSE regexp_extract_all(prediction, '{ev.BARE_LETTER}', 1)[-1] END
+        ELSE CASE WHEN regexp_extract(prediction, '{ev.BOXED}', 1) <> '' THEN trim(regexp_extract(prediction, '{ev.BOXED}', 1))
+               ELSE regexp_extract_all(prediction, '{ev.NUMBER}', 1)[-1] END END AS pred FROM p),
+s AS (SELECT *, CAST(coalesce(CASE WHEN TRY_CAST(pred AS DOUBLE) IS NOT NULL AND TRY_CAST(gold AS DOUBLE) IS NOT NULL
+                          THEN round(TRY_CAST(pred AS DOUBLE), 5) = round(TRY_CAST(gold AS DOUBLE), 5)
+                          ELSE trim(pred) = trim(gold) END, false) AS INTEGER) AS score FROM x)"""
+
+ORACLE["extract_answer"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, task, pred FROM s"
+ORACLE["score"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, score FROM s"
+ORACLE["accuracy"] = f"""WITH {_PRED}
+SELECT task, checkpoint, round(avg(score), 6) AS accuracy, count(*) AS n FROM s GROUP BY task, checkpoint"""
+ORACLE["grid"] = f"""WITH {_PRED}
+SELECT checkpoint, unnest([{', '.join(repr(t) for t in ev.RUN_TASKS)}]) AS task FROM (SELECT DISTINCT checkpoint FROM p)"""
+ORACLE["layer_groups"] = f"""WITH {NAMES},
+l AS (SELECT name, CAST(regexp_extract(name, 'layers\\.(\\d+)', 1) AS BIGINT) AS layer FROM names)
+SELECT name, layer, (layer - 1) // 4 AS layer_group FROM l WHERE layer BETWEEN 1 AND 26"""

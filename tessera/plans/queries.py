@@ -490,3 +490,149 @@ def code_grad(spark, d):
     D, codes = _codes(spark, d)
     _, grad = _residual(spark, d)
     return sp.code_grad(codes, grad, D, "vec_id").select("vec_id", "latent_id", _r6(F.col("grad_act"), "grad_act"))
+
+
+# ============================================================== F: feature health
+
+DEAD_THRESHOLD = 100
+
+
+def _step_codes(spark, d):
+    from tessera.operators import health as hl
+    D, codes = _codes(spark, d)
+    codes = codes.withColumn("step", F.floor(F.col("vec_id") / STEP_ROWS).cast("bigint"))
+    steps = hl.step_tokens(fx.data_vectors(spark, d).withColumn(
+        "step", F.floor(F.col("vec_id") / STEP_ROWS).cast("bigint")))
+    return D, codes, steps
+
+
+@query("fired")
+def fired(spark, d):
+    from tessera.operators import health as hl
+    _, codes, _ = _step_codes(spark, d)
+    return hl.fired(codes, ("step",))
+
+
+@query("tokens_since_fired")
+def tokens_since_fired(spark, d):
+    from tessera.operators import health as hl
+    D, codes, steps = _step_codes(spark, d)
+    return hl.tokens_since_fired(codes, steps, D.entries)
+
+
+@query("dead_share")
+def dead_share(spark, d):
+    from tessera.operators import health as hl
+    D, codes, steps = _step_codes(spark, d)
+    s = hl.dead_share(hl.tokens_since_fired(codes, steps, D.entries), DEAD_THRESHOLD)
+    return s.select("n_dead", _r6(F.col("dead_share"), "dead_share"))
+
+
+# ============================================================== G: run metrics
+
+METRIC_FREQ, EPOCH_STEPS, EVERY_N, SAVE_EVERY = 100, 1000, 100, 50
+MAX_NORM = 1.0
+
+
+@query("metric_windows")
+def metric_windows(spark, d):
+    from tessera.operators import metrics as mt
+    m = mt.metric_windows(fx.metric_rows(spark, d), METRIC_FREQ)
+    return m.select("name", "period", _r6(F.col("mean_value"), "mean_value"), "n")
+
+
+@query("epoch_mean")
+def epoch_mean(spark, d):
+    from tessera.operators import metrics as mt
+    rows = fx.metric_rows(spark, d).withColumn("epoch", F.floor(F.col("step") / EPOCH_STEPS).cast("bigint"))
+    return mt.epoch_mean(rows).select("epoch", _r6(F.col("mean_value"), "mean_value"), "n")
+
+
+@query("kl")
+def kl(spark, d):
+    from tessera.operators import metrics as mt
+    emb = fx.read(spark, d, "embeddings")
+    teacher = emb.select("vec_id", F.floor(F.col("vec_id") / STEP_ROWS).cast("bigint").alias("batch"),
+                         F.col("embedding").alias("teacher"))
+    student = emb.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("student"))
+    return mt.kl_divergence(teacher, student, ["vec_id"]).select(_r6(F.col("kl"), "kl"))
+
+
+@query("global_norm")
+def global_norm(spark, d):
+    from tessera.operators import metrics as mt
+    n = mt.global_norm(fx.data_vectors(spark, d), "vec")
+    return n.select(_r6(F.col("norm"), "norm"), _r6(mt.clip_coefficient("norm", MAX_NORM), "clip_coef"))
+
+
+@query("clip_vectors")
+def clip_vectors(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.operators import metrics as mt
+    c_ = mt.clip(fx.data_vectors(spark, d), "vec", MAX_NORM)
+    return c_.select("vec_id", array_md5("vec").alias("vec_md5"))
+
+
+@query("every_n")
+def every_n(spark, d):
+    from tessera.operators import metrics as mt
+    return mt.every(fx.metric_rows(spark, d), EVERY_N, trainer_form=True).select("step", "value")
+
+
+@query("best_so_far")
+def best_so_far(spark, d):
+    from tessera.operators import metrics as mt
+    return mt.best_so_far(fx.metric_rows(spark, d), SAVE_EVERY).select("name", "step", "value")
+
+
+@query("latest_checkpoint")
+def latest_checkpoint(spark, d):
+    from tessera.operators import metrics as mt
+    ev = fx.read(spark, d, "events")
+    names = ev.select(F.concat(F.lit("checkpoint-"), F.floor(F.col("event_id") / 100).cast("string")).alias("name")) \
+        .unionByName(ev.select(F.col("event_type").alias("name")))
+    return mt.latest_checkpoint(names)
+
+
+# ============================================================== H: evaluation
+
+def _extracted(spark, d):
+    from tessera.operators import evaluate as ev
+    p = fx.predictions(spark, d)
+    pred = (F.when(F.col("kind") == "letter", ev.extract_answer("prediction", "letter"))
+            .when(F.col("kind") == "latex", ev.extract_answer("prediction", "latex"))
+            .otherwise(ev.extract_answer("prediction", "expr")))
+    return p.withColumn("pred", pred)
+
+
+@query("extract_answer")
+def extract_answer(spark, d):
+    return _extracted(spark, d).select("l_orderkey", "l_linenumber", "task", "pred")
+
+
+@query("score")
+def score(spark, d):
+    from tessera.operators import evaluate as ev
+    x = _extracted(spark, d)
+    return x.select("l_orderkey", "l_linenumber", ev.score("pred", "gold").alias("score"))
+
+
+@query("accuracy")
+def accuracy(spark, d):
+    from tessera.operators import evaluate as ev
+    x = _extracted(spark, d).withColumn("score", ev.score("pred", "gold"))
+    return ev.accuracy(x).select("task", "checkpoint", _r6(F.col("accuracy"), "accuracy"), "n")
+
+
+@query("grid")
+def grid(spark, d):
+    from tessera.operators import evaluate as ev
+    return ev.grid(fx.predictions(spark, d).select("checkpoint").distinct())
+
+
+@query("layer_groups")
+def layer_groups(spark, d):
+    from tessera.operators import evaluate as ev
+    n = fx.layer_names(spark, d).withColumn("layer", sc.layer_index(sc.rename_layer("name")))
+    n = n.where((F.col("layer") >= 1) & (F.col("layer") <= 26))
+    return n.select("name", "layer", ev.layer_group("layer").alias("layer_group"))
