@@ -123,3 +123,10 @@ def chunk_fingerprint(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     """``(batch, chunk, n_tokens, chunk_md5)`` view of packed chunks for checks."""
     return df.select("batch", "chunk", F.size(ids).cast("bigint").alias("n_tokens"),
                      F.md5(F.array_join(F.col(ids).cast("array<string>"), " ")).alias("chunk_md5"))
+
+
+def hashed_ids(tokens, vocab_bits: int = 16) -> Column:
+    """Token ids from a hashing vocabulary: the first ``vocab_bits`` bits of
+    the token's md5 (fits uint16 token files at the default)."""
+    digits = vocab_bits // 4
+    return F.transform(c(tokens), lambda t: F.conv(F.substring(F.md5(t), 1, digits), 16, 10).cast("int"))

@@ -492,3 +492,41 @@ SELECT checkpoint, unnest([{', '.join(repr(t) for t in ev.RUN_TASKS)}]) AS task
 ORACLE["layer_groups"] = f"""WITH {NAMES},
 l AS (SELECT name, CAST(regexp_extract(name, 'layers\\.(\\d+)', 1) AS BIGINT) AS layer FROM names)
 SELECT name, layer, (layer - 1) // 4 AS layer_group FROM l WHERE layer BETWEEN 1 AND 26"""
+
+# ============================================================== A
+
+_IDS = f"list_transform({TOK}, lambda t: CAST(('0x' || substr(md5(t), 1, 4)) AS INTEGER))"
+
+ORACLE["token_bin"] = f"""
+WITH toks AS (SELECT doc_id, [{q.SEP_ID}] || {_IDS} AS t, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),
+b AS (SELECT *, idx // {q.DOC_BATCH_ROWS} AS batch, len(t) AS n FROM toks),
+s AS (SELECT *, sum(n) OVER (PARTITION BY batch ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS start,
+             sum(n) OVER (PARTITION BY batch) AS total FROM b),
+u AS (SELECT batch, total, start + generate_subscripts(t, 1) - 1 AS p, unnest(t) AS tok FROM s)
+SELECT count(*) AS n_tokens, md5(string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY p)) AS chunk_md5
+FROM u WHERE p // {q.BIN_CTX} < (total - 1) // {q.BIN_CTX}
+GROUP BY batch, p // {q.BIN_CTX}"""
+
+ORACLE["scan_registry"] = "SELECT role, count(*) AS n FROM conversations GROUP BY role"
+
+ORACLE["pretokenised"] = f"""
+SELECT doc_id, CAST(len({_IDS}) AS BIGINT) AS n_tokens, CAST(coalesce(list_sum({_IDS}), 0) AS BIGINT) AS id_sum
+FROM documents"""
+
+ORACLE["state_merge"] = _SINCE + f"""
+SELECT h.hookpoint, s.latent_id, s.tokens_since_fired
+FROM since s, (VALUES {', '.join(f"('{h}')" for h in q.STATE_KEEP)}) AS h(hookpoint)"""
+
+ORACLE["dictionary_roundtrip"] = f"""
+WITH e AS (SELECT vec_id AS latent_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < {fx.DICT_ROWS}),
+x AS (SELECT latent_id, unnest(v) AS z, generate_subscripts(v, 1) AS p FROM e),
+m AS (SELECT latent_id, {list_md5('z')} AS w_enc_md5 FROM x GROUP BY latent_id),
+h AS (SELECT hookpoint FROM (VALUES {', '.join(f"('{h}')" for h in q.DICT_HOOKPOINTS)}) AS t(hookpoint)
+      WHERE hookpoint GLOB '{q.DICT_PATTERN}')
+SELECT h.hookpoint, m.latent_id, m.w_enc_md5, true AS decoder_pruned FROM m, h"""
+
+ORACLE["metrics_append"] = """
+SELECT 'value' AS metric, count(*) AS n, round(sum(value), 6) AS total FROM events
+UNION ALL SELECT 'user' AS metric, count(*) AS n, round(sum(CAST(user_id AS DOUBLE)), 6) AS total FROM events"""
+
+ORACLE["stream_since_fired"] = ORACLE["tokens_since_fired"]

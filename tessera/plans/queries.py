@@ -636,3 +636,104 @@ def layer_groups(spark, d):
     n = fx.layer_names(spark, d).withColumn("layer", sc.layer_index(sc.rename_layer("name")))
     n = n.where((F.col("layer") >= 1) & (F.col("layer") <= 26))
     return n.select("name", "layer", ev.layer_group("layer").alias("layer_group"))
+
+
+# ============================================================== A: sources and sinks
+
+BIN_CTX = 128
+SEP_ID = 0
+STATE_HOOKPOINTS = ("layers.0.mlp", "layers.1.mlp", "layers.2.mlp")
+STATE_KEEP = ("layers.0.mlp", "layers.2.mlp")
+DICT_HOOKPOINTS = ("layers.0.mlp", "layers.1.mlp", "layers.10.mlp", "layers.2.mlp")
+DICT_PATTERN = "layers.1*"
+DICT_STEP = 100
+
+
+def _scratch(spark, name):
+    from tessera.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("token_bin")
+def token_bin(spark, d):
+    from tessera.sources.token_bin import read_token_bin, write_token_bin
+    docs = fx.read(spark, d, "documents").select("doc_id", tk.hashed_ids(whitespace_tokens("text")).alias("ids"))
+    packed = tk.pack(docs, "ids", ["doc_id"], chunk=BIN_CTX, batch_rows=DOC_BATCH_ROWS, separator=SEP_ID)
+    path = _scratch(spark, "tokens")
+    write_token_bin(packed, path, BIN_CTX)
+    back = read_token_bin(spark, path, BIN_CTX)
+    return back.select(F.size("input_ids").cast("bigint").alias("n_tokens"),
+                       F.md5(F.array_join(F.col("input_ids").cast("array<string>"), " ")).alias("chunk_md5"))
+
+
+@query("scan_registry")
+def scan_registry(spark, d):
+    from tessera.sources.registry import DatasetRegistry
+    reg = DatasetRegistry({"chats": f"{d}/conversations.parquet", "docs": f"{d}/documents.parquet"})
+    return reg.scan(spark, "chats").groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("pretokenised")
+def pretokenised(spark, d):
+    from tessera.sources.registry import scan_path
+    path = _scratch(spark, "pretok")
+    docs = fx.read(spark, d, "documents").select("doc_id", tk.hashed_ids(whitespace_tokens("text")).alias("input_ids"))
+    docs.write.mode("overwrite").parquet(path)
+    back = tk.tokenize(scan_path(spark, path), "text", "input_ids")  # present: passes through
+    return back.select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"),
+                       F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda s, v: s + v).alias("id_sum"))
+
+
+@query("state_merge")
+def state_merge(spark, d):
+    from tessera.operators import health as hl
+    from tessera.sources.state_store import read_latent_state, write_latent_state
+    D, codes, steps = _step_codes(spark, d)
+    state = hl.tokens_since_fired(codes, steps, D.entries)
+    path = _scratch(spark, "state")
+    for w, hp in enumerate(STATE_HOOKPOINTS):  # module-parallel: one writer per hookpoint
+        write_latent_state(state.withColumn("hookpoint", F.lit(hp)), path, w)
+    return read_latent_state(spark, path, STATE_KEEP).select("hookpoint", "latent_id", "tokens_since_fired")
+
+
+@query("dictionary_roundtrip")
+def dictionary_roundtrip(spark, d):
+    from tessera.functions.columns import array_md5
+    from tessera.sources.dictionary_store import read_dictionaries, write_dictionary
+    D = fx.dictionary(spark, d)
+    path = _scratch(spark, "dicts")
+    for hp in DICT_HOOKPOINTS:
+        write_dictionary(D, path, hp, DICT_STEP)
+    loaded = read_dictionaries(spark, path, pattern=DICT_PATTERN, decoder=False)
+    out = None
+    for hp, Dh in loaded.items():
+        t = Dh.entries.select(F.lit(hp).alias("hookpoint"), "latent_id", array_md5("w_enc").alias("w_enc_md5"),
+                              F.col("w_dec").isNull().alias("decoder_pruned"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("metrics_append")
+def metrics_append(spark, d):
+    from tessera.sources.state_store import append_metrics
+    ev = fx.read(spark, d, "events").select(F.col("event_id").alias("step"), F.col("event_type").alias("name"),
+                                            "value", F.col("user_id").cast("double").alias("user"))
+    path = _scratch(spark, "metrics")
+    append_metrics(ev.where(F.col("step") < 5000), path, ["step", "name"], ["value", "user"])
+    append_metrics(ev.where(F.col("step") >= 5000), path, ["step", "name"], ["value", "user"])
+    back = spark.read.parquet(path)
+    return back.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), _r6(F.sum("value"), "total"))
+
+
+@query("stream_since_fired")
+def stream_since_fired(spark, d):
+    from tessera.operators import health as hl
+    from tessera.streaming.since_fired import last_fired_stream, since_fired_from_state
+    D, codes, steps = _step_codes(spark, d)
+    fires = hl.fired(codes, ("step",)).join(steps.select("step", "cum_tokens"), "step") \
+        .select("step", "latent_id", F.col("cum_tokens").cast("bigint").alias("cum_tokens"))
+    src, out, ckpt = _scratch(spark, "fires"), _scratch(spark, "state"), _scratch(spark, "stream-ckpt")
+    fires.repartition(4, "step").write.mode("overwrite").parquet(src)
+    state = last_fired_stream(spark, src, out, ckpt)
+    total = steps.agg(F.sum("tokens").alias("total"))
+    return since_fired_from_state(state, D.entries, total)
