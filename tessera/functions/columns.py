@@ -61,13 +61,15 @@ def glob_to_regex(pattern: str) -> str:
             if j >= n:
                 out.append(r"\[")
             else:
-                body = pattern[i:j].replace("\\", "\\\\")
+                body = pattern[i:j]
                 i = j + 1
-                if body.startswith("!"):
-                    body = "^" + body[1:]
-                elif body.startswith("^"):
-                    body = "\\" + body
-                out.append(f"[{body}]")
+                neg = body.startswith("!")
+                if neg:
+                    body = body[1:]
+                # Java reads '[', '&&' and '\\' inside a class specially: escape
+                # every non-alphanumeric member except range dashes
+                esc = "".join(ch if ch.isalnum() or ch == "-" else "\\" + ch for ch in body)
+                out.append(f"[{'^' if neg else ''}{esc}]")
         else:
             out.append(re.escape(ch))
     return "^" + "".join(out) + "$"

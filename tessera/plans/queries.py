@@ -737,3 +737,46 @@ def stream_since_fired(spark, d):
     state = last_fired_stream(spark, src, out, ckpt)
     total = steps.agg(F.sum("tokens").alias("total"))
     return since_fired_from_state(state, D.entries, total)
+
+
+# ============================================================== E19-E21: fitting (no SQL oracle)
+
+FIT_LATENTS, FIT_K, FIT_BATCH = 64, 4, 64
+RESUME_AT = 3
+
+
+def _fit_metrics(m):
+    return m.select("step", "k", _r6(F.col("fvu"), "fvu"), _r6(F.col("dead_pct"), "dead_pct"), "n_rows")
+
+
+@query("fit_dictionary")
+def fit_dictionary(spark, d):
+    from tessera.operators.fit import SparseDictionaryEstimator
+    est = SparseDictionaryEstimator(FIT_LATENTS, FIT_K, batch_size=FIT_BATCH, dead_threshold=DEAD_THRESHOLD)
+    return _fit_metrics(est.fit(fx.data_vectors(spark, d), "vec_id", "vec").metrics)
+
+
+@query("fit_resume")
+def fit_resume(spark, d):
+    """Fit, stop after a few steps, store the dictionary, reload it and resume."""
+    from tessera.operators.fit import SparseDictionaryEstimator
+    from tessera.sources.dictionary_store import read_dictionary, write_dictionary
+    data = fx.data_vectors(spark, d)
+    first = SparseDictionaryEstimator(FIT_LATENTS, FIT_K, batch_size=FIT_BATCH, dead_threshold=DEAD_THRESHOLD)
+    head_rows = data.where(F.col("vec_id") < fx.DICT_ROWS + RESUME_AT * FIT_BATCH)
+    res = first.fit(head_rows, "vec_id", "vec")
+    path = _scratch(spark, "fit-dicts")
+    write_dictionary(res.dictionary, path, "layers.0.mlp", RESUME_AT)
+    stored = read_dictionary(spark, path, "layers.0.mlp")
+    again = SparseDictionaryEstimator(FIT_LATENTS, FIT_K, batch_size=FIT_BATCH, dead_threshold=DEAD_THRESHOLD)
+    return _fit_metrics(again.fit(data, "vec_id", "vec", init=stored, start_step=RESUME_AT).metrics)
+
+
+@query("fit_many")
+def fit_many(spark, d):
+    from tessera.operators.fit import fit_many as run
+    data = fx.data_vectors(spark, d).withColumn("hookpoint", F.concat(F.lit("layers."), (F.col("label") % 2)
+                                                                      .cast("string"), F.lit(".mlp")))
+    m = run(data, "hookpoint", [0, 1], dict(num_latents=FIT_LATENTS, k=FIT_K, batch_size=FIT_BATCH,
+                                            dead_threshold=DEAD_THRESHOLD), "vec_id", "vec")
+    return m.select("hookpoint", "seed", "step", "k", _r6(F.col("fvu"), "fvu"))
