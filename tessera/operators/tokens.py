@@ -85,18 +85,23 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
     Returns ``(batch, chunk, input_ids)`` where ``input_ids`` holds exactly
     ``chunk`` tokens (the kept final chunk may be shorter).
     ``on_empty='error'`` fails when a batch packs to zero chunks (as the
-    reference does); ``'skip'`` yields no rows for it.
+    reference does); ``'skip'`` yields no rows for it. ``order`` must be
+    unique (a key).
+
+    Plan: positions, batch offsets and chunk ranges are computed on a narrow
+    ``(key, length)`` table (its range partitioning and batch windows move
+    16 bytes per row); the token arrays are shuffled once, through an
+    equi-join with that table on the key, and then once more as chunk slices
+    to assemble the chunks.
     """
     if on_empty not in ("error", "skip"):
         raise ValueError("on_empty must be 'error' or 'skip'")
     C = int(chunk)
     order = list(order) if isinstance(order, (list, tuple)) else [order]
     keys = [f"_o{i}" for i in range(len(order))]
-    sep = F.array(F.lit(separator).cast(df.schema[tokens].dataType.elementType))
-    x = with_index(df.select(F.concat(sep, F.col(tokens)).alias("_toks"),
-                             *[c(o).alias(k) for o, k in zip(order, keys)]), keys, "_idx")
-    x = (x.withColumn("_batch", F.floor(F.col("_idx") / batch_rows).cast("bigint"))
-          .withColumn("_n", F.size("_toks").cast("bigint")))
+    base = df.select(*[c(o).alias(k) for o, k in zip(order, keys)], F.col(tokens).alias("_t"))
+    narrow = with_index(base.select(*keys, (F.size("_t") + 1).cast("bigint").alias("_n")), keys, "_idx")
+    x = narrow.withColumn("_batch", F.floor(F.col("_idx") / batch_rows).cast("bigint"))
     running = Window.partitionBy("_batch").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     x = (x.withColumn("_end", F.sum("_n").over(running))
           .withColumn("_total", F.sum("_n").over(Window.partitionBy("_batch")))
@@ -107,13 +112,23 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
         last = F.when(n_chunks > 0, last).otherwise(
             F.raise_error(F.lit("Not enough data to create a single complete chunk in a batch; "
                                 "allow the final chunk or supply more data.")))
-    x = x.withColumn("_first", F.floor(F.col("_start") / C)).withColumn("_last", last.cast("bigint"))
-    x = x.where(F.col("_first") <= F.col("_last"))
-    x = x.withColumn("chunk", F.explode(F.sequence(F.col("_first"), F.col("_last"))))
-    lo = F.greatest(F.col("chunk") * C - F.col("_start"), F.lit(0))
-    hi = F.least((F.col("chunk") + 1) * C - F.col("_start"), F.col("_n"))
-    pieces = x.select(F.col("_batch").alias("batch"), "chunk", "_start",
-                      F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("_piece"))
+    spans = (x.select(*keys, "_batch", "_start", "_n", F.floor(F.col("_start") / C).alias("_first"),
+                      last.cast("bigint").alias("_last"))
+             .where(F.col("_first") <= F.col("_last")))
+    sep = F.array(F.lit(separator).cast(df.schema[tokens].dataType.elementType))
+    wide = base.join(spans, keys).select("_batch", "_start", "_n", "_first", "_last",
+                                         F.concat(sep, F.col("_t")).alias("_toks"))
+
+    # Slice inside the row, then explode only the slices: exploding first
+    # would copy the whole token array once per chunk the row spans.
+    def piece(ch):
+        lo = F.greatest(ch * C - F.col("_start"), F.lit(0))
+        hi = F.least((ch + 1) * C - F.col("_start"), F.col("_n"))
+        return F.struct(ch.alias("chunk"), F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("p"))
+
+    pieces = (wide.select(F.col("_batch").alias("batch"), "_start",
+                          F.explode(F.transform(F.sequence(F.col("_first"), F.col("_last")), piece)).alias("_s"))
+              .select("batch", F.col("_s.chunk").alias("chunk"), "_start", F.col("_s.p").alias("_piece")))
     return (pieces.groupBy("batch", "chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_start", "_piece"))).alias("_parts"))
             .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))

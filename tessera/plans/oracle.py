@@ -530,3 +530,13 @@ SELECT 'value' AS metric, count(*) AS n, round(sum(value), 6) AS total FROM even
 UNION ALL SELECT 'user' AS metric, count(*) AS n, round(sum(CAST(user_id AS DOUBLE)), 6) AS total FROM events"""
 
 ORACLE["stream_since_fired"] = ORACLE["tokens_since_fired"]
+
+ORACLE["flatten_vectors"] = f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= {fx.DICT_ROWS}),
+s AS (SELECT a.vec_id // 2 AS sample_id, [a.v, b.v] AS seq FROM v a JOIN v b ON b.vec_id = a.vec_id + 1
+      WHERE a.vec_id % 2 = 0),
+f AS (SELECT sample_id, unnest(seq) AS vec, generate_subscripts(seq, 1) - 1 AS pos FROM s),
+x AS (SELECT sample_id, pos, unnest(vec) AS z, generate_subscripts(vec, 1) AS p FROM f)
+SELECT sample_id, CAST(pos AS BIGINT) AS pos, {list_md5('z')} AS vec_md5 FROM x GROUP BY sample_id, pos"""
+
+ORACLE["dead_latents"] = _SINCE + f"\nSELECT * FROM since WHERE tokens_since_fired > {q.DEAD_LIST_THRESHOLD}"

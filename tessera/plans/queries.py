@@ -657,8 +657,13 @@ def _scratch(spark, name):
 @query("token_bin")
 def token_bin(spark, d):
     from tessera.sources.token_bin import read_token_bin, write_token_bin
-    docs = fx.read(spark, d, "documents").select("doc_id", tk.hashed_ids(whitespace_tokens("text")).alias("ids"))
-    packed = tk.pack(docs, "ids", ["doc_id"], chunk=BIN_CTX, batch_rows=DOC_BATCH_ROWS, separator=SEP_ID)
+    docs = fx.read(spark, d, "documents").select("doc_id", whitespace_tokens("text").alias("toks"))
+    # pack the words with an empty-string separator (never a whitespace
+    # token), then map to ids: each token is hashed once, after the shuffles
+    packed = tk.pack(docs, "toks", ["doc_id"], chunk=BIN_CTX, batch_rows=DOC_BATCH_ROWS, separator="")
+    words = F.col("input_ids")
+    packed = packed.select(F.zip_with(words, tk.hashed_ids(words),
+                                      lambda w, i: F.when(w == "", F.lit(SEP_ID)).otherwise(i)).alias("input_ids"))
     path = _scratch(spark, "tokens")
     write_token_bin(packed, path, BIN_CTX)
     back = read_token_bin(spark, path, BIN_CTX)
@@ -780,3 +785,28 @@ def fit_many(spark, d):
     m = run(data, "hookpoint", [0, 1], dict(num_latents=FIT_LATENTS, k=FIT_K, batch_size=FIT_BATCH,
                                             dead_threshold=DEAD_THRESHOLD), "vec_id", "vec")
     return m.select("hookpoint", "seed", "step", "k", _r6(F.col("fvu"), "fvu"))
+
+
+@query("flatten_vectors")
+def flatten_vectors(spark, d):
+    """Sequences of two consecutive vectors per sample, flattened to one row per position."""
+    from tessera.functions.columns import array_md5
+    from tessera.operators import sparse as sp
+    v = fx.data_vectors(spark, d)
+    even = v.where(F.col("vec_id") % 2 == 0).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"),
+                                                    F.col("vec").alias("v0"))
+    odd = v.where(F.col("vec_id") % 2 == 1).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"),
+                                                   F.col("vec").alias("v1"))
+    seqs = even.join(odd, "sample_id").select("sample_id", F.array("v0", "v1").alias("seq"))
+    flat = sp.flatten_vectors(seqs, "seq", "sample_id")
+    return flat.select("sample_id", F.col("pos").cast("bigint").alias("pos"), array_md5("vec").alias("vec_md5"))
+
+
+DEAD_LIST_THRESHOLD = 25
+
+
+@query("dead_latents")
+def dead_latents(spark, d):
+    from tessera.operators import health as hl
+    D, codes, steps = _step_codes(spark, d)
+    return hl.dead_mask(hl.tokens_since_fired(codes, steps, D.entries), DEAD_LIST_THRESHOLD)
