@@ -303,6 +303,25 @@ def eval_prompts(df: DataFrame, task: str) -> DataFrame:
     })
 
 
+def eval_prompts_many(df: DataFrame, tasks=None) -> DataFrame:
+    """:func:`eval_prompts` for several tasks over one scan: each row expands
+    the task list (a literal array) and picks its task's columns."""
+    tasks = list(tasks or EVAL_TASKS)
+    for t in tasks:
+        if t not in EVAL_TASKS:
+            raise ValueError(f"Unknown task: {t}")
+    x = df.withColumn("task", F.explode(F.array(*[F.lit(t) for t in tasks])))
+
+    def pick(i):
+        out = None
+        for t in tasks:
+            col = F.col(EVAL_TASKS[t][i])
+            out = F.when(F.col("task") == t, col) if out is None else out.when(F.col("task") == t, col)
+        return out
+    return x.withColumns({"query": _fill(MATH_QUERY_TEMPLATE, Question=pick(0)),
+                          "choices": F.array(pick(1)), "gold_index": F.lit(0)})
+
+
 def choice_prompts(df: DataFrame, seed: int, key: str, question: str = "Question",
                    correct: str = "Correct Answer",
                    wrong=("Incorrect Answer 1", "Incorrect Answer 2", "Incorrect Answer 3")) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import c, whitespace_tokens
-from tessera.operators.positions import with_index
+from tessera.operators.positions import prefix_sum, with_index
 
 DEFAULT_SEPARATOR = "<|endoftext|>"  # fixed value: separator when the tokenizer has no eos token
 
@@ -134,6 +134,72 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
             .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))
 
 
+def pack_segments(df: DataFrame, tokens: str, doc, seq, chunk: int = 2048, batch_rows: int = 2048,
+                  separator=DEFAULT_SEPARATOR, return_final: bool = False,
+                  on_empty: str = "error") -> DataFrame:
+    """:func:`pack` for documents stored as ordered segments (one row per
+    segment, e.g. one rendered chat message): the stream is
+    ``sep + segments of doc 1 + sep + segments of doc 2 ...`` and batches hold
+    ``batch_rows`` documents.
+
+    Nothing is grouped per document: a segment's offset inside its document
+    is its global token prefix minus the document's first prefix (two-level
+    prefix sum plus a per-document ``min`` with map-side combine), so a
+    document holding a large share of all segments still spreads over many
+    tasks. Document offsets inside a batch use a window bounded by
+    ``batch_rows`` documents.
+    """
+    if on_empty not in ("error", "skip"):
+        raise ValueError("on_empty must be 'error' or 'skip'")
+    C = int(chunk)
+    doc = list(doc) if isinstance(doc, (list, tuple)) else [doc]
+    seq = list(seq) if isinstance(seq, (list, tuple)) else [seq]
+    dk = [f"_d{i}" for i in range(len(doc))]
+    sk = [f"_s{i}" for i in range(len(seq))]
+    base = df.select(*[c(o).alias(k) for o, k in zip(doc, dk)], *[c(o).alias(k) for o, k in zip(seq, sk)],
+                     F.col(tokens).alias("_t"))
+    seg = prefix_sum(base.select(*dk, *sk, F.size("_t").cast("bigint").alias("_m")), dk + sk, "_m", "_g",
+                     inclusive=False)
+    docs = seg.groupBy(*dk).agg(F.min("_g").alias("_g0"), (F.sum("_m") + 1).alias("_n"),
+                                F.min(F.struct(*sk)).alias("_first"))
+    x = with_index(docs, dk, "_idx").withColumn("_batch", F.floor(F.col("_idx") / batch_rows).cast("bigint"))
+    running = Window.partitionBy("_batch").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    x = (x.withColumn("_end", F.sum("_n").over(running))
+          .withColumn("_total", F.sum("_n").over(Window.partitionBy("_batch")))
+          .withColumn("_dstart", F.col("_end") - F.col("_n")))
+    n_chunks = F.ceil(F.col("_total") / C) if return_final else F.floor((F.col("_total") - 1) / C)
+    chunks_ok = F.when(n_chunks > 0, n_chunks) if on_empty == "skip" else F.when(n_chunks > 0, n_chunks).otherwise(
+        F.raise_error(F.lit("Not enough data to create a single complete chunk in a batch; "
+                            "allow the final chunk or supply more data.")))
+    docs = x.select(*dk, "_batch", "_dstart", "_g0", "_first", F.coalesce(chunks_ok, F.lit(0)).alias("_nc"))
+    first = F.struct(*[F.col(k) for k in sk]) == F.col("_first")
+    spans = (seg.join(docs, dk)
+             .withColumn("_isfirst", first)
+             .withColumn("_start", F.when(F.col("_isfirst"), F.col("_dstart"))
+                         .otherwise(F.col("_dstart") + 1 + F.col("_g") - F.col("_g0")))
+             .withColumn("_n", F.col("_m") + F.col("_isfirst").cast("bigint")))
+    last = F.least(F.floor((F.col("_start") + F.col("_n") - 1) / C), F.col("_nc") - 1)
+    spans = (spans.select(*dk, *sk, "_batch", "_start", "_n", "_isfirst",
+                          F.floor(F.col("_start") / C).alias("_first"), last.cast("bigint").alias("_last"))
+             .where((F.col("_n") > 0) & (F.col("_first") <= F.col("_last"))))
+    sep = F.array(F.lit(separator).cast(df.schema[tokens].dataType.elementType))
+    wide = base.join(spans, dk + sk).select(
+        "_batch", "_start", "_n", "_first", "_last",
+        F.when(F.col("_isfirst"), F.concat(sep, F.col("_t"))).otherwise(F.col("_t")).alias("_toks"))
+
+    def piece(ch):
+        lo = F.greatest(ch * C - F.col("_start"), F.lit(0))
+        hi = F.least((ch + 1) * C - F.col("_start"), F.col("_n"))
+        return F.struct(ch.alias("chunk"), F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("p"))
+
+    pieces = (wide.select(F.col("_batch").alias("batch"), "_start",
+                          F.explode(F.transform(F.sequence(F.col("_first"), F.col("_last")), piece)).alias("_s"))
+              .select("batch", F.col("_s.chunk").alias("chunk"), "_start", F.col("_s.p").alias("_piece")))
+    return (pieces.groupBy("batch", "chunk")
+            .agg(F.array_sort(F.collect_list(F.struct("_start", "_piece"))).alias("_parts"))
+            .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))
+
+
 def chunk_fingerprint(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     """``(batch, chunk, n_tokens, chunk_md5)`` view of packed chunks for checks."""
     return df.select("batch", "chunk", F.size(ids).cast("bigint").alias("n_tokens"),

@@ -65,14 +65,22 @@ def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Question + correct + three wrong answers from five consecutive items
-    (equi-joins on ``item_id + k``)."""
+    """Question + correct + three wrong answers from five consecutive items.
+
+    Each item contributes its text to the five windows it belongs to
+    (``item_id - j`` for j = 0..4); one grouped pivot then assembles every
+    window: a single shuffle instead of four self-joins, and complete windows
+    only.
+    """
     b = read(spark, sf_dir, "benchmark").select("item_id", "text")
-    out = b.select("item_id", F.col("text").alias("Question"))
-    names = ["Correct Answer", "Incorrect Answer 1", "Incorrect Answer 2", "Incorrect Answer 3"]
-    for k, nm in enumerate(names, start=1):
-        out = out.join(b.select((F.col("item_id") - k).alias("item_id"), F.col("text").alias(nm)), "item_id")
-    return out
+    names = ["Question", "Correct Answer", "Incorrect Answer 1", "Incorrect Answer 2", "Incorrect Answer 3"]
+    parts = b.select(F.explode(F.array(*[
+        F.struct((F.col("item_id") - j).alias("base"), F.lit(j).alias("j"), F.col("text").alias("text"))
+        for j in range(len(names))])).alias("c")).select("c.*")
+    g = parts.groupBy(F.col("base").alias("item_id")).agg(
+        *[F.max(F.when(F.col("j") == j, F.col("text"))).alias(nm) for j, nm in enumerate(names)],
+        F.count(F.lit(1)).alias("_k"))
+    return g.where(F.col("_k") == len(names)).drop("_k")
 
 
 # ---------------------------------------------------------------- vectors

@@ -66,10 +66,17 @@ def doc_length_by_lang(spark, d):
 
 
 def _conversation_chunks(spark, d, return_final: bool):
-    chats = pr.render_chat(fx.read(spark, d, "conversations"), out="text")
-    toks = tk.tokenize(chats, "text", "tokens")
-    packed = tk.pack(toks, "tokens", ["conv_id"], chunk=CONV_CHUNK, batch_rows=CONV_BATCH_ROWS,
-                     return_final=return_final)
+    """Conversations rendered with the simple chat template, tokenised and packed.
+
+    Messages stay rows: each is rendered and tokenised on its own (every
+    rendered message ends in a newline, so whitespace tokens of the whole
+    transcript are the concatenation of the per-message tokens) and packed
+    as segments of its conversation; no conversation is collected.
+    """
+    conv = fx.read(spark, d, "conversations")
+    msgs = conv.select("conv_id", "turn", whitespace_tokens(pr.simple_chat_piece("role", "text")).alias("tokens"))
+    packed = tk.pack_segments(msgs, "tokens", ["conv_id"], ["turn"], chunk=CONV_CHUNK,
+                              batch_rows=CONV_BATCH_ROWS, return_final=return_final)
     return tk.chunk_fingerprint(packed)
 
 
@@ -272,13 +279,9 @@ def chat_reasoning(spark, d):
 @query("eval_prompts")
 def eval_prompts(spark, d):
     items = fx.benchmark_items(spark, d)
-    out = None
-    for task in pr.EVAL_TASKS:
-        t = pr.eval_prompts(items, task).select(
-            "task", "item_id", F.md5("query").alias("query_md5"), F.col("choices")[0].alias("gold"),
-            F.col("gold_index").cast("int").alias("gold_index"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    return pr.eval_prompts_many(items).select(
+        "task", "item_id", F.md5("query").alias("query_md5"), F.col("choices")[0].alias("gold"),
+        F.col("gold_index").cast("int").alias("gold_index"))
 
 
 @query("choice_prompts")

@@ -73,3 +73,21 @@ def test_supplied_tokenizer_runs_batched(spark):
     df = spark.createDataFrame([(1, "a bb ccc")], "id long, text string")
     out = tk.tokenize(df, "text", "ids", tokenizer=lambda texts: [[len(w) for w in t.split()] for t in texts])
     assert out.first()["ids"] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("chunk,batch_rows,final", [(5, 2, False), (3, 4, True), (64, 100, False)])
+def test_pack_segments_equals_packing_joined_documents(spark, chunk, batch_rows, final):
+    rng = np.random.default_rng(3)
+    rows, docs = [], []
+    for doc in range(9):
+        words = []
+        for seg in range(int(rng.integers(1, 6))):
+            toks = [f"d{doc}s{seg}w{j}" for j in range(int(rng.integers(0, 7)))]
+            rows.append((doc, seg * 10, toks))
+            words += toks
+        docs.append(words)
+    df = spark.createDataFrame(rows, "doc long, seg long, toks array<string>")
+    p = tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=chunk, batch_rows=batch_rows, separator="<s>",
+                         return_final=final, on_empty="skip")
+    got = sorted((r["batch"], r["chunk"], tuple(r["input_ids"])) for r in p.collect())
+    assert got == brute_pack(docs, chunk, batch_rows, return_final=final)
