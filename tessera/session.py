@@ -14,6 +14,13 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from static size estimates: Catalyst guesses small sizes
+    # for array and string columns, and a wrong guess broadcasts a
+    # data-sized side. Joins are broadcast only (a) at runtime by AQE, from
+    # the measured size of a finished shuffle stage, or (b) by an explicit
+    # hint on a side whose size the operator has checked.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

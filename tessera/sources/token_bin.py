@@ -7,8 +7,8 @@ task reads more than ``rows_per_split`` rows. The driver only lists files
 and checks that every size is a whole number of rows (a ragged tail would
 otherwise surface as a mid-task read error).
 
-Writing is an Arrow writer: each task writes its rows to a temporary file
-and the driver renames the files of successful tasks on commit, so a
+Writing runs in ``mapInArrow``: each task writes its rows to a temporary
+file and the driver renames the files of successful tasks on commit, so a
 retried or lost task leaves no partial output under a final name.
 """
 
@@ -16,18 +16,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceArrowWriter,
-    DataSourceReader,
-    InputPartition,
-    WriterCommitMessage,
-)
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 TOKEN_DTYPE = np.dtype("<u2")
 SCHEMA = "idx bigint, input_ids array<int>"
@@ -89,47 +82,6 @@ class _Reader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([idx, ids], names=["idx", "input_ids"])
 
 
-@dataclass
-class _Written(WriterCommitMessage):
-    tmp: str
-    final: str
-
-
-class _Writer(DataSourceArrowWriter):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.ctx = int(options["ctx_len"])
-        self.column = options.get("column", "input_ids")
-
-    def write(self, batches):
-        from pyspark import TaskContext
-        os.makedirs(self.path, exist_ok=True)
-        pid = TaskContext.get().partitionId() if TaskContext.get() else 0
-        tag = uuid.uuid4().hex
-        tmp = os.path.join(self.path, f"_tmp-{pid:05d}-{tag}.bin")
-        with open(tmp, "wb") as out:
-            for b in batches:
-                col = b.column(b.schema.get_field_index(self.column))
-                flat = col.flatten().to_numpy(zero_copy_only=False)
-                lens = np.diff(col.offsets.to_numpy())
-                if len(lens) and (lens != self.ctx).any():
-                    raise ValueError(f"every row must hold exactly ctx_len={self.ctx} tokens")
-                if len(flat) and (flat.min() < 0 or flat.max() > 0xFFFF):
-                    raise ValueError("token ids must fit in uint16")
-                flat.astype(TOKEN_DTYPE).tofile(out)
-        return _Written(tmp, os.path.join(self.path, f"part-{pid:05d}-{tag}.bin"))
-
-    def commit(self, messages):
-        for m in messages:
-            if m is not None:
-                os.replace(m.tmp, m.final)
-
-    def abort(self, messages):
-        for m in messages:
-            if m is not None and os.path.exists(m.tmp):
-                os.remove(m.tmp)
-
-
 class TokenBinDataSource(DataSource):
     """``spark.read.format("tokenbin").option("ctx_len", n).load(path)``."""
 
@@ -143,9 +95,6 @@ class TokenBinDataSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
-    def writer(self, schema, overwrite):
-        return _Writer(self.options)
-
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenBinDataSource)
@@ -161,8 +110,42 @@ def read_token_bin(spark: SparkSession, path: str, ctx_len: int, max_examples: i
     return r.load(path)
 
 
-def write_token_bin(df: DataFrame, path: str, ctx_len: int, column: str = "input_ids") -> None:
-    """Write fixed-length id rows as uint16 part files, one per task."""
-    register(df.sparkSession)
-    (df.select(column).write.format("tokenbin").mode("append")
-     .option("ctx_len", ctx_len).option("column", column).save(path))
+def _write_parts(path: str, ctx: int, column: str):
+    def run(batches):
+        from pyspark import TaskContext
+        tc = TaskContext.get()
+        pid = tc.partitionId() if tc else 0
+        tag = uuid.uuid4().hex
+        tmp = os.path.join(path, f"_tmp-{pid:05d}-{tag}.bin")
+        rows = 0
+        with open(tmp, "wb") as out:
+            for b in batches:
+                col = b.column(b.schema.get_field_index(column))
+                lens = np.diff(col.offsets.to_numpy())
+                if len(lens) and (lens != ctx).any():
+                    raise ValueError(f"every row must hold exactly ctx_len={ctx} tokens")
+                flat = col.flatten().to_numpy(zero_copy_only=False)
+                if len(flat) and (flat.min() < 0 or flat.max() > 0xFFFF):
+                    raise ValueError("token ids must fit in uint16")
+                flat.astype(TOKEN_DTYPE).tofile(out)
+                rows += b.num_rows
+        yield pa.RecordBatch.from_pylist([{"tmp": tmp, "final": os.path.join(path, f"part-{pid:05d}-{tag}.bin"),
+                                           "rows": rows}])
+    return run
+
+
+def write_token_bin(df: DataFrame, path: str, ctx_len: int, column: str = "input_ids") -> int:
+    """Write fixed-length id rows as uint16 part files, one per task; returns the row count.
+
+    Commit protocol: every task attempt writes a uniquely named ``_tmp-``
+    file (ignored by readers) and returns one commit row; the driver renames
+    only the files of the attempts whose results it received, so retried or
+    speculative attempts never leave a second copy under a final name.
+    """
+    os.makedirs(path, exist_ok=True)
+    commits = (df.select(F.col(column).cast("array<int>").alias(column))
+               .mapInArrow(_write_parts(path, int(ctx_len), column), "tmp string, final string, rows bigint")
+               .collect())  # one small row per task
+    for m in commits:
+        os.replace(m["tmp"], m["final"])
+    return sum(m["rows"] for m in commits)
