@@ -305,10 +305,11 @@ def add_skip(df: DataFrame, dictionary: SparseDictionary, vec_col: str, recon_co
 
 
 def forward(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_col: str = "vec",
-            target_col: str | None = None, k: int | None = None) -> DataFrame:
+            target_col: str | None = None, k: int | None = None, codes: DataFrame | None = None) -> DataFrame:
     """Encode + decode (+ skip) per vector: ``(id, target, recon)``; transcoders
-    decode towards ``target_col`` (E7)."""
-    codes = encode(df, dictionary, id_col, vec_col, k=k)
+    decode towards ``target_col`` (E7). Pass ``codes`` to reuse an encoding."""
+    if codes is None:
+        codes = encode(df, dictionary, id_col, vec_col, k=k)
     rec = decode(codes, dictionary, id_col)
     keep = [id_col, vec_col] + ([target_col] if target_col and target_col != vec_col else [])
     j = df.select(*keep).join(rec, id_col, "left")
@@ -351,7 +352,7 @@ def recon_mse(df: DataFrame, y: str = "target", y_hat: str = "recon") -> DataFra
 
 
 def auxk_loss(df: DataFrame, dictionary: SparseDictionary, dead_ids: list, id_col: str = "id",
-              vec_col: str = "vec") -> DataFrame:
+              vec_col: str = "vec", fw: DataFrame | None = None) -> DataFrame:
     """Auxiliary loss on dead entries.
 
     With ``n_dead > 0``: ``k_aux = min(d // 2, n_dead)``, ``scale = min(n_dead / (d // 2), 1)``;
@@ -361,7 +362,8 @@ def auxk_loss(df: DataFrame, dictionary: SparseDictionary, dead_ids: list, id_co
     """
     d = dictionary.d
     n_dead = len(dead_ids)
-    fw = forward(df, dictionary, id_col, vec_col)
+    if fw is None:
+        fw = forward(df, dictionary, id_col, vec_col)
     if n_dead == 0:
         return fw.agg(F.lit(0.0).alias("auxk"), F.lit(0).cast("bigint").alias("n_dead"))
     half = d // 2

@@ -382,9 +382,10 @@ def total_loss(spark, d):
     from tessera.operators import sparse as sp
     D = fx.dictionary(spark, d)
     data = fx.data_vectors(spark, d)
-    f = sp.fvu(sp.forward(data, D, "vec_id", "vec")).select(F.lit(0).alias("_g"), "fvu")
+    fw = sp.forward(data, D, "vec_id", "vec")
+    f = sp.fvu(fw).select(F.lit(0).alias("_g"), "fvu")
     m = sp.fvu(sp.forward(data, D, "vec_id", "vec", k=4 * D.k)).select(F.lit(0).alias("_g"), F.col("fvu").alias("multi"))
-    a = sp.auxk_loss(data, D, _dead_ids(D), "vec_id", "vec").select(F.lit(0).alias("_g"), "auxk")
+    a = sp.auxk_loss(data, D, _dead_ids(D), "vec_id", "vec", fw=fw).select(F.lit(0).alias("_g"), "auxk")
     j = f.join(m, "_g").join(a, "_g")
     return j.select(_r6(F.col("fvu"), "fvu"), _r6(F.col("auxk"), "auxk"), _r6(F.col("multi"), "multi_fvu"),
                     _r6(F.col("fvu") + F.lit(AUXK_ALPHA) * F.col("auxk") + F.col("multi") / 8, "total"))
@@ -473,25 +474,26 @@ def latent_usage(spark, d):
 
 
 def _residual(spark, d):
+    """Dictionary, codes and per-vector residual ``y - recon`` from one encoding."""
     from tessera.functions.columns import vsub
-    D, data, fw = _fw(spark, d)
-    return D, fw.select("vec_id", vsub("target", "recon").alias("grad"))
+    from tessera.operators import sparse as sp
+    D, codes = _codes(spark, d)
+    fw = sp.forward(fx.data_vectors(spark, d), D, "vec_id", "vec", codes=codes)
+    return D, codes, fw.select("vec_id", vsub("target", "recon").alias("grad"))
 
 
 @query("latent_grad")
 def latent_grad(spark, d):
     from tessera.functions.columns import array_md5
     from tessera.operators import sparse as sp
-    D, codes = _codes(spark, d)
-    _, grad = _residual(spark, d)
+    D, codes, grad = _residual(spark, d)
     return sp.latent_grad(codes, grad, D.d, "vec_id").select("latent_id", array_md5("grad").alias("grad_md5"))
 
 
 @query("code_grad")
 def code_grad(spark, d):
     from tessera.operators import sparse as sp
-    D, codes = _codes(spark, d)
-    _, grad = _residual(spark, d)
+    D, codes, grad = _residual(spark, d)
     return sp.code_grad(codes, grad, D, "vec_id").select("vec_id", "latent_id", _r6(F.col("grad_act"), "grad_act"))
 
 
