@@ -173,9 +173,25 @@ class SparseDictionaryEstimator:
                 "w_dec": w_d, "b_dec": np.zeros(d), "transcode": self.transcode}
 
     # ---------------------------------------------------------------- fit
+    def _dictionary(self, spark, p: dict) -> SparseDictionary:
+        entries = spark.createDataFrame(pd.DataFrame({
+            "latent_id": p["ids"], "w_enc": list(p["w_enc"]), "b_enc": p["b_enc"], "w_dec": list(p["w_dec"])}))
+        return SparseDictionary(entries=entries, b_dec=[float(v) for v in p["b_dec"]], k=self.k,
+                                transcode=self.transcode)
+
     def fit(self, df: DataFrame, id_col: str = "id", vec_col: str = "vec",
-            init: SparseDictionary | None = None, start_step: int = 0) -> FitResult:
+            init: SparseDictionary | None = None, start_step: int = 0,
+            save_path: str | None = None, hookpoint: str = "default", save_every: int = 1000) -> FitResult:
+        """Fit over ``epochs`` passes of mini-batches.
+
+        With ``save_path``, the dictionary is stored (step checkpoint and
+        ``latest``) whenever a step with ``(step + 1) % save_every == 0`` or
+        the final step has a loss strictly below every earlier saved one, so
+        a lost driver resumes with ``init=read_dictionary(...)`` and
+        ``start_step``.
+        """
         spark = df.sparkSession
+        best = float("inf")
         data, n_batches, d = self._prepare(df, id_col, vec_col)
         if init is not None:
             p = init.collect_block(*init.blocks(1 << 62)[0])
@@ -234,10 +250,11 @@ class SparseDictionaryEstimator:
             since += n
             since[fired] = 0
             metrics.append((step, k, fvu, float(np.mean(since > self.dead_threshold)), n))
-        entries = spark.createDataFrame(pd.DataFrame({
-            "latent_id": p["ids"], "w_enc": list(p["w_enc"]), "b_enc": p["b_enc"], "w_dec": list(p["w_dec"])}))
-        D = SparseDictionary(entries=entries, b_dec=[float(v) for v in p["b_dec"]], k=self.k,
-                             transcode=self.transcode)
+            if save_path and ((step + 1) % save_every == 0 or step == total_steps - 1) and fvu < best:
+                from tessera.sources.dictionary_store import write_dictionary
+                best = fvu
+                write_dictionary(self._dictionary(spark, p), save_path, hookpoint, step + 1)
+        D = self._dictionary(spark, p)
         since_df = spark.createDataFrame(pd.DataFrame({"latent_id": p["ids"], "tokens_since_fired": since}))
         return FitResult(D, spark.createDataFrame(metrics, METRICS_SCHEMA), since_df)
 

@@ -56,3 +56,19 @@ def test_small_learning_rate_lowers_fvu(spark):
     m = sorted((r["step"], r["fvu"]) for r in est.fit(df).metrics.collect())
     first, last = np.mean([f for _, f in m[:3]]), np.mean([f for _, f in m[-3:]])
     assert last < first
+
+
+def test_fit_saves_best_checkpoints_and_resumes(spark, tmp_path):
+    from tessera.sources.dictionary_store import read_dictionary
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 6))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+    est = ft.SparseDictionaryEstimator(8, 2, batch_size=50, lr=1e-3)
+    path = str(tmp_path / "dicts")
+    res = est.fit(df, save_path=path, hookpoint="layers.3.mlp", save_every=2)
+    stored = read_dictionary(spark, path, "layers.3.mlp")
+    assert stored.num_latents == 8 and stored.k == 2
+    resumed = ft.SparseDictionaryEstimator(8, 2, batch_size=50, lr=1e-3).fit(df, init=stored, start_step=6)
+    assert resumed.metrics.count() == 0  # nothing left after the last step
+    again = ft.SparseDictionaryEstimator(8, 2, batch_size=50, lr=1e-3).fit(df, init=stored, start_step=4)
+    assert [r["step"] for r in again.metrics.orderBy("step").collect()] == [4, 5]
