@@ -137,3 +137,19 @@ def hookpoint_of(col) -> Column:
 def layer_index(col) -> Column:
     """Layer number of a dotted name such as ``layers.12.mlp``."""
     return F.regexp_extract(c(col), r"layers\.(\d+)", 1).try_cast("bigint")
+
+
+def select_hookpoints(df: DataFrame, col: str = "name", patterns=None, layers=None, stride: int = 1,
+                      rank: str = "rank") -> DataFrame:
+    """Module selection (B8 + B11-B13): glob patterns, or an explicit layer
+    list, or every ``stride``-th name in natural order; a stride cannot be
+    combined with explicit layers."""
+    if layers and stride != 1:
+        raise ValueError("Cannot specify both `layers` and `layer_stride`.")
+    x = df
+    if patterns:
+        x = filter_glob(x, col, patterns)
+    if layers:
+        x = x.where(F.regexp_extract(c(col), r"layers\.(\d+)", 1).try_cast("bigint").isin([int(v) for v in layers]))
+    r = natural_rank(x, col, rank)
+    return r.where((F.col(rank) - 1) % stride == 0) if stride != 1 else r

@@ -540,3 +540,8 @@ x AS (SELECT sample_id, pos, unnest(vec) AS z, generate_subscripts(vec, 1) AS p
 SELECT sample_id, CAST(pos AS BIGINT) AS pos, {list_md5('z')} AS vec_md5 FROM x GROUP BY sample_id, pos"""
 
 ORACLE["dead_latents"] = _SINCE + f"\nSELECT * FROM since WHERE tokens_since_fired > {q.DEAD_LIST_THRESHOLD}"
+
+ORACLE["layers_explicit"] = f"""WITH {NAMES},
+s AS (SELECT name FROM names
+      WHERE CAST(regexp_extract(name, 'layers\\.(\\d+)', 1) AS BIGINT) IN ({', '.join(str(v) for v in q.EXPLICIT_LAYERS)}))
+SELECT name, row_number() OVER (ORDER BY {NATURAL}) AS rank FROM s"""

@@ -815,3 +815,11 @@ def dead_latents(spark, d):
     from tessera.operators import health as hl
     D, codes, steps = _step_codes(spark, d)
     return hl.dead_mask(hl.tokens_since_fired(codes, steps, D.entries), DEAD_LIST_THRESHOLD)
+
+
+EXPLICIT_LAYERS = (0, 2, 4, 10, 27)
+
+
+@query("layers_explicit")
+def layers_explicit(spark, d):
+    return sc.select_hookpoints(fx.layer_names(spark, d), "name", layers=list(EXPLICIT_LAYERS))

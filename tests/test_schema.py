@@ -41,3 +41,9 @@ def test_resolve_problem_and_errors(spark):
 def test_first_field_of_empty_array_is_null(spark):
     df = spark.createDataFrame([([],)], "m array<struct<content:string>>")
     assert df.select(sc.first_field("m", "content").alias("c")).first()["c"] is None
+
+
+def test_stride_with_explicit_layers_is_rejected(spark):
+    df = spark.createDataFrame([("layers.1",)], "name string")
+    with pytest.raises(ValueError):
+        sc.select_hookpoints(df, layers=[1], stride=2)
