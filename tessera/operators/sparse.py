@@ -304,10 +304,79 @@ def add_skip(df: DataFrame, dictionary: SparseDictionary, vec_col: str, recon_co
     return df.withColumn(recon_col, F.zip_with(recon_col, skip, lambda a, b: a + b))
 
 
+FORWARD_FIELDS = ("target", "recon", "e_hat")
+
+
+def forward_dense(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_col: str = "vec",
+                  target_col: str | None = None, k: int | None = None, dead_ids: list | None = None,
+                  budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """Encode, decode (+ skip) in one pass per Arrow batch: ``(id, target, recon)``.
+
+    Needs the whole dictionary in one checked broadcast block. Rows never
+    leave their partition: no join and no shuffle of vectors or codes. With
+    ``dead_ids`` it also returns ``e_hat``, the decoding (with ``b_dec``) of
+    the top ``k_aux = min(d // 2, n_dead)`` dead entries (E11).
+    """
+    blocks = dictionary.blocks(budget)
+    if len(blocks) != 1:
+        raise ValueError("dictionary exceeds one broadcast block; use forward()")
+    k = dictionary.k if k is None else k
+    d = dictionary.d
+    p = dictionary.collect_block(*blocks[0])
+    if dictionary.w_skip is not None:
+        p["w_skip"] = np.asarray(dictionary.w_skip, dtype=np.float64)
+    if dead_ids is not None:
+        p["mask"] = np.isin(p["ids"], np.asarray(dead_ids, dtype=np.int64))
+        p["k_aux"] = min(d // 2, int(p["mask"].sum()))
+    bc = df.sparkSession.sparkContext.broadcast(p)
+    tgt = target_col or vec_col
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), F.col(tgt).alias("tgt"))
+    fields = [T.StructField("id", T.LongType()), T.StructField("target", T.ArrayType(T.DoubleType())),
+              T.StructField("recon", T.ArrayType(T.DoubleType()))]
+    if dead_ids is not None:
+        fields.append(T.StructField("e_hat", T.ArrayType(T.DoubleType())))
+
+    def run(batches):
+        q = bc.value
+        step = _rows_per_slice(len(q["ids"]))
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            xs, ys = _stack(pdf["vec"], d), _stack(pdf["tgt"], d)
+            for s in range(0, len(xs), step):
+                x, y = xs[s:s + step], ys[s:s + step]
+                z = pre_activations(x, q)
+                idx = topk_indices(z, k)
+                acts = np.take_along_axis(z, idx, axis=1)
+                recon = q["b_dec"] + np.einsum("nk,nkd->nd", acts, q["w_dec"][idx])
+                if "w_skip" in q:
+                    recon = recon + x @ q["w_skip"].T
+                out = {"id": pdf["id"].to_numpy(np.int64)[s:s + step], "target": list(y), "recon": list(recon)}
+                if "mask" in q:
+                    if q["k_aux"] > 0:
+                        za = np.where(q["mask"][None, :], z, -np.inf)
+                        ia = topk_indices(za, q["k_aux"])
+                        aa = np.take_along_axis(za, ia, axis=1)
+                        out["e_hat"] = list(q["b_dec"] + np.einsum("nk,nkd->nd", aa, q["w_dec"][ia]))
+                    else:
+                        out["e_hat"] = [q["b_dec"]] * len(x)
+                yield pd.DataFrame(out)
+    out = src.mapInPandas(run, T.StructType(fields))
+    return out.withColumnRenamed("id", id_col) if id_col != "id" else out
+
+
 def forward(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_col: str = "vec",
-            target_col: str | None = None, k: int | None = None, codes: DataFrame | None = None) -> DataFrame:
+            target_col: str | None = None, k: int | None = None, codes: DataFrame | None = None,
+            budget: int = BROADCAST_BUDGET) -> DataFrame:
     """Encode + decode (+ skip) per vector: ``(id, target, recon)``; transcoders
-    decode towards ``target_col`` (E7). Pass ``codes`` to reuse an encoding."""
+    decode towards ``target_col`` (E7).
+
+    A dictionary that fits one broadcast block runs :func:`forward_dense`
+    (no shuffle). Otherwise, or when ``codes`` are given, codes are decoded
+    by the join-based :func:`decode` and joined back to the vectors.
+    """
+    if codes is None and len(dictionary.blocks(budget)) == 1:
+        return forward_dense(df, dictionary, id_col, vec_col, target_col, k, budget=budget)
     if codes is None:
         codes = encode(df, dictionary, id_col, vec_col, k=k)
     rec = decode(codes, dictionary, id_col)
@@ -352,7 +421,7 @@ def recon_mse(df: DataFrame, y: str = "target", y_hat: str = "recon") -> DataFra
 
 
 def auxk_loss(df: DataFrame, dictionary: SparseDictionary, dead_ids: list, id_col: str = "id",
-              vec_col: str = "vec", fw: DataFrame | None = None) -> DataFrame:
+              vec_col: str = "vec", fw: DataFrame | None = None, budget: int = BROADCAST_BUDGET) -> DataFrame:
     """Auxiliary loss on dead entries.
 
     With ``n_dead > 0``: ``k_aux = min(d // 2, n_dead)``, ``scale = min(n_dead / (d // 2), 1)``;
@@ -362,15 +431,21 @@ def auxk_loss(df: DataFrame, dictionary: SparseDictionary, dead_ids: list, id_co
     """
     d = dictionary.d
     n_dead = len(dead_ids)
-    if fw is None:
-        fw = forward(df, dictionary, id_col, vec_col)
-    if n_dead == 0:
-        return fw.agg(F.lit(0.0).alias("auxk"), F.lit(0).cast("bigint").alias("n_dead"))
     half = d // 2
+    if n_dead == 0:
+        src = fw if fw is not None else df
+        return src.agg(F.lit(0.0).alias("auxk"), F.lit(0).cast("bigint").alias("n_dead"))
     k_aux = min(half, n_dead)
     scale = min(n_dead / half, 1.0)
-    aux_codes = encode(df, dictionary, id_col, vec_col, k=k_aux, dead_ids=dead_ids)
-    aux = decode(aux_codes, dictionary, id_col, out="e_hat")
+    if len(dictionary.blocks(budget)) == 1:
+        # one pass: main and auxiliary reconstructions in the same Arrow batch
+        j = forward_dense(df, dictionary, id_col, vec_col, dead_ids=dead_ids, budget=budget)
+        x = j.select("target", "e_hat", vsub("target", "recon").alias("e"))
+        return _ratio_row(x, scale, n_dead)
+    if fw is None:
+        fw = forward(df, dictionary, id_col, vec_col, budget=budget)
+    aux_codes = encode(df, dictionary, id_col, vec_col, k=k_aux, dead_ids=dead_ids, budget=budget)
+    aux = decode(aux_codes, dictionary, id_col, out="e_hat", budget=budget)
     j = fw.join(aux, id_col, "left").withColumn(
         "e_hat", F.coalesce("e_hat", F.array(*[F.lit(float(b)) for b in dictionary.b_dec])))
     e = vsub("target", "recon")

@@ -69,3 +69,21 @@ def test_auxk_without_dead_entries_is_zero(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0, 0.0, 2.0]) for i in range(5)], "id long, vec array<double>")
     r = sp.auxk_loss(df, D, []).first()
     assert r["auxk"] == 0.0 and r["n_dead"] == 0
+
+
+def test_one_pass_forward_equals_blocked_join_path(spark):
+    L, d, k = 24, 6, 3
+    D, _ = make_dict(spark, L, d, k, seed=9, b_dec=[0.05] * d)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, d))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+    small = L * d * 16 // 4
+    assert len(D.blocks(small)) > 1
+    dense = {r["id"]: np.array(r["recon"]) for r in sp.forward(df, D).collect()}
+    joined = {r["id"]: np.array(r["recon"]) for r in sp.forward(df, D, budget=small).collect()}
+    for i in dense:
+        np.testing.assert_allclose(dense[i], joined[i], rtol=1e-9, atol=1e-12)
+    dead = [i for i in range(L) if i % 3 == 0]
+    a = sp.auxk_loss(df, D, dead).first()["auxk"]
+    b = sp.auxk_loss(df, D, dead, budget=small).first()["auxk"]
+    assert a == pytest.approx(b, rel=1e-9)
