@@ -149,9 +149,10 @@ class SparseDictionaryEstimator:
     # ---------------------------------------------------------------- data
     def _prepare(self, df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, int]:
         spark = df.sparkSession
-        x = with_index(df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")),
-                       ["id"], "_i", total="_n")
-        x = x.withColumn("batch", F.floor(F.col("_i") / self.batch_size).cast("bigint"))
+        src = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+        # index the ids only, then attach the vectors with an equi-join on the id
+        idx = with_index(src.select("id"), ["id"], "_i", total="_n")
+        x = src.join(idx, "id").withColumn("batch", F.floor(F.col("_i") / self.batch_size).cast("bigint"))
         path = scratch_path(spark, "fit-input")
         n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         (x.select("batch", "id", "vec", "_n").repartitionByRange(n_parts, "batch")

@@ -33,19 +33,27 @@ def with_index(df: DataFrame, order, name: str = "row_index",
                total: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add a dense 0-based global position following ``order``.
 
+    The range-partitioned, sorted rows are materialised once with a
+    reliable ``checkpoint()`` in the shared checkpoint folder: per-partition
+    counts and row numbers then come from the same partitions by
+    construction. (Without it, the count branch would run its own range
+    exchange, whose sampled bounds can differ from the main branch's when
+    the input is itself a shuffle output with non-deterministic row order.)
+    Pass a narrow table (keys and a few columns): every column is written.
+
     With ``total`` set, also attach the row count of the whole input, taken
-    from the same per-partition counts (an equi-join on the partition id, no
-    second pass and no cross join).
+    from the same per-partition counts (an equi-join on the partition id).
     """
+    from tessera.session import checkpoint_dir
     cols = _order_cols(order)
     if num_partitions is None:
         num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(num_partitions, *cols)
-              .sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    tagged = (ranged.withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_pid").cast("bigint"), _LOCAL_BITS)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # at most num_partitions rows: the un-partitioned window and the
     # broadcast are bounded by the partition count, not by the data
     offsets = counts.select(
@@ -53,7 +61,7 @@ def with_index(df: DataFrame, order, name: str = "row_index",
         F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_tot"))
-    out = (ranged.join(F.broadcast(offsets), "_pid")
+    out = (tagged.join(F.broadcast(offsets), "_pid")
            .withColumn(name, F.col("_off") + F.col("_local")))
     if total:
         out = out.withColumn(total, F.col("_tot"))
@@ -116,9 +124,13 @@ def micro_chunks(df: DataFrame, pieces: int, by: str, order, name: str = "micro"
 
 
 def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None):
+    """Range-partitioned, sorted rows materialised once (see :func:`with_index`),
+    tagged with their partition id."""
+    from tessera.session import checkpoint_dir
     if num_partitions is None:
         num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols)
+    checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
             .withColumn("_pid", F.spark_partition_id()))
 
 

@@ -34,3 +34,14 @@ def test_micro_chunks(spark):
     df = spark.range(0, 10).withColumn("batch", F.lit(0))
     got = sorted((r["id"], r["micro"]) for r in pos.micro_chunks(df, 3, "batch", ["id"]).collect())
     assert [m for _, m in got] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
+
+
+def test_with_index_over_shuffle_output_larger_than_sample(spark):
+    # input rows arrive in shuffle-fetch order and far exceed the range
+    # sampler's sample, so both branches must read the same partitions
+    n = 50000
+    df = spark.range(0, n, numPartitions=7).groupBy((F.col("id") * 7919 % n).alias("k")).count()
+    rows = pos.with_index(df.select("k"), ["k"], "i", total="t").collect()
+    assert len(rows) == n
+    assert all(r["i"] == r["k"] for r in rows)
+    assert {r["t"] for r in rows} == {n}
