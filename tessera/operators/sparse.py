@@ -109,6 +109,12 @@ def _stack(series: pd.Series, d: int) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
 
 
+def _check_one_block(dictionary: "SparseDictionary", budget: int = BROADCAST_BUDGET) -> None:
+    if dictionary.entry_bytes() > budget:
+        raise ValueError(f"dictionary of {dictionary.entry_bytes()} bytes exceeds the broadcast budget "
+                         f"{budget}; use the blocked encode / join-based decode")
+
+
 def maybe_broadcast(df: DataFrame, est_bytes: int, budget: int = BROADCAST_BUDGET) -> DataFrame:
     """Broadcast hint only when the estimated size is under the budget."""
     return F.broadcast(df) if est_bytes <= budget else df
@@ -224,6 +230,7 @@ def pre_acts_long(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id
     """All pre-activations in long form ``(id, latent_id, act)``; rows x L output,
     meant for small dictionaries and checks."""
     spark = df.sparkSession
+    _check_one_block(dictionary)
     params = dictionary.collect_block(*dictionary.blocks(1 << 62)[0], decoder=False)
     bc = spark.sparkContext.broadcast(params)
     d = dictionary.d
@@ -273,6 +280,7 @@ def decode_dense(codes: DataFrame, dictionary: SparseDictionary, id_col: str = "
     """Same as :func:`decode`, with the gather-sum done as a matrix product per
     Arrow batch against the broadcast decoder (codes grouped by vector)."""
     spark = codes.sparkSession
+    _check_one_block(dictionary)
     params = dictionary.collect_block(*dictionary.blocks(1 << 62)[0])
     bc = spark.sparkContext.broadcast(params)
     grouped = codes.groupBy(id_col).agg(F.collect_list(F.struct("latent_id", "act")).alias("_c"))
