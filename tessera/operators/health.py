@@ -41,16 +41,23 @@ def last_fired(codes: DataFrame, steps: DataFrame, step: str = "step") -> DataFr
         .agg(F.max("cum_tokens").alias("last_cum"))
 
 
+def total_tokens(steps: DataFrame) -> int:
+    """All tokens seen so far: one aggregate, one number back to the driver."""
+    return int(steps.agg(F.sum("tokens")).first()[0] or 0)
+
+
+def since_from_last(entries: DataFrame, last: DataFrame, total: int) -> DataFrame:
+    """``total - last_cum`` for every entry (never fired: ``total``); the total
+    enters the plan as a literal, so no join is needed to attach it."""
+    return (entries.select("latent_id").join(last, "latent_id", "left")
+            .select("latent_id", (F.lit(total) - F.coalesce("last_cum", F.lit(0))).cast("bigint")
+                    .alias("tokens_since_fired")))
+
+
 def tokens_since_fired(codes: DataFrame, steps: DataFrame, entries: DataFrame,
                        step: str = "step") -> DataFrame:
     """Counter per entry after the last step (F2); never-fired entries count every token."""
-    total = steps.agg(F.sum("tokens").alias("_total")).withColumn("_k", F.lit(0))
-    last = last_fired(codes, steps, step)
-    state = entries.select("latent_id").join(last, "latent_id", "left").withColumn("_k", F.lit(0))
-    # the totals side is one row: broadcast is bounded by construction
-    return (state.join(F.broadcast(total), "_k")
-            .select("latent_id", (F.col("_total") - F.coalesce("last_cum", F.lit(0))).cast("bigint")
-                    .alias("tokens_since_fired")))
+    return since_from_last(entries, last_fired(codes, steps, step), total_tokens(steps))
 
 
 def dead_mask(state: DataFrame, threshold: int = DEAD_FEATURE_THRESHOLD) -> DataFrame:

@@ -78,10 +78,9 @@ def clip_coefficient(norm, max_norm: float) -> Column:
 
 def clip(df: DataFrame, vec: str, max_norm: float) -> DataFrame:
     """Scale every vector by ``min(1, max_norm / (global_norm + eps))``."""
-    coef = global_norm(df, vec).select(clip_coefficient("norm", max_norm).alias("_coef"), F.lit(0).alias("_k"))
-    # one-row side: broadcast bounded by construction
-    x = df.withColumn("_k", F.lit(0)).join(F.broadcast(coef), "_k")
-    return x.withColumn(vec, F.transform(as_double_array(vec), lambda v: v * F.col("_coef"))).drop("_k", "_coef")
+    # one aggregate, one number back to the driver; it enters the plan as a literal
+    coef = float(global_norm(df, vec).select(clip_coefficient("norm", max_norm)).first()[0])
+    return df.withColumn(vec, F.transform(as_double_array(vec), lambda v: v * F.lit(coef)))
 
 
 def every(df: DataFrame, n: int, step: str = "step", trainer_form: bool = False) -> DataFrame:

@@ -383,11 +383,14 @@ def total_loss(spark, d):
     D = fx.dictionary(spark, d)
     data = fx.data_vectors(spark, d)
     fw = sp.forward(data, D, "vec_id", "vec")
-    f = sp.fvu(fw).select(F.lit(0).alias("_g"), "fvu")
-    m = sp.fvu(sp.forward(data, D, "vec_id", "vec", k=4 * D.k)).select(F.lit(0).alias("_g"), F.col("fvu").alias("multi"))
-    a = sp.auxk_loss(data, D, _dead_ids(D), "vec_id", "vec", fw=fw).select(F.lit(0).alias("_g"), "auxk")
-    j = f.join(m, "_g").join(a, "_g")
-    return j.select(_r6(F.col("fvu"), "fvu"), _r6(F.col("auxk"), "auxk"), _r6(F.col("multi"), "multi_fvu"),
+    # three one-row results combined by a union and a conditional aggregate (no join)
+    parts = (sp.fvu(fw).select(F.lit("fvu").alias("term"), F.col("fvu").alias("v"))
+             .unionByName(sp.fvu(sp.forward(data, D, "vec_id", "vec", k=4 * D.k))
+                          .select(F.lit("multi").alias("term"), F.col("fvu").alias("v")))
+             .unionByName(sp.auxk_loss(data, D, _dead_ids(D), "vec_id", "vec", fw=fw)
+                          .select(F.lit("auxk").alias("term"), F.col("auxk").alias("v"))))
+    t = parts.agg(*[F.max(F.when(F.col("term") == n, F.col("v"))).alias(n) for n in ("fvu", "multi", "auxk")])
+    return t.select(_r6(F.col("fvu"), "fvu"), _r6(F.col("auxk"), "auxk"), _r6(F.col("multi"), "multi_fvu"),
                     _r6(F.col("fvu") + F.lit(AUXK_ALPHA) * F.col("auxk") + F.col("multi") / 8, "total"))
 
 
@@ -745,8 +748,7 @@ def stream_since_fired(spark, d):
     src, out, ckpt = _scratch(spark, "fires"), _scratch(spark, "state"), _scratch(spark, "stream-ckpt")
     fires.repartition(4, "step").write.mode("overwrite").parquet(src)
     state = last_fired_stream(spark, src, out, ckpt)
-    total = steps.agg(F.sum("tokens").alias("total"))
-    return since_fired_from_state(state, D.entries, total)
+    return since_fired_from_state(state, D.entries, hl.total_tokens(steps))
 
 
 # ============================================================== E19-E21: fitting (no SQL oracle)

@@ -47,10 +47,7 @@ def last_fired_stream(spark: SparkSession, source: str, out: str, checkpoint: st
     return spark.read.parquet(out).groupBy("latent_id").agg(F.max("last_cum").alias("last_cum"))
 
 
-def since_fired_from_state(state: DataFrame, entries: DataFrame, total_tokens: DataFrame) -> DataFrame:
+def since_fired_from_state(state: DataFrame, entries: DataFrame, total_tokens: int) -> DataFrame:
     """Counters ``total - last_cum`` for every entry (never fired: ``total``)."""
-    tot = total_tokens.select(F.col("total").alias("_total")).withColumn("_k", F.lit(0))
-    s = entries.select("latent_id").join(state, "latent_id", "left").withColumn("_k", F.lit(0))
-    return (s.join(F.broadcast(tot), "_k")
-            .select("latent_id", (F.col("_total") - F.coalesce("last_cum", F.lit(0))).cast("bigint")
-                    .alias("tokens_since_fired")))
+    from tessera.operators.health import since_from_last
+    return since_from_last(entries, state, total_tokens)
