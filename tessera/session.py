@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,7 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh, uniquely named location under the shared checkpoint folder
+    for tables a job writes and reads back (lineage cuts, round trips)."""
     base = checkpoint_dir(spark)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base) if base.startswith("/") else \
-        f"{base.rstrip('/')}/{name}-{os.getpid()}-{id(object())}"
+    if base.startswith("/"):
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
