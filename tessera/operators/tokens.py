@@ -77,6 +77,27 @@ def length_profile(df: DataFrame, length: str = "n_tokens", by=None) -> DataFram
                        *[F.round(F.col("_pct")[i], 6).alias(nm) for i, nm in enumerate(names)])
 
 
+def _assemble_chunks(wide: DataFrame, C: int) -> DataFrame:
+    """Rows ``(_batch, _start, _n, _first, _last, _toks)`` -> chunks.
+
+    Each row is sliced inside the row into the chunks ``_first.._last`` it
+    overlaps, and only the slices are exploded (exploding first would copy
+    the whole token array once per chunk). A chunk is re-assembled from at
+    most ``C`` tokens of slices, ordered by their start offset.
+    """
+    def piece(ch):
+        lo = F.greatest(ch * C - F.col("_start"), F.lit(0))
+        hi = F.least((ch + 1) * C - F.col("_start"), F.col("_n"))
+        return F.struct(ch.alias("chunk"), F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("p"))
+
+    pieces = (wide.select(F.col("_batch").alias("batch"), "_start",
+                          F.explode(F.transform(F.sequence(F.col("_first"), F.col("_last")), piece)).alias("_s"))
+              .select("batch", F.col("_s.chunk").alias("chunk"), "_start", F.col("_s.p").alias("_piece")))
+    return (pieces.groupBy("batch", "chunk")
+            .agg(F.array_sort(F.collect_list(F.struct("_start", "_piece"))).alias("_parts"))
+            .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))
+
+
 def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int = 2048,
          separator=DEFAULT_SEPARATOR, return_final: bool = False,
          on_empty: str = "error") -> DataFrame:
@@ -118,20 +139,7 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
     sep = F.array(F.lit(separator).cast(df.schema[tokens].dataType.elementType))
     wide = base.join(spans, keys).select("_batch", "_start", "_n", "_first", "_last",
                                          F.concat(sep, F.col("_t")).alias("_toks"))
-
-    # Slice inside the row, then explode only the slices: exploding first
-    # would copy the whole token array once per chunk the row spans.
-    def piece(ch):
-        lo = F.greatest(ch * C - F.col("_start"), F.lit(0))
-        hi = F.least((ch + 1) * C - F.col("_start"), F.col("_n"))
-        return F.struct(ch.alias("chunk"), F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("p"))
-
-    pieces = (wide.select(F.col("_batch").alias("batch"), "_start",
-                          F.explode(F.transform(F.sequence(F.col("_first"), F.col("_last")), piece)).alias("_s"))
-              .select("batch", F.col("_s.chunk").alias("chunk"), "_start", F.col("_s.p").alias("_piece")))
-    return (pieces.groupBy("batch", "chunk")
-            .agg(F.array_sort(F.collect_list(F.struct("_start", "_piece"))).alias("_parts"))
-            .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))
+    return _assemble_chunks(wide, C)
 
 
 def pack_segments(df: DataFrame, tokens: str, doc, seq, chunk: int = 2048, batch_rows: int = 2048,
@@ -186,18 +194,7 @@ def pack_segments(df: DataFrame, tokens: str, doc, seq, chunk: int = 2048, batch
     wide = base.join(spans, dk + sk).select(
         "_batch", "_start", "_n", "_first", "_last",
         F.when(F.col("_isfirst"), F.concat(sep, F.col("_t"))).otherwise(F.col("_t")).alias("_toks"))
-
-    def piece(ch):
-        lo = F.greatest(ch * C - F.col("_start"), F.lit(0))
-        hi = F.least((ch + 1) * C - F.col("_start"), F.col("_n"))
-        return F.struct(ch.alias("chunk"), F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("p"))
-
-    pieces = (wide.select(F.col("_batch").alias("batch"), "_start",
-                          F.explode(F.transform(F.sequence(F.col("_first"), F.col("_last")), piece)).alias("_s"))
-              .select("batch", F.col("_s.chunk").alias("chunk"), "_start", F.col("_s.p").alias("_piece")))
-    return (pieces.groupBy("batch", "chunk")
-            .agg(F.array_sort(F.collect_list(F.struct("_start", "_piece"))).alias("_parts"))
-            .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))
+    return _assemble_chunks(wide, C)
 
 
 def chunk_fingerprint(df: DataFrame, ids: str = "input_ids") -> DataFrame:
