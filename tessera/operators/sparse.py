@@ -26,7 +26,6 @@ AQE skew handling otherwise) and a sum of at most k scaled rows per vector.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -79,12 +78,27 @@ class SparseDictionary:
         return self.num_latents * max(self.d, 1) * 8 * 2
 
     def blocks(self, budget: int = BROADCAST_BUDGET) -> list[tuple[int, int]]:
-        """Latent-id ranges whose parameter bytes each fit the budget."""
+        """Latent-id ranges ``[lo, hi)`` holding at most ``budget`` bytes of
+        parameters each.
+
+        Boundaries are taken by rank (every ``rows_per_block``-th id in id
+        order, from the global index), so sparse or clustered ids still give
+        blocks of bounded size; only the boundaries reach the driver.
+        """
         m = self.meta()
-        n_blocks = max(1, math.ceil(self.entry_bytes() / budget))
-        span = m["hi"] - m["lo"] + 1
-        step = max(1, math.ceil(span / n_blocks))
-        return [(lo, min(lo + step, m["hi"] + 1)) for lo in range(m["lo"], m["hi"] + 1, step)]
+        if m["n"] == 0:
+            return [(0, 0)]
+        if self.entry_bytes() <= budget:
+            return [(m["lo"], m["hi"] + 1)]
+        key = (budget, "blocks")
+        if key not in self._meta:
+            from tessera.operators.positions import with_index
+            per_block = max(1, budget // (max(self.d, 1) * 8 * 2))
+            idx = with_index(self.entries.select("latent_id"), ["latent_id"], "_r")
+            starts = [r["latent_id"] for r in
+                      idx.where(F.col("_r") % per_block == 0).orderBy("latent_id").collect()]
+            self._meta[key] = [(lo, hi) for lo, hi in zip(starts, starts[1:] + [m["hi"] + 1])]
+        return self._meta[key]
 
     def collect_block(self, lo: int, hi: int, decoder: bool = True) -> dict:
         """Parameters of entries with ``lo <= latent_id < hi`` as NumPy arrays.

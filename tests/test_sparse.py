@@ -87,3 +87,15 @@ def test_one_pass_forward_equals_blocked_join_path(spark):
     a = sp.auxk_loss(df, D, dead).first()["auxk"]
     b = sp.auxk_loss(df, D, dead, budget=small).first()["auxk"]
     assert a == pytest.approx(b, rel=1e-9)
+
+
+def test_blocks_are_bounded_for_clustered_ids(spark):
+    d = 4
+    ids = list(range(10)) + [10_000 + i for i in range(30)]  # most ids in one narrow range
+    rows = [(i, [1.0] * d, 0.0, [0.5] * d) for i in ids]
+    e = spark.createDataFrame(rows, "latent_id long, w_enc array<double>, b_enc double, w_dec array<double>")
+    D = sp.SparseDictionary(e, [0.0] * d, 2)
+    budget = 8 * d * 16  # eight entries per block
+    blocks = D.blocks(budget)
+    sizes = [sum(1 for i in ids if lo <= i < hi) for lo, hi in blocks]
+    assert sum(sizes) == len(ids) and max(sizes) <= 8
