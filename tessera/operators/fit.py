@@ -50,6 +50,7 @@ GRAD_SCHEMA = T.StructType([
     T.StructField("sy", T.ArrayType(T.DoubleType())), T.StructField("syy", T.ArrayType(T.DoubleType()))])
 
 METRICS_SCHEMA = "step long, k long, fvu double, dead_pct double, n_rows long"
+ENTRY_SCHEMA = "latent_id bigint, w_enc array<double>, b_enc double, w_dec array<double>"
 
 STATS_ROW = -1
 
@@ -175,8 +176,9 @@ class SparseDictionaryEstimator:
 
     # ---------------------------------------------------------------- fit
     def _dictionary(self, spark, p: dict) -> SparseDictionary:
-        entries = spark.createDataFrame(pd.DataFrame({
-            "latent_id": p["ids"], "w_enc": list(p["w_enc"]), "b_enc": p["b_enc"], "w_dec": list(p["w_dec"])}))
+        rows = [(int(i), we.tolist(), float(be), wd.tolist())
+                for i, we, be, wd in zip(p["ids"], p["w_enc"], p["b_enc"], p["w_dec"])]
+        entries = spark.createDataFrame(rows, ENTRY_SCHEMA)
         return SparseDictionary(entries=entries, b_dec=[float(v) for v in p["b_dec"]], k=self.k,
                                 transcode=self.transcode)
 
@@ -256,7 +258,8 @@ class SparseDictionaryEstimator:
                 best = fvu
                 write_dictionary(self._dictionary(spark, p), save_path, hookpoint, step + 1)
         D = self._dictionary(spark, p)
-        since_df = spark.createDataFrame(pd.DataFrame({"latent_id": p["ids"], "tokens_since_fired": since}))
+        since_df = spark.createDataFrame([(int(i), int(c)) for i, c in zip(p["ids"], since)],
+                                         "latent_id bigint, tokens_since_fired bigint")
         return FitResult(D, spark.createDataFrame(metrics, METRICS_SCHEMA), since_df)
 
 
