@@ -56,16 +56,20 @@ def token_lengths(df: DataFrame, text: str = "text", keys=("doc_id",),
     return df.select(*keys, F.size(whitespace_tokens(text)).cast("bigint").alias(out))
 
 
-def length_profile(df: DataFrame, length: str = "n_tokens", by=None) -> DataFrame:
+def length_profile(df: DataFrame, length: str = "n_tokens", by=None, exact: bool = True,
+                   accuracy: int = 10000) -> DataFrame:
     """Length statistics (D3): count, min, max, mean, population std and
     linear-interpolated percentiles 50/75/90/95/99/99.9.
 
     ``percentile`` is exact; it keeps one counter per distinct length, so
     its state is bounded by the longest document, not by the row count, and
-    it merges map-side partial aggregates. Empty input yields no row.
+    it merges map-side partial aggregates. ``exact=False`` uses
+    ``percentile_approx`` (a fixed-size sketch; nearest rank, not
+    interpolated). Empty input yields no row.
     """
     n = F.col(length)
-    pct = F.percentile(n, F.array(*[F.lit(q) for q in PROFILE_QUANTILES]))
+    qs = F.array(*[F.lit(q) for q in PROFILE_QUANTILES])
+    pct = F.percentile(n, qs) if exact else F.percentile_approx(n, qs, accuracy).cast("array<double>")
     aggs = [F.count(n).alias("n_rows"), F.min(n).alias("min_len"), F.max(n).alias("max_len"),
             F.avg(n).alias("mean_len"), F.stddev_pop(n).alias("std_len"), pct.alias("_pct")]
     g = df.groupBy(*([by] if isinstance(by, str) else (by or [])))

@@ -91,3 +91,11 @@ def test_pack_segments_equals_packing_joined_documents(spark, chunk, batch_rows,
                          return_final=final, on_empty="skip")
     got = sorted((r["batch"], r["chunk"], tuple(r["input_ids"])) for r in p.collect())
     assert got == brute_pack(docs, chunk, batch_rows, return_final=final)
+
+
+def test_profile_approximate_percentiles_close(spark):
+    vals = list(range(1, 1001))
+    df = spark.createDataFrame([(v,) for v in vals], "n_tokens long")
+    exact = tk.length_profile(df).first()
+    approx = tk.length_profile(df, exact=False).first()
+    assert abs(approx["p90"] - exact["p90"]) <= 2 and approx["n_rows"] == exact["n_rows"]
