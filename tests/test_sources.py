@@ -27,3 +27,30 @@ def test_ragged_token_file_is_rejected(spark):
     np.arange(7, dtype="<u2").tofile(os.path.join(d, "r.bin"))
     with pytest.raises(Exception, match="not a multiple"):
         read_token_bin(spark, d, 4).collect()
+
+
+def test_registry_unknown_key_and_path_or_table(spark, tmp_path):
+    from tessera.sources.registry import DatasetRegistry, scan_path
+    reg = DatasetRegistry({"docs": "/root/testdata/sf0.001/documents.parquet"})
+    assert reg.scan(spark, "docs").count() == 200
+    with pytest.raises(ValueError, match="not found"):
+        reg.scan(spark, "nope")
+    spark.range(3).createOrReplaceTempView("tiny_table")
+    assert scan_path(spark, "tiny_table").count() == 3
+    p = str(tmp_path / "saved")
+    spark.range(5).write.parquet(p)
+    assert scan_path(spark, p).count() == 5
+
+
+def test_dictionary_missing_config_and_encoder_only(spark, tmp_path):
+    from tessera.operators.sparse import SparseDictionary
+    from tessera.sources.dictionary_store import read_dictionary, write_dictionary
+    e = spark.createDataFrame([(0, [1.0, 0.0], 0.0, [1.0, 0.0]), (1, [0.0, 1.0], 0.0, [0.0, 1.0])],
+                              "latent_id long, w_enc array<double>, b_enc double, w_dec array<double>")
+    path = str(tmp_path / "d")
+    write_dictionary(SparseDictionary(e, [0.0, 0.0], 1), path, "layers.0.mlp", 7)
+    enc_only = read_dictionary(spark, path, "layers.0.mlp", decoder=False)
+    assert enc_only.entries.where("w_dec is not null").count() == 0
+    assert read_dictionary(spark, path, "layers.0.mlp", checkpoint="step-000000007").num_latents == 2
+    with pytest.raises(FileNotFoundError):
+        read_dictionary(spark, path, "layers.9.mlp")
