@@ -99,3 +99,15 @@ def test_blocks_are_bounded_for_clustered_ids(spark):
     blocks = D.blocks(budget)
     sizes = [sum(1 for i in ids if lo <= i < hi) for lo, hi in blocks]
     assert sum(sizes) == len(ids) and max(sizes) <= 8
+
+
+@pytest.mark.parametrize("d", [48, 64])
+def test_encode_batch_form_equals_relational_form(spark, d):
+    D, _ = make_dict(spark, 128, d, 10, seed=d + 1, b_dec=[0.01] * d)
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(6, d))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+    a = sorted((r["id"], r["latent_id"], round(r["act"], 9)) for r in sp.encode(df, D).collect())
+    b = sorted((r["id"], r["latent_id"], round(r["act"], 9))
+               for r in sp.topk_long(sp.pre_acts_long(df, D), 10).collect())
+    assert a == b and len(a) == 6 * 10
