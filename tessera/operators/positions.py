@@ -155,6 +155,15 @@ def prefix_sum(df: DataFrame, order, value: str, out: str = "cum", inclusive: bo
             .withColumn(out, F.col("_off") + local).drop("_pid", "_off"))
 
 
+def max_before(df: DataFrame, by, order, value: str, out: str = "prior_max",
+               num_partitions: int | None = None) -> DataFrame:
+    """Maximum of ``value`` over all earlier rows of the same ``by`` group
+    (same scheme as :func:`min_before`, via negation)."""
+    neg = df.withColumn("_neg", -F.col(value))
+    r = min_before(neg, by, order, "_neg", "_pmin", num_partitions)
+    return r.withColumn(out, -F.col("_pmin")).drop("_neg", "_pmin")
+
+
 def min_before(df: DataFrame, by, order, value: str, out: str = "prior_min",
                num_partitions: int | None = None) -> DataFrame:
     """Minimum of ``value`` over all earlier rows of the same ``by`` group.

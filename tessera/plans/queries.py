@@ -271,9 +271,8 @@ def chat_simple(spark, d):
 
 @query("chat_reasoning")
 def chat_reasoning(spark, d):
-    m = fx.conversation_messages(spark, d)
-    text = pr.render_reasoning_chat_array("messages", add_generation_prompt=True)
-    return m.select("conv_id", *_md5_len(text, "chat"))
+    ch = pr.render_reasoning_chat(fx.read(spark, d, "conversations"), add_generation_prompt=True)
+    return ch.select("conv_id", *_md5_len(F.col("chat"), "chat"))
 
 
 @query("eval_prompts")

@@ -63,3 +63,30 @@ def test_simple_chat_skips_unknown_roles(spark):
                                "conv_id long, turn long, role string, text string")
     t = pr.render_chat(df, add_generation_prompt=True).first()["chat"]
     assert t == "<|user|>\na</s>\n<|assistant|>\nb</s>\n<|assistant|>\n"
+
+
+def test_long_form_reasoning_chat_equals_array_form(spark):
+    import numpy as np
+    rng = np.random.default_rng(12)
+    roles = ["user", "assistant", "tool", "system"]
+    rows = []
+    for conv in range(25):
+        for turn in range(int(rng.integers(1, 9))):
+            role = roles[int(rng.integers(0, 4))]
+            calls = None
+            content = f"c{conv}t{turn}"
+            if role == "assistant" and rng.uniform() < 0.3:
+                content, calls = None, [call(f"f{turn}", "{}")] * int(rng.integers(0, 3))
+            rows.append((conv, turn * 3, role, content, calls))
+    schema = ("conv_id long, turn long, role string, text string, "
+              "calls array<struct<type:string,name:string,arguments:string>>")
+    df = spark.createDataFrame(rows, schema)
+    long_form = {r["conv_id"]: r["chat"] for r in
+                 pr.render_reasoning_chat(df, tool_calls="calls", bos="<b>", add_generation_prompt=True).collect()}
+    arrays = (df.groupBy("conv_id").agg(pr.F.array_sort(pr.F.collect_list(pr.F.struct(
+        "turn", pr.F.col("role").alias("role"), pr.F.col("text").alias("content"),
+        pr.F.col("calls").alias("tool_calls")))).alias("m")))
+    arr = {r["conv_id"]: r["t"] for r in arrays.select(
+        "conv_id", pr.render_reasoning_chat_array(pr.F.transform("m", lambda x: x.dropFields("turn")),
+                                                  bos="<b>", add_generation_prompt=True).alias("t")).collect()}
+    assert long_form == arr
