@@ -194,8 +194,11 @@ def encode(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_
     spark = df.sparkSession
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     blocks = dictionary.blocks(budget)
-    if dictionary.activation == "groupmax" and len(blocks) > 1:
-        raise ValueError("groupmax needs the whole dictionary in one block; raise the budget")
+    if dictionary.activation == "groupmax":
+        if len(blocks) > 1:
+            raise ValueError("groupmax needs the whole dictionary in one block; raise the budget")
+        if dictionary.num_latents % k:
+            raise ValueError(f"groupmax needs num_latents ({dictionary.num_latents}) divisible by k ({k})")
     outs = []
     for lo, hi in blocks:
         params = dictionary.collect_block(lo, hi, decoder=False)

@@ -111,3 +111,11 @@ def test_encode_batch_form_equals_relational_form(spark, d):
     b = sorted((r["id"], r["latent_id"], round(r["act"], 9))
                for r in sp.topk_long(sp.pre_acts_long(df, D), 10).collect())
     assert a == b and len(a) == 6 * 10
+
+
+def test_groupmax_requires_divisible_k(spark):
+    D, _ = make_dict(spark, 10, 4, 3)
+    D.activation = "groupmax"
+    df = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0])], "id long, vec array<double>")
+    with pytest.raises(ValueError, match="divisible"):
+        sp.encode(df, D)
