@@ -85,7 +85,10 @@ def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- vectors
 
-DICT_ROWS = 64  # embeddings with vec_id below this form the dictionary
+# Embeddings with vec_id below this form the dictionary (the fixture's model
+# parameters); every other embedding is a data vector, so queries over
+# vectors cover the rest of the table in full.
+DICT_ROWS = 64
 K = 4
 
 

@@ -176,6 +176,7 @@ def adapt_messages(spark, d):
 @query("union_splits")
 def union_splits(spark, d):
     p = fx.pairs(spark, d).select("conv_id", "turn", "problem", "answer")
+    # two complementary splits whose union is the whole table again
     train = p.where(F.col("conv_id") % 2 == 0).withColumn("split", F.lit("train"))
     test = p.where(F.col("conv_id") % 2 == 1).withColumn("split", F.lit("test"))
     u = sc.union_splits(train, test, require=("problem",))
@@ -363,6 +364,7 @@ def fvu_multi(spark, d):
 
 
 def _dead_ids(D):
+    # the fixture's dead set (a third of the entries), not a sample of the data
     ids = D.entries.select("latent_id").where(F.col("latent_id") % DEAD_EVERY == 0)
     # bounded by the dictionary size
     return [r["latent_id"] for r in ids.collect()]
@@ -410,6 +412,7 @@ def transcode_pair(spark, d):
     from tessera.operators import sparse as sp
     D = fx.dictionary(spark, d, transcode=True)
     data = fx.data_vectors(spark, d).withColumn("sample_id", F.floor(F.col("vec_id") / 2).cast("bigint"))
+    # every vector is used: even ids are inputs, the next odd id is the target
     inputs = data.where(F.col("vec_id") % 2 == 0).select("sample_id", F.col("vec").alias("x"))
     targets = data.where(F.col("vec_id") % 2 == 1).select("sample_id", F.col("vec").alias("y"))
     pairs_ = inputs.join(targets, "sample_id")
@@ -799,6 +802,7 @@ def flatten_vectors(spark, d):
     from tessera.functions.columns import array_md5
     from tessera.operators import sparse as sp
     v = fx.data_vectors(spark, d)
+    # every vector is used: consecutive ids form two-step sequences
     even = v.where(F.col("vec_id") % 2 == 0).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"),
                                                     F.col("vec").alias("v0"))
     odd = v.where(F.col("vec_id") % 2 == 1).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"),
