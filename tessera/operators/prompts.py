@@ -131,9 +131,14 @@ def sft_conversation(df: DataFrame, trace: str = "trace", answer: str = "answer"
     return df.withColumn("messages", F.array(message("user", question), message("assistant", body)))
 
 
-def instruct_text(df: DataFrame, problem: str = "problem", answer: str = "answer",
-                  system_prompt: str = TUNING_SYSTEM_PROMPT, out: str = "text") -> DataFrame:
-    """Instruction text with the answer in both think and answer slots."""
+def instruct_text(df: DataFrame, problem: str = "problem", answer: str | None = "answer",
+                  system_prompt: str = TUNING_SYSTEM_PROMPT, out: str = "text",
+                  placeholder: bool = False) -> DataFrame:
+    """Instruction text with the answer in both think and answer slots (C5);
+    ``placeholder=True`` writes the fixed think/answer placeholders instead
+    (the first-turn form of C6)."""
+    if placeholder:
+        return df.withColumn(out, _fill(INSTRUCT_TEXT_PLACEHOLDER, system=F.lit(system_prompt), problem=problem))
     return df.withColumn(out, _fill(INSTRUCT_TEXT, system=F.lit(system_prompt), problem=problem, answer=answer))
 
 

@@ -153,3 +153,16 @@ def select_hookpoints(df: DataFrame, col: str = "name", patterns=None, layers=No
         x = x.where(F.regexp_extract(c(col), r"layers\.(\d+)", 1).try_cast("bigint").isin([int(v) for v in layers]))
     r = natural_rank(x, col, rank)
     return r.where((F.col(rank) - 1) % stride == 0) if stride != 1 else r
+
+
+def first_message(df: DataFrame, key: str = "conv_id", order: str = "turn",
+                  fields=("role", "text")) -> DataFrame:
+    """Long-form B9: the fields of each conversation's first message.
+
+    ``min_by`` over the turn is a partial aggregate (one candidate per key
+    per task travels), so a conversation is never collected; it equals
+    element 0 of the turn-ordered message array.
+    """
+    first = F.min_by(F.struct(*[F.col(f) for f in fields]), F.col(order))
+    agg = df.groupBy(key).agg(first.alias("_f"), F.count(F.lit(1)).alias("n_messages"))
+    return agg.select(key, *[F.col("_f")[f].alias(f) for f in fields], "n_messages")

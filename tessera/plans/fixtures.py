@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.prompts import messages_by_key
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -44,11 +43,6 @@ def trace_set(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.substring_index("answer", "\n", 1).alias("attempt"))
 
 
-def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ordered message array per conversation."""
-    return messages_by_key(read(spark, sf_dir, "conversations"))
-
-
 def layer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct module names ``model.layers.N`` derived from part keys."""
     part = read(spark, sf_dir, "part")

@@ -134,9 +134,8 @@ def micro_chunks(spark, d):
 
 @query("first_turn")
 def first_turn(spark, d):
-    m = fx.conversation_messages(spark, d)
-    return m.select("conv_id", sc.first_field("messages", "role").alias("first_role"),
-                    F.md5(sc.first_field("messages", "content")).alias("first_md5"))
+    f = sc.first_message(fx.read(spark, d, "conversations"))
+    return f.select("conv_id", F.col("role").alias("first_role"), F.md5("text").alias("first_md5"))
 
 
 @query("json_answer")
@@ -166,11 +165,11 @@ def resolve_trace(spark, d):
 
 @query("adapt_messages")
 def adapt_messages(spark, d):
-    m = fx.conversation_messages(spark, d)
-    info = F.concat(F.lit('{"answer": {"value": '), F.size("messages").cast("string"), F.lit("}}"))
-    src = m.select("conv_id", "messages", info.alias("verification_info"))
-    out = sc.adapt_messages(src)
-    return out.select("conv_id", F.md5("problem").alias("problem_md5"), "answer")
+    """First message as the problem, ``$answer.value$`` from a JSON string
+    (here carrying the conversation's message count), in long form."""
+    f = sc.first_message(fx.read(spark, d, "conversations"))
+    info = F.concat(F.lit('{"answer": {"value": '), F.col("n_messages").cast("string"), F.lit("}}"))
+    return f.select("conv_id", F.md5("text").alias("problem_md5"), sc.json_answer(info).alias("answer"))
 
 
 @query("union_splits")
@@ -251,9 +250,8 @@ def instruct_text(spark, d):
 
 @query("instruct_first_turn")
 def instruct_first_turn(spark, d):
-    m = fx.conversation_messages(spark, d).select(
-        "conv_id", F.transform("messages", lambda x: F.struct(x["content"].alias("value"))).alias("conversations"))
-    t = pr.instruct_text_from_conversation(m)
+    f = sc.first_message(fx.read(spark, d, "conversations"), fields=("text",))
+    t = pr.instruct_text(f.withColumnRenamed("text", "problem"), answer=None, placeholder=True)
     return t.select("conv_id", *_md5_len(F.col("text"), "text"))
 
 

@@ -47,3 +47,16 @@ def test_stride_with_explicit_layers_is_rejected(spark):
     df = spark.createDataFrame([("layers.1",)], "name string")
     with pytest.raises(ValueError):
         sc.select_hookpoints(df, layers=[1], stride=2)
+
+
+def test_first_message_long_form_equals_array_form(spark):
+    rows = [(1, 5, "assistant", "b"), (1, 2, "user", "a"), (2, 7, "system", "s"), (2, 9, "user", "u")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    long_form = {r["conv_id"]: (r["role"], r["text"], r["n_messages"]) for r in sc.first_message(df).collect()}
+    arrays = df.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
+        "turn", "role", F.col("text").alias("content")))).alias("messages"))
+    info = F.concat(F.lit('{"answer": {"value": '), F.size("messages").cast("string"), F.lit("}}"))
+    adapted = sc.adapt_messages(arrays.select("conv_id", "messages", info.alias("verification_info")))
+    arr = {r["conv_id"]: (r["problem"], r["answer"]) for r in adapted.collect()}
+    assert long_form == {1: ("user", "a", 2), 2: ("system", "s", 2)}
+    assert arr == {1: ("a", "$2$"), 2: ("s", "$2$")}
