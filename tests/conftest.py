@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,6 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import get_spark
-    s = get_spark("local[4]", 8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tessera-test-")})
+    # the checkpoint folder comes from the session's configuration when set;
+    # tessera.session.checkpoint_dir creates a scratch one only when unset
+    s = get_spark("local[4]", 8)
     yield s
     s.stop()
