@@ -45,3 +45,10 @@ def test_with_index_over_shuffle_output_larger_than_sample(spark):
     assert len(rows) == n
     assert all(r["i"] == r["k"] for r in rows)
     assert {r["t"] for r in rows} == {n}
+
+
+def test_prefix_sum_over_shuffle_output(spark):
+    n = 30000
+    df = spark.range(0, n, numPartitions=5).groupBy((F.col("id") * 104729 % n).alias("k")).count()
+    got = pos.prefix_sum(df, ["k"], "count", "cum", inclusive=False).collect()
+    assert sorted((r["k"], r["cum"]) for r in got) == [(k, k) for k in range(n)]

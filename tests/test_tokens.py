@@ -99,3 +99,10 @@ def test_profile_approximate_percentiles_close(spark):
     exact = tk.length_profile(df).first()
     approx = tk.length_profile(df, exact=False).first()
     assert abs(approx["p90"] - exact["p90"]) <= 2 and approx["n_rows"] == exact["n_rows"]
+
+
+def test_pack_segments_zero_chunks_is_an_error(spark):
+    df = spark.createDataFrame([(0, 0, ["a"]), (0, 1, ["b"])], "doc long, seg long, toks array<string>")
+    with pytest.raises(Exception, match="Not enough data"):
+        tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=8, batch_rows=4, on_empty="error").collect()
+    assert tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=8, batch_rows=4, on_empty="skip").count() == 0
