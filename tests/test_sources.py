@@ -54,3 +54,16 @@ def test_dictionary_missing_config_and_encoder_only(spark, tmp_path):
     assert read_dictionary(spark, path, "layers.0.mlp", checkpoint="step-000000007").num_latents == 2
     with pytest.raises(FileNotFoundError):
         read_dictionary(spark, path, "layers.9.mlp")
+
+
+def test_read_dictionaries_filters_and_natural_order(spark, tmp_path):
+    from tessera.operators.sparse import SparseDictionary
+    from tessera.sources.dictionary_store import read_dictionaries, write_dictionary
+    e = spark.createDataFrame([(0, [1.0], 0.0, [1.0])], "latent_id long, w_enc array<double>, b_enc double, "
+                                                         "w_dec array<double>")
+    path = str(tmp_path / "many")
+    for hp in ["layers.10.mlp", "layers.2.mlp", "layers.1.mlp", "embed"]:
+        write_dictionary(SparseDictionary(e, [0.0], 1), path, hp, 1)
+    assert list(read_dictionaries(spark, path)) == ["embed", "layers.1.mlp", "layers.2.mlp", "layers.10.mlp"]
+    assert list(read_dictionaries(spark, path, pattern="layers.1*")) == ["layers.1.mlp", "layers.10.mlp"]
+    assert list(read_dictionaries(spark, path, layers=[2, 10])) == ["layers.2.mlp", "layers.10.mlp"]
