@@ -212,3 +212,25 @@ def hashed_ids(tokens, vocab_bits: int = 16) -> Column:
     the token's md5 (fits uint16 token files at the default)."""
     digits = vocab_bits // 4
     return F.transform(c(tokens), lambda t: F.conv(F.substring(F.md5(t), 1, digits), 16, 10).cast("int"))
+
+
+_TOKENIZERS: dict = {}
+
+
+def tokenizer_from_file(path: str, add_special_tokens: bool = False):
+    """Batch function for :func:`tokenize` backed by a ``tokenizer.json`` file.
+
+    The tokenizer is loaded once per Python worker (cached by path) and
+    encodes a whole Arrow batch with ``encode_batch``. Requires the
+    ``tokenizers`` package on the workers; the path must be readable there.
+    """
+    def encode(texts: list[str]) -> list[list[int]]:
+        tok = _TOKENIZERS.get(path)
+        if tok is None:
+            try:
+                from tokenizers import Tokenizer
+            except ImportError as e:  # pragma: no cover - environment dependent
+                raise ImportError("tokenizer_from_file needs the `tokenizers` package") from e
+            tok = _TOKENIZERS[path] = Tokenizer.from_file(path)
+        return [e.ids for e in tok.encode_batch(texts, add_special_tokens=add_special_tokens)]
+    return encode

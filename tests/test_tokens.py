@@ -106,3 +106,16 @@ def test_pack_segments_zero_chunks_is_an_error(spark):
     with pytest.raises(Exception, match="Not enough data"):
         tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=8, batch_rows=4, on_empty="error").collect()
     assert tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=8, batch_rows=4, on_empty="skip").count() == 0
+
+
+def test_tokenizer_file_runs_in_workers(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    from tokenizers.models import WordLevel
+    from tokenizers.pre_tokenizers import WhitespaceSplit
+    tok = tokenizers.Tokenizer(WordLevel({"[UNK]": 0, "a": 1, "bb": 2, "ccc": 3}, unk_token="[UNK]"))
+    tok.pre_tokenizer = WhitespaceSplit()
+    path = str(tmp_path / "tokenizer.json")
+    tok.save(path)
+    df = spark.createDataFrame([(1, "a bb ccc zz"), (2, "ccc a")], "id long, text string")
+    out = tk.tokenize(df, "text", "ids", tokenizer=tk.tokenizer_from_file(path))
+    assert sorted((r["id"], r["ids"]) for r in out.collect()) == [(1, [1, 2, 3, 0]), (2, [3, 1])]
