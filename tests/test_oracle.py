@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import oracle_sql
+from tessera.plans.queries import QUERIES
 from compare import compare, duck
 from conftest import SF_SMALL
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")

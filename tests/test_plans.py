@@ -4,10 +4,11 @@ row-at-a-time Python UDFs (Python runs only as Arrow-batched map stages)."""
 import pytest
 
 from __spark_entry__ import queries
+from tessera.plans.queries import QUERIES
 from conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
-NAMES = sorted(n for n in queries() if not n.startswith("fit"))
+NAMES = sorted(n for n in QUERIES if not n.startswith("fit"))
 
 
 @pytest.mark.parametrize("name", NAMES)
