@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from tessera.llm import secrets
+from tessera.llm.secrets import op7_secrets
 from tessera.llm.simhash import op10_simhash
 
 QUERIES = {
+    "op7_secrets": op7_secrets,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_secrets": secrets.oracle(),
+}

@@ -7,3 +7,10 @@ WORDS = "the of and to in that is was for it with as his on be at by had not are
 
 def sentence(rng, n):
     return " ".join(rng.choice(WORDS) + rng.choice(["", "ly", "ing", "ation", str(rng.randrange(50))]) for _ in range(n))
+
+
+def agrees(spark, name):
+    """The query equals its SQL on the smallest tables."""
+    from compare import compare, duck
+    r = compare(spark, duck(SF_SMALL), name, SF_SMALL)
+    assert r["status"] == "OK", r
