@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from tessera.llm import secrets
+from tessera.llm.pii import op9_personal
 from tessera.llm.secrets import op7_secrets
 from tessera.llm.simhash import op10_simhash
 
 QUERIES = {
     "op7_secrets": op7_secrets,
+    "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
 }
 
