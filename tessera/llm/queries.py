@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from tessera.llm import secrets
+from tessera.llm import quality, secrets
 from tessera.llm.pii import op9_personal
+from tessera.llm.quality import op4_quality
 from tessera.llm.secrets import op7_secrets
 from tessera.llm.simhash import op10_simhash
 
 QUERIES = {
+    "op4_quality": op4_quality,
     "op7_secrets": op7_secrets,
     "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_quality": quality.oracle(),
     "op7_secrets": secrets.oracle(),
 }
