@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm import quality, secrets
+from tessera.llm.bpe import op6_bpe
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
 from tessera.llm.secrets import op7_secrets
@@ -10,6 +11,7 @@ from tessera.llm.simhash import op10_simhash
 
 QUERIES = {
     "op4_quality": op4_quality,
+    "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
     "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
