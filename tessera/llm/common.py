@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,11 @@ def union_all(first: DataFrame, *more: DataFrame) -> DataFrame:
 def ascii_lower(col):
     """Lower-case A-Z only, as the contracts of the word operators ask."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def gather(flat: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> np.ndarray:
+    """The runs ``picks`` of ``flat`` (cut into runs of ``sizes``), in a row."""
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[picks]
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts[picks] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]

@@ -8,8 +8,10 @@ from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
 from tessera.llm.secrets import op7_secrets
 from tessera.llm.simhash import op10_simhash
+from tessera.llm.token_files import op1_token_files
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
