@@ -6,12 +6,14 @@ from tessera.llm import quality, secrets
 from tessera.llm.bpe import op6_bpe
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
+from tessera.llm.resharding import op2_resharding
 from tessera.llm.secrets import op7_secrets
 from tessera.llm.simhash import op10_simhash
 from tessera.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_resharding": op2_resharding,
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
