@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm import quality, secrets
 from tessera.llm.bpe import op6_bpe
+from tessera.llm.decontamination import op8_decontamination
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
 from tessera.llm.resharding import op2_resharding
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
+    "op8_decontamination": op8_decontamination,
     "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
 }
