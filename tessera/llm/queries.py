@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import quality, secrets
+from tessera.llm import chats, quality, secrets
 from tessera.llm.bpe import op6_bpe
+from tessera.llm.chats import op3_chats
 from tessera.llm.decontamination import op8_decontamination
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
@@ -15,6 +16,7 @@ from tessera.llm.token_files import op1_token_files
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_resharding": op2_resharding,
+    "op3_chats": op3_chats,
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
@@ -24,6 +26,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_chats": chats.ORACLE,
     "op4_quality": quality.oracle(),
     "op7_secrets": secrets.oracle(),
 }
