@@ -28,7 +28,6 @@ import functools
 import heapq
 import json
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +42,9 @@ from tessera.llm.common import table
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPACES = re.compile(r"\s\s")
 BLOCK_BYTES = 16 << 20
-KEPT_UNITS = 300_000
+#: A worker that knows more units keeps the first of them, which are the frequent ones.
+KEPT_UNITS = 600_000
+FIRST_UNITS = 200_000
 
 
 def byte_symbols() -> list[str]:
@@ -63,11 +64,13 @@ class Vocabulary:
         model, symbols = spec["model"], byte_symbols()
         ids = model["vocab"]
         value = {s: bytes([b]) for b, s in enumerate(symbols)}
-        self.byte_ids = [ids[s] for s in symbols]
-        self.merges: dict[int, tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[ids[a] << 32 | ids[b]] = (rank, ids[a + b])
+        self.byte_ids = np.array([ids[s] for s in symbols], np.int64)
+        #: by rank: the pair and what it becomes
+        self.made = [(ids[a], ids[b], ids[a + b]) for a, b in (
+            p if isinstance(p, list) else p.split(" ") for p in model["merges"])]
+        self.ranks = {a << 32 | b: rank for rank, (a, b, _) in enumerate(self.made)}
+        self.pair_keys = np.array(sorted(self.ranks), np.int64)
+        self.pair_ranks = np.array([self.ranks[k] for k in self.pair_keys.tolist()], np.int64)
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         cut = "|".join(re.escape(t) for t in sorted(self.added, key=lambda t: (-len(t), t)))
         self.cut = re.compile(f"({cut})") if cut else None
@@ -87,55 +90,62 @@ def vocabulary(path: str) -> Vocabulary:
 
 def merge_all(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all ``words`` in a row, and the number of ids of each word."""
-    merges, start = vocab.merges, vocab.byte_ids
-    symbol, left, right = array("i"), array("i"), array("i")
-    for w in words:
-        at, n = len(symbol), len(w)
-        symbol.extend([start[b] for b in w])
-        left.extend(range(at - 1, at + n - 1))
-        right.extend(range(at + 1, at + n + 1))
-        if n:
-            left[at] = right[at + n - 1] = -1
-    where: dict[int, list[int]] = {}
-    for p, q in enumerate(right):
-        if q >= 0:
-            pair = symbol[p] << 32 | symbol[q]
-            if pair in where:
-                where[pair].append(p)
-            elif pair in merges:
-                where[pair] = [p]
-    active = [(merges[pair][0], pair) for pair in where]
-    heapq.heapify(active)
-
-    def seen(a, b, p):
-        pair = a << 32 | b
-        if pair in where:
-            where[pair].append(p)
-        elif pair in merges:
-            where[pair] = [p]
-            heapq.heappush(active, (merges[pair][0], pair))
-
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    total = int(lengths.sum())
+    ends = np.cumsum(lengths)
+    first = vocab.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    after = np.arange(1, total + 1)
+    after[ends[lengths > 0] - 1] = -1
+    before = np.arange(-1, total - 1)
+    before[(ends - lengths)[lengths > 0]] = -1
+    # the index: positions of each rank's pair
+    where: list[list[int] | None] = [None] * len(vocab.made)
+    pairs = first[:-1] << 32 | first[1:]
+    found = np.searchsorted(vocab.pair_keys, pairs)
+    found[found == len(vocab.pair_keys)] = 0
+    at = np.flatnonzero((vocab.pair_keys[found] == pairs) & (after[:-1] >= 0)) if total and len(vocab.pair_keys) else np.empty(0, np.int64)
+    ranks = vocab.pair_ranks[found[at]]
+    order = np.argsort(ranks, kind="stable")
+    present, cuts = np.unique(ranks[order], return_index=True)
+    active = present.tolist()  # sorted, so a heap
+    for rank, places in zip(active, np.split(at[order], cuts[1:])):
+        where[rank] = places.tolist()
+
+    symbol, left, right = first.tolist(), before.tolist(), after.tolist()
+    rank_of, push = vocab.ranks.get, heapq.heappush
     while active:
-        _, pair = heapq.heappop(active)
-        a, b, new = pair >> 32, pair & 0xFFFFFFFF, merges[pair][1]
-        places = where.pop(pair)
+        rank = heapq.heappop(active)
+        places, where[rank] = where[rank], None
+        a, b, new = vocab.made[rank]
+        lead = new << 32
         if a == b:
             places.sort()
         for p in places:
             q = right[p]
             if symbol[p] != a or q < 0 or symbol[q] != b:
                 continue  # an earlier merge took one of the two
-            before, after = left[p], right[q]
-            symbol[p], symbol[q], right[p] = new, -1, after
-            if after >= 0:
-                left[after] = p
-                seen(new, symbol[after], p)
-            if before >= 0:
-                seen(symbol[before], new, before)
-    ids = np.frombuffer(symbol, np.int32) if len(symbol) else np.empty(0, np.int32)
-    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+            r, l = right[q], left[p]
+            symbol[p], symbol[q], right[p] = new, -1, r
+            if r >= 0:
+                left[r] = p
+                k = rank_of(lead | symbol[r])
+                if k is not None:
+                    if where[k] is None:
+                        where[k] = [p]
+                        push(active, k)
+                    else:
+                        where[k].append(p)
+            if l >= 0:
+                k = rank_of(symbol[l] << 32 | new)
+                if k is not None:
+                    if where[k] is None:
+                        where[k] = [l]
+                        push(active, k)
+                    else:
+                        where[k].append(l)
+    ids = np.array(symbol, np.int32)
     live = ids >= 0
-    return ids[live], np.bincount(owner[live], minlength=len(words))
+    return ids[live], np.bincount(np.repeat(np.arange(len(words)), lengths)[live], minlength=len(words))
 
 
 class _Codes(dict):
@@ -157,15 +167,19 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.forget()
-
-    def forget(self) -> None:
         self.units: list[str] = []
         self.plain, self.spaced = _Codes(self.units, ""), _Codes(self.units, " ")
-        self.pieces: dict[str, int] = {}
-        self.piece_ids, self.piece_sizes = np.empty(0, np.int32), np.empty(0, np.int64)
         self.unit_ids, self.unit_sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
+    def forget(self, keep: int) -> None:
+        """Keep the first ``keep`` units only."""
+        del self.units[keep:]
+        for codes in (self.plain, self.spaced):
+            for unit in [u for u, c in codes.items() if c >= keep]:
+                del codes[unit]
+        self.unit_sizes = self.unit_sizes[:keep].copy()
+        self.unit_ids = self.unit_ids[:self.unit_sizes.sum()].copy()
+
     def codes(self, text: str) -> list[int]:
         """Unit codes of a text; added tokens are ``-1 - id``."""
         if self.vocab.cut and self.vocab.cut.search(text):
@@ -188,23 +202,18 @@ class Encoder:
 
     def learn(self) -> None:
         """Ids of the units that came since the last call."""
-        known = len(self.unit_sizes)
-        split = [PRETOKEN.findall(u) for u in self.units[known:]]
-        fresh = [p for p in dict.fromkeys(p for ps in split for p in ps) if p not in self.pieces]
-        for p in fresh:
-            self.pieces[p] = len(self.pieces)
-        ids, sizes = merge_all([p.encode() for p in fresh], self.vocab)
-        self.piece_ids, self.piece_sizes = np.r_[self.piece_ids, ids], np.r_[self.piece_sizes, sizes]
-        used = np.fromiter((self.pieces[p] for ps in split for p in ps), np.int64)
+        split = [PRETOKEN.findall(u) for u in self.units[len(self.unit_sizes):]]
+        pieces: dict[str, int] = {}
+        used = np.fromiter((pieces.setdefault(p, len(pieces)) for ps in split for p in ps), np.int64)
+        ids, sizes = merge_all([p.encode() for p in pieces], self.vocab)
         owner = np.repeat(np.arange(len(split)), [len(ps) for ps in split])
-        self.unit_ids = np.r_[self.unit_ids, gather(self.piece_ids, self.piece_sizes, used)]
-        self.unit_sizes = np.r_[self.unit_sizes, np.bincount(
-            owner, self.piece_sizes[used], minlength=len(split)).astype(np.int64)]
+        self.unit_ids = np.r_[self.unit_ids, gather(ids, sizes, used)]
+        self.unit_sizes = np.r_[self.unit_sizes, np.bincount(owner, sizes[used], minlength=len(split)).astype(np.int64)]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each text."""
         if len(self.units) > KEPT_UNITS:
-            self.forget()
+            self.forget(FIRST_UNITS)
         coded = [self.codes(t or "") for t in texts]
         self.learn()
         codes = np.fromiter((c for cs in coded for c in cs), np.int64)

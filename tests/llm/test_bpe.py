@@ -44,6 +44,7 @@ def test_special_tokens_long_words_and_forgetting(rng, monkeypatch):
     texts = ["<|endoftext|>", "a<|endoftext|> b<|endoftext|><|endoftext|>", "<|endoftext", "x" * 20000, " " * 3000 + "a", "ab" * 9000,
              sentence(rng, 20000), None, "", "\n", " ", " a", "a ", "a\n b \nc\n\nd", "'s 's'ss 'll", "\r\n\r\n"]
     monkeypatch.setattr(bpe, "KEPT_UNITS", 5)
+    monkeypatch.setattr(bpe, "FIRST_UNITS", 3)
     encoder = bpe.Encoder(bpe.vocabulary(PATH))
     for _ in range(3):
         for i in range(0, len(texts), 3):
