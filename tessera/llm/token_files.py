@@ -35,6 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ BLOCK = 128
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 _POWERS = np.array([1 << i for i in range(60)], np.uint64)
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
 KEPT_WORDS = 600_000
 FIRST_WORDS = 200_000
 
@@ -191,10 +192,10 @@ class WordEncoder:
         ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(pieces), 2000):
             part = pieces[at:at + 2000]
-            got = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, np.int32)
+            got = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
             stop = np.flatnonzero(self.ends[got]) + 1
             if len(stop) != len(part):  # some piece is more than one pre-token
-                each = [e.ids for e in self.library.encode_batch(part, add_special_tokens=False)]
+                each = [e.ids for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
                 got, stop = np.array([i for e in each for i in e], np.int32), np.cumsum([len(e) for e in each])
             ids.append(got)
             sizes.append(np.diff(np.r_[0, stop]))
@@ -202,26 +203,21 @@ class WordEncoder:
 
     def _learn(self) -> None:
         words = self.names[len(self.sizes):]
-        cores = [w.rstrip(b".,;:!?") for w in words]
+        cores = [w.rstrip(b".,;:!?").decode() for w in words]
+        plain = np.fromiter(map(str.isalpha, cores), bool, len(cores))
         pieces: dict[str, int] = {}
-        odd: dict[int, str] = {}
-        used, owner = [], []
-        for i, (w, c) in enumerate(zip(words, cores)):
-            core = c.decode()
-            if core.isalpha():
-                used.append(pieces.setdefault(core, len(pieces)))
-                owner.append(i)
-                if len(c) < len(w):
-                    used.append(pieces.setdefault(w[len(c):].decode(), len(pieces)))
-                    owner.append(i)
-            else:
-                odd[i] = w.decode()
+        used = [pieces.setdefault(c, len(pieces)) for c in itertools.compress(cores, plain.tolist())]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        tailed = np.flatnonzero(plain & (np.fromiter((len(c.encode()) if not c.isascii() else len(c) for c in cores), np.int64, len(cores)) < size))
+        used += [pieces.setdefault(words[i][len(cores[i].encode()):].decode(), len(pieces)) for i in tailed.tolist()]
+        odd = {i: words[i].decode() for i in np.flatnonzero(~plain).tolist()}
+        owner = np.r_[np.flatnonzero(plain), tailed]
         ids, sizes = self._pieces(list(pieces))
-        rest = [e.ids for e in self.library.encode_batch(list(odd.values()), add_special_tokens=False)]
+        rest = [e.ids for e in self.library.encode_batch_fast(list(odd.values()), add_special_tokens=False)]
         ids = np.r_[ids, np.array([i for e in rest for i in e], np.int32)]
         sizes = np.r_[sizes, np.array([len(e) for e in rest], np.int64)]
         used = np.array(used + list(range(len(pieces), len(pieces) + len(rest))), np.int64)
-        owner = np.array(owner + list(odd), np.int64)
+        owner = np.r_[owner, np.array(list(odd), np.int64)]
         order = np.argsort(owner, kind="stable")
         used, owner = used[order], owner[order]
         self.flat = np.r_[self.flat, gather(ids, sizes, used)]
@@ -280,9 +276,8 @@ def write(docs: DataFrame, to: str, encoder: Callable, end_id: int, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before, encode = TaskContext.get().partitionId(), 0, 0, encoder()
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for start, end in text_blocks(texts):
-                ids, sizes = encode(texts[start:end])
+            for start, end in text_blocks(b.column("text")):
+                ids, sizes = encode(b.column("text").slice(start, end - start).to_pylist())
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 words, offsets = pack(ids)
                 names = b.column("id").slice(start, end - start)
@@ -299,16 +294,14 @@ def write(docs: DataFrame, to: str, encoder: Callable, end_id: int, id_col: str
              "offsets binary, words binary").write.parquet(to)
 
 
-def text_blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about TEXT_BYTES characters each."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= TEXT_BYTES:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def text_blocks(column: pa.Array, most: int = TEXT_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of an Arrow column of texts of about ``most`` bytes each."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < len(column):
+        end = min(int(np.searchsorted(size, done + most)) + 1, len(column))
+        yield start, end
+        start, done = end, int(size[end - 1])
 
 
 def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
