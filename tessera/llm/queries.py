@@ -6,6 +6,7 @@ from tessera.llm import chats, quality, secrets
 from tessera.llm.bpe import op6_bpe
 from tessera.llm.chats import op3_chats
 from tessera.llm.decontamination import op8_decontamination
+from tessera.llm.lm import op5_lm
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
 from tessera.llm.resharding import op2_resharding
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_resharding": op2_resharding,
     "op3_chats": op3_chats,
     "op4_quality": op4_quality,
+    "op5_lm": op5_lm,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
     "op8_decontamination": op8_decontamination,
