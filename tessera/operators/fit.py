@@ -3,23 +3,26 @@ several groups and seeds in one run (E21).
 
 Execution
 ---------
-The input is indexed once (D13), cut into mini-batches of ``batch_size``
-rows (D11) and written range-sorted by batch to the shared checkpoint
-folder; this cuts lineage, survives lost executors, and lets each step
-read only its batch through Parquet min/max pruning.
-
-Each step is one Spark job: every task runs the forward pass and the
-closed-form gradient for its rows on an Arrow batch (NumPy/BLAS), and
-emits one partial-sum row per entry it touched plus one statistics row;
-``groupBy(latent_id)`` sums the partials (at most one row per task per
-entry). The summed gradient, bounded by the dictionary size, comes back to
-the driver, which applies the sign update and re-broadcasts the parameters.
+The parameters are a table with one row per entry (weights and the tokens
+since the entry last fired); the driver holds only the decoder bias and one
+row of metrics per step. The input is indexed once (D13), cut into
+mini-batches of ``batch_size`` rows (D11) and written range-sorted by batch to
+the shared checkpoint folder, so each step reads only its batch.
+
+A step is two jobs. Every task runs the forward pass over its Arrow batches,
+block of entries by block (as in ``tessera.operators.sparse``), and emits one
+partial gradient row for each entry that a slice of its rows touched; these
+are added up per entry after a shuffle. An equi-join of the sums with the
+parameter table then makes the next table: sign update, unit norms, counters.
+Neither the gradient nor the weights come to the driver as a whole; the
+forward pass broadcasts the weights in blocks of bounded size. Choose
+``batch_size`` so that a step is worth its two jobs (a full batch is fine).
 
 Loss: FVU of the top-k reconstruction (``auxk_alpha`` 0 and no multi-top-k,
-the configured defaults). Per step, as configured upstream: decoder rows
-unit-normed, gradient component parallel to the decoder rows removed,
-``w -= lr * sign(g)``, then the dead-entry counters advance. ``b_dec``
-starts as the first batch's mean; a warm start keeps the stored ``b_dec``.
+the configured defaults). Per step: gradient components along the decoder
+rows are removed, ``w -= lr * sign(g)``, decoder rows are brought to unit
+norm, counters advance. ``b_dec`` starts as the first batch's mean; a warm
+start keeps the stored ``b_dec`` and, if given, the stored counters.
 """
 
 from __future__ import annotations
@@ -27,32 +30,32 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tessera.functions.columns import dot, l2_norm, vscale, vsub
 from tessera.operators.positions import with_index
 from tessera.operators.sparse import (
+    BROADCAST_BUDGET,
     F32_EPS,
     SparseDictionary,
-    _rows_per_slice,
-    _stack,
-    pre_activations,
-    topk_indices,
+    _lists,
+    _matrix,
+    _slices,
+    _source,
+    held_one_by_one,
+    mean_vector,
+    rebuilt,
+    strongest,
 )
 from tessera.session import scratch_path
 
-GRAD_SCHEMA = T.StructType([
-    T.StructField("latent_id", T.LongType()), T.StructField("g_we", T.ArrayType(T.DoubleType())),
-    T.StructField("g_be", T.DoubleType()), T.StructField("g_wd", T.ArrayType(T.DoubleType())),
-    T.StructField("sse", T.DoubleType()), T.StructField("n", T.LongType()),
-    T.StructField("sy", T.ArrayType(T.DoubleType())), T.StructField("syy", T.ArrayType(T.DoubleType()))])
-
+SUM_SCHEMA = "latent_id bigint, g_be double, g_we array<double>, g_wd array<double>"
 METRICS_SCHEMA = "step long, k long, fvu double, dead_pct double, n_rows long"
-ENTRY_SCHEMA = "latent_id bigint, w_enc array<double>, b_enc double, w_dec array<double>"
 
-STATS_ROW = -1
+# Rows of sums that belong to no entry: (error, gradient of b_dec, sum of x) and (rows, 0, sum of x^2).
+BIAS_ROW, ROWS_ROW = -1, -2
 
 
 def default_lr(num_latents: int) -> float:
@@ -60,12 +63,11 @@ def default_lr(num_latents: int) -> float:
     return 5e-3 / (num_latents / 2 ** 14) ** 0.5
 
 
-def k_schedule(step: int, initial_k: int, final_k: int, decay_steps: int) -> int:
-    """Linear decay of k from ``initial_k`` to ``final_k`` over ``decay_steps`` (Python rounding)."""
-    if step >= decay_steps:
-        return final_k
-    p = step / decay_steps
-    return round(initial_k * (1 - p) + final_k * p)
+def annealed_k(step: int, first: int, last: int, over: int) -> int:
+    """k on the straight line from ``first`` at step 0 to ``last`` at step
+    ``over`` and after it, rounded half to even."""
+    done = min(step, over) / over if over > 0 else 1.0
+    return round(first + (last - first) * done)
 
 
 @dataclass
@@ -75,71 +77,99 @@ class FitResult:
     since_fired: DataFrame      # (latent_id, tokens_since_fired) after the last step
 
 
-def _sum_arrays(col: str, d: int):
-    return F.aggregate(F.collect_list(col), F.array_repeat(F.lit(0.0), d),
-                       lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
+def _partial_sums(blocks: list, k: int, bias: np.ndarray, transcode: bool, widest: int):
+    """Gradient sums of a task's rows: for each slice of rows and block, one row per touched entry."""
+    d = len(bias)
+
+    def rows_of(ids, g_be, g_we, g_wd):
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(ids, np.int64)), pa.array(np.asarray(g_be, np.float64)),
+                                           _lists(g_we), _lists(g_wd)], ["latent_id", "g_be", "g_we", "g_wd"])
+
+    def run(batches):
+        error, n, g_bias, sums, squares = 0.0, 0, np.zeros(d), np.zeros(d), np.zeros(d)
+        for _, x in _slices(batches, blocks, d, widest):
+            act, ids = strongest(x, blocks, k)
+            off = rebuilt(act, ids, blocks, bias) - x
+            g = 2.0 * off
+            error, n = error + float((off * off).sum()), n + len(x)
+            g_bias, sums, squares = g_bias + g.sum(0), sums + x.sum(0), squares + (x * x).sum(0)
+            into = x if transcode else x - bias
+            for p in held_one_by_one(blocks):
+                pos = np.minimum(np.searchsorted(p["ids"], ids), max(len(p["ids"]) - 1, 0))
+                here, col = np.nonzero(p["ids"][pos] == ids)
+                if not len(here):
+                    continue
+                entry, a = pos[here, col], act[here, col]
+                slope = (g[here] * p["w_dec"][entry]).sum(1) * (a > 0)
+                if not transcode:
+                    g_bias = g_bias - slope @ p["w_enc"][entry]
+                order = np.argsort(entry, kind="stable")
+                first = np.flatnonzero(np.r_[True, np.diff(entry[order]) > 0])
+                total = lambda v: np.add.reduceat(v[order], first, axis=0)
+                yield rows_of(p["ids"][entry[order][first]], total(slope), total(slope[:, None] * into[here]),
+                              total(a[:, None] * g[here]))
+        if n:
+            yield rows_of([BIAS_ROW, ROWS_ROW], [error, n], np.stack([g_bias, np.zeros(d)]), np.stack([sums, squares]))
+    return run
 
 
-def _grad_fn(bc, d: int):
+def _added(d: int):
+    """Sums per entry of the rows of one shuffle partition."""
     def run(batches):
-        p = bc.value
-        w_e, b_e, w_d, b_dec = p["w_enc"], p["b_enc"], p["w_dec"], p["b_dec"]
-        L = w_e.shape[0]
-        k = p["k"]
-        gw_e, gb_e, gw_d = np.zeros((L, d)), np.zeros(L), np.zeros((L, d))
-        gb_dec, sy, syy = np.zeros(d), np.zeros(d), np.zeros(d)
-        touched = np.zeros(L, dtype=bool)
-        sse, n = 0.0, 0
-        step = _rows_per_slice(L)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            xs = _stack(pdf["vec"], d)
-            for s in range(0, len(xs), step):
-                x = xs[s:s + step]
-                xc = x if p["transcode"] else x - b_dec
-                z = pre_activations(x, p)
-                idx = topk_indices(z, k)
-                acts = np.take_along_axis(z, idx, axis=1)
-                rows = w_d[idx]                                   # n x k x d
-                e = b_dec + np.einsum("nk,nkd->nd", acts, rows) - x
-                g = 2.0 * e
-                sse += float((e * e).sum())
-                n += len(x)
-                sy += x.sum(0)
-                syy += (x * x).sum(0)
-                gb_dec += g.sum(0)
-                flat = idx.ravel()
-                np.add.at(gw_d, flat, (acts[:, :, None] * g[:, None, :]).reshape(-1, d))
-                dz = np.einsum("nd,nkd->nk", g, rows) * (acts > 0)
-                np.add.at(gw_e, flat, (dz[:, :, None] * xc[:, None, :]).reshape(-1, d))
-                np.add.at(gb_e, flat, dz.ravel())
-                if not p["transcode"]:
-                    gb_dec -= np.einsum("nk,nkd->d", dz, w_e[idx])
-                touched[flat] = True
-        if n == 0:
-            return
-        ids = np.nonzero(touched)[0]
-        yield pd.DataFrame({
-            "latent_id": np.append(p["ids"][ids], STATS_ROW).astype(np.int64),
-            "g_we": [r for r in gw_e[ids]] + [np.zeros(d)],
-            "g_be": np.append(gb_e[ids], 0.0),
-            "g_wd": [r for r in gw_d[ids]] + [gb_dec],
-            "sse": np.append(np.zeros(len(ids)), sse),
-            "n": np.append(np.zeros(len(ids), dtype=np.int64), n),
-            "sy": [np.zeros(d)] * len(ids) + [sy],
-            "syy": [np.zeros(d)] * len(ids) + [syy]})
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            ids = np.asarray(b.column("latent_id"))
+            both = np.concatenate([np.asarray(b.column("g_be"))[:, None], _matrix(b.column("g_we"), d),
+                                   _matrix(b.column("g_wd"), d)], axis=1)
+            order = np.argsort(ids, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0]) if len(ids) else []
+            for i, row in zip(ids[order][first].tolist(), np.add.reduceat(both[order], first, axis=0) if len(ids) else []):
+                held[i] = held[i] + row if i in held else row
+        if held:
+            rows = np.stack(list(held.values()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(rows[:, 0]), _lists(rows[:, 1:d + 1]),
+                                              _lists(rows[:, d + 1:])], ["latent_id", "g_be", "g_we", "g_wd"])
     return run
 
 
-def _unit_rows(w: np.ndarray) -> np.ndarray:
-    return w / (np.linalg.norm(w, axis=1, keepdims=True) + F32_EPS)
+def gradient(rows: DataFrame, dictionary: SparseDictionary, k: int, budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """Sums of the squared error's gradient over ``rows`` (column ``vec``): a
+    row per touched entry, and the two rows of totals."""
+    blocks, d = dictionary.broadcast(budget), dictionary.d
+    widest = min(dictionary.num_latents, max(1, budget // (max(d, 1) * 16)))
+    parts = _source(rows, [], "vec").mapInArrow(
+        _partial_sums(blocks, k, np.asarray(dictionary.b_dec, np.float64), dictionary.transcode, widest), SUM_SCHEMA)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(n, "latent_id").mapInArrow(_added(d), SUM_SCHEMA)
+
+
+def _unit(w):
+    return vscale(w, F.lit(1.0) / (l2_norm(w) + F.lit(F32_EPS)))
+
+
+def _signed(w, g, lr: float):
+    return F.zip_with(w, g, lambda a, b: a - F.lit(lr) * F.signum(b))
+
+
+def updated(params: DataFrame, sums: DataFrame, d: int, lr: float, n_rows: int, transcode: bool) -> DataFrame:
+    """The next parameter table: an equi-join of entries with their gradient
+    sums. Untouched entries keep their weights, and their counters advance."""
+    j = params.join(sums.where(F.col("latent_id") >= 0), "latent_id", "left")
+    none = F.array_repeat(F.lit(0.0), d)
+    g_wd = F.coalesce("g_wd", none)
+    j = j.withColumn("g_wd", g_wd).withColumn("_along", F.lit(0.0) if transcode else dot("g_wd", "w_dec"))
+    j = j.withColumn("w_dec", _signed("w_dec", F.col("g_wd") if transcode else vsub(F.col("g_wd"), vscale("w_dec", "_along")), lr))
+    return j.select("latent_id", _signed("w_enc", F.coalesce("g_we", none), lr).alias("w_enc"),
+                    (F.col("b_enc") - F.lit(lr) * F.signum(F.coalesce("g_be", F.lit(0.0)))).alias("b_enc"),
+                    (F.col("w_dec") if transcode else _unit(F.col("w_dec"))).alias("w_dec"),
+                    F.when(F.col("g_we").isNotNull(), F.lit(0).cast("bigint"))
+                    .otherwise(F.col("tokens_since_fired") + n_rows).alias("tokens_since_fired"))
 
 
 class SparseDictionaryEstimator:
     """``SparseDictionaryEstimator(num_latents, k).fit(df)``."""
 
-    def __init__(self, num_latents: int, k: int, batch_size: int = 32, lr: float | None = None,
+    def __init__(self, num_latents: int, k: int, batch_size: int = 65536, lr: float | None = None,
                  k_decay_steps: int = 0, dead_threshold: int = 10_000_000, transcode: bool = False,
                  seed: int = 0, epochs: int = 1):
         self.num_latents, self.k, self.batch_size = num_latents, k, batch_size
@@ -156,124 +186,93 @@ class SparseDictionaryEstimator:
         x = src.join(idx, "id").withColumn("batch", F.floor(F.col("_i") / self.batch_size).cast("bigint"))
         path = scratch_path(spark, "fit-input")
         n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (x.select("batch", "id", "vec", "_n").repartitionByRange(n_parts, "batch")
+        (x.select("batch", "id", "vec", "_n").repartitionByRange(n_parts, "batch", "id")
          .sortWithinPartitions("batch", "id").write.mode("overwrite").parquet(path))
         data = spark.read.parquet(path)
-        first = data.select("_n", "vec").limit(1).collect()
-        if not first:
+        one = data.agg(F.max("_n").alias("n"), F.max(F.size("vec")).alias("d")).first()
+        if one["n"] is None:
             raise ValueError("no rows to fit")
-        n_rows, d = int(first[0]["_n"]), len(first[0]["vec"])
-        return data.drop("_n"), -(-n_rows // self.batch_size), d
+        return data.drop("_n"), -(-int(one["n"]) // self.batch_size), int(one["d"])
 
     # ---------------------------------------------------------------- params
-    def _init(self, d: int) -> dict:
-        rng = np.random.default_rng(self.seed)
-        bound = 1.0 / np.sqrt(d)
-        w_e = rng.uniform(-bound, bound, size=(self.num_latents, d))
-        w_d = np.zeros_like(w_e) if self.transcode else _unit_rows(w_e.copy())
-        return {"ids": np.arange(self.num_latents, dtype=np.int64), "w_enc": w_e, "b_enc": np.zeros(self.num_latents),
-                "w_dec": w_d, "b_dec": np.zeros(d), "transcode": self.transcode}
+    def _fresh(self, spark, d: int) -> DataFrame:
+        """First weights: even in +-1/sqrt(d), from a hash of seed, entry and position."""
+        steps = 1 << 52
+        share = lambda i: F.pmod(F.xxhash64(F.lit(self.seed), F.col("id"), i), F.lit(steps)) / F.lit(float(steps))
+        w = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: (share(i) * 2 - 1) / F.lit(d ** 0.5))
+        t = spark.range(self.num_latents).select(F.col("id").alias("latent_id"), w.alias("w_enc"), F.lit(0.0).alias("b_enc"))
+        return t.withColumn("w_dec", F.array_repeat(F.lit(0.0), d) if self.transcode else F.col("w_enc"))
+
+    def _stored(self, params: DataFrame) -> DataFrame:
+        path = scratch_path(params.sparkSession, "fit-params")
+        params.write.mode("overwrite").parquet(path)
+        return params.sparkSession.read.parquet(path)
 
     # ---------------------------------------------------------------- fit
-    def _dictionary(self, spark, p: dict) -> SparseDictionary:
-        rows = [(int(i), we.tolist(), float(be), wd.tolist())
-                for i, we, be, wd in zip(p["ids"], p["w_enc"], p["b_enc"], p["w_dec"])]
-        entries = spark.createDataFrame(rows, ENTRY_SCHEMA)
-        return SparseDictionary(entries=entries, b_dec=[float(v) for v in p["b_dec"]], k=self.k,
-                                transcode=self.transcode)
-
-    def fit(self, df: DataFrame, id_col: str = "id", vec_col: str = "vec",
-            init: SparseDictionary | None = None, start_step: int = 0,
+    def fit(self, df: DataFrame, id_col: str = "id", vec_col: str = "vec", init: SparseDictionary | None = None,
+            init_since: DataFrame | None = None, start_step: int = 0, stop_step: int | None = None,
             save_path: str | None = None, hookpoint: str = "default", save_every: int = 1000) -> FitResult:
         """Fit over ``epochs`` passes of mini-batches.
 
-        With ``save_path``, the dictionary is stored (step checkpoint and
+        ``init`` (and ``init_since``, the counters) resume an earlier fit at
+        ``start_step``; ``stop_step`` ends this one before that step. With
+        ``save_path``, the dictionary is stored (step checkpoint and
         ``latest``) whenever a step with ``(step + 1) % save_every == 0`` or
-        the final step has a loss strictly below every earlier saved one, so
-        a lost driver resumes with ``init=read_dictionary(...)`` and
-        ``start_step``.
+        the final step has a loss strictly below every earlier saved one.
         """
         spark = df.sparkSession
-        best = float("inf")
         data, n_batches, d = self._prepare(df, id_col, vec_col)
-        if init is not None:
-            p = init.collect_block(*init.blocks(1 << 62)[0])
-            p["transcode"] = self.transcode
-            if len(p["ids"]) != self.num_latents:
-                raise ValueError("initial dictionary size differs from num_latents")
+        if init is not None and init.num_latents != self.num_latents:
+            raise ValueError(f"the initial dictionary has {init.num_latents} entries, the estimator {self.num_latents}")
+        params = init.entries.select("latent_id", "w_enc", "b_enc", "w_dec") if init is not None else self._fresh(spark, d)
+        if init_since is not None:
+            params = params.join(init_since.select("latent_id", "tokens_since_fired"), "latent_id", "left").withColumn(
+                "tokens_since_fired", F.coalesce("tokens_since_fired", F.lit(0)))
         else:
-            p = self._init(d)
-        initial_k = min(self.num_latents, round(d * 10))
-        since = np.zeros(self.num_latents, dtype=np.int64)
-        metrics = []
-        total_steps = n_batches * self.epochs
-        for step in range(start_step, total_steps):
+            params = params.withColumn("tokens_since_fired", F.lit(0).cast("bigint"))
+        if not self.transcode:
+            params = params.withColumn("w_dec", _unit(F.col("w_dec")))
+        params = self._stored(params)
+        if init is not None:
+            b_dec = [float(v) for v in init.b_dec]
+        elif self.transcode:
+            b_dec = [0.0] * d
+        else:  # d values
+            b_dec = list(mean_vector(data.where(F.col("batch") == 0), "vec").first()["mean"])
+        metrics, best, steps = [], float("inf"), n_batches * self.epochs
+        first_k = min(self.num_latents, 10 * d)
+        for step in range(start_step, steps if stop_step is None else min(steps, stop_step)):
             batch = data.where(F.col("batch") == step % n_batches).select("vec")
-            if step == 0 and init is None and not self.transcode:
-                # initial decoder bias = mean of the first batch (d values)
-                from tessera.operators.sparse import mean_vector
-                p["b_dec"] = np.asarray(mean_vector(batch, "vec").first()["mean"], dtype=np.float64)
-            if not self.transcode:
-                p["w_dec"] = _unit_rows(p["w_dec"])
-            k = k_schedule(step, initial_k, self.k, self.k_decay_steps) if self.k_decay_steps else self.k
-            p["k"] = k
-            bc = spark.sparkContext.broadcast(p)
-            parts = batch.mapInPandas(_grad_fn(bc, d), GRAD_SCHEMA)
-            summed = parts.groupBy("latent_id").agg(
-                _sum_arrays("g_we", d).alias("g_we"), F.sum("g_be").alias("g_be"), _sum_arrays("g_wd", d).alias("g_wd"),
-                F.sum("sse").alias("sse"), F.sum("n").alias("n"), _sum_arrays("sy", d).alias("sy"),
-                _sum_arrays("syy", d).alias("syy"))
-            rows = summed.collect()  # at most num_latents + 1 rows: the gradient
-            bc.unpersist()
-            stats = next(r for r in rows if r["latent_id"] == STATS_ROW)
-            n = int(stats["n"])
-            sy, syy = np.asarray(stats["sy"]), np.asarray(stats["syy"])
-            tv = float((syy - sy * sy / n).sum())
-            fvu = float(stats["sse"]) / tv
-            pos = {int(i): j for j, i in enumerate(p["ids"])}
-            g_we, g_be = np.zeros_like(p["w_enc"]), np.zeros_like(p["b_enc"])
-            g_wd = np.zeros_like(p["w_dec"])
-            fired = []
-            for r in rows:
-                if r["latent_id"] == STATS_ROW:
-                    continue
-                j = pos[int(r["latent_id"])]
-                g_we[j], g_be[j], g_wd[j] = r["g_we"], r["g_be"], r["g_wd"]
-                fired.append(j)
-            g_bdec = np.asarray(stats["g_wd"])
-            g_we, g_be, g_wd, g_bdec = g_we / tv, g_be / tv, g_wd / tv, g_bdec / tv
-            if not self.transcode:
-                g_wd -= np.sum(g_wd * p["w_dec"], axis=1, keepdims=True) * p["w_dec"]
-            p["w_enc"] = p["w_enc"] - self.lr * np.sign(g_we)
-            p["b_enc"] = p["b_enc"] - self.lr * np.sign(g_be)
-            p["w_dec"] = p["w_dec"] - self.lr * np.sign(g_wd)
-            p["b_dec"] = p["b_dec"] - self.lr * np.sign(g_bdec)
-            if not self.transcode:
-                p["w_dec"] = _unit_rows(p["w_dec"])
-            since += n
-            since[fired] = 0
-            metrics.append((step, k, fvu, float(np.mean(since > self.dead_threshold)), n))
-            if save_path and ((step + 1) % save_every == 0 or step == total_steps - 1) and fvu < best:
+            k = annealed_k(step, first_k, self.k, self.k_decay_steps) if self.k_decay_steps else self.k
+            now = SparseDictionary(params, b_dec, self.k, self.transcode)
+            sums = self._stored(gradient(batch, now, k))
+            told = {r["latent_id"]: r for r in sums.where(F.col("latent_id") < 0).collect()}  # two rows
+            n = int(told[ROWS_ROW]["g_be"])
+            spread = np.asarray(told[ROWS_ROW]["g_wd"]) - np.asarray(told[BIAS_ROW]["g_wd"]) ** 2 / n
+            fvu = told[BIAS_ROW]["g_be"] / float(spread.sum())
+            params = self._stored(updated(params, sums, d, self.lr, n, self.transcode))
+            b_dec = (np.asarray(b_dec) - self.lr * np.sign(told[BIAS_ROW]["g_we"])).tolist()
+            dead = params.agg(F.avg((F.col("tokens_since_fired") > self.dead_threshold).cast("double")).alias("x")).first()["x"]
+            metrics.append((step, k, float(fvu), float(dead), n))
+            if save_path and ((step + 1) % save_every == 0 or step == steps - 1) and fvu < best:
                 from tessera.sources.dictionary_store import write_dictionary
                 best = fvu
-                write_dictionary(self._dictionary(spark, p), save_path, hookpoint, step + 1)
-        D = self._dictionary(spark, p)
-        since_df = spark.createDataFrame([(int(i), int(c)) for i, c in zip(p["ids"], since)],
-                                         "latent_id bigint, tokens_since_fired bigint")
-        return FitResult(D, spark.createDataFrame(metrics, METRICS_SCHEMA), since_df)
+                write_dictionary(SparseDictionary(params, b_dec, self.k, self.transcode), save_path, hookpoint, step + 1)
+        return FitResult(SparseDictionary(params.drop("tokens_since_fired"), b_dec, self.k, self.transcode),
+                         spark.createDataFrame(metrics, METRICS_SCHEMA), params.select("latent_id", "tokens_since_fired"))
 
 
 def fit_many(df: DataFrame, by: str, seeds, estimator_args: dict, id_col: str = "id",
-             vec_col: str = "vec") -> DataFrame:
+             vec_col: str = "vec", init: SparseDictionary | None = None) -> DataFrame:
     """Fit one dictionary per ``by`` group and seed (E21); returns the step
     metrics of every run with ``by`` and ``seed`` columns. Groups are model
-    modules, so their list is small."""
+    modules, so their list is small; each fit is spread over the cluster."""
     keys = [r[by] for r in df.select(by).distinct().orderBy(by).collect()]
     out = None
     for key in keys:
-        part = df.where(F.col(by) == key)
+        part = df.where(F.col(by).eqNullSafe(F.lit(key)))
         for seed in seeds:
-            res = SparseDictionaryEstimator(seed=seed, **estimator_args).fit(part, id_col, vec_col)
+            res = SparseDictionaryEstimator(seed=seed, **estimator_args).fit(part, id_col, vec_col, init=init)
             m = res.metrics.select(F.lit(key).alias(by), F.lit(seed).cast("bigint").alias("seed"), "*")
             out = m if out is None else out.unionByName(m)
     return out

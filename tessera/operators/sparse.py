@@ -12,16 +12,22 @@ Data layout
 Execution
 ---------
 Pre-activations are a dense product of every vector with every entry, so
-they are computed per Arrow batch with one BLAS call against a broadcast
-copy of the dictionary (never a join that pairs rows with entries). The
-dictionary's byte size is checked before it is broadcast; above the budget
-it is split into latent-id blocks, each broadcast separately, and the
-per-block top-k candidates (k per block) are merged per vector, which is
-exact because a global top-k is always among the block top-ks.
+they are computed per Arrow batch with BLAS against broadcast copies of the
+dictionary (never a join that pairs rows with entries). The dictionary is cut
+into blocks of bounded size, each broadcast on its own. A batch goes over all
+blocks with a running selection, one block in memory at a time, and then over
+them again to decode; this is the same for one block and for many, so a
+dictionary's size changes nothing but the number of blocks. Vectors are read
+once and never leave their partition.
+
+Rows may be named by several columns (``id_col`` takes a list), which pass
+through with their types. Rows without a vector have no codes and no
+reconstruction and are left out.
 
 Decoding from a codes table is an equi-join of codes with the entries
-(broadcast when the entry table is under the budget, a shuffle join with
-AQE skew handling otherwise) and a sum of at most k scaled rows per vector.
+(broadcast when the entry table is under the budget, else a join salted
+against entries that hold a large share of the codes) and a sum of at most k
+scaled rows per vector.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +48,8 @@ F32_EPS = 1.1920929e-07
 # Default budget for a broadcast parameter block (bytes).
 BROADCAST_BUDGET = 64 * 1024 * 1024
 
-CODES_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("latent_id", T.LongType()),
-                             T.StructField("act", T.DoubleType())])
+# Copies of an entry in a salted join.
+SALTS = 16
 
 
 @dataclass
@@ -100,38 +106,58 @@ class SparseDictionary:
             self._meta[key] = [(lo, hi) for lo, hi in zip(starts, starts[1:] + [m["hi"] + 1])]
         return self._meta[key]
 
-    def collect_block(self, lo: int, hi: int, decoder: bool = True) -> dict:
-        """Parameters of entries with ``lo <= latent_id < hi`` as NumPy arrays.
-
-        Called only for blocks that fit the broadcast budget.
-        """
-        cols = ["latent_id", "w_enc", "b_enc"] + (["w_dec"] if decoder else [])
-        pdf = (self.entries.where((F.col("latent_id") >= lo) & (F.col("latent_id") < hi))
-               .select(*cols).orderBy("latent_id").toPandas())
-        d = self.d
-        out = {"ids": pdf["latent_id"].to_numpy(np.int64),
-               "w_enc": _stack(pdf["w_enc"], d), "b_enc": pdf["b_enc"].to_numpy(np.float64),
+    def collect_block(self, lo: int, hi: int, dead=None) -> dict:
+        """Parameters of entries with ``lo <= latent_id < hi`` as NumPy arrays
+        (a block of bounded size). ``dead``: a table or list of ``latent_id``."""
+        mine = (F.col("latent_id") >= lo) & (F.col("latent_id") < hi)
+        rows = self.entries.where(mine).select("latent_id", "w_enc", "b_enc", "w_dec")
+        if isinstance(dead, DataFrame):
+            marks = dead.where(mine).select("latent_id").distinct().withColumn("dead", F.lit(True))
+            rows = rows.join(marks, "latent_id", "left")
+        t = rows.orderBy("latent_id").toArrow()
+        out = {"ids": t.column("latent_id").to_numpy().astype(np.int64),
+               "w_enc": _matrix(t.column("w_enc"), self.d), "b_enc": t.column("b_enc").to_numpy().astype(np.float64),
+               "w_dec": _matrix(t.column("w_dec"), self.d),
                "b_dec": np.asarray(self.b_dec, dtype=np.float64), "transcode": self.transcode}
-        if decoder:
-            out["w_dec"] = _stack(pdf["w_dec"], d)
+        if isinstance(dead, DataFrame):
+            out["dead"] = np.asarray(t.column("dead").is_valid())
+        elif dead is not None:
+            out["dead"] = np.isin(out["ids"], np.asarray(list(dead), dtype=np.int64))
         return out
 
+    def broadcast(self, budget: int = BROADCAST_BUDGET, dead=None) -> list:
+        """The dictionary as broadcast blocks of at most ``budget`` bytes."""
+        sc = self.entries.sparkSession.sparkContext
+        return [sc.broadcast(self.collect_block(lo, hi, dead)) for lo, hi in self.blocks(budget)]
 
-def _stack(series: pd.Series, d: int) -> np.ndarray:
-    if len(series) == 0:
-        return np.zeros((0, d), dtype=np.float64)
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
+    def skip_matrix(self) -> np.ndarray | None:
+        """The skip term's d x d parameter; a table holds it as (row, w)."""
+        if self.w_skip is None:
+            return None
+        if isinstance(self.w_skip, DataFrame):
+            return _matrix(self.w_skip.orderBy("row").toArrow().column("w"), self.d)
+        return np.asarray(self.w_skip, dtype=np.float64)
 
 
-def _check_one_block(dictionary: "SparseDictionary", budget: int = BROADCAST_BUDGET) -> None:
-    if dictionary.entry_bytes() > budget:
-        raise ValueError(f"dictionary of {dictionary.entry_bytes()} bytes exceeds the broadcast budget "
-                         f"{budget}; use the blocked encode / join-based decode")
+def _matrix(column, d: int) -> np.ndarray:
+    """A column of lists of ``d`` numbers as a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, d)
 
 
-def maybe_broadcast(df: DataFrame, est_bytes: int, budget: int = BROADCAST_BUDGET) -> DataFrame:
-    """Broadcast hint only when the estimated size is under the budget."""
-    return F.broadcast(df) if est_bytes <= budget else df
+def _lists(x: np.ndarray) -> pa.Array:
+    """A matrix as a column of lists."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+
+
+def held_one_by_one(blocks: list):
+    """The values of broadcast blocks; with several, a block's memory is
+    given back before the next one is loaded."""
+    for b in blocks:
+        yield b.value
+        if len(blocks) > 1:
+            b.__dict__.pop("_value", None)
 
 
 # ------------------------------------------------------------------ dense kernels (per Arrow batch)
@@ -176,244 +202,229 @@ def _rows_per_slice(L: int) -> int:
     return max(1, (1 << 22) // max(L, 1))  # bound the dense n x L scratch to ~32 MB
 
 
-def _vectors(pdf: pd.DataFrame, col: str, d: int) -> np.ndarray:
-    return _stack(pdf[col], d)
+def strongest(x: np.ndarray, blocks: list, k: int, dead: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(activations, latent ids) of the k strongest (dead) entries per vector,
+    strongest first, ties by id: a running top-k over the blocks."""
+    act, ids = np.zeros((len(x), 0)), np.zeros((len(x), 0), np.int64)
+    for p in held_one_by_one(blocks):
+        z, own = pre_activations(x, p), p["ids"]
+        if dead:
+            z, own = z[:, p["dead"]], own[p["dead"]]
+        idx = topk_indices(z, k)
+        act = np.concatenate([act, np.take_along_axis(z, idx, 1)], 1)
+        ids = np.concatenate([ids, own[idx]], 1)
+        order = np.lexsort((ids, -act), axis=1)[:, :k]
+        act, ids = np.take_along_axis(act, order, 1), np.take_along_axis(ids, order, 1)
+    return act, ids
+
+
+def group_maxima(x: np.ndarray, blocks: list, k: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(activations, latent ids) of the strongest entry of each of k groups of
+    consecutive entries; a group may lie in several blocks."""
+    if total % k:
+        raise ValueError(f"group-max needs a number of entries ({total}) that k ({k}) divides")
+    width, seen = total // k, 0
+    act, ids = np.full((len(x), k), -np.inf), np.full((len(x), k), -1, np.int64)
+    for p in held_one_by_one(blocks):
+        z = pre_activations(x, p)
+        at = 0
+        while at < z.shape[1]:
+            group = (seen + at) // width
+            end = min((group + 1) * width - seen, z.shape[1])
+            best = np.argmax(z[:, at:end], axis=1) + at
+            value = z[np.arange(len(x)), best]
+            more = value > act[:, group]
+            act[more, group], ids[more, group] = value[more], p["ids"][best[more]]
+            at = end
+        seen += z.shape[1]
+    return act, ids
+
+
+def selected(x: np.ndarray, blocks: list, k: int, activation: str, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of each vector under the dictionary's activation."""
+    return group_maxima(x, blocks, k, total) if activation == "groupmax" else strongest(x, blocks, k)
+
+
+def rebuilt(act: np.ndarray, ids: np.ndarray, blocks: list, bias: np.ndarray) -> np.ndarray:
+    """``bias`` plus the scaled decoder rows of each vector's codes."""
+    out = np.tile(bias, (len(act), 1))
+    for p in held_one_by_one(blocks):
+        pos = np.minimum(np.searchsorted(p["ids"], ids), max(len(p["ids"]) - 1, 0))
+        rows, cols = np.nonzero(p["ids"][pos] == ids) if len(p["ids"]) and ids.size else (np.empty(0, int),) * 2
+        if len(rows):
+            first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+            scaled = act[rows, cols][:, None] * p["w_dec"][pos[rows, cols]]
+            out[rows[first]] += np.add.reduceat(scaled, first, axis=0)
+    return out
+
+
+def _names(id_col) -> list[str]:
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def _slices(batches, blocks: list, d: int, widest: int):
+    """(batch of bounded rows, its vectors)."""
+    step = _rows_per_slice(widest)
+    for b in batches:
+        for i in range(0, b.num_rows, step):
+            part = b.slice(i, step)
+            yield part, _matrix(part.column("_vec"), d)
+
+
+def _source(df: DataFrame, names: list[str], vec_col: str, *more) -> DataFrame:
+    return df.where(F.col(vec_col).isNotNull()).select(*names, as_double_array(vec_col).alias("_vec"), *more)
 
 
 # ------------------------------------------------------------------ encode
 
-def encode(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_col: str = "vec",
-           k: int | None = None, dead_ids: list | None = None,
-           budget: int = BROADCAST_BUDGET) -> DataFrame:
-    """Codes ``(id, latent_id, act)``: the k strongest entries per vector (E2+E3),
-    or one maximum per group with ``activation='groupmax'`` (E4).
+def encode(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: str = "vec",
+           k: int | None = None, dead=None, budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """Codes ``(id columns, latent_id, act)``: the k strongest entries per vector
+    (E2+E3), or one maximum per group with ``activation='groupmax'`` (E4).
 
-    ``dead_ids`` restricts selection to those entries (auxiliary top-k, E11).
+    ``dead`` (a table or list of ids) restricts selection to those entries (E11).
     """
-    k = dictionary.k if k is None else k
-    spark = df.sparkSession
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    blocks = dictionary.blocks(budget)
-    if dictionary.activation == "groupmax":
-        if len(blocks) > 1:
-            raise ValueError("groupmax needs the whole dictionary in one block; raise the budget")
-        if dictionary.num_latents % k:
-            raise ValueError(f"groupmax needs num_latents ({dictionary.num_latents}) divisible by k ({k})")
-    outs = []
-    for lo, hi in blocks:
-        params = dictionary.collect_block(lo, hi, decoder=False)
-        if dead_ids is not None:
-            params["mask"] = np.isin(params["ids"], np.asarray(dead_ids, dtype=np.int64))
-        bc = spark.sparkContext.broadcast(params)
-        outs.append(src.mapInPandas(_encode_fn(bc, k, dictionary.activation, dictionary.d), CODES_SCHEMA))
-    codes = outs[0]
-    for o in outs[1:]:
-        codes = codes.unionByName(o)
-    if len(outs) > 1:
-        # merge k candidates per block into the global top-k; each id has at
-        # most k * n_blocks candidate rows
-        w = Window.partitionBy("id").orderBy(F.col("act").desc(), F.col("latent_id"))
-        codes = codes.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-    return codes.withColumnRenamed("id", id_col) if id_col != "id" else codes
-
-
-def _encode_fn(bc, k: int, activation: str, d: int):
+    k, names, d = dictionary.k if k is None else k, _names(id_col), dictionary.d
+    total, activation = dictionary.num_latents, dictionary.activation
+    if dead is None and activation == "groupmax" and total % k:
+        raise ValueError(f"group-max needs a number of entries ({total}) that k ({k}) divides")
+    blocks = dictionary.broadcast(budget, dead)
+    widest = min(total, max(1, budget // (max(d, 1) * 16)))
+    only_dead = dead is not None
+
     def run(batches):
-        p = bc.value
-        L = len(p["ids"])
-        step = _rows_per_slice(L)
-        for pdf in batches:
-            if len(pdf) == 0 or L == 0:
-                continue
-            x_all = _vectors(pdf, "vec", d)
-            ids_all = pdf["id"].to_numpy(np.int64)
-            for s in range(0, len(pdf), step):
-                x = x_all[s:s + step]
-                z = pre_activations(x, p)
-                if "mask" in p:
-                    z = np.where(p["mask"][None, :], z, -np.inf)
-                kk = min(k, int(p["mask"].sum())) if "mask" in p else k
-                if kk <= 0:
-                    continue
-                idx = groupmax_indices(z, kk) if activation == "groupmax" else topk_indices(z, kk)
-                acts = np.take_along_axis(z, idx, axis=1)
-                yield pd.DataFrame({"id": np.repeat(ids_all[s:s + step], idx.shape[1]),
-                                    "latent_id": p["ids"][idx].ravel(), "act": acts.ravel()})
-    return run
-
-
-def pre_acts_long(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id",
-                  vec_col: str = "vec") -> DataFrame:
-    """All pre-activations in long form ``(id, latent_id, act)``; rows x L output,
-    meant for small dictionaries and checks."""
-    spark = df.sparkSession
-    _check_one_block(dictionary)
-    params = dictionary.collect_block(*dictionary.blocks(1 << 62)[0], decoder=False)
-    bc = spark.sparkContext.broadcast(params)
-    d = dictionary.d
+        for b, x in _slices(batches, blocks, d, widest):
+            act, ids = strongest(x, blocks, k, dead=True) if only_dead else selected(x, blocks, k, activation, total)
+            rows = pa.array(np.repeat(np.arange(len(x)), ids.shape[1]))
+            yield pa.RecordBatch.from_arrays([*[b.column(n).take(rows) for n in names], pa.array(ids.ravel()),
+                                              pa.array(act.ravel())], [*names, "latent_id", "act"])
+
+    schema = T.StructType([*[df.schema[n] for n in names], T.StructField("latent_id", T.LongType()),
+                           T.StructField("act", T.DoubleType())])
+    return _source(df, names, vec_col).mapInArrow(run, schema)
+
+
+def pre_acts_long(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: str = "vec",
+                  budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """All pre-activations in long form ``(id columns, latent_id, act)`` (E2):
+    one row for each vector and entry, so meant for checks."""
+    names, d = _names(id_col), dictionary.d
+    blocks = dictionary.broadcast(budget)
+    widest = min(dictionary.num_latents, max(1, budget // (max(d, 1) * 16)))
 
     def run(batches):
-        p = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            z = pre_activations(_vectors(pdf, "vec", d), p)
-            yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(np.int64), z.shape[1]),
-                                "latent_id": np.tile(p["ids"], len(pdf)), "act": z.ravel()})
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    return src.mapInPandas(run, CODES_SCHEMA)
-
-
-def topk_long(pre: DataFrame, k: int, id_col: str = "id") -> DataFrame:
+        for b, x in _slices(batches, blocks, d, widest):
+            for p in held_one_by_one(blocks):
+                z = pre_activations(x, p)
+                rows = pa.array(np.repeat(np.arange(len(x)), z.shape[1]))
+                yield pa.RecordBatch.from_arrays([*[b.column(n).take(rows) for n in names],
+                                                  pa.array(np.tile(p["ids"], len(x))), pa.array(z.ravel())],
+                                                 [*names, "latent_id", "act"])
+
+    schema = T.StructType([*[df.schema[n] for n in names], T.StructField("latent_id", T.LongType()),
+                           T.StructField("act", T.DoubleType())])
+    return _source(df, names, vec_col).mapInArrow(run, schema)
+
+
+def topk_long(pre: DataFrame, k: int, id_col="id") -> DataFrame:
     """Relational top-k over long-form activations (E3): rank per vector by
     act desc, latent_id asc. Each group holds one vector's L activations."""
-    w = Window.partitionBy(id_col).orderBy(F.col("act").desc(), F.col("latent_id"))
+    w = Window.partitionBy(*_names(id_col)).orderBy(F.col("act").desc(), F.col("latent_id"))
     return pre.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
 # ------------------------------------------------------------------ decode
 
-def decode(codes: DataFrame, dictionary: SparseDictionary, id_col: str = "id", out: str = "recon",
+def with_entries(codes: DataFrame, dictionary: SparseDictionary, id_col="id",
+                 budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """Codes joined with their entries' decoder rows: broadcast under the
+    budget, else salted, as a few entries may hold most codes."""
+    w = dictionary.entries.select("latent_id", "w_dec")
+    if dictionary.entry_bytes() // 2 <= budget:
+        return codes.join(F.broadcast(w), "latent_id")
+    salted = w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = F.pmod(F.xxhash64(*_names(id_col)), F.lit(SALTS)).cast("int")
+    return codes.withColumn("_salt", own).join(salted, ["latent_id", "_salt"]).drop("_salt")
+
+
+def decode(codes: DataFrame, dictionary: SparseDictionary, id_col="id", out: str = "recon",
            with_bias: bool = True, budget: int = BROADCAST_BUDGET) -> DataFrame:
     """``sum(act * w_dec[latent]) + b_dec`` per vector (E5) as a join + aggregate.
 
     The group per vector holds its k codes, so the array sum is bounded by k.
     """
-    d = dictionary.d
-    w = maybe_broadcast(dictionary.entries.select("latent_id", "w_dec"), dictionary.entry_bytes() // 2, budget)
-    j = codes.join(w, "latent_id")
+    d, names = dictionary.d, _names(id_col)
+    j = with_entries(codes, dictionary, id_col, budget)
     scaled = F.transform("w_dec", lambda v: v * F.col("act"))
     zero = F.array_repeat(F.lit(0.0), d)
     summed = F.aggregate(F.collect_list(scaled), zero, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
-    agg = j.groupBy(id_col).agg(summed.alias("_s"))
+    agg = j.groupBy(*names).agg(summed.alias("_s"))
     if with_bias:
         bias = F.array(*[F.lit(float(b)) for b in dictionary.b_dec])
-        return agg.select(id_col, F.zip_with("_s", bias, lambda a, b: a + b).alias(out))
-    return agg.select(id_col, F.col("_s").alias(out))
+        return agg.select(*names, F.zip_with("_s", bias, lambda a, b: a + b).alias(out))
+    return agg.select(*names, F.col("_s").alias(out))
 
 
-def decode_dense(codes: DataFrame, dictionary: SparseDictionary, id_col: str = "id",
-                 out: str = "recon") -> DataFrame:
-    """Same as :func:`decode`, with the gather-sum done as a matrix product per
-    Arrow batch against the broadcast decoder (codes grouped by vector)."""
-    spark = codes.sparkSession
-    _check_one_block(dictionary)
-    params = dictionary.collect_block(*dictionary.blocks(1 << 62)[0])
-    bc = spark.sparkContext.broadcast(params)
-    grouped = codes.groupBy(id_col).agg(F.collect_list(F.struct("latent_id", "act")).alias("_c"))
+def forward(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: str = "vec",
+            target_col: str | None = None, k: int | None = None, dead=None, multi: int | None = None,
+            skip: bool = True, codes: bool = False, budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """Encode and decode (E6, E7) in one pass per Arrow batch: ``(id columns,
+    target, recon)``; transcoders decode towards ``target_col``.
+
+    ``dead`` adds ``e_hat``, the decoding (with ``b_dec``) of the strongest
+    ``min(d // 2, n_dead)`` dead entries (E11). ``multi`` adds ``multi``, a
+    reconstruction from that many entries without skip term (E12). ``codes``
+    adds ``ids`` and ``acts``, each vector's codes. ``skip`` turns the skip
+    term of ``recon`` off. Rows never leave their partition.
+    """
+    names, d = _names(id_col), dictionary.d
+    k, total, activation = dictionary.k if k is None else k, dictionary.num_latents, dictionary.activation
+    blocks = dictionary.broadcast(budget, dead)
+    n_dead = sum(int(b.value["dead"].sum()) for b in blocks) if dead is not None else 0
+    matrix = dictionary.skip_matrix() if skip else None
+    extra = df.sparkSession.sparkContext.broadcast(matrix) if matrix is not None else None
+    widest = min(total, max(1, budget // (max(d, 1) * 16)))
+    bias = np.asarray(dictionary.b_dec, dtype=np.float64)
+    with_dead = dead is not None
 
     def run(batches):
-        p = bc.value
-        pos = {int(i): r for r, i in enumerate(p["ids"])}
-        for pdf in batches:
-            rows = []
-            for lst in pdf["_c"]:
-                y = p["b_dec"].copy()
-                if len(lst):
-                    rr = np.array([pos[int(e["latent_id"])] for e in lst])
-                    a = np.array([float(e["act"]) for e in lst])
-                    y = y + a @ p["w_dec"][rr]
-                rows.append(y.tolist())
-            yield pd.DataFrame({id_col: pdf[id_col], out: rows})
-    schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField(out, T.ArrayType(T.DoubleType()))])
-    return grouped.mapInPandas(run, schema)
-
-
-def add_skip(df: DataFrame, dictionary: SparseDictionary, vec_col: str, recon_col: str) -> DataFrame:
-    """Linear skip term ``recon + x @ W_skip^T`` (E6); W_skip is d x d driver-side."""
-    if dictionary.w_skip is None:
+        for b, x in _slices(batches, blocks, d, widest):
+            act, ids = selected(x, blocks, k, activation, total)
+            recon = rebuilt(act, ids, blocks, bias)
+            if extra is not None:
+                recon = recon + x @ extra.value.T
+            out = {**{n: b.column(n) for n in names}, "target": b.column("_target"), "recon": _lists(recon)}
+            if with_dead:
+                out["e_hat"] = _lists(rebuilt(*strongest(x, blocks, min(d // 2, n_dead), dead=True), blocks, bias))
+            if multi is not None:
+                out["multi"] = _lists(rebuilt(*selected(x, blocks, multi, activation, total), blocks, bias))
+            if codes:
+                out["ids"], out["acts"] = _lists(ids), _lists(act)
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+    vector = T.ArrayType(T.DoubleType())
+    added = ["target", "recon"] + ["e_hat"] * (dead is not None) + ["multi"] * (multi is not None)
+    schema = T.StructType([*[df.schema[n] for n in names], *[T.StructField(n, vector) for n in added],
+                           *([T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("acts", vector)] if codes else [])])
+    return _source(df, names, vec_col, as_double_array(target_col or vec_col).alias("_target")).mapInArrow(run, schema)
+
+
+def transform(df: DataFrame, dictionary: SparseDictionary, vec_col: str = "vec", enabled: bool = True,
+              budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """``df`` with every vector replaced by its reconstruction (E8); all other
+    columns and the order of columns stay. ``enabled=False`` changes nothing."""
+    if not enabled:
         return df
-    rows = [F.array(*[F.lit(float(v)) for v in r]) for r in dictionary.w_skip]
-    x = as_double_array(vec_col)
-    skip = F.array(*[dot(x, r) for r in rows])
-    return df.withColumn(recon_col, F.zip_with(recon_col, skip, lambda a, b: a + b))
-
+    others = [n for n in df.columns if n != vec_col]
+    out = forward(df, dictionary, others, vec_col, budget=budget)
+    return out.select(*[F.col("recon").alias(n) if n == vec_col else F.col(n) for n in df.columns])
 
-FORWARD_FIELDS = ("target", "recon", "e_hat")
 
-
-def forward_dense(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_col: str = "vec",
-                  target_col: str | None = None, k: int | None = None, dead_ids: list | None = None,
-                  budget: int = BROADCAST_BUDGET) -> DataFrame:
-    """Encode, decode (+ skip) in one pass per Arrow batch: ``(id, target, recon)``.
-
-    Needs the whole dictionary in one checked broadcast block. Rows never
-    leave their partition: no join and no shuffle of vectors or codes. With
-    ``dead_ids`` it also returns ``e_hat``, the decoding (with ``b_dec``) of
-    the top ``k_aux = min(d // 2, n_dead)`` dead entries (E11).
-    """
-    blocks = dictionary.blocks(budget)
-    if len(blocks) != 1:
-        raise ValueError("dictionary exceeds one broadcast block; use forward()")
-    k = dictionary.k if k is None else k
-    d = dictionary.d
-    p = dictionary.collect_block(*blocks[0])
-    if dictionary.w_skip is not None:
-        p["w_skip"] = np.asarray(dictionary.w_skip, dtype=np.float64)
-    if dead_ids is not None:
-        p["mask"] = np.isin(p["ids"], np.asarray(dead_ids, dtype=np.int64))
-        p["k_aux"] = min(d // 2, int(p["mask"].sum()))
-    bc = df.sparkSession.sparkContext.broadcast(p)
-    tgt = target_col or vec_col
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), F.col(tgt).alias("tgt"))
-    fields = [T.StructField("id", T.LongType()), T.StructField("target", T.ArrayType(T.DoubleType())),
-              T.StructField("recon", T.ArrayType(T.DoubleType()))]
-    if dead_ids is not None:
-        fields.append(T.StructField("e_hat", T.ArrayType(T.DoubleType())))
-
-    def run(batches):
-        q = bc.value
-        step = _rows_per_slice(len(q["ids"]))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            xs, ys = _stack(pdf["vec"], d), _stack(pdf["tgt"], d)
-            for s in range(0, len(xs), step):
-                x, y = xs[s:s + step], ys[s:s + step]
-                z = pre_activations(x, q)
-                idx = topk_indices(z, k)
-                acts = np.take_along_axis(z, idx, axis=1)
-                recon = q["b_dec"] + np.einsum("nk,nkd->nd", acts, q["w_dec"][idx])
-                if "w_skip" in q:
-                    recon = recon + x @ q["w_skip"].T
-                out = {"id": pdf["id"].to_numpy(np.int64)[s:s + step], "target": list(y), "recon": list(recon)}
-                if "mask" in q:
-                    if q["k_aux"] > 0:
-                        za = np.where(q["mask"][None, :], z, -np.inf)
-                        ia = topk_indices(za, q["k_aux"])
-                        aa = np.take_along_axis(za, ia, axis=1)
-                        out["e_hat"] = list(q["b_dec"] + np.einsum("nk,nkd->nd", aa, q["w_dec"][ia]))
-                    else:
-                        out["e_hat"] = [q["b_dec"]] * len(x)
-                yield pd.DataFrame(out)
-    out = src.mapInPandas(run, T.StructType(fields))
-    return out.withColumnRenamed("id", id_col) if id_col != "id" else out
-
-
-def forward(df: DataFrame, dictionary: SparseDictionary, id_col: str = "id", vec_col: str = "vec",
-            target_col: str | None = None, k: int | None = None, codes: DataFrame | None = None,
-            budget: int = BROADCAST_BUDGET) -> DataFrame:
-    """Encode + decode (+ skip) per vector: ``(id, target, recon)``; transcoders
-    decode towards ``target_col`` (E7).
-
-    A dictionary that fits one broadcast block runs :func:`forward_dense`
-    (no shuffle). Otherwise, or when ``codes`` are given, codes are decoded
-    by the join-based :func:`decode` and joined back to the vectors.
-    """
-    if codes is None and len(dictionary.blocks(budget)) == 1:
-        return forward_dense(df, dictionary, id_col, vec_col, target_col, k, budget=budget)
-    if codes is None:
-        codes = encode(df, dictionary, id_col, vec_col, k=k)
-    rec = decode(codes, dictionary, id_col)
-    keep = [id_col, vec_col] + ([target_col] if target_col and target_col != vec_col else [])
-    j = df.select(*keep).join(rec, id_col, "left")
-    zero = F.array_repeat(F.lit(0.0), dictionary.d)
-    bias = F.array(*[F.lit(float(b)) for b in dictionary.b_dec])
-    # a vector with no positive pre-activation decodes to the bias alone
-    j = j.withColumn("recon", F.coalesce("recon", F.zip_with(zero, bias, lambda a, b: a + b)))
-    j = add_skip(j, dictionary, vec_col, "recon")
-    tgt = target_col or vec_col
-    return j.select(id_col, as_double_array(tgt).alias("target"), "recon")
+def pair(inputs: DataFrame, targets: DataFrame, keys, vec_col: str = "vec", target_col: str = "target") -> DataFrame:
+    """Inputs with their targets (E7): an equi-join on ``keys``. An input
+    without a target keeps a null one, and has no part in losses."""
+    keys = _names(keys)
+    return inputs.join(targets.select(*keys, F.col(vec_col).alias(target_col)), keys, "left")
 
 
 # ------------------------------------------------------------------ losses
@@ -445,47 +456,45 @@ def recon_mse(df: DataFrame, y: str = "target", y_hat: str = "recon") -> DataFra
     return df.agg((F.sum(sq_error(y, y_hat)) / F.sum(F.size(c(y)))).alias("mse"))
 
 
-def auxk_loss(df: DataFrame, dictionary: SparseDictionary, dead_ids: list, id_col: str = "id",
-              vec_col: str = "vec", fw: DataFrame | None = None, budget: int = BROADCAST_BUDGET) -> DataFrame:
-    """Auxiliary loss on dead entries.
+def auxk_loss(df: DataFrame, dictionary: SparseDictionary, dead, id_col="id", vec_col: str = "vec",
+              budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """Auxiliary loss on dead entries (E11): one row ``(auxk, n_dead)``; 0 when
+    nothing is dead.
 
-    With ``n_dead > 0``: ``k_aux = min(d // 2, n_dead)``, ``scale = min(n_dead / (d // 2), 1)``;
-    the top-k_aux dead entries decode (with ``b_dec``) towards the residual
-    ``e = y - recon``; loss ``scale * sum((e_hat - e)^2) / total_variance``.
-    Returns one row ``(auxk, n_dead)``; 0 when nothing is dead.
+    The strongest dead entries should reconstruct what the others leave over:
+    the squared error of ``e_hat`` against ``target - recon``, relative to the
+    total variance, weighted by the dead share of half the width (at most 1).
     """
-    d = dictionary.d
-    n_dead = len(dead_ids)
-    half = d // 2
-    if n_dead == 0:
-        src = fw if fw is not None else df
-        return src.agg(F.lit(0.0).alias("auxk"), F.lit(0).cast("bigint").alias("n_dead"))
-    k_aux = min(half, n_dead)
-    scale = min(n_dead / half, 1.0)
-    if len(dictionary.blocks(budget)) == 1:
-        # one pass: main and auxiliary reconstructions in the same Arrow batch
-        j = forward_dense(df, dictionary, id_col, vec_col, dead_ids=dead_ids, budget=budget)
-        x = j.select("target", "e_hat", vsub("target", "recon").alias("e"))
-        return _ratio_row(x, scale, n_dead)
-    if fw is None:
-        fw = forward(df, dictionary, id_col, vec_col, budget=budget)
-    aux_codes = encode(df, dictionary, id_col, vec_col, k=k_aux, dead_ids=dead_ids, budget=budget)
-    aux = decode(aux_codes, dictionary, id_col, out="e_hat", budget=budget)
-    j = fw.join(aux, id_col, "left").withColumn(
-        "e_hat", F.coalesce("e_hat", F.array(*[F.lit(float(b)) for b in dictionary.b_dec])))
-    e = vsub("target", "recon")
-    x = j.select(id_col, "target", "e_hat", e.alias("e"))
-    return _ratio_row(x, scale, n_dead)
-
-
-def _ratio_row(x: DataFrame, scale: float, n_dead: int) -> DataFrame:
-    """``scale * sum((e_hat - e)^2) / total_variance(target)`` in one aggregation."""
-    z = x.select(F.posexplode(F.arrays_zip(F.col("target").alias("y"), F.col("e").alias("e"),
-                                           F.col("e_hat").alias("h"))).alias("pos", "z"))
-    per_pos = z.groupBy("pos").agg((F.var_pop("z.y") * F.count("z.y")).alias("_tv"),
-                                   F.sum((F.col("z.h") - F.col("z.e")) ** 2).alias("_se"))
-    return per_pos.agg((F.lit(scale) * F.sum("_se") / F.sum("_tv")).alias("auxk"),
-                       F.lit(n_dead).cast("bigint").alias("n_dead"))
+    return losses(df, dictionary, id_col, vec_col, dead=dead, budget=budget).select("auxk", "n_dead")
+
+
+def losses(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: str = "vec", target_col: str | None = None,
+           dead=None, multi: int | None = None, auxk_alpha: float = 0.0, budget: int = BROADCAST_BUDGET) -> DataFrame:
+    """One row ``(fvu, auxk, multi_fvu, total, n_dead)`` from one pass over the
+    vectors (E13): ``total = fvu + auxk_alpha * auxk + multi_fvu / 8``."""
+    fw = forward(df, dictionary, id_col, vec_col, target_col, dead=dead, multi=multi, budget=budget)
+    half = dictionary.d // 2
+    if dead is None:
+        n_dead = 0
+    else:
+        ids = dead.select("latent_id").distinct() if isinstance(dead, DataFrame) else None
+        n_dead = (dictionary.entries.join(ids, "latent_id", "left_semi") if ids is not None else
+                  dictionary.entries.where(F.col("latent_id").isin([int(i) for i in dead]) if len(dead) else F.lit(False))).count()
+    arrays = [F.col("target").alias("y"), F.col("recon").alias("h")]
+    arrays += [F.col("e_hat").alias("a")] if dead is not None else []
+    arrays += [F.col("multi").alias("m")] if multi is not None else []
+    z = fw.where(F.col("target").isNotNull()).select(F.posexplode(F.arrays_zip(*arrays)).alias("pos", "z"))
+    y, h = F.col("z.y"), F.col("z.h")
+    aux = F.sum((F.col("z.a") - (y - h)) ** 2) if n_dead else F.lit(0.0)
+    per_pos = z.groupBy("pos").agg((F.var_pop(y) * F.count(y)).alias("tv"), F.sum((y - h) ** 2).alias("se"), aux.alias("sa"),
+                                   (F.sum((y - F.col("z.m")) ** 2) if multi is not None else F.lit(0.0)).alias("sm"))
+    t = per_pos.agg(F.sum("tv").alias("tv"), *[F.sum(n).alias(n) for n in ("se", "sa", "sm")])
+    weight = min(n_dead / half, 1.0) if half else 0.0
+    # without rows there is no variance, and nothing dead costs nothing
+    aux_loss = F.lit(weight) * F.col("sa") / F.col("tv") if n_dead else F.lit(0.0)
+    return t.select((F.col("se") / F.col("tv")).alias("fvu"), aux_loss.alias("auxk"),
+                    (F.col("sm") / F.col("tv")).alias("multi_fvu"), F.lit(n_dead).cast("bigint").alias("n_dead")).withColumn(
+        "total", F.col("fvu") + F.lit(auxk_alpha) * F.col("auxk") + F.col("multi_fvu") / 8)
 
 
 # ------------------------------------------------------------------ row-wise vector ops
@@ -525,11 +534,12 @@ def latent_usage(codes: DataFrame) -> DataFrame:
     """Entry usage histogram ordered by count desc with running start offsets.
 
     The count per entry is a partial aggregation (hot entries combine
-    map-side); the ordering window runs over one row per entry.
+    map-side); offsets are two-level running sums over range partitions.
     """
+    from tessera.operators.positions import prefix_sum
     cnt = codes.groupBy("latent_id").agg(F.count(F.lit(1)).alias("n_codes"))
-    w = Window.orderBy(F.col("n_codes").desc(), F.col("latent_id")).rowsBetween(Window.unboundedPreceding, -1)
-    return cnt.withColumn("start", F.coalesce(F.sum("n_codes").over(w), F.lit(0)).cast("bigint"))
+    return prefix_sum(cnt, [F.col("n_codes").desc(), F.col("latent_id")], "n_codes", out="start", inclusive=False).select(
+        "latent_id", "n_codes", F.col("start").cast("bigint").alias("start"))
 
 
 def latent_index(codes: DataFrame, id_col: str = "id") -> DataFrame:
@@ -563,6 +573,5 @@ def latent_grad(codes: DataFrame, grad: DataFrame, d: int, id_col: str = "id",
 def code_grad(codes: DataFrame, grad: DataFrame, dictionary: SparseDictionary, id_col: str = "id",
               grad_col: str = "grad", budget: int = BROADCAST_BUDGET) -> DataFrame:
     """Per code ``grad_row . w_dec[latent]`` (E17, activation gradient)."""
-    w = maybe_broadcast(dictionary.entries.select("latent_id", "w_dec"), dictionary.entry_bytes() // 2, budget)
-    j = codes.join(grad.select(id_col, as_double_array(grad_col).alias("_g")), id_col).join(w, "latent_id")
+    j = with_entries(codes.join(grad.select(id_col, as_double_array(grad_col).alias("_g")), id_col), dictionary, id_col, budget)
     return j.select(id_col, "latent_id", dot("_g", "w_dec").alias("grad_act"))

@@ -295,6 +295,8 @@ def fvu_of(err: str = "err") -> str:
 
 ORACLE["encode_topk"] = f"WITH {vec_ctes()} SELECT vec_id, latent_id, round(act, 6) AS act FROM codes"
 ORACLE["encode_groupmax"] = f"WITH {vec_ctes(groupmax=True)} SELECT vec_id, latent_id, round(act, 6) AS act FROM codes"
+ORACLE["forward_groupmax"] = f"WITH {vec_ctes(groupmax=True)} SELECT vec_id, {list_md5('h')} AS recon_md5 FROM recon GROUP BY vec_id"
+ORACLE["pre_activations"] = f"WITH {vec_ctes()} SELECT vec_id, latent_id, round(act, 6) AS act FROM pre"
 ORACLE["decode"] = f"WITH {vec_ctes()} SELECT vec_id, {list_md5('h')} AS recon_md5 FROM recon GROUP BY vec_id"
 ORACLE["recon_mse"] = f"WITH {vec_ctes()} SELECT round(avg((y - h) * (y - h)), 6) AS mse FROM err"
 ORACLE["fvu"] = f"""WITH {vec_ctes()},
@@ -345,26 +347,28 @@ _TC = vec_ctes(transcode=True, data="xin").replace(
 _TC = _TC.replace("JOIN xin AS data USING (vec_id))", "JOIN yt AS data USING (vec_id))")
 ORACLE["transcode_pair"] = f"""WITH {_TC},
 pp AS (SELECT var_pop(y) * count(y) AS tv, sum((y - h) * (y - h)) AS se, count(*) AS n FROM err GROUP BY p)
-SELECT round(sum(se) / sum(tv), 6) AS fvu, CAST(max(n) AS BIGINT) AS n_pairs FROM pp"""
+SELECT round(sum(se) / sum(tv), 6) AS fvu, CAST(max(n) AS BIGINT) AS n_pairs, (SELECT count(*) FROM xin) AS n_inputs FROM pp"""
 
 ORACLE["reconstruct"] = f"""WITH {vec_ctes()}
 SELECT r.vec_id, any_value(data.label) AS label, {list_md5('r.h', 'r.p')} AS vec_md5
 FROM recon r JOIN data USING (vec_id) GROUP BY r.vec_id"""
 
 ORACLE["unit_rows"] = f"""
-WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < {fx.DICT_ROWS}),
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 u AS (SELECT vec_id, list_transform(v, lambda x: x / (sqrt(list_sum(list_transform(v, lambda y: y * y))) + {_EPS})) AS w FROM e),
 x AS (SELECT vec_id, unnest(w) AS z, generate_subscripts(w, 1) AS p FROM u)
-SELECT vec_id AS latent_id, round(sqrt(sum(z * z)), 6) AS norm, {list_md5('z')} AS w_md5 FROM x GROUP BY vec_id"""
+SELECT vec_id, round(sqrt(sum(z * z)), 6) AS norm, {list_md5('z')} AS w_md5 FROM x GROUP BY vec_id"""
 
-ORACLE["remove_parallel"] = f"""WITH {vec_ctes()},
-j AS (SELECT dict.latent_id, data.v AS g, dict.w_dec AS w FROM data JOIN dict ON dict.latent_id = data.vec_id - {fx.DICT_ROWS}),
-x AS (SELECT latent_id, unnest(g) AS gi, unnest(w) AS wi, generate_subscripts(g, 1) AS p,
+ORACLE["remove_parallel"] = f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+j AS (SELECT e.vec_id, coalesce(n.v, list_transform(e.v, lambda x: x * 0)) AS g,
+             list_transform(e.v, lambda x: x / (sqrt(list_sum(list_transform(e.v, lambda y: y * y))) + {_EPS})) AS w
+      FROM e LEFT JOIN e n ON n.vec_id = e.vec_id + 1),
+x AS (SELECT vec_id, unnest(g) AS gi, unnest(w) AS wi, generate_subscripts(g, 1) AS p,
              list_inner_product(g, w) AS gw FROM j)
-SELECT latent_id, {list_md5('gi - gw * wi')} AS g_md5 FROM x GROUP BY latent_id"""
+SELECT vec_id, {list_md5('gi - gw * wi')} AS g_md5 FROM x GROUP BY vec_id"""
 
 ORACLE["mean_vector"] = f"""
-WITH d AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= {fx.DICT_ROWS}),
+WITH d AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 x AS (SELECT label, unnest(v) AS z, generate_subscripts(v, 1) AS p FROM d),
 m AS (SELECT label, p, avg(z) AS mz, count(*) AS n FROM x GROUP BY label, p)
 SELECT label, {list_md5('mz')} AS mean_md5, max(n) AS n_rows FROM m GROUP BY label"""
@@ -427,13 +431,13 @@ SELECT round(sum(list_sum(list_transform(generate_series(1, len(lp)), lambda i:
              / count(DISTINCT batch), 6) AS kl FROM j"""
 
 _NORM = f"""nrm AS (SELECT sqrt(sum(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda z: z * z)))) AS norm
-               FROM embeddings WHERE vec_id >= {fx.DICT_ROWS})"""
+               FROM embeddings)"""
 ORACLE["global_norm"] = f"""WITH {_NORM}
 SELECT round(norm, 6) AS norm, round(least(1.0, {q.MAX_NORM} / (norm + 1e-6)), 6) AS clip_coef FROM nrm"""
 
 ORACLE["clip_vectors"] = f"""WITH {_NORM},
 x AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS z, generate_subscripts(embedding, 1) AS p
-      FROM embeddings WHERE vec_id >= {fx.DICT_ROWS})
+      FROM embeddings)
 SELECT vec_id, {list_md5('z * least(1.0, ' + str(q.MAX_NORM) + ' / (nrm.norm + 1e-6))')} AS vec_md5
 FROM x, nrm GROUP BY vec_id"""
 
@@ -532,9 +536,8 @@ UNION ALL SELECT 'user' AS metric, count(*) AS n, round(sum(CAST(user_id AS DOUB
 ORACLE["stream_since_fired"] = ORACLE["tokens_since_fired"]
 
 ORACLE["flatten_vectors"] = f"""
-WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= {fx.DICT_ROWS}),
-s AS (SELECT a.vec_id // 2 AS sample_id, [a.v, b.v] AS seq FROM v a JOIN v b ON b.vec_id = a.vec_id + 1
-      WHERE a.vec_id % 2 = 0),
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT vec_id // 2 AS sample_id, list(v ORDER BY vec_id) AS seq FROM v GROUP BY vec_id // 2),
 f AS (SELECT sample_id, unnest(seq) AS vec, generate_subscripts(seq, 1) - 1 AS pos FROM s),
 x AS (SELECT sample_id, pos, unnest(vec) AS z, generate_subscripts(vec, 1) AS p FROM f)
 SELECT sample_id, CAST(pos AS BIGINT) AS pos, {list_md5('z')} AS vec_md5 FROM x GROUP BY sample_id, pos"""
@@ -545,3 +548,62 @@ ORACLE["layers_explicit"] = f"""WITH {NAMES},
 s AS (SELECT name FROM names
       WHERE CAST(regexp_extract(name, 'layers\\.(\\d+)', 1) AS BIGINT) IN ({', '.join(str(v) for v in q.EXPLICIT_LAYERS)}))
 SELECT name, row_number() OVER (ORDER BY {NATURAL}) AS rank FROM s"""
+
+
+# ============================================================== E19-E20
+
+
+def _fit_step(n: int, batch: str, final: bool) -> str:
+    """Forward pass of step ``n`` on its batch and, unless it is the last one,
+    the sign update (element by element) that makes the parameters of the next."""
+    x = f"""
+x{n} AS (SELECT vec_id, v FROM numbered WHERE batch = {batch}),
+pre{n} AS (SELECT x.vec_id, e.latent_id, greatest(list_inner_product(list_transform(generate_series(1, len(x.v)),
+           lambda i: x.v[i] - b.b[i]), e.w_enc) + e.b_enc, 0.0) AS act FROM x{n} x, e{n} e, b{n} b),
+codes{n} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, latent_id) AS r FROM pre{n})
+             WHERE r <= {fx.K}),
+w{n} AS (SELECT latent_id, unnest(w_enc) AS we, unnest(w_dec) AS wd, generate_subscripts(w_dec, 1) AS p FROM e{n}),
+recon{n} AS (SELECT c.vec_id, w.p, sum(c.act * w.wd) + any_value(b.b[w.p]) AS h FROM codes{n} c JOIN w{n} w USING (latent_id), b{n} b
+             GROUP BY c.vec_id, w.p),
+err{n} AS (SELECT r.vec_id, r.p, r.h, x.v[r.p] AS y, x.v[r.p] - b.b[r.p] AS xc FROM recon{n} r JOIN x{n} x USING (vec_id), b{n} b),
+fvu{n} AS (SELECT sum(se) / sum(tv) AS fvu, max(n) AS n FROM (SELECT sum((h - y) * (h - y)) AS se, var_pop(y) * count(*) AS tv,
+           count(*) AS n FROM err{n} GROUP BY p)),
+hit{n} AS (SELECT DISTINCT latent_id FROM codes{n})"""
+    if final:
+        return x
+    return x + f""",
+slope{n} AS (SELECT c.vec_id, c.latent_id, CASE WHEN any_value(c.act) > 0 THEN sum(2 * (e.h - e.y) * w.wd) ELSE 0 END AS s
+             FROM codes{n} c JOIN err{n} e USING (vec_id) JOIN w{n} w ON w.latent_id = c.latent_id AND w.p = e.p
+             GROUP BY c.vec_id, c.latent_id),
+g{n} AS (SELECT c.latent_id, e.p, sum(c.act * 2 * (e.h - e.y)) AS gd, sum(s.s * e.xc) AS ge FROM codes{n} c
+         JOIN err{n} e USING (vec_id) JOIN slope{n} s ON s.vec_id = c.vec_id AND s.latent_id = c.latent_id GROUP BY c.latent_id, e.p),
+along{n} AS (SELECT latent_id, sum(gd * wd) AS a FROM g{n} JOIN w{n} USING (latent_id, p) GROUP BY latent_id),
+moved{n} AS (SELECT w.latent_id, w.p, w.we - {q.FIT_LR} * sign(coalesce(g.ge, 0)) AS we,
+             w.wd - {q.FIT_LR} * sign(coalesce(g.gd - a.a * w.wd, 0)) AS wd
+             FROM w{n} w LEFT JOIN g{n} g USING (latent_id, p) LEFT JOIN along{n} a USING (latent_id)),
+norm{n} AS (SELECT latent_id, sqrt(sum(wd * wd)) + {_EPS} AS z FROM moved{n} GROUP BY latent_id),
+eb{n} AS (SELECT latent_id, sum(s) AS g FROM slope{n} GROUP BY latent_id),
+e{n + 1} AS (SELECT m.latent_id, list(m.we ORDER BY m.p) AS w_enc, list(m.wd / z.z ORDER BY m.p) AS w_dec,
+             any_value(e.b_enc) - {q.FIT_LR} * sign(coalesce(any_value(b.g), 0)) AS b_enc
+             FROM moved{n} m JOIN norm{n} z USING (latent_id) JOIN e{n} e USING (latent_id) LEFT JOIN eb{n} b USING (latent_id)
+             GROUP BY m.latent_id),
+gb{n} AS (SELECT p, sum(g) AS g FROM (SELECT p, 2 * (h - y) AS g FROM err{n} UNION ALL
+          SELECT w.p, -s.s * w.we FROM slope{n} s JOIN w{n} w USING (latent_id)) GROUP BY p),
+b{n + 1} AS (SELECT list(b.b[gb.p] - {q.FIT_LR} * sign(gb.g) ORDER BY gb.p) AS b FROM gb{n} gb, b{n} b)"""
+
+
+_FIT = f"""WITH {vec_ctes()},
+numbered AS (SELECT vec_id, v, (row_number() OVER (ORDER BY vec_id) - 1) // CAST(ceil(count(*) OVER () / {q.FIT_BATCHES}.0) AS BIGINT) AS batch
+             FROM data),
+e0 AS (SELECT latent_id, w_enc, b_enc, list_transform(w_dec, lambda x: x / (sqrt(list_sum(list_transform(w_dec, lambda y: y * y))) + {_EPS})) AS w_dec
+       FROM dict),
+b0 AS (SELECT b FROM bdec),{_fit_step(0, "0", False)},{_fit_step(1, "1", True)},
+since AS (SELECT d.latent_id, CASE WHEN h0.latent_id IS NULL THEN f0.n ELSE 0 END AS s0,
+          CASE WHEN h1.latent_id IS NOT NULL THEN 0 WHEN h0.latent_id IS NULL THEN f0.n + f1.n ELSE f1.n END AS s1
+          FROM dict d LEFT JOIN hit0 h0 USING (latent_id) LEFT JOIN hit1 h1 ON h1.latent_id = d.latent_id, fvu0 f0, fvu1 f1),
+told AS (SELECT 0 AS step, fvu, n, (SELECT avg(CASE WHEN s0 > {q.DEAD_THRESHOLD} THEN 1.0 ELSE 0 END) FROM since) AS dead FROM fvu0
+         UNION ALL SELECT 1, fvu, n, (SELECT avg(CASE WHEN s1 > {q.DEAD_THRESHOLD} THEN 1.0 ELSE 0 END) FROM since) FROM fvu1)
+SELECT CAST(step AS BIGINT) AS step, CAST({fx.K} AS BIGINT) AS k, round(fvu, 6) AS fvu, round(dead, 6) AS dead_pct,
+       CAST(n AS BIGINT) AS n_rows FROM told"""
+ORACLE["fit_dictionary"] = _FIT
+ORACLE["fit_resume"] = _FIT + " WHERE step = 1"

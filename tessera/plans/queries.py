@@ -323,6 +323,20 @@ def encode_groupmax(spark, d):
     return codes.select("vec_id", "latent_id", _r6(F.col("act"), "act"))
 
 
+@query("forward_groupmax")
+def forward_groupmax(spark, d):
+    from tessera.functions.columns import array_md5
+    _, _, fw = _fw(spark, d, activation="groupmax")
+    return fw.select("vec_id", array_md5("recon").alias("recon_md5"))
+
+
+@query("pre_activations")
+def pre_activations(spark, d):
+    from tessera.operators import sparse as sp
+    pre = sp.pre_acts_long(fx.data_vectors(spark, d), fx.dictionary(spark, d), "vec_id", "vec")
+    return pre.select("vec_id", "latent_id", _r6(F.col("act"), "act"))
+
+
 @query("decode")
 def decode(spark, d):
     from tessera.functions.columns import array_md5
@@ -357,22 +371,20 @@ def fvu_by_step(spark, d):
 @query("fvu_multi")
 def fvu_multi(spark, d):
     from tessera.operators import sparse as sp
-    _, _, fw = _fw(spark, d, k=4 * fx.K)
-    return sp.fvu(fw).select(_r6(F.col("fvu"), "multi_fvu"))
+    D = fx.dictionary(spark, d)
+    return sp.losses(fx.data_vectors(spark, d), D, "vec_id", "vec", multi=4 * D.k).select(_r6(F.col("multi_fvu"), "multi_fvu"))
 
 
-def _dead_ids(D):
-    # the fixture's dead set (a third of the entries), not a sample of the data
-    ids = D.entries.select("latent_id").where(F.col("latent_id") % DEAD_EVERY == 0)
-    # bounded by the dictionary size
-    return [r["latent_id"] for r in ids.collect()]
+def _dead(D):
+    # the fixture's dead set: every third entry
+    return D.entries.select("latent_id").where(F.col("latent_id") % DEAD_EVERY == 0)
 
 
 @query("auxk")
 def auxk(spark, d):
     from tessera.operators import sparse as sp
     D = fx.dictionary(spark, d)
-    a = sp.auxk_loss(fx.data_vectors(spark, d), D, _dead_ids(D), "vec_id", "vec")
+    a = sp.auxk_loss(fx.data_vectors(spark, d), D, _dead(D), "vec_id", "vec")
     return a.select(_r6(F.col("auxk"), "auxk"), "n_dead")
 
 
@@ -380,27 +392,18 @@ def auxk(spark, d):
 def total_loss(spark, d):
     from tessera.operators import sparse as sp
     D = fx.dictionary(spark, d)
-    data = fx.data_vectors(spark, d)
-    fw = sp.forward(data, D, "vec_id", "vec")
-    # three one-row results combined by a union and a conditional aggregate (no join)
-    parts = (sp.fvu(fw).select(F.lit("fvu").alias("term"), F.col("fvu").alias("v"))
-             .unionByName(sp.fvu(sp.forward(data, D, "vec_id", "vec", k=4 * D.k))
-                          .select(F.lit("multi").alias("term"), F.col("fvu").alias("v")))
-             .unionByName(sp.auxk_loss(data, D, _dead_ids(D), "vec_id", "vec", fw=fw)
-                          .select(F.lit("auxk").alias("term"), F.col("auxk").alias("v"))))
-    t = parts.agg(*[F.max(F.when(F.col("term") == n, F.col("v"))).alias(n) for n in ("fvu", "multi", "auxk")])
-    return t.select(_r6(F.col("fvu"), "fvu"), _r6(F.col("auxk"), "auxk"), _r6(F.col("multi"), "multi_fvu"),
-                    _r6(F.col("fvu") + F.lit(AUXK_ALPHA) * F.col("auxk") + F.col("multi") / 8, "total"))
+    t = sp.losses(fx.data_vectors(spark, d), D, "vec_id", "vec", dead=_dead(D), multi=4 * D.k, auxk_alpha=AUXK_ALPHA)
+    return t.select(*[_r6(F.col(n), n) for n in ("fvu", "auxk", "multi_fvu", "total")])
 
 
 @query("skip_decode")
 def skip_decode(spark, d):
-    from tessera.functions.columns import array_md5
+    from tessera.functions.columns import array_md5, vscale
     from tessera.operators import sparse as sp
     D = fx.dictionary(spark, d)
-    # d x d parameter (bounded by the vector width)
-    rows = D.entries.orderBy("latent_id").select("w_enc").limit(D.d).collect()
-    D.w_skip = [[SKIP_SCALE * v for v in r["w_enc"]] for r in rows]
+    # the skip matrix is a table of d rows (entry ids 0 to d - 1 of the fixture)
+    D.w_skip = D.entries.where(F.col("latent_id") < D.d).select(
+        F.col("latent_id").alias("row"), vscale("w_enc", SKIP_SCALE).alias("w"))
     fw = sp.forward(fx.data_vectors(spark, d), D, "vec_id", "vec")
     return fw.select("vec_id", array_md5("recon").alias("recon_md5"))
 
@@ -410,22 +413,27 @@ def transcode_pair(spark, d):
     from tessera.operators import sparse as sp
     D = fx.dictionary(spark, d, transcode=True)
     data = fx.data_vectors(spark, d).withColumn("sample_id", F.floor(F.col("vec_id") / 2).cast("bigint"))
-    # every vector is used: even ids are inputs, the next odd id is the target
-    inputs = data.where(F.col("vec_id") % 2 == 0).select("sample_id", F.col("vec").alias("x"))
-    targets = data.where(F.col("vec_id") % 2 == 1).select("sample_id", F.col("vec").alias("y"))
-    pairs_ = inputs.join(targets, "sample_id")
-    fw = sp.forward(pairs_, D, "sample_id", "x", target_col="y")
-    return sp.fvu(fw).select(_r6(F.col("fvu"), "fvu"), (F.col("n_elements") / D.d).cast("bigint").alias("n_pairs"))
+    # even ids are inputs, the next odd id is the target
+    pairs_ = sp.pair(data.where(F.col("vec_id") % 2 == 0).select("sample_id", "vec"),
+                     data.where(F.col("vec_id") % 2 == 1).select("sample_id", "vec"), "sample_id")
+    t = sp.losses(pairs_, D, "sample_id", "vec", "target")
+    return _with_counts(t, pairs_)
+
+
+def _with_counts(t, pairs_):
+    """One-row results side by side: a union and a conditional aggregate, no join."""
+    rows = (t.select(F.lit("fvu").alias("term"), F.round("fvu", 6).alias("v"))
+            .unionByName(pairs_.agg(F.count("target").cast("double").alias("v")).withColumn("term", F.lit("n_pairs")))
+            .unionByName(pairs_.agg(F.count(F.lit(1)).cast("double").alias("v")).withColumn("term", F.lit("n_inputs"))))
+    return rows.agg(F.max(F.when(F.col("term") == "fvu", F.col("v"))).alias("fvu"),
+                    *[F.max(F.when(F.col("term") == n, F.col("v"))).cast("bigint").alias(n) for n in ("n_pairs", "n_inputs")])
 
 
 @query("reconstruct")
 def reconstruct(spark, d):
     from tessera.functions.columns import array_md5
     from tessera.operators import sparse as sp
-    D = fx.dictionary(spark, d)
-    data = fx.data_vectors(spark, d)
-    fw = sp.forward(data, D, "vec_id", "vec")
-    out = data.drop("vec").join(fw.select("vec_id", F.col("recon").alias("vec")), "vec_id")
+    out = sp.transform(fx.data_vectors(spark, d), fx.dictionary(spark, d), "vec")
     return out.select("vec_id", "label", array_md5("vec").alias("vec_md5"))
 
 
@@ -433,26 +441,26 @@ def reconstruct(spark, d):
 def unit_rows(spark, d):
     from tessera.functions.columns import array_md5, l2_norm
     from tessera.operators import sparse as sp
-    rows = fx.embedding_vectors(spark, d).where(F.col("vec_id") < fx.DICT_ROWS)
-    u = sp.normalize_rows(rows, "vec", out="w")
-    return u.select(F.col("vec_id").alias("latent_id"), _r6(l2_norm("w"), "norm"), array_md5("w").alias("w_md5"))
+    u = sp.normalize_rows(fx.embedding_vectors(spark, d), "vec", out="w")
+    return u.select("vec_id", _r6(l2_norm("w"), "norm"), array_md5("w").alias("w_md5"))
 
 
 @query("remove_parallel")
 def remove_parallel(spark, d):
     from tessera.functions.columns import array_md5
     from tessera.operators import sparse as sp
-    D = fx.dictionary(spark, d)
-    g = fx.data_vectors(spark, d).select((F.col("vec_id") - fx.DICT_ROWS).alias("latent_id"), F.col("vec").alias("g"))
-    j = g.join(D.entries.select("latent_id", "w_dec"), "latent_id")
-    return sp.remove_parallel(j, "g", "w_dec").select("latent_id", array_md5("g").alias("g_md5"))
+    # every vector's own direction as weight, its successor (if any) as gradient
+    rows = sp.normalize_rows(fx.embedding_vectors(spark, d), "vec", out="w").select("vec_id", "w")
+    grads = fx.embedding_vectors(spark, d).select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec").alias("g"))
+    j = rows.join(grads, "vec_id", "left").withColumn("g", F.coalesce("g", F.transform("w", lambda v: v * 0)))
+    return sp.remove_parallel(j, "g", "w").select("vec_id", array_md5("g").alias("g_md5"))
 
 
 @query("mean_vector")
 def mean_vector(spark, d):
     from tessera.functions.columns import array_md5
     from tessera.operators import sparse as sp
-    m = sp.mean_vector(fx.data_vectors(spark, d), "vec", by="label")
+    m = sp.mean_vector(fx.embedding_vectors(spark, d), "vec", by="label")
     return m.select("label", array_md5("mean").alias("mean_md5"), "n_rows")
 
 
@@ -477,11 +485,12 @@ def latent_usage(spark, d):
 
 
 def _residual(spark, d):
-    """Dictionary, codes and per-vector residual ``y - recon`` from one encoding."""
+    """Dictionary, codes and per-vector residual ``y - recon`` from one pass."""
     from tessera.functions.columns import vsub
     from tessera.operators import sparse as sp
-    D, codes = _codes(spark, d)
-    fw = sp.forward(fx.data_vectors(spark, d), D, "vec_id", "vec", codes=codes)
+    D = fx.dictionary(spark, d)
+    fw = sp.forward(fx.data_vectors(spark, d), D, "vec_id", "vec", codes=True)
+    codes = fw.select("vec_id", F.inline(F.arrays_zip(F.col("ids").alias("latent_id"), F.col("acts").alias("act"))))
     return D, codes, fw.select("vec_id", vsub("target", "recon").alias("grad"))
 
 
@@ -569,7 +578,7 @@ def kl(spark, d):
 @query("global_norm")
 def global_norm(spark, d):
     from tessera.operators import metrics as mt
-    n = mt.global_norm(fx.data_vectors(spark, d), "vec")
+    n = mt.global_norm(fx.embedding_vectors(spark, d), "vec")
     return n.select(_r6(F.col("norm"), "norm"), _r6(mt.clip_coefficient("norm", MAX_NORM), "clip_coef"))
 
 
@@ -577,7 +586,7 @@ def global_norm(spark, d):
 def clip_vectors(spark, d):
     from tessera.functions.columns import array_md5
     from tessera.operators import metrics as mt
-    c_ = mt.clip(fx.data_vectors(spark, d), "vec", MAX_NORM)
+    c_ = mt.clip(fx.embedding_vectors(spark, d), "vec", MAX_NORM)
     return c_.select("vec_id", array_md5("vec").alias("vec_md5"))
 
 
@@ -751,10 +760,20 @@ def stream_since_fired(spark, d):
     return since_fired_from_state(state, D.entries, hl.total_tokens(steps))
 
 
-# ============================================================== E19-E21: fitting (no SQL oracle)
+# ============================================================== E19-E21: fitting
 
-FIT_LATENTS, FIT_K, FIT_BATCH = 64, 4, 64
-RESUME_AT = 3
+FIT_BATCHES, FIT_LR = 2, 0.01
+
+
+def _fit_batch(data):
+    """Rows per mini-batch: half of all vectors."""
+    return -(-data.count() // FIT_BATCHES)
+
+
+def _estimator(data, **more):
+    from tessera.operators.fit import SparseDictionaryEstimator
+    return SparseDictionaryEstimator(fx.DICT_ROWS, fx.K, batch_size=_fit_batch(data), lr=FIT_LR,
+                                     dead_threshold=DEAD_THRESHOLD, **more)
 
 
 def _fit_metrics(m):
@@ -763,25 +782,23 @@ def _fit_metrics(m):
 
 @query("fit_dictionary")
 def fit_dictionary(spark, d):
-    from tessera.operators.fit import SparseDictionaryEstimator
-    est = SparseDictionaryEstimator(FIT_LATENTS, FIT_K, batch_size=FIT_BATCH, dead_threshold=DEAD_THRESHOLD)
-    return _fit_metrics(est.fit(fx.data_vectors(spark, d), "vec_id", "vec").metrics)
+    """Two steps from the fixture dictionary, each over half of all vectors."""
+    data = fx.data_vectors(spark, d)
+    return _fit_metrics(_estimator(data).fit(data, "vec_id", "vec", init=fx.dictionary(spark, d)).metrics)
 
 
 @query("fit_resume")
 def fit_resume(spark, d):
-    """Fit, stop after a few steps, store the dictionary, reload it and resume."""
-    from tessera.operators.fit import SparseDictionaryEstimator
+    """The second of these steps by another estimator, from the stored dictionary and counters."""
     from tessera.sources.dictionary_store import read_dictionary, write_dictionary
+    from tessera.sources.state_store import read_latent_state, write_latent_state
     data = fx.data_vectors(spark, d)
-    first = SparseDictionaryEstimator(FIT_LATENTS, FIT_K, batch_size=FIT_BATCH, dead_threshold=DEAD_THRESHOLD)
-    head_rows = data.where(F.col("vec_id") < fx.DICT_ROWS + RESUME_AT * FIT_BATCH)
-    res = first.fit(head_rows, "vec_id", "vec")
-    path = _scratch(spark, "fit-dicts")
-    write_dictionary(res.dictionary, path, "layers.0.mlp", RESUME_AT)
-    stored = read_dictionary(spark, path, "layers.0.mlp")
-    again = SparseDictionaryEstimator(FIT_LATENTS, FIT_K, batch_size=FIT_BATCH, dead_threshold=DEAD_THRESHOLD)
-    return _fit_metrics(again.fit(data, "vec_id", "vec", init=stored, start_step=RESUME_AT).metrics)
+    res = _estimator(data).fit(data, "vec_id", "vec", init=fx.dictionary(spark, d), stop_step=1)
+    path, state = _scratch(spark, "fit-dicts"), _scratch(spark, "fit-state")
+    write_dictionary(res.dictionary, path, "layers.0.mlp", 1)
+    write_latent_state(res.since_fired.withColumn("hookpoint", F.lit("layers.0.mlp")), state, writer=0)
+    stored, since = read_dictionary(spark, path, "layers.0.mlp"), read_latent_state(spark, state, ["layers.0.mlp"])
+    return _fit_metrics(_estimator(data).fit(data, "vec_id", "vec", init=stored, init_since=since, start_step=1).metrics)
 
 
 @query("fit_many")
@@ -789,23 +806,19 @@ def fit_many(spark, d):
     from tessera.operators.fit import fit_many as run
     data = fx.data_vectors(spark, d).withColumn("hookpoint", F.concat(F.lit("layers."), (F.col("label") % 2)
                                                                       .cast("string"), F.lit(".mlp")))
-    m = run(data, "hookpoint", [0, 1], dict(num_latents=FIT_LATENTS, k=FIT_K, batch_size=FIT_BATCH,
+    m = run(data, "hookpoint", [0, 1], dict(num_latents=fx.DICT_ROWS, k=fx.K, batch_size=_fit_batch(data), lr=FIT_LR,
                                             dead_threshold=DEAD_THRESHOLD), "vec_id", "vec")
     return m.select("hookpoint", "seed", "step", "k", _r6(F.col("fvu"), "fvu"))
 
 
 @query("flatten_vectors")
 def flatten_vectors(spark, d):
-    """Sequences of two consecutive vectors per sample, flattened to one row per position."""
+    """Sequences of the vectors of two consecutive ids (one, if the other is absent), flattened to one row per position."""
     from tessera.functions.columns import array_md5
     from tessera.operators import sparse as sp
-    v = fx.data_vectors(spark, d)
-    # every vector is used: consecutive ids form two-step sequences
-    even = v.where(F.col("vec_id") % 2 == 0).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"),
-                                                    F.col("vec").alias("v0"))
-    odd = v.where(F.col("vec_id") % 2 == 1).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"),
-                                                   F.col("vec").alias("v1"))
-    seqs = even.join(odd, "sample_id").select("sample_id", F.array("v0", "v1").alias("seq"))
+    v = fx.embedding_vectors(spark, d).select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("sample_id"), "vec_id", "vec")
+    seqs = v.groupBy("sample_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "vec"))),
+                                                  lambda x: x["vec"]).alias("seq"))
     flat = sp.flatten_vectors(seqs, "seq", "sample_id")
     return flat.select("sample_id", F.col("pos").cast("bigint").alias("pos"), array_md5("vec").alias("vec_md5"))
 

@@ -39,7 +39,7 @@ def write_dictionary(D: SparseDictionary, path: str, hookpoint: str, step: int)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("hookpoint", "checkpoint").parquet(f"{path}/entries"))
         cfg = [(hookpoint, ckpt, D.d, D.num_latents, D.k, D.transcode, D.activation,
-                [float(v) for v in D.b_dec], D.w_skip)]
+                [float(v) for v in D.b_dec], None if D.w_skip is None else D.skip_matrix().tolist())]
         (spark.createDataFrame(cfg, CONFIG_SCHEMA).coalesce(1)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("hookpoint", "checkpoint").json(f"{path}/config"))
@@ -56,9 +56,11 @@ def read_dictionary(spark: SparkSession, path: str, hookpoint: str, checkpoint:
     """Load one dictionary (A7); a missing config is an error; unknown config fields are ignored."""
     cfg_rows = (spark.read.schema(CONFIG_SCHEMA).json(f"{path}/config")
                 .where((F.col("hookpoint") == hookpoint) & (F.col("checkpoint") == checkpoint))
-                .select(*CONFIG_FIELDS).limit(1).collect())
+                .select(*CONFIG_FIELDS).limit(2).collect())
     if not cfg_rows:
         raise FileNotFoundError(f"no config for hookpoint {hookpoint!r} checkpoint {checkpoint!r} under {path}")
+    if len(cfg_rows) > 1:
+        raise ValueError(f"more than one config for hookpoint {hookpoint!r} checkpoint {checkpoint!r} under {path}")
     cfg = cfg_rows[0].asDict()
     cols = ["latent_id", "w_enc", "b_enc"] + (["w_dec"] if decoder else [])
     entries = (spark.read.parquet(f"{path}/entries")

@@ -1,49 +1,70 @@
-"""The estimator's closed-form gradient against finite differences, and
-that a small learning rate lowers the reconstruction error."""
+"""The estimator's gradient against finite differences, equal results for
+any number of blocks, resuming with counters, and that fitting lowers the error."""
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from tessera.operators import fit as ft
-from tessera.operators.sparse import pre_activations, topk_indices
-
-
-class _BC:
-    def __init__(self, v):
-        self.value = v
+from tessera.operators import sparse as sp
 
 
 def sse(p, x):
-    z = pre_activations(x, p)
-    idx = topk_indices(z, p["k"])
+    z = sp.pre_activations(x, p)
+    idx = sp.topk_indices(z, p["k"])
     acts = np.take_along_axis(z, idx, 1)
     y = p["b_dec"] + np.einsum("nk,nkd->nd", acts, p["w_dec"][idx])
     return float(((y - x) ** 2).sum())
 
 
-def test_gradient_matches_finite_differences():
+@pytest.mark.parametrize("budget", [1 << 30, 12 * 5 * 16 // 4])
+def test_gradient_matches_finite_differences(spark, budget):
     rng = np.random.default_rng(0)
     L, d, n = 12, 5, 9
-    p = {"ids": np.arange(L), "w_enc": rng.normal(size=(L, d)), "b_enc": rng.normal(size=L) * 0.1,
+    p = {"w_enc": rng.normal(size=(L, d)), "b_enc": rng.normal(size=L) * 0.1,
          "w_dec": rng.normal(size=(L, d)), "b_dec": rng.normal(size=d) * 0.1, "transcode": False, "k": 3}
     x = rng.normal(size=(n, d))
-    out = next(ft._grad_fn(_BC(p), d)([pd.DataFrame({"vec": list(x)})]))
-    stats = out[out.latent_id == ft.STATS_ROW].iloc[0]
-    assert stats["sse"] == pytest.approx(sse(p, x))
-    g = {int(r.latent_id): r for r in out.itertuples() if r.latent_id != ft.STATS_ROW}
+    entries = spark.createDataFrame([(i, p["w_enc"][i].tolist(), float(p["b_enc"][i]), p["w_dec"][i].tolist()) for i in range(L)],
+                                    "latent_id bigint, w_enc array<double>, b_enc double, w_dec array<double>")
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "vec array<double>")
+    rows = {r["latent_id"]: r for r in ft.gradient(df, sp.SparseDictionary(entries, p["b_dec"].tolist(), 3), 3, budget).collect()}
+    assert rows[ft.BIAS_ROW]["g_be"] == pytest.approx(sse(p, x)) and rows[ft.ROWS_ROW]["g_be"] == n
+    np.testing.assert_allclose(rows[ft.BIAS_ROW]["g_wd"], x.sum(0))
+    np.testing.assert_allclose(rows[ft.ROWS_ROW]["g_wd"], (x * x).sum(0))
     eps = 1e-6
-    for name, key, pick in [("w_enc", "g_we", lambda r, j: r.g_we[j]), ("w_dec", "g_wd", lambda r, j: r.g_wd[j])]:
-        for l in list(g)[:3]:
-            for j in range(d):
-                q = {**p, name: p[name].copy()}
-                q[name][l, j] += eps
-                num = (sse(q, x) - sse(p, x)) / eps
-                assert pick(g[l], j) == pytest.approx(num, rel=1e-3, abs=1e-4)
+
+    def slope(name, at):
+        q = {**p, name: p[name].copy()}
+        q[name][at] += eps
+        return (sse(q, x) - sse(p, x)) / eps
+    entry_ids = [i for i in rows if i >= 0]
+    assert len(entry_ids) > 3
+    for l in entry_ids[:4]:
+        assert rows[l]["g_be"] == pytest.approx(slope("b_enc", l), rel=1e-3, abs=1e-4)
+        for j in range(d):
+            assert rows[l]["g_we"][j] == pytest.approx(slope("w_enc", (l, j)), rel=1e-3, abs=1e-4)
+            assert rows[l]["g_wd"][j] == pytest.approx(slope("w_dec", (l, j)), rel=1e-3, abs=1e-4)
     for j in range(d):
-        q = {**p, "b_dec": p["b_dec"].copy()}
-        q["b_dec"][j] += eps
-        assert stats["g_wd"][j] == pytest.approx((sse(q, x) - sse(p, x)) / eps, rel=1e-3, abs=1e-4)
+        assert rows[ft.BIAS_ROW]["g_we"][j] == pytest.approx(slope("b_dec", j), rel=1e-3, abs=1e-4)
+
+
+def test_annealed_k():
+    assert [ft.annealed_k(s, 10, 4, 4) for s in range(6)] == [10, 8, 7, 6, 4, 4]  # 8.5 and 5.5 go to even
+    assert ft.annealed_k(0, 10, 4, 0) == 4
+
+
+def test_resumed_fit_equals_uninterrupted_one(spark):
+    x = np.random.default_rng(4).normal(size=(120, 6))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+    args = dict(num_latents=32, k=2, batch_size=40, lr=5e-3, dead_threshold=50)
+    whole = ft.SparseDictionaryEstimator(**args).fit(df)
+    half = ft.SparseDictionaryEstimator(**args).fit(df, stop_step=1)
+    rest = ft.SparseDictionaryEstimator(**args).fit(df, init=half.dictionary, init_since=half.since_fired, start_step=1)
+    a, b = ({r["step"]: r for r in m.collect()} for m in (whole.metrics, rest.metrics))
+    assert sorted(b) == [1, 2] and any(a[s]["dead_pct"] > 0 for s in b)
+    for s in b:
+        assert b[s]["fvu"] == pytest.approx(a[s]["fvu"], rel=1e-9) and b[s]["dead_pct"] == a[s]["dead_pct"]
+    since = [{r["latent_id"]: r["tokens_since_fired"] for r in m.since_fired.collect()} for m in (whole, rest)]
+    assert since[0] == since[1]
 
 
 def test_small_learning_rate_lowers_fvu(spark):

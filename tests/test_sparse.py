@@ -17,15 +17,16 @@ def make_dict(spark, L, d, k, seed=0, b_dec=None):
 
 
 @pytest.mark.parametrize("d", [48, 64])
-def test_decode_join_equals_dense(spark, d):
+def test_decode_join_equals_numpy(spark, d):
     D, _ = make_dict(spark, 128, d, 10, seed=d)
     rng = np.random.default_rng(1)
     codes = [(s, int(l), float(rng.uniform())) for s in range(2) for l in rng.choice(128, 10, replace=False)]
     cdf = spark.createDataFrame(codes, "id long, latent_id long, act double")
-    a = {r["id"]: np.array(r["recon"]) for r in sp.decode(cdf, D).collect()}
-    b = {r["id"]: np.array(r["recon"]) for r in sp.decode_dense(cdf, D).collect()}
-    for s in a:
-        np.testing.assert_allclose(a[s], b[s], rtol=1e-10, atol=1e-12)
+    w = np.array([r["w_dec"] for r in D.entries.orderBy("latent_id").collect()])
+    for budget in (sp.BROADCAST_BUDGET, 1):  # broadcast, and salted join
+        got = {r["id"]: np.array(r["recon"]) for r in sp.decode(cdf, D, budget=budget).collect()}
+        for s in range(2):
+            np.testing.assert_allclose(got[s], sum(a * w[l] for i, l, a in codes if i == s), rtol=1e-10, atol=1e-12)
 
 
 def test_encode_matches_numpy_and_blocks_agree(spark):
@@ -48,15 +49,6 @@ def test_topk_ties_prefer_lowest_index():
     assert sp.topk_indices(np.zeros((1, 5)), 3).tolist() == [[0, 1, 2]]
 
 
-def test_groupmax_matches_numpy():
-    rng = np.random.default_rng(5)
-    z = rng.normal(size=(30, 16))
-    idx = sp.groupmax_indices(z, 4)
-    for i in range(30):
-        for g in range(4):
-            assert idx[i, g] == g * 4 + int(np.argmax(z[i, g * 4:(g + 1) * 4]))
-
-
 def test_zero_norm_row_stays_finite(spark):
     df = spark.createDataFrame([(0, [0.0, 0.0]), (1, [3.0, 4.0])], "id long, w array<double>")
     got = {r["id"]: r["w"] for r in sp.normalize_rows(df, "w").collect()}
@@ -71,22 +63,68 @@ def test_auxk_without_dead_entries_is_zero(spark):
     assert r["auxk"] == 0.0 and r["n_dead"] == 0
 
 
-def test_one_pass_forward_equals_blocked_join_path(spark):
+@pytest.mark.parametrize("activation", ["topk", "groupmax"])
+@pytest.mark.parametrize("skip", [False, True])
+def test_one_block_equals_many(spark, activation, skip):
     L, d, k = 24, 6, 3
-    D, _ = make_dict(spark, L, d, k, seed=9, b_dec=[0.05] * d)
+    D, w = make_dict(spark, L, d, k, seed=9, b_dec=[0.05] * d)
+    D.activation = activation
     rng = np.random.default_rng(8)
+    m = rng.normal(size=(d, d))
+    if skip:
+        D.w_skip = spark.createDataFrame([(i, m[i].tolist()) for i in range(d)], "row int, w array<double>")
     x = rng.normal(size=(40, d))
+    rows = [(f"s{i // 4}", i % 4, x[i].tolist()) for i in range(len(x))] + [("none", 0, None)]
+    df = spark.createDataFrame(rows, "sample string, pos int, vec array<double>")
+    small, keys = L * d * 16 // 5, ["sample", "pos"]
+    assert len(D.blocks(small)) > 4
+    unit = w / np.linalg.norm(w, axis=1, keepdims=True)
+    z = np.maximum((x - 0.05) @ w.T, 0)
+    for budget in (sp.BROADCAST_BUDGET, small, 1):
+        fw = {(r["sample"], r["pos"]): r for r in sp.forward(
+            df, D, keys, dead=[0, 3, 6, 9], multi=12, codes=True, budget=budget).collect()}
+        assert len(fw) == 40
+        codes = {}
+        for r in sp.encode(df, D, keys, budget=budget).collect():
+            codes.setdefault((r["sample"], r["pos"]), []).append(r["latent_id"])
+        for i in range(40):
+            r = fw[f"s{i // 4}", i % 4]
+            if activation == "topk":
+                best, more = np.argsort(-z[i], kind="stable")[:k], np.argsort(-z[i], kind="stable")[:12]
+            else:
+                best, more = ([g + int(np.argmax(z[i, g:g + n])) for g in range(0, L, n)] for n in (L // k, 2))
+            assert sorted(codes[f"s{i // 4}", i % 4]) == sorted(best) == sorted(r["ids"])
+            np.testing.assert_allclose(r["recon"], 0.05 + z[i, best] @ unit[best] + (x[i] @ m.T if skip else 0), atol=1e-9)
+            np.testing.assert_allclose(r["multi"], 0.05 + z[i, more] @ unit[more], atol=1e-9)
+            dead = np.array([0, 3, 6, 9])
+            dead = dead[np.argsort(-z[i, dead], kind="stable")[:3]]
+            np.testing.assert_allclose(r["e_hat"], 0.05 + z[i, dead] @ unit[dead], atol=1e-9)
+
+
+def test_losses_do_not_depend_on_the_number_of_blocks(spark):
+    L, d = 24, 6
+    D, _ = make_dict(spark, L, d, 3, seed=9, b_dec=[0.05] * d)
+    x = np.random.default_rng(8).normal(size=(40, d))
     df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
-    small = L * d * 16 // 4
-    assert len(D.blocks(small)) > 1
-    dense = {r["id"]: np.array(r["recon"]) for r in sp.forward(df, D).collect()}
-    joined = {r["id"]: np.array(r["recon"]) for r in sp.forward(df, D, budget=small).collect()}
-    for i in dense:
-        np.testing.assert_allclose(dense[i], joined[i], rtol=1e-9, atol=1e-12)
-    dead = [i for i in range(L) if i % 3 == 0]
-    a = sp.auxk_loss(df, D, dead).first()["auxk"]
-    b = sp.auxk_loss(df, D, dead, budget=small).first()["auxk"]
-    assert a == pytest.approx(b, rel=1e-9)
+    dead = D.entries.where("latent_id % 3 = 0").select("latent_id")
+    a, b = (sp.losses(df, D, dead=dead, multi=12, auxk_alpha=0.1, budget=n).first() for n in (1 << 30, 400))
+    for n in ("fvu", "auxk", "multi_fvu", "total"):
+        assert a[n] == pytest.approx(b[n], rel=1e-9) and a[n] > 0
+    assert a["n_dead"] == b["n_dead"] == 8
+
+
+def test_transform_keeps_columns_and_can_be_off(spark):
+    D, _ = make_dict(spark, 8, 4, 2)
+    df = spark.createDataFrame([("a", [1.0, 0.0, 2.0, 0.0], 7)], "name string, vec array<double>, label int")
+    out = sp.transform(df, D)
+    assert out.columns == df.columns and out.first()["name"] == "a" and out.first()["label"] == 7
+    assert out.first()["vec"] != df.first()["vec"] and sp.transform(df, D, enabled=False).first() == df.first()
+
+
+def test_pair_keeps_inputs_without_target(spark):
+    a = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "k int, vec array<double>")
+    b = spark.createDataFrame([(1, [3.0])], "k int, vec array<double>")
+    assert {r["k"]: r["target"] for r in sp.pair(a, b, "k").collect()} == {1: [3.0], 2: None}
 
 
 def test_blocks_are_bounded_for_clustered_ids(spark):
@@ -117,5 +155,5 @@ def test_groupmax_requires_divisible_k(spark):
     D, _ = make_dict(spark, 10, 4, 3)
     D.activation = "groupmax"
     df = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0])], "id long, vec array<double>")
-    with pytest.raises(ValueError, match="divisible"):
+    with pytest.raises(ValueError, match="divides"):
         sp.encode(df, D)
