@@ -6,10 +6,8 @@ from tessera.functions.columns import (  # noqa: F401
     l2_norm,
     matches_any_glob,
     natural_sort_keys,
-    round_array,
     seeded_hash,
     sq_norm,
-    vadd,
     vscale,
     vsub,
     whitespace_tokens,

@@ -91,14 +91,17 @@ def matches_any_glob(col, patterns) -> Column:
 
 
 def natural_sort_keys(col) -> list[Column]:
-    """Sort keys that order digit runs numerically (``layers.2`` < ``layers.10``).
+    """Sort keys in which text and number pieces of a name are compared in
+    turn (``layers.2`` < ``layers.10``, ``layers.0.mlp.3`` < ``layers.0.self``).
 
-    Key 1: the text before the first digit; key 2: the digit runs as an array
-    of bigints (arrays compare element-wise); key 3: the name itself.
+    Key 1: an array of (text, the number after it) pairs; key 2: the name
+    itself, for names that differ in leading zeros only.
     """
     name = c(col)
-    digits = F.transform(F.regexp_extract_all(name, F.lit(r"(\d+)"), 1), lambda x: x.cast("bigint"))
-    return [F.regexp_replace(name, r"\d.*$", ""), digits, name]
+    numbers = F.regexp_extract_all(name, F.lit(r"([0-9]+)"), 1)
+    pairs = F.transform(F.split(name, "[0-9]+", -1), lambda text, i: F.struct(
+        text.alias("text"), F.get(numbers, i).cast("decimal(38,0)").alias("number")))
+    return [pairs, name]
 
 
 # ---------------------------------------------------------------- vectors
@@ -123,10 +126,6 @@ def vsub(a, b) -> Column:
     return F.zip_with(c(a), c(b), lambda x, y: x - y)
 
 
-def vadd(a, b) -> Column:
-    return F.zip_with(c(a), c(b), lambda x, y: x + y)
-
-
 def _per_element(a, s) -> Column:
     """Repeat a per-row scalar to the array's length.
 
@@ -148,10 +147,6 @@ def vshift(a, s) -> Column:
     return F.zip_with(c(a), _per_element(a, s), lambda x, y: x - y)
 
 
-def round_array(a, digits: int = 6) -> Column:
-    return F.transform(c(a), lambda x: F.round(x, digits))
-
-
 def fixed6(x) -> Column:
     """A number rounded to 6 decimals as text (``-0`` prints as ``0.000000``)."""
     return F.round(c(x), 6).cast("decimal(18,6)").cast("string")

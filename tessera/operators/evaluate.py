@@ -1,10 +1,20 @@
 """Answer extraction, scoring and accuracy (H1-H4).
 
 The upstream evaluation harness compares answers symbolically; this is a
-bounded subset expressed with built-in string functions: the first
-``\\boxed{...}`` content, else the last number; choice letters after
-``Answer:``; numeric equality at a fixed number of decimals, else exact
-string equality.
+bounded subset expressed with built-in string functions.
+
+* Predictions: the content of the first ``\\boxed{...}`` (braces nested up to
+  ``DEPTH`` deep), else the last number or fraction.
+* Gold of the ``latex`` kind may be a whole solution: the first boxed
+  content, else the last ``$...$``, else the last number or fraction, else
+  the text. Gold of the ``expr`` kind: the last number or fraction, else the
+  text.
+* Letters: after ``Answer:``, else the last letter A to D that stands alone.
+
+Two answers are equal when both are numbers (strict decimals, grouped
+digits, or fractions of them, also ``\\frac``) that agree at a number of
+decimals, or when their normalised texts are. An item's score is the largest
+over its gold and predicted answers.
 """
 
 from __future__ import annotations
@@ -14,39 +24,115 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
 
+DEPTH = 5
+
+
+def _braced(depth: int, own: str) -> str:
+    """Text with balanced braces; ``own``: the loops' mark against giving back."""
+    plain = rf"[^{{}}]*{own}"
+    return plain if depth == 0 else rf"{plain}(?:\{{{_braced(depth - 1, own)}\}}{plain})*{own}"
+
+
 # Extraction patterns.
-BOXED = r"\\boxed\{([^{}]*)\}"
-NUMBER = r"(-?[0-9]+(?:\.[0-9]+)?)"
+BOXED = rf"\\boxed\s*\{{({_braced(DEPTH, '+')})\}}"
+MATH = r"\$([^$]+)\$"
+NUMBER = (r"(-?\\d?frac\{-?[0-9]+\}\{[0-9]+\}|-?[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?"
+          r"|-?[0-9]+(?:\.[0-9]+)?(?:/[0-9]+)?)")
 LETTER = r"Answer:\s*\$?\(?([A-D])\b"
 BARE_LETTER = r"\b([A-D])\b"
 
-# The tasks the evaluation script runs.
+# The tasks the evaluation script runs, and the kind of gold that each task's metric reads.
 RUN_TASKS = ("aime24", "aime25", "amc23", "math_500", "minerva", "gpqa:diamond")
+TASK_KINDS = {"aime24": "expr", "aime25": "expr", "amc23": "expr", "math_500": "latex", "minerva": "latex",
+              "olympiadbench": "latex", "gpqa:diamond": "letter"}
+KINDS = ("latex", "expr", "letter")
+
+
+def task_kind(task) -> Column:
+    """The kind of a task's metric (null for an unknown task)."""
+    return F.create_map(*[F.lit(x) for pair in TASK_KINDS.items() for x in pair])[c(task)]
+
+
+def _last(text, pattern: str) -> Column:
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), 1), F.lit(-1))
+
+
+def _first(text, pattern: str) -> Column:
+    """First match, null if none (an empty one is a match)."""
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
 
 
 def extract_answer(col, kind: str = "latex") -> Column:
-    """Extract the answer span (H1). ``kind``: ``latex`` / ``expr`` (boxed
-    first, then the last number) or ``letter``."""
+    """The answer of a prediction (H1). Both math kinds read predictions alike."""
     text = c(col)
     if kind in ("latex", "expr"):
-        boxed = F.regexp_extract(text, BOXED, 1)
-        last = F.try_element_at(F.regexp_extract_all(text, F.lit(NUMBER), 1), F.lit(-1))
-        return F.when(boxed != "", F.trim(boxed)).otherwise(last)
+        return F.trim(F.coalesce(_first(text, BOXED), _last(text, NUMBER)))
     if kind == "letter":
-        tagged = F.regexp_extract(text, LETTER, 1)
-        bare = F.try_element_at(F.regexp_extract_all(text, F.lit(BARE_LETTER), 1), F.lit(-1))
-        return F.when(tagged != "", tagged).otherwise(bare)
+        return F.coalesce(_first(text, LETTER), _last(text, BARE_LETTER))
     raise ValueError(f"unknown answer kind {kind}")
 
 
-def score(pred, gold, precision: int = 5) -> Column:
-    """1 when prediction equals gold: numerically at ``precision`` decimals when
-    both parse as numbers, else as trimmed strings; 0 otherwise (H2)."""
-    p, g = c(pred), c(gold)
-    pn, gn = p.try_cast("double"), g.try_cast("double")
-    num_eq = F.round(pn, precision) == F.round(gn, precision)
-    eq = F.when(pn.isNotNull() & gn.isNotNull(), num_eq).otherwise(F.trim(p) == F.trim(g))
-    return F.coalesce(eq, F.lit(False)).cast("int")
+def extract_gold(col, kind: str = "latex") -> Column:
+    """The answer of a gold text (H1)."""
+    text = c(col)
+    if kind == "latex":
+        return F.trim(F.coalesce(_first(text, BOXED), _last(text, MATH), _last(text, NUMBER), text))
+    if kind == "expr":
+        return F.trim(F.coalesce(_last(text, NUMBER), text))
+    if kind == "letter":
+        return F.coalesce(_first(text, LETTER), _last(text, BARE_LETTER))
+    raise ValueError(f"unknown answer kind {kind}")
+
+
+def by_kind(kind, extract, col) -> Column:
+    """``extract`` of the kind that a row's column names."""
+    return F.coalesce(*[F.when(c(kind) == k, extract(col, k)) for k in KINDS])
+
+
+def normalised(col) -> Column:
+    """An answer without markup that doesn't change it."""
+    x = F.regexp_replace(c(col), r"\\(?:left|right|!|,|;|\s)|\$|\s+", "")
+    x = F.regexp_replace(x, r"\\[dt]frac", r"\\frac")
+    x = F.regexp_replace(x, r"\\(?:text|mathrm|mbox)\{([^{}]*)\}", "$1")
+    x = F.regexp_replace(x, r"\\%|%$|\.$", "")
+    return F.when(x.rlike(r"^[-+]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"), F.regexp_replace(x, ",", "")).otherwise(x)
+
+
+_PLAIN = r"^[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+_RATIO = r"^([-+]?[0-9]+)/([0-9]+)$"
+_FRAC = r"^([-+]?)\\frac\{([-+]?[0-9]+)\}\{([0-9]+)\}$"
+
+
+def number(col) -> Column:
+    """The value of a normalised answer that is a number, else null."""
+    x = c(col)
+
+    def ratio(top, bottom):
+        low = bottom.cast("double")
+        return F.when(low != 0, top.cast("double") / low)
+
+    frac = ratio(F.regexp_extract(x, _FRAC, 2), F.regexp_extract(x, _FRAC, 3))
+    return (F.when(x.rlike(_PLAIN), x.cast("double"))
+            .when(x.rlike(_RATIO), ratio(F.regexp_extract(x, _RATIO, 1), F.regexp_extract(x, _RATIO, 2)))
+            .when(x.rlike(_FRAC), F.when(F.regexp_extract(x, _FRAC, 1) == "-", -frac).otherwise(frac)))
+
+
+def with_score(df: DataFrame, pred: str = "pred", gold: str = "gold", out: str = "score", precision: int = 5) -> DataFrame:
+    """``df`` with 1 where an answer of ``pred`` equals one of ``gold``, else 0
+    (H2). Both are answers or arrays of answers; each is normalised and read
+    as a number once."""
+    def read(name):
+        one = c(name) if df.schema[name].dataType.typeName() == "array" else F.array(c(name))
+        texts = F.transform(one, lambda x: normalised(x))
+        return F.transform(texts, lambda x: F.struct(x.alias("text"), F.round(number(x), precision).alias("value")))
+
+    def equal(p, g):
+        both = p["value"].isNotNull() & g["value"].isNotNull()
+        return F.coalesce(F.when(both, p["value"] == g["value"]).otherwise(p["text"] == g["text"]), F.lit(False))
+
+    t = df.withColumn("_p", read(pred)).withColumn("_g", read(gold))
+    hit = F.exists("_g", lambda g: F.exists("_p", lambda p: equal(p, g)))
+    return t.withColumn(out, F.coalesce(hit, F.lit(False)).cast("int")).drop("_p", "_g")
 
 
 def accuracy(df: DataFrame, by=("task", "checkpoint"), score_col: str = "score") -> DataFrame:

@@ -226,8 +226,10 @@ def render_reasoning_chat_array(messages, bos: str = "", add_generation_prompt:
     assistant message without content open a calls block; tool outputs form
     an output block closed by the next assistant text or at the end.
 
-    Default: every calls block is closed after the last call of its message
-    and the first-call/first-output flags reset per message.
+    Default: every calls block is closed after the last call of its message,
+    an output block before the next user, call or text message, and the
+    first-call/first-output flags reset per message. A null content of a user
+    or tool message is empty.
     ``compat=True`` reproduces the literal upstream template text instead
     (block closed only from the second call on; flags never reset).
     """
@@ -239,6 +241,8 @@ def render_reasoning_chat_array(messages, bos: str = "", add_generation_prompt:
 
     def step(acc, m):
         role, content = m["role"], m["content"]
+        said = F.coalesce(content, F.lit(""))
+        close = F.lit("") if compat else F.when(acc["is_tool"], F.lit(R_OUTPUTS_END)).otherwise(F.lit(""))
         calls = F.coalesce(m["tool_calls"], F.array().cast(
             "array<struct<type:string,name:string,arguments:string>>"))
         if compat:
@@ -263,13 +267,13 @@ def render_reasoning_chat_array(messages, bos: str = "", add_generation_prompt:
         is_text = (role == "assistant") & content.isNotNull()
         is_out = role == "tool"
         out_first = acc["out_first"] if compat else F.when(~acc["is_tool"], F.lit(True)).otherwise(acc["out_first"])
-        piece = (F.when(is_user, F.concat(F.lit(R_USER), content))
-                 .when(is_call, calls_out)
+        piece = (F.when(is_user, F.concat(close, F.lit(R_USER), said))
+                 .when(is_call, F.when(calls_out != "", F.concat(close, calls_out)).otherwise(close))
                  .when(is_text & acc["is_tool"], F.concat(F.lit(R_OUTPUTS_END), content, F.lit(R_EOS)))
                  .when(is_text, F.concat(F.lit(R_ASSISTANT), content, F.lit(R_EOS)))
-                 .when(is_out & out_first, F.concat(F.lit(R_OUTPUTS_BEGIN + R_OUTPUT_BEGIN), content,
+                 .when(is_out & out_first, F.concat(F.lit(R_OUTPUTS_BEGIN + R_OUTPUT_BEGIN), said,
                                                     F.lit(R_OUTPUT_END)))
-                 .when(is_out, F.concat(F.lit("\n" + R_OUTPUT_BEGIN), content, F.lit(R_OUTPUT_END)))
+                 .when(is_out, F.concat(F.lit("\n" + R_OUTPUT_BEGIN), said, F.lit(R_OUTPUT_END)))
                  .otherwise(F.lit("")))
         is_tool = F.when(is_out, F.lit(True)).when(is_user | is_call | is_text, F.lit(False)).otherwise(acc["is_tool"])
         return F.struct(F.concat(acc["text"], piece).alias("text"), is_tool.alias("is_tool"),
@@ -286,60 +290,19 @@ def render_reasoning_chat_array(messages, bos: str = "", add_generation_prompt:
 def render_reasoning_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
                           content: str = "text", tool_calls: str | None = None, bos: str = "",
                           add_generation_prompt: bool = False, out: str = "chat") -> DataFrame:
-    """Reasoning chat rendering (C9) of long-form messages, without building
-    message arrays.
-
-    A message's text depends only on whether the latest earlier user,
-    assistant or tool message was a tool output. That turn comes from a
-    two-level prefix maximum (a long conversation spreads over many range
-    partitions) and an equi-join on ``(key, turn)``; the hoisted system text
-    and the closing tail are partial aggregates. Pieces are rendered before
-    the final per-conversation concatenation, which is the output row.
-    Matches :func:`render_reasoning_chat_array` (default mode).
-    """
-    from tessera.operators.positions import max_before
-    calls = F.col(tool_calls) if tool_calls else F.lit(None).cast(
-        "array<struct<type:string,name:string,arguments:string>>")
-    base = df.select(F.col(key).alias("_k"), F.col(order).alias("_o"), F.col(role).alias("_role"),
-                     F.col(content).alias("_c"), calls.alias("_calls"))
-    relevant = F.col("_role").isin("user", "assistant", "tool")
-    prev = max_before(base.withColumn("_rel", F.when(relevant, F.col("_o"))), "_k", ["_o"], "_rel", "_prev")
-    tool_turns = base.where(F.col("_role") == "tool").select("_k", F.col("_o").alias("_prev"),
-                                                             F.lit(True).alias("_prev_tool"))
-    x = prev.join(tool_turns, ["_k", "_prev"], "left").withColumn(
-        "_prev_tool", F.coalesce("_prev_tool", F.lit(False)))
-    role_, c_, pt = F.col("_role"), F.col("_c"), F.col("_prev_tool")
-    calls_ = F.coalesce(F.col("_calls"), F.array().cast("array<struct<type:string,name:string,arguments:string>>"))
-    joined = F.array_join(F.transform(calls_, lambda t: F.concat(F.lit(R_CALL_BEGIN), _tool_call_text(t))), "\n")
-    piece = (F.when(role_ == "user", F.concat(F.lit(R_USER), c_))
-             .when((role_ == "assistant") & c_.isNull(),
-                   F.when(F.size(calls_) > 0, F.concat(F.lit(R_ASSISTANT + R_CALLS_BEGIN), joined,
-                                                       F.lit(R_CALLS_END + R_EOS))).otherwise(F.lit("")))
-             .when((role_ == "assistant") & pt, F.concat(F.lit(R_OUTPUTS_END), c_, F.lit(R_EOS)))
-             .when(role_ == "assistant", F.concat(F.lit(R_ASSISTANT), c_, F.lit(R_EOS)))
-             .when((role_ == "tool") & pt, F.concat(F.lit("\n" + R_OUTPUT_BEGIN), c_, F.lit(R_OUTPUT_END)))
-             .when(role_ == "tool", F.concat(F.lit(R_OUTPUTS_BEGIN + R_OUTPUT_BEGIN), c_, F.lit(R_OUTPUT_END)))
-             .otherwise(F.lit("")))
-    pieces = x.select("_k", "_o", piece.alias("_p"), "_role", "_c")
-    agg = pieces.groupBy("_k").agg(
-        F.array_sort(F.collect_list(F.struct("_o", "_p"))).alias("_parts"),
-        F.max(F.when(F.col("_role") == "system", F.struct("_o", "_c")))["_c"].alias("_sys"),
-        F.max(F.when(F.col("_role").isin("user", "assistant", "tool"), F.struct("_o", "_role")))["_role"]
-        .alias("_last"))
-    last_tool = F.coalesce(F.col("_last") == "tool", F.lit(False))
-    tail = F.when(last_tool, F.lit(R_OUTPUTS_END)).otherwise(F.lit(""))
-    if add_generation_prompt:
-        tail = F.concat(tail, F.when(~last_tool, F.lit(R_ASSISTANT)).otherwise(F.lit("")))
-    text = F.concat(F.lit(bos), F.coalesce("_sys", F.lit("")),
-                    F.array_join(F.transform("_parts", lambda p: p["_p"]), ""), tail)
-    return agg.select(F.col("_k").alias(key), text.alias(out))
+    """Reasoning chat rendering (C9) of long-form messages: one exchange groups
+    a conversation, whose text is one output row, and
+    :func:`render_reasoning_chat_array` renders it."""
+    msgs = messages_by_key(df, key, order, role, content, tool_calls=tool_calls)
+    return msgs.select(key, render_reasoning_chat_array("messages", bos, add_generation_prompt).alias(out))
 
 
 def messages_by_key(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
-                    content: str = "text", out: str = "messages") -> DataFrame:
+                    content: str = "text", out: str = "messages", tool_calls: str | None = None) -> DataFrame:
     """Long-form rows to one ordered ``array<struct<role,content,tool_calls>>`` per key."""
+    calls = F.col(tool_calls) if tool_calls else F.lit(None)
     m = F.struct(F.col(order).alias("_o"), F.col(role).alias("role"), F.col(content).alias("content"),
-                 F.lit(None).cast("array<struct<type:string,name:string,arguments:string>>").alias("tool_calls"))
+                 calls.cast("array<struct<type:string,name:string,arguments:string>>").alias("tool_calls"))
     agg = df.groupBy(key).agg(F.array_sort(F.collect_list(m)).alias("_m"))
     return agg.select(key, F.transform("_m", lambda x: x.dropFields("_o")).alias(out))
 

@@ -50,6 +50,27 @@ def layer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .alias("name")).distinct()
 
 
+def module_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct module names with one or two numbers, and text after the first one."""
+    part = read(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    rest = (F.when(k % 3 == 0, F.lit(".self_attn")).when(k % 3 == 1, F.concat(F.lit(".mlp.experts."), (k % 11).cast("string")))
+            .otherwise(F.lit("")))
+    return part.select(F.concat(F.lit("model.layers."), (k % 12).cast("string"), rest).alias("name")).distinct()
+
+
+def tool_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in which some user turns are tool outputs, some assistant turns tool calls, and some texts null."""
+    conv = read(spark, sf_dir, "conversations")
+    t = F.col("turn")
+    role = F.when((F.col("role") == "user") & (t % 4 >= 2), F.lit("tool")).otherwise(F.col("role"))
+    call = (F.col("role") == "assistant") & (F.col("conv_id") % 3 == 0) & (t % 4 == 1)
+    calls = F.when(call, F.array(*[F.struct(F.lit("function").alias("type"), F.lit(n).alias("name"), F.concat(
+        F.lit('{"turn": '), t.cast("string"), F.lit("}")).alias("arguments")) for n in ("look", "read")]))
+    text = F.when(call | ((F.col("conv_id") % 5 == 0) & (t % 4 == 0)), F.lit(None)).otherwise(F.col("text"))
+    return conv.select("conv_id", "turn", role.alias("role"), text.alias("text"), calls.alias("calls"))
+
+
 def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark rows with every task's question and gold columns."""
     b = read(spark, sf_dir, "benchmark")
@@ -59,12 +80,13 @@ def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Question + correct + three wrong answers from five consecutive items.
+    """Question + correct + three wrong answers from the items of a window of
+    five ids; where a later id is absent, the text of the question's item
+    stands in with the place's number after it, so every item has a row.
 
     Each item contributes its text to the five windows it belongs to
     (``item_id - j`` for j = 0..4); one grouped pivot then assembles every
-    window: a single shuffle instead of four self-joins, and complete windows
-    only.
+    window: a single shuffle instead of four self-joins.
     """
     b = read(spark, sf_dir, "benchmark").select("item_id", "text")
     names = ["Question", "Correct Answer", "Incorrect Answer 1", "Incorrect Answer 2", "Incorrect Answer 3"]
@@ -72,9 +94,9 @@ def choice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((F.col("item_id") - j).alias("base"), F.lit(j).alias("j"), F.col("text").alias("text"))
         for j in range(len(names))])).alias("c")).select("c.*")
     g = parts.groupBy(F.col("base").alias("item_id")).agg(
-        *[F.max(F.when(F.col("j") == j, F.col("text"))).alias(nm) for j, nm in enumerate(names)],
-        F.count(F.lit(1)).alias("_k"))
-    return g.where(F.col("_k") == len(names)).drop("_k")
+        *[F.max(F.when(F.col("j") == j, F.col("text"))).alias(nm) for j, nm in enumerate(names)])
+    return g.where(F.col("Question").isNotNull()).select("item_id", "Question", *[
+        F.coalesce(F.col(nm), F.concat("Question", F.lit(f" ({j})"))).alias(nm) for j, nm in enumerate(names) if j])
 
 
 # ---------------------------------------------------------------- vectors
@@ -117,29 +139,34 @@ def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
-    """Gold answers from line quantities and model outputs with a
-    deterministic share made wrong or left unboxed.
+    """Gold texts from line quantities and model outputs, a share of them
+    wrong: boxed fractions, nested braces, grouped digits, plain numbers,
+    whole solutions as gold.
 
-    Tasks by return flag: R -> choice task (letter gold), A -> latex-gold
-    task, else expression-gold task; checkpoint from the line number.
+    The task (all tasks of the evaluation occur) follows from the line's key,
+    the checkpoint from its number.
     """
     from tessera.functions.columns import seeded_hash
-    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    h = F.pmod(seeded_hash(seed, "l_orderkey", "l_linenumber"), F.lit(10))
-    qty = F.col("l_quantity").cast("bigint")
-    letter = F.substr(F.lit("ABCD"), (F.col("l_linenumber") % 4 + 1).cast("int"), F.lit(1))
-    wrong_letter = F.substr(F.lit("ABCD"), ((F.col("l_linenumber") + 1) % 4 + 1).cast("int"), F.lit(1))
-    task = (F.when(F.col("l_returnflag") == "R", F.lit("gpqa:diamond"))
-            .when(F.col("l_returnflag") == "A", F.lit("aime24")).otherwise(F.lit("math_500")))
-    kind = (F.when(F.col("l_returnflag") == "R", F.lit("letter"))
-            .when(F.col("l_returnflag") == "A", F.lit("latex")).otherwise(F.lit("expr")))
-    num_pred = (F.when(h == 0, F.concat(F.lit("I think it is "), (qty + 1).cast("string")))
-                .when(h == 1, F.concat(F.lit("The result: "), qty.cast("string"), F.lit(" units")))
-                .when(h <= 3, F.concat(F.lit("so \\boxed{"), (qty + 1).cast("string"), F.lit("}")))
-                .otherwise(F.concat(F.lit("Therefore, the final answer is: $\\boxed{"), qty.cast("string"),
-                                    F.lit("}$. I hope it is correct"))))
-    let_pred = F.when(h < 2, F.concat(F.lit("Answer: "), wrong_letter)).otherwise(F.concat(F.lit("Answer: "), letter))
-    return li.select("l_orderkey", "l_linenumber", task.alias("task"), kind.alias("kind"),
+    from tessera.operators.evaluate import TASK_KINDS, task_kind
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    names = F.array(*[F.lit(t) for t in TASK_KINDS])
+    li = li.withColumn("h", F.pmod(seeded_hash(seed, "l_orderkey", "l_linenumber"), F.lit(10))).withColumn(
+        "task", names[(F.col("l_orderkey") % len(TASK_KINDS)).cast("int")]).withColumn("kind", task_kind("task")).withColumn(
+        "q", F.col("l_quantity").cast("bigint")).withColumn("said", F.col("q") + F.when(F.col("h") < 3, 1).otherwise(0))
+    q, said, h = F.col("q").cast("string"), F.col("said").cast("string"), F.col("h")
+    letter = lambda shift: F.substr(F.lit("ABCD"), ((F.col("l_linenumber") + shift) % 4 + 1).cast("int"), F.lit(1))
+    gold = (F.when(F.col("kind") == "letter", letter(0))
+            .when((F.col("kind") == "latex") & (h % 3 == 0), F.concat(F.lit("Half of it: 12 and 7, so $x=\\boxed{\\frac{"), q, F.lit("}{2}}$ holds.")))
+            .when((F.col("kind") == "latex") & (h % 3 == 1), F.concat(F.lit("We get \\boxed{x^{"), q, F.lit("}}.")))
+            .when(F.col("kind") == "latex", F.concat(F.lit("In all $"), q, F.lit(",500$ of them")))
+            .when(h % 2 == 0, q).otherwise(F.concat(q, F.lit(",250"))))
+    pred = (F.when(F.col("kind") == "letter", F.concat(F.lit("Answer: "), F.when(h < 2, letter(1)).otherwise(letter(0))))
+            .when((F.col("kind") == "latex") & (h % 3 == 0) & (h > 5), F.concat(F.lit("it is "), said, F.lit("/2")))
+            .when((F.col("kind") == "latex") & (h % 3 == 0), F.concat(F.lit("the answer is: $\\boxed{ \\dfrac{"), said, F.lit("}{2} }$. I hope it is correct")))
+            .when((F.col("kind") == "latex") & (h % 3 == 1), F.concat(F.lit("\\boxed{\\text{x}^{"), said, F.lit("}} or 3")))
+            .when(F.col("kind") == "latex", F.concat(F.lit("so \\boxed{"), said, F.lit("500.0}")))
+            .when(h % 2 == 0, F.concat(F.lit("The 1st result: "), said, F.lit(" units")))
+            .otherwise(F.concat(F.lit("I think "), said, F.lit("250 not 5f, no: \\boxed{"), said, F.lit(",250}"))))
+    return li.select("l_orderkey", "l_linenumber", "task", "kind",
                      F.concat(F.lit("checkpoint-"), (F.col("l_linenumber") * 100).cast("string")).alias("checkpoint"),
-                     F.when(kind == "letter", letter).otherwise(qty.cast("string")).alias("gold"),
-                     F.when(kind == "letter", let_pred).otherwise(num_pred).alias("prediction"))
+                     gold.alias("gold_text"), pred.alias("prediction"))

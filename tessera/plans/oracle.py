@@ -37,8 +37,12 @@ traces AS (SELECT conv_id, turn, problem AS question, answer AS trace,
 
 NAMES = """names AS (SELECT DISTINCT 'model.layers.' || CAST(p_partkey % 28 AS VARCHAR) AS name FROM part)"""
 
-NATURAL = ("regexp_replace(name, '\\d.*$', ''), "
-           "list_transform(regexp_extract_all(name, '(\\d+)', 1), lambda x: CAST(x AS BIGINT)), name")
+MODULES = """names AS (SELECT DISTINCT 'model.layers.' || (p_partkey % 12) || CASE p_partkey % 3 WHEN 0 THEN '.self_attn'
+  WHEN 1 THEN '.mlp.experts.' || (p_partkey % 11) ELSE '' END AS name FROM part)"""
+
+# pieces in turn, as one text: every number padded to a fixed width and kept below all other characters
+NATURAL = ("list_reduce(list_prepend('', list_transform(regexp_extract_all(name, '[0-9]+|[^0-9]+'), lambda x: "
+           "CASE WHEN regexp_matches(x, '^[0-9]') THEN chr(1) || lpad(x, 30, '0') ELSE x END)), lambda a, b: a || b), name")
 
 
 def simple_piece(role: str, content: str, eos: str = pr.DEFAULT_EOS) -> str:
@@ -144,7 +148,7 @@ FROM conversations GROUP BY conv_id"""
 ORACLE["union_splits"] = f"""WITH {PAIRS}
 SELECT conv_id, turn, CASE WHEN conv_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM pairs"""
 
-ORACLE["layers_natural"] = f"""WITH {NAMES}
+ORACLE["layers_natural"] = f"""WITH {MODULES}
 SELECT name, row_number() OVER (ORDER BY {NATURAL}) AS rank FROM names"""
 
 ORACLE["layers_glob"] = f"""WITH {NAMES}
@@ -215,6 +219,25 @@ WITH c AS (SELECT conv_id,
            FROM conversations GROUP BY conv_id)
 SELECT conv_id, {md5_len('chat', 'chat')} FROM c"""
 
+ORACLE["chat_reasoning_tools"] = f"""
+WITH t AS (SELECT conv_id, turn, CASE WHEN role = 'user' AND turn % 4 >= 2 THEN 'tool' ELSE role END AS role, text AS raw,
+                  role = 'assistant' AND conv_id % 3 = 0 AND turn % 4 = 1 AS is_call FROM conversations),
+m AS (SELECT *, CASE WHEN is_call OR (conv_id % 5 = 0 AND turn % 4 = 0) THEN NULL ELSE raw END AS text FROM t),
+l AS (SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn), '') = 'tool' AS after_tool FROM m WHERE role <> 'system'),
+p AS (SELECT conv_id, turn, role, CASE
+   WHEN role = 'tool' THEN CASE WHEN after_tool THEN chr(10) ELSE '{pr.R_OUTPUTS_BEGIN}' END || '{pr.R_OUTPUT_BEGIN}' || coalesce(text, '') || '{pr.R_OUTPUT_END}'
+   ELSE CASE WHEN after_tool THEN '{pr.R_OUTPUTS_END}' ELSE '' END || CASE
+     WHEN role = 'user' THEN '{pr.R_USER}' || coalesce(text, '')
+     WHEN is_call THEN '{pr.R_ASSISTANT}{pr.R_CALLS_BEGIN}' || list_reduce(list_transform(['look', 'read'], lambda n: '{pr.R_CALL_BEGIN}function{pr.R_SEP}' || n
+          || chr(10) || '```json' || chr(10) || '{{"turn": ' || turn || '}}' || chr(10) || '```{pr.R_CALL_END}'), lambda a, b: a || chr(10) || b)
+          || '{pr.R_CALLS_END}{pr.R_EOS}'
+     WHEN text IS NULL THEN ''
+     ELSE CASE WHEN after_tool THEN '' ELSE '{pr.R_ASSISTANT}' END || text || '{pr.R_EOS}' END END AS piece FROM l),
+c AS (SELECT conv_id, coalesce((SELECT arg_max(text, turn) FROM m s WHERE s.conv_id = p.conv_id AND role = 'system'), '')
+             || string_agg(piece, '' ORDER BY turn) || CASE WHEN arg_max(role, turn) = 'tool' THEN '{pr.R_OUTPUTS_END}' ELSE '{pr.R_ASSISTANT}' END AS chat
+      FROM p GROUP BY conv_id)
+SELECT conv_id, {md5_len('chat', 'chat')} FROM c"""
+
 _math_prefix = pr.MATH_QUERY_TEMPLATE.split("{Question}")[0]
 ORACLE["eval_prompts"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS task, item_id, md5({lit(_math_prefix)} || text) AS query_md5, "
@@ -225,11 +248,12 @@ _gq = pr.CHOICE_QUERY_TEMPLATE
 _pre, _rest = _gq.split("{Question}")
 ORACLE["choice_prompts"] = f"""
 WITH i AS (
-  SELECT b0.item_id, b0.text AS question, b1.text AS correct, b2.text AS w1, b3.text AS w2, b4.text AS w3,
+  SELECT b0.item_id, b0.text AS question, coalesce(b1.text, b0.text || ' (1)') AS correct, coalesce(b2.text, b0.text || ' (2)') AS w1,
+         coalesce(b3.text, b0.text || ' (3)') AS w2, coalesce(b4.text, b0.text || ' (4)') AS w3,
          CAST({shash('b0.item_id')} % 4 AS INTEGER) AS g
-  FROM benchmark b0 JOIN benchmark b1 ON b1.item_id = b0.item_id + 1
-  JOIN benchmark b2 ON b2.item_id = b0.item_id + 2 JOIN benchmark b3 ON b3.item_id = b0.item_id + 3
-  JOIN benchmark b4 ON b4.item_id = b0.item_id + 4),
+  FROM benchmark b0 LEFT JOIN benchmark b1 ON b1.item_id = b0.item_id + 1
+  LEFT JOIN benchmark b2 ON b2.item_id = b0.item_id + 2 LEFT JOIN benchmark b3 ON b3.item_id = b0.item_id + 3
+  LEFT JOIN benchmark b4 ON b4.item_id = b0.item_id + 4),
 o AS (SELECT item_id, question, g,
              CASE WHEN g = 0 THEN correct ELSE w1 END AS a,
              CASE WHEN g = 0 THEN w1 WHEN g = 1 THEN correct ELSE w2 END AS b,
@@ -461,34 +485,28 @@ FROM n WHERE regexp_extract(name, '^checkpoint-(\d+)$', 1) <> ''"""
 
 from tessera.operators import evaluate as ev  # noqa: E402
 
+# answers are worked out from the numbers that the texts were made of, not read from the texts
 _PRED = f"""
-li AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS qty, l_returnflag,
-              {shash('l_orderkey', 'l_linenumber')} % 10 AS h FROM lineitem),
-p AS (SELECT l_orderkey, l_linenumber,
-        CASE l_returnflag WHEN 'R' THEN 'gpqa:diamond' WHEN 'A' THEN 'aime24' ELSE 'math_500' END AS task,
-        CASE l_returnflag WHEN 'R' THEN 'letter' WHEN 'A' THEN 'latex' ELSE 'expr' END AS kind,
-        'checkpoint-' || CAST(l_linenumber * 100 AS VARCHAR) AS checkpoint,
-        CASE WHEN l_returnflag = 'R' THEN substr('ABCD', l_linenumber % 4 + 1, 1) ELSE CAST(qty AS VARCHAR) END AS gold,
-        CASE WHEN l_returnflag = 'R' THEN
-               CASE WHEN h < 2 THEN 'Answer: ' || substr('ABCD', (l_linenumber + 1) % 4 + 1, 1)
-                    ELSE 'Answer: ' || substr('ABCD', l_linenumber % 4 + 1, 1) END
-             ELSE CASE WHEN h = 0 THEN 'I think it is ' || CAST(qty + 1 AS VARCHAR)
-                       WHEN h = 1 THEN 'The result: ' || CAST(qty AS VARCHAR) || ' units'
-                       WHEN h <= 3 THEN 'so \\boxed{{' || CAST(qty + 1 AS VARCHAR) || '}}'
-                       ELSE 'Therefore, the final answer is: $\\boxed{{' || CAST(qty AS VARCHAR) || '}}$. I hope it is correct'
-                  END END AS prediction
-      FROM li),
-x AS (SELECT *, CASE WHEN kind = 'letter' THEN
-          CASE WHEN regexp_extract(prediction, '{ev.LETTER}', 1) <> '' THEN regexp_extract(prediction, '{ev.LETTER}', 1)
-               ELSE regexp_extract_all(prediction, '{ev.BARE_LETTER}', 1)[-1] END
-        ELSE CASE WHEN regexp_extract(prediction, '{ev.BOXED}', 1) <> '' THEN trim(regexp_extract(prediction, '{ev.BOXED}', 1))
-               ELSE regexp_extract_all(prediction, '{ev.NUMBER}', 1)[-1] END END AS pred FROM p),
-s AS (SELECT *, CAST(coalesce(CASE WHEN TRY_CAST(pred AS DOUBLE) IS NOT NULL AND TRY_CAST(gold AS DOUBLE) IS NOT NULL
-                          THEN round(TRY_CAST(pred AS DOUBLE), 5) = round(TRY_CAST(gold AS DOUBLE), 5)
-                          ELSE trim(pred) = trim(gold) END, false) AS INTEGER) AS score FROM x)"""
-
-ORACLE["extract_answer"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, task, pred FROM s"
+li AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, {shash('l_orderkey', 'l_linenumber')} % 10 AS h,
+              (['aime24', 'aime25', 'amc23', 'math_500', 'minerva', 'olympiadbench', 'gpqa:diamond'])[l_orderkey % 7 + 1] AS task FROM lineitem),
+k AS (SELECT *, q + CASE WHEN h < 3 THEN 1 ELSE 0 END AS said, l_orderkey % 7 < 3 AS expr, l_orderkey % 7 = 6 AS letter,
+             'checkpoint-' || CAST(l_linenumber * 100 AS VARCHAR) AS checkpoint FROM li),
+p AS (SELECT *, CASE WHEN letter THEN substr('ABCD', (l_linenumber + CASE WHEN h < 2 THEN 1 ELSE 0 END) % 4 + 1, 1)
+        WHEN expr AND h % 2 = 0 THEN CAST(said AS VARCHAR) WHEN expr THEN said || ',250'
+        WHEN h % 3 = 0 AND h > 5 THEN said || '/2' WHEN h % 3 = 0 THEN '\\dfrac{{' || said || '}}{{2}}'
+        WHEN h % 3 = 1 THEN '\\text{{x}}^{{' || said || '}}' ELSE said || '500.0' END AS pred,
+      CASE WHEN letter THEN substr('ABCD', l_linenumber % 4 + 1, 1)
+        WHEN expr AND h % 2 = 0 THEN CAST(q AS VARCHAR) WHEN expr THEN q || ',250'
+        WHEN h % 3 = 0 THEN '\\frac{{' || q || '}}{{2}}' WHEN h % 3 = 1 THEN 'x^{{' || q || '}}' ELSE q || ',500' END AS gold FROM k),
+s AS (SELECT *, CAST(CASE WHEN letter THEN h >= 2 ELSE said = q END AS INTEGER) AS score FROM p)"""
+ORACLE["extract_answer"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, task, pred, gold FROM s"
 ORACLE["score"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, score FROM s"
+ORACLE["score_best"] = f"""WITH {_PRED},
+v AS (SELECT *, CASE WHEN letter THEN ascii(pred) WHEN expr THEN CASE WHEN h % 2 = 0 THEN said ELSE said * 1000 + 250 END
+        WHEN h % 3 = 0 THEN said / 2.0 WHEN h % 3 = 1 THEN -said ELSE said * 1000 + 500 END AS a,
+      CASE WHEN letter THEN ascii(gold) WHEN expr THEN CASE WHEN h % 2 = 0 THEN q ELSE q * 1000 + 250 END
+        WHEN h % 3 = 0 THEN q / 2.0 WHEN h % 3 = 1 THEN -q ELSE q * 1000 + 500 END AS b FROM s)
+SELECT l_orderkey, task, CAST(list_has_any(list(CAST(a AS DOUBLE)), list(CAST(b AS DOUBLE))) AS INTEGER) AS score FROM v GROUP BY l_orderkey, task"""
 ORACLE["accuracy"] = f"""WITH {_PRED}
 SELECT task, checkpoint, round(avg(score), 6) AS accuracy, count(*) AS n FROM s GROUP BY task, checkpoint"""
 ORACLE["grid"] = f"""WITH {_PRED}

@@ -184,7 +184,7 @@ def union_splits(spark, d):
 
 @query("layers_natural")
 def layers_natural(spark, d):
-    return sc.natural_rank(fx.layer_names(spark, d), "name")
+    return sc.natural_rank(fx.module_names(spark, d), "name")
 
 
 @query("layers_glob")
@@ -274,6 +274,12 @@ def chat_reasoning(spark, d):
     return ch.select("conv_id", *_md5_len(F.col("chat"), "chat"))
 
 
+@query("chat_reasoning_tools")
+def chat_reasoning_tools(spark, d):
+    ch = pr.render_reasoning_chat(fx.tool_conversations(spark, d), tool_calls="calls", add_generation_prompt=True)
+    return ch.select("conv_id", *_md5_len(F.col("chat"), "chat"))
+
+
 @query("eval_prompts")
 def eval_prompts(spark, d):
     items = fx.benchmark_items(spark, d)
@@ -615,30 +621,33 @@ def latest_checkpoint(spark, d):
 
 def _extracted(spark, d):
     from tessera.operators import evaluate as ev
-    p = fx.predictions(spark, d)
-    pred = (F.when(F.col("kind") == "letter", ev.extract_answer("prediction", "letter"))
-            .when(F.col("kind") == "latex", ev.extract_answer("prediction", "latex"))
-            .otherwise(ev.extract_answer("prediction", "expr")))
-    return p.withColumn("pred", pred)
+    return fx.predictions(spark, d).withColumn("pred", ev.by_kind("kind", ev.extract_answer, "prediction")).withColumn(
+        "gold", ev.by_kind("kind", ev.extract_gold, "gold_text"))
 
 
 @query("extract_answer")
 def extract_answer(spark, d):
-    return _extracted(spark, d).select("l_orderkey", "l_linenumber", "task", "pred")
+    return _extracted(spark, d).select("l_orderkey", "l_linenumber", "task", "pred", "gold")
 
 
 @query("score")
 def score(spark, d):
     from tessera.operators import evaluate as ev
-    x = _extracted(spark, d)
-    return x.select("l_orderkey", "l_linenumber", ev.score("pred", "gold").alias("score"))
+    return ev.with_score(_extracted(spark, d)).select("l_orderkey", "l_linenumber", "score")
+
+
+@query("score_best")
+def score_best(spark, d):
+    """An order's lines of a task as one item with several predictions and golds."""
+    from tessera.operators import evaluate as ev
+    x = _extracted(spark, d).groupBy("l_orderkey", "task").agg(F.collect_set("pred").alias("pred"), F.collect_set("gold").alias("gold"))
+    return ev.with_score(x).select("l_orderkey", "task", "score")
 
 
 @query("accuracy")
 def accuracy(spark, d):
     from tessera.operators import evaluate as ev
-    x = _extracted(spark, d).withColumn("score", ev.score("pred", "gold"))
-    return ev.accuracy(x).select("task", "checkpoint", _r6(F.col("accuracy"), "accuracy"), "n")
+    return ev.accuracy(ev.with_score(_extracted(spark, d))).select("task", "checkpoint", _r6(F.col("accuracy"), "accuracy"), "n")
 
 
 @query("grid")

@@ -60,3 +60,13 @@ def test_first_message_long_form_equals_array_form(spark):
     arr = {r["conv_id"]: (r["problem"], r["answer"]) for r in adapted.collect()}
     assert long_form == {1: ("user", "a", 2), 2: ("system", "s", 2)}
     assert arr == {1: ("a", "$2$"), 2: ("s", "$2$")}
+
+
+def test_natural_order_compares_text_and_numbers_in_turn(spark):
+    from tessera.functions.columns import natural_sort_keys
+    names = ["layers.0.self_attn", "layers.0.mlp.experts.10", "layers.0.mlp.experts.3", "layers.10", "layers.2", "layers", "2", "10", "a2b",
+             "a02b", "a2", ""]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = [r["name"] for r in df.orderBy(*natural_sort_keys("name")).collect()]
+    assert got == ["", "2", "10", "a2", "a02b", "a2b", "layers", "layers.0.mlp.experts.3", "layers.0.mlp.experts.10", "layers.0.self_attn",
+                   "layers.2", "layers.10"]
