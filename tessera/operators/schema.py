@@ -46,14 +46,14 @@ def resolve_problem(df: DataFrame) -> DataFrame:
     for name in PROBLEM_CANDIDATES:
         if name in df.columns:
             return df if name == "problem" else df.withColumn("problem", F.col(name))
-    raise ValueError("No problem/question/prompt found in the example.")
+    raise ValueError("the table has none of the columns problem, question, prompt")
 
 
 def resolve_trace(df: DataFrame, source: str, sae: bool = False) -> DataFrame:
     """Project the per-source reasoning trace and answer as ``trace``/``answer``."""
     allowed = SAE_TRACE_SOURCES if sae else tuple(SFT_TRACE_COLUMNS)
     if source not in allowed:
-        raise ValueError(f"Unknown dataset for sft post-training: {source}")
+        raise ValueError(f"no trace columns are known for source {source!r}")
     trace, answer = SFT_TRACE_COLUMNS[source]
     keep = [x for x in df.columns if x not in ("trace", "answer", trace, answer)]
     return df.select(*keep, F.col(trace).alias("trace"), F.col(answer).alias("answer"))
@@ -66,7 +66,7 @@ def union_splits(*dfs: DataFrame, require=()) -> DataFrame:
     cols = dfs[0].columns
     for d in dfs[1:]:
         if d.columns != cols:
-            raise ValueError("All splits must have the same columns")
+            raise ValueError("splits differ in their columns")
     for r in require:
         if r not in cols:
             raise ValueError(f"Column {r!r} not found")
@@ -145,7 +145,7 @@ def select_hookpoints(df: DataFrame, col: str = "name", patterns=None, layers=No
     list, or every ``stride``-th name in natural order; a stride cannot be
     combined with explicit layers."""
     if layers and stride != 1:
-        raise ValueError("Cannot specify both `layers` and `layer_stride`.")
+        raise ValueError("give either layers or layer_stride, not both")
     x = df
     if patterns:
         x = filter_glob(x, col, patterns)

@@ -77,8 +77,7 @@ def length_profile(df: DataFrame, length: str = "n_tokens", by=None, exact: bool
     names = ["p50", "p75", "p90", "p95", "p99", "p999"]
     return prof.select(*([by] if isinstance(by, str) else list(by or [])),
                        "n_rows", "min_len", "max_len",
-                       F.round("mean_len", 6).alias("mean_len"), F.round("std_len", 6).alias("std_len"),
-                       *[F.round(F.col("_pct")[i], 6).alias(nm) for i, nm in enumerate(names)])
+                       "mean_len", "std_len", *[F.col("_pct")[i].alias(nm) for i, nm in enumerate(names)])
 
 
 def _assemble_chunks(wide: DataFrame, C: int) -> DataFrame:
@@ -135,8 +134,8 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
     last = F.least(F.floor((F.col("_end") - 1) / C), n_chunks - 1)
     if on_empty == "error":
         last = F.when(n_chunks > 0, last).otherwise(
-            F.raise_error(F.lit("Not enough data to create a single complete chunk in a batch; "
-                                "allow the final chunk or supply more data.")))
+            F.raise_error(F.lit("a batch holds less than one chunk and a token: keep final chunks, "
+                                "use larger batches or smaller chunks")))
     spans = (x.select(*keys, "_batch", "_start", "_n", F.floor(F.col("_start") / C).alias("_first"),
                       last.cast("bigint").alias("_last"))
              .where(F.col("_first") <= F.col("_last")))
@@ -208,10 +207,11 @@ def chunk_fingerprint(df: DataFrame, ids: str = "input_ids") -> DataFrame:
 
 
 def hashed_ids(tokens, vocab_bits: int = 16) -> Column:
-    """Token ids from a hashing vocabulary: the first ``vocab_bits`` bits of
-    the token's md5 (fits uint16 token files at the default)."""
-    digits = vocab_bits // 4
-    return F.transform(c(tokens), lambda t: F.conv(F.substring(F.md5(t), 1, digits), 16, 10).cast("int"))
+    """Token ids from a hashing vocabulary: 1 plus the first ``vocab_bits``
+    bits of the token's md5, folded so that the largest id still fits; 0 is
+    left free for separators. Words may share an id, as in any such vocabulary."""
+    digits, size = vocab_bits // 4, (1 << vocab_bits) - 1
+    return F.transform(c(tokens), lambda t: (F.conv(F.substring(F.md5(t), 1, digits), 16, 10).cast("int") % size) + 1)
 
 
 _TOKENIZERS: dict = {}

@@ -517,7 +517,7 @@ SELECT name, layer, (layer - 1) // 4 AS layer_group FROM l WHERE layer BETWEEN 1
 
 # ============================================================== A
 
-_IDS = f"list_transform({TOK}, lambda t: CAST(('0x' || substr(md5(t), 1, 4)) AS INTEGER))"
+_IDS = f"list_transform({TOK}, lambda t: CAST(('0x' || substr(md5(t), 1, 4)) AS INTEGER) % 65535 + 1)"
 
 ORACLE["token_bin"] = f"""
 WITH toks AS (SELECT doc_id, [{q.SEP_ID}] || {_IDS} AS t, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents),
@@ -525,7 +525,8 @@ b AS (SELECT *, idx // {q.DOC_BATCH_ROWS} AS batch, len(t) AS n FROM toks),
 s AS (SELECT *, sum(n) OVER (PARTITION BY batch ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS start,
              sum(n) OVER (PARTITION BY batch) AS total FROM b),
 u AS (SELECT batch, total, start + generate_subscripts(t, 1) - 1 AS p, unnest(t) AS tok FROM s)
-SELECT count(*) AS n_tokens, md5(string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY p)) AS chunk_md5
+SELECT row_number() OVER (ORDER BY batch, p // {q.BIN_CTX}) - 1 AS idx, count(*) AS n_tokens,
+       md5(string_agg(CAST(tok AS VARCHAR), ' ' ORDER BY p)) AS chunk_md5
 FROM u WHERE p // {q.BIN_CTX} < (total - 1) // {q.BIN_CTX}
 GROUP BY batch, p // {q.BIN_CTX}"""
 

@@ -53,16 +53,21 @@ def doc_token_counts(spark, d):
     return tk.token_lengths(fx.read(spark, d, "documents"), "text", ["doc_id"])
 
 
+def _rounded(df):
+    """All doubles to 6 decimals, for comparison."""
+    return df.select(*[_r6(F.col(n), n) if t == "double" else F.col(n) for n, t in df.dtypes])
+
+
 @query("doc_length_profile")
 def doc_length_profile(spark, d):
-    return tk.length_profile(tk.token_lengths(fx.read(spark, d, "documents"), "text", ["doc_id"]))
+    return _rounded(tk.length_profile(tk.token_lengths(fx.read(spark, d, "documents"), "text", ["doc_id"])))
 
 
 @query("doc_length_by_lang")
 def doc_length_by_lang(spark, d):
     docs = fx.read(spark, d, "documents")
     lens = docs.select("lang", F.size(whitespace_tokens("text")).cast("bigint").alias("n_tokens"))
-    return tk.length_profile(lens, by="lang")
+    return _rounded(tk.length_profile(lens, by="lang"))
 
 
 def _conversation_chunks(spark, d, return_final: bool):
@@ -683,17 +688,12 @@ def _scratch(spark, name):
 @query("token_bin")
 def token_bin(spark, d):
     from tessera.sources.token_bin import read_token_bin, write_token_bin
-    docs = fx.read(spark, d, "documents").select("doc_id", whitespace_tokens("text").alias("toks"))
-    # pack the words with an empty-string separator (never a whitespace
-    # token), then map to ids: each token is hashed once, after the shuffles
-    packed = tk.pack(docs, "toks", ["doc_id"], chunk=BIN_CTX, batch_rows=DOC_BATCH_ROWS, separator="")
-    words = F.col("input_ids")
-    packed = packed.select(F.zip_with(words, tk.hashed_ids(words),
-                                      lambda w, i: F.when(w == "", F.lit(SEP_ID)).otherwise(i)).alias("input_ids"))
+    docs = fx.read(spark, d, "documents").select("doc_id", tk.hashed_ids(whitespace_tokens("text")).alias("ids"))
+    packed = tk.pack(docs, "ids", ["doc_id"], chunk=BIN_CTX, batch_rows=DOC_BATCH_ROWS, separator=SEP_ID)
     path = _scratch(spark, "tokens")
-    write_token_bin(packed, path, BIN_CTX)
+    write_token_bin(packed, path, BIN_CTX, order=["batch", "chunk"])
     back = read_token_bin(spark, path, BIN_CTX)
-    return back.select(F.size("input_ids").cast("bigint").alias("n_tokens"),
+    return back.select("idx", F.size("input_ids").cast("bigint").alias("n_tokens"),
                        F.md5(F.array_join(F.col("input_ids").cast("array<string>"), " ")).alias("chunk_md5"))
 
 

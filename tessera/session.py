@@ -85,12 +85,17 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only invent a local
-    one when the session has none (single-machine tests).
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    (one machine, as in tests) gets a folder of its own when the setting is
+    absent; on any other master its absence is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is not set: on master {master} it must name a folder that "
+                             "the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
@@ -98,8 +103,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named location under the shared checkpoint folder
-    for tables a job writes and reads back (lineage cuts, round trips)."""
-    base = checkpoint_dir(spark)
-    if base.startswith("/"):
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for tables a job writes and reads back (lineage cuts, round trips). It is
+    a name only; whoever writes there creates it, in whatever store it is."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 _SUFFIX_FORMATS = {".parquet": "parquet", ".json": "json", ".jsonl": "json", ".csv": "csv",
@@ -24,7 +22,7 @@ class DatasetRegistry:
 
     def resolve(self, key: str, split: str = "train", config: str | None = None) -> tuple[str, str | None]:
         if key not in self.entries:
-            raise ValueError(f"Dataset {key} not found.")
+            raise ValueError(f"no dataset is registered as {key!r}")
         loc, fmt = self.entries[key]
         return loc.format(split=split, config=config or "default"), fmt
 
@@ -35,16 +33,17 @@ class DatasetRegistry:
         return scan_path(spark, loc, fmt, **options)
 
 
-def detect_format(path: str) -> str:
+def detect_format(spark: SparkSession, path: str) -> str:
+    """The format by a path's suffix, else by the suffix of a file under it
+    (listed through Hadoop's file systems, wherever the path lies)."""
     p = path.rstrip("/")
     for suf, fmt in _SUFFIX_FORMATS.items():
         if p.endswith(suf):
             return fmt
-    if os.path.isdir(p):
-        for name in sorted(os.listdir(p)):
-            for suf, fmt in _SUFFIX_FORMATS.items():
-                if name.endswith(suf) and not name.startswith(("_", ".")):
-                    return fmt
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    for suf, fmt in _SUFFIX_FORMATS.items():
+        if names.where(names["path"].endswith(suf)).limit(1).count():
+            return fmt
     return "parquet"
 
 
@@ -55,7 +54,7 @@ def scan_path(spark: SparkSession, path: str, fmt: str | None = None, **options)
     """
     if fmt is None and "/" not in path and spark.catalog.tableExists(path):
         return spark.table(path)
-    fmt = fmt or detect_format(path)
+    fmt = fmt or detect_format(spark, path)
     if fmt == "tokenbin":
         from tessera.sources.token_bin import read_token_bin
         return read_token_bin(spark, path, int(options.pop("ctx_len")), options.pop("max_examples", None))

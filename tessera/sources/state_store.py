@@ -15,11 +15,18 @@ def write_latent_state(state: DataFrame, path: str, writer: int) -> None:
 
 
 def read_latent_state(spark: SparkSession, path: str, hookpoints=None) -> DataFrame:
-    """Union of every writer's state, keeping the requested hookpoints (A5)."""
-    st = spark.read.parquet(path).drop("writer")
+    """Merged state of all writers (A5): one row per entry, from the writer
+    with the highest number where several hold it. ``hookpoints`` keeps the
+    named ones, and raises if a name is absent."""
+    st = spark.read.parquet(path)
     if hookpoints is not None:
-        st = st.where(F.col("hookpoint").isin(list(hookpoints)))
-    return st
+        names = list(hookpoints)
+        st = st.where(F.col("hookpoint").isin(names))
+        # at most one row per requested name
+        absent = set(names) - {r["hookpoint"] for r in st.select("hookpoint").distinct().collect()}
+        if absent:
+            raise KeyError(f"no stored state for {', '.join(sorted(absent))} under {path}")
+    return st.groupBy("hookpoint", "latent_id").agg(F.max_by("tokens_since_fired", "writer").alias("tokens_since_fired"))
 
 
 def to_long_metrics(df: DataFrame, ids, metrics) -> DataFrame:

@@ -1,36 +1,58 @@
 """Fixed-width binary token files (A3): flat little-endian uint16 tokens,
 ``ctx_len`` per row.
 
-Reading is a Python data source whose input partitions are record-aligned
-row ranges of the files, so a large file is split across many tasks and no
-task reads more than ``rows_per_split`` rows. The driver only lists files
-and checks that every size is a whole number of rows (a ragged tail would
-otherwise surface as a mid-task read error).
-
-Writing runs in ``mapInArrow``: each task writes its rows to a temporary
-file and the driver renames the files of successful tasks on commit, so a
-retried or lost task leaves no partial output under a final name.
+Both directions are a Python data source (``tokenbin``). Paths may lie in any
+file system that Arrow opens (local or mounted folders, ``file:``, ``hdfs:``,
+``s3:`` ...).
+
+Reading: input partitions are record-aligned row ranges of the files, so a
+large file is split across many tasks and no task reads more than
+``rows_per_split`` rows. The driver only lists files and checks that every
+size is a whole number of rows (a ragged tail would otherwise surface as a
+mid-task read error). Files are read in order of their names, which for
+written files is the order of the writer's partitions.
+
+Writing: each task attempt writes a file under a temporary name and reports
+it; Spark's commit of the job renames the reported files (and, in overwrite
+mode, removes the earlier ones), its abort removes what attempts left.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
+
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 TOKEN_DTYPE = np.dtype("<u2")
 SCHEMA = "idx bigint, input_ids array<int>"
 
 
-def _files(path: str) -> list[str]:
-    if os.path.isfile(path):
-        return [path]
-    names = sorted(n for n in os.listdir(path) if n.endswith(".bin") and not n.startswith(("_", ".")))
-    return [os.path.join(path, n) for n in names]
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path in it."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _files(path: str) -> list[tuple[str, int]]:
+    """(path in its store, size) of a token file, or of a folder's ``.bin`` parts in order."""
+    store, at = _store(path)
+    info = store.get_file_info(at)
+    if info.type == fs.FileType.NotFound:
+        raise FileNotFoundError(f"no token file at {path}")
+    if info.type == fs.FileType.File:
+        return [(at, info.size)]
+    found = store.get_file_info(fs.FileSelector(at))
+    return sorted((i.path, i.size) for i in found if i.type == fs.FileType.File and i.base_name.endswith(".bin")
+                  and not i.base_name.startswith(("_", ".")))
 
 
 class _Split(InputPartition):
@@ -52,8 +74,7 @@ class _Reader(DataSourceReader):
     def partitions(self):
         rec = self.ctx * TOKEN_DTYPE.itemsize
         splits, index = [], 0
-        for f in _files(self.path):
-            size = os.path.getsize(f)
+        for f, size in _files(self.path):
             if size % rec:
                 raise ValueError(f"{f}: size {size} is not a multiple of the row size {rec} "
                                  f"(ctx_len {self.ctx})")
@@ -73,13 +94,66 @@ class _Reader(DataSourceReader):
             return
         rec = self.ctx * TOKEN_DTYPE.itemsize
         step = max(1, (1 << 20) // self.ctx)
-        for s in range(0, part.rows, step):
-            n = min(step, part.rows - s)
-            arr = np.fromfile(part.file, dtype=TOKEN_DTYPE, count=n * self.ctx,
-                              offset=(part.start + s) * rec).astype(np.int32)
-            ids = pa.FixedSizeListArray.from_arrays(pa.array(arr), self.ctx).cast(pa.list_(pa.int32()))
-            idx = pa.array(np.arange(part.index + s, part.index + s + n, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([idx, ids], names=["idx", "input_ids"])
+        with _store(self.path)[0].open_input_file(part.file) as f:
+            for s in range(0, part.rows, step):
+                n = min(step, part.rows - s)
+                f.seek((part.start + s) * rec)
+                arr = np.frombuffer(f.read(n * rec), TOKEN_DTYPE).astype(np.int32)
+                ids = pa.FixedSizeListArray.from_arrays(pa.array(arr), self.ctx).cast(pa.list_(pa.int32()))
+                idx = pa.array(np.arange(part.index + s, part.index + s + n, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([idx, ids], names=["idx", "input_ids"])
+
+
+class _Part(WriterCommitMessage):
+    """A task attempt's file, and its number of rows."""
+
+    def __init__(self, name: str, rows: int):
+        self.name, self.rows = name, rows
+
+
+class _Writer(DataSourceArrowWriter):
+    def __init__(self, options, overwrite: bool):
+        self.path, self.ctx, self.overwrite, self.job = options["path"], int(options["ctx_len"]), overwrite, uuid.uuid4().hex
+
+    def write(self, batches):
+        store, at = _store(self.path)
+        store.create_dir(at, recursive=True)
+        task = TaskContext.get()
+        name, rows = f"part-{task.partitionId():06d}-{self.job}-{task.taskAttemptId()}.bin", 0
+        with store.open_output_stream(f"{at}/_tmp-{name}") as out:
+            for b in batches:
+                column = b.column(0)
+                lengths = np.asarray(column.value_lengths().fill_null(-1))
+                if (lengths != self.ctx).any():
+                    raise ValueError(f"every row must hold exactly ctx_len={self.ctx} tokens")
+                flat = column.flatten().to_numpy(zero_copy_only=False)
+                if len(flat) and (flat.min() < 0 or flat.max() > 0xFFFF):
+                    raise ValueError("token ids must fit in uint16")
+                out.write(flat.astype(TOKEN_DTYPE).tobytes())
+                rows += b.num_rows
+        return _Part(name, rows)
+
+    def commit(self, messages):
+        store, at = _store(self.path)
+        store.create_dir(at, recursive=True)
+        earlier = _files(self.path) if self.overwrite else []
+        for m in messages:
+            if m is not None and m.rows:
+                store.move(f"{at}/_tmp-{m.name}", f"{at}/{m.name}")
+        for f, _ in earlier:
+            store.delete_file(f)
+        self._clear(store, at)
+
+    def abort(self, messages):
+        store, at = _store(self.path)
+        self._clear(store, at)
+
+    def _clear(self, store, at):
+        """Remove what this job's attempts left."""
+        if store.get_file_info(at).type == fs.FileType.Directory:
+            for i in store.get_file_info(fs.FileSelector(at)):
+                if i.base_name.startswith("_tmp-") and self.job in i.base_name:
+                    store.delete_file(i.path)
 
 
 class TokenBinDataSource(DataSource):
@@ -95,6 +169,9 @@ class TokenBinDataSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
+    def writer(self, schema, overwrite):
+        return _Writer(self.options, overwrite)
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenBinDataSource)
@@ -110,42 +187,23 @@ def read_token_bin(spark: SparkSession, path: str, ctx_len: int, max_examples: i
     return r.load(path)
 
 
-def _write_parts(path: str, ctx: int, column: str):
-    def run(batches):
-        from pyspark import TaskContext
-        tc = TaskContext.get()
-        pid = tc.partitionId() if tc else 0
-        tag = uuid.uuid4().hex
-        tmp = os.path.join(path, f"_tmp-{pid:05d}-{tag}.bin")
-        rows = 0
-        with open(tmp, "wb") as out:
-            for b in batches:
-                col = b.column(b.schema.get_field_index(column))
-                lens = np.diff(col.offsets.to_numpy())
-                if len(lens) and (lens != ctx).any():
-                    raise ValueError(f"every row must hold exactly ctx_len={ctx} tokens")
-                flat = col.flatten().to_numpy(zero_copy_only=False)
-                if len(flat) and (flat.min() < 0 or flat.max() > 0xFFFF):
-                    raise ValueError("token ids must fit in uint16")
-                flat.astype(TOKEN_DTYPE).tofile(out)
-                rows += b.num_rows
-        yield pa.RecordBatch.from_pylist([{"tmp": tmp, "final": os.path.join(path, f"part-{pid:05d}-{tag}.bin"),
-                                           "rows": rows}])
-    return run
-
-
-def write_token_bin(df: DataFrame, path: str, ctx_len: int, column: str = "input_ids") -> int:
-    """Write fixed-length id rows as uint16 part files, one per task; returns the row count.
+def write_token_bin(df: DataFrame, path: str, ctx_len: int, column: str = "input_ids", order=None,
+                    mode: str = "error") -> None:
+    """Write fixed-length id rows as uint16 part files.
 
-    Commit protocol: every task attempt writes a uniquely named ``_tmp-``
-    file (ignored by readers) and returns one commit row; the driver renames
-    only the files of the attempts whose results it received, so retried or
-    speculative attempts never leave a second copy under a final name.
+    With ``order`` (columns) the rows, as read back by ``idx``, are in that
+    order. ``mode``: ``error`` (the path holds token files already),
+    ``overwrite`` or ``append`` (after the present rows only if the new
+    parts' names sort after theirs: use one write for one ordered file).
     """
-    os.makedirs(path, exist_ok=True)
-    commits = (df.select(F.col(column).cast("array<int>").alias(column))
-               .mapInArrow(_write_parts(path, int(ctx_len), column), "tmp string, final string, rows bigint")
-               .collect())  # one small row per task
-    for m in commits:
-        os.replace(m["tmp"], m["final"])
-    return sum(m["rows"] for m in commits)
+    if mode not in ("error", "overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    register(df.sparkSession)
+    store, at = _store(path)
+    if mode == "error" and store.get_file_info(at).type != fs.FileType.NotFound and _files(path):
+        raise FileExistsError(f"{path} holds token files; choose mode='overwrite' or 'append'")
+    if order is not None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    (df.select(F.col(column).cast("array<int>").alias("input_ids")).write.format("tokenbin")
+     .option("ctx_len", int(ctx_len)).mode("append" if mode == "append" else "overwrite").save(path))

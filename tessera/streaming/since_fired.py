@@ -25,14 +25,17 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def last_fired_stream(spark: SparkSession, source: str, out: str, checkpoint: str,
-                      max_files_per_trigger: int = 1) -> DataFrame:
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream over every file now in ``source`` (available-now trigger)
-    and return the merged state ``(latent_id, last_cum)``."""
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or \
-            "HDFSBacked" in spark.conf.get("spark.sql.streaming.stateStore.providerClass"):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    events = (spark.readStream.schema(FIRE_SCHEMA)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source))
+    and return the merged state ``(latent_id, last_cum)``. A micro-batch takes
+    all new files unless ``max_files_per_trigger`` says otherwise. The state
+    store is set for this query's own session, not for the caller's."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    source_ = own.readStream.schema(FIRE_SCHEMA)
+    if max_files_per_trigger:
+        source_ = source_.option("maxFilesPerTrigger", max_files_per_trigger)
+    events = source_.parquet(source)
     state = events.groupBy("latent_id").agg(F.max("cum_tokens").alias("last_cum"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:

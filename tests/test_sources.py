@@ -16,10 +16,64 @@ def test_token_file_roundtrip_and_max_examples(spark):
     assert [i for i, _ in rows] == list(range(5))
     assert rows[3][1] == list(range(24, 32))
     assert read_token_bin(spark, d, 8, max_examples=3).count() == 3
-    out = tempfile.mkdtemp(prefix="tok-out-")
-    write_token_bin(df.repartition(3), out, 8)
-    back = sorted(r["input_ids"] for r in read_token_bin(spark, out, 8).collect())
-    assert back == sorted(r[1] for r in rows)
+    out = "file://" + tempfile.mkdtemp(prefix="tok-out-") + "/new/folder"
+    write_token_bin(df.repartition(3), out, 8, order=["idx"])
+    assert sorted((r["idx"], r["input_ids"]) for r in read_token_bin(spark, out, 8).collect()) == rows
+
+
+def test_token_file_modes_and_failed_writes(spark, tmp_path):
+    out = str(tmp_path / "t")
+    df = spark.createDataFrame([([i, i],) for i in range(10)], "input_ids array<int>")
+    write_token_bin(df, out, 2)
+    with pytest.raises(FileExistsError):
+        write_token_bin(df, out, 2)
+    write_token_bin(df, out, 2, mode="overwrite")
+    assert read_token_bin(spark, out, 2).count() == 10
+    write_token_bin(df, out, 2, mode="append")
+    assert read_token_bin(spark, out, 2).count() == 20
+    before = sorted(os.listdir(out))
+    bad = df.unionByName(spark.createDataFrame([([1, 70000],)], "input_ids array<int>"))
+    with pytest.raises(Exception, match="uint16"):
+        write_token_bin(bad, out, 2, mode="overwrite")
+    assert sorted(os.listdir(out)) == before
+    with pytest.raises(Exception, match="exactly"):
+        write_token_bin(df, out, 3, mode="overwrite")
+    empty = str(tmp_path / "e")
+    write_token_bin(df.limit(0), empty, 2)
+    assert read_token_bin(spark, empty, 2).count() == 0
+    with pytest.raises(Exception, match="no token file"):
+        read_token_bin(spark, str(tmp_path / "absent"), 2).collect()
+
+
+def test_state_of_two_writers_and_missing_names(spark, tmp_path):
+    from tessera.sources.state_store import read_latent_state, write_latent_state
+    path = str(tmp_path / "s")
+    rows = lambda n: spark.createDataFrame([("a", 1, n), ("b", 1, n)], "hookpoint string, latent_id bigint, tokens_since_fired bigint")
+    write_latent_state(rows(5), path, 0)
+    write_latent_state(rows(9).where("hookpoint = 'a'"), path, 1)
+    got = {(r["hookpoint"], r["latent_id"]): r["tokens_since_fired"] for r in read_latent_state(spark, path).collect()}
+    assert got == {("a", 1): 9, ("b", 1): 5}
+    assert read_latent_state(spark, path, ["b"]).count() == 1
+    with pytest.raises(KeyError, match="c"):
+        read_latent_state(spark, path, ["b", "c"])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from tessera import session
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
 def test_ragged_token_file_is_rejected(spark):
@@ -33,7 +87,7 @@ def test_registry_unknown_key_and_path_or_table(spark, tmp_path):
     from tessera.sources.registry import DatasetRegistry, scan_path
     reg = DatasetRegistry({"docs": "/root/testdata/sf0.001/documents.parquet"})
     assert reg.scan(spark, "docs").count() == 200
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="no dataset"):
         reg.scan(spark, "nope")
     spark.range(3).createOrReplaceTempView("tiny_table")
     assert scan_path(spark, "tiny_table").count() == 3

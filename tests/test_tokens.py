@@ -41,7 +41,7 @@ def test_pack_exact_multiple_drops_full_last_chunk(spark):
 
 
 def test_pack_zero_chunks_is_an_error(spark):
-    with pytest.raises(Exception, match="Not enough data"):
+    with pytest.raises(Exception, match="less than one chunk"):
         run_pack(spark, [["a"]], 4, 10, on_empty="error")
     assert run_pack(spark, [["a"]], 4, 10, on_empty="skip") == []
 
@@ -103,7 +103,7 @@ def test_profile_approximate_percentiles_close(spark):
 
 def test_pack_segments_zero_chunks_is_an_error(spark):
     df = spark.createDataFrame([(0, 0, ["a"]), (0, 1, ["b"])], "doc long, seg long, toks array<string>")
-    with pytest.raises(Exception, match="Not enough data"):
+    with pytest.raises(Exception, match="less than one chunk"):
         tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=8, batch_rows=4, on_empty="error").collect()
     assert tk.pack_segments(df, "toks", ["doc"], ["seg"], chunk=8, batch_rows=4, on_empty="skip").count() == 0
 
