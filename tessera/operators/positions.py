@@ -134,6 +134,39 @@ def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None):
             .withColumn("_pid", F.spark_partition_id()))
 
 
+def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None) -> DataFrame:
+    """Rows in range partitions of ``order``, written once to the scratch
+    folder with their place: ``_piece`` (partition), ``_row`` (number in it)
+    and ``_cum`` (sum of the non-null integer ``value`` over earlier rows of
+    the piece). Each task counts over its own sorted rows; nothing but the
+    range exchange is shuffled. Wide columns are moved and written once."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from tessera.session import scratch_path
+    spark, cols = df.sparkSession, _order_cols(order)
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        piece, row, total = TaskContext.get().partitionId(), 0, 0
+        for b in batches:
+            x = np.asarray(b.column(value))
+            sums = np.cumsum(x)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(len(x), piece), pa.int32()), pa.array(row + np.arange(len(x)), pa.int64()),
+                 pa.array(total + sums - x, pa.int64())], [*b.schema.names, "_piece", "_row", "_cum"])
+            row, total = row + len(x), total + (int(sums[-1]) if len(x) else 0)
+
+    schema = (df.withColumn("_piece", F.lit(None).cast("int")).withColumn("_row", F.lit(None).cast("bigint"))
+              .withColumn("_cum", F.lit(None).cast("bigint")).schema)
+    path = scratch_path(spark, "laid-out")
+    (df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols).mapInArrow(run, schema)
+     .write.mode("overwrite").parquet(path))
+    return spark.read.schema(schema).parquet(path)
+
+
 def prefix_sum(df: DataFrame, order, value: str, out: str = "cum", inclusive: bool = True,
                num_partitions: int | None = None) -> DataFrame:
     """Running sum of ``value`` along a total ``order`` without a one-partition window.

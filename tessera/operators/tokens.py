@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import c, whitespace_tokens
-from tessera.operators.positions import prefix_sum, with_index
+from tessera.operators.positions import laid_out, prefix_sum, with_index
 
 DEFAULT_SEPARATOR = "<|endoftext|>"  # fixed value: separator when the tokenizer has no eos token
 
@@ -112,11 +112,12 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
     reference does); ``'skip'`` yields no rows for it. ``order`` must be
     unique (a key).
 
-    Plan: positions, batch offsets and chunk ranges are computed on a narrow
-    ``(key, length)`` table (its range partitioning and batch windows move
-    16 bytes per row); the token arrays are shuffled once, through an
-    equi-join with that table on the key, and then once more as chunk slices
-    to assemble the chunks.
+    Plan: one range exchange puts the rows (tokens included) in order, and
+    each task adds its running token count; the result is written once to the
+    shared scratch folder, so tokens are computed and moved once. Batch
+    offsets come from its narrow columns: a table with a row for each batch
+    and partition, which is joined back (AQE broadcasts it when it is small).
+    Tokens then move once more, as slices of the chunks they belong to.
     """
     if on_empty not in ("error", "skip"):
         raise ValueError("on_empty must be 'error' or 'skip'")
@@ -124,24 +125,29 @@ def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int =
     order = list(order) if isinstance(order, (list, tuple)) else [order]
     keys = [f"_o{i}" for i in range(len(order))]
     base = df.select(*[c(o).alias(k) for o, k in zip(order, keys)], F.col(tokens).alias("_t"))
-    narrow = with_index(base.select(*keys, (F.size("_t") + 1).cast("bigint").alias("_n")), keys, "_idx")
-    x = narrow.withColumn("_batch", F.floor(F.col("_idx") / batch_rows).cast("bigint"))
-    running = Window.partitionBy("_batch").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
-    x = (x.withColumn("_end", F.sum("_n").over(running))
-          .withColumn("_total", F.sum("_n").over(Window.partitionBy("_batch")))
-          .withColumn("_start", F.col("_end") - F.col("_n")))
+    laid = laid_out(base.withColumn("_n", (F.size("_t") + 1).cast("bigint")), keys, "_n")
+    # a row per partition
+    rows = laid.groupBy("_piece").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offset = rows.select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_off"))
+    x = laid.join(F.broadcast(offset), "_piece").withColumn(
+        "_batch", F.floor((F.col("_off") + F.col("_row")) / batch_rows).cast("bigint")).drop("_off")
+    # a batch lies in few partitions: windows hold a handful of rows
+    parts = x.groupBy("_batch", "_piece").agg(F.min("_cum").alias("_low"), F.sum("_n").alias("_part"))
+    w = Window.partitionBy("_batch")
+    parts = parts.select("_batch", "_piece", "_low", F.sum("_part").over(w).alias("_total"), F.coalesce(F.sum("_part").over(
+        w.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_carry"))
+    x = x.join(parts, ["_batch", "_piece"]).withColumn("_start", F.col("_carry") + F.col("_cum") - F.col("_low")).withColumn(
+        "_end", F.col("_start") + F.col("_n"))
     n_chunks = F.ceil(F.col("_total") / C) if return_final else F.floor((F.col("_total") - 1) / C)
     last = F.least(F.floor((F.col("_end") - 1) / C), n_chunks - 1)
     if on_empty == "error":
         last = F.when(n_chunks > 0, last).otherwise(
             F.raise_error(F.lit("a batch holds less than one chunk and a token: keep final chunks, "
                                 "use larger batches or smaller chunks")))
-    spans = (x.select(*keys, "_batch", "_start", "_n", F.floor(F.col("_start") / C).alias("_first"),
-                      last.cast("bigint").alias("_last"))
-             .where(F.col("_first") <= F.col("_last")))
     sep = F.array(F.lit(separator).cast(df.schema[tokens].dataType.elementType))
-    wide = base.join(spans, keys).select("_batch", "_start", "_n", "_first", "_last",
-                                         F.concat(sep, F.col("_t")).alias("_toks"))
+    wide = x.select("_batch", "_start", "_n", F.floor(F.col("_start") / C).alias("_first"), last.cast("bigint").alias("_last"),
+                    F.concat(sep, F.col("_t")).alias("_toks")).where(F.col("_first") <= F.col("_last"))
     return _assemble_chunks(wide, C)
 
 
@@ -180,8 +186,8 @@ def pack_segments(df: DataFrame, tokens: str, doc, seq, chunk: int = 2048, batch
           .withColumn("_dstart", F.col("_end") - F.col("_n")))
     n_chunks = F.ceil(F.col("_total") / C) if return_final else F.floor((F.col("_total") - 1) / C)
     chunks_ok = F.when(n_chunks > 0, n_chunks) if on_empty == "skip" else F.when(n_chunks > 0, n_chunks).otherwise(
-        F.raise_error(F.lit("Not enough data to create a single complete chunk in a batch; "
-                            "allow the final chunk or supply more data.")))
+        F.raise_error(F.lit("a batch holds less than one chunk and a token: "
+                            "keep final chunks, use larger batches or smaller chunks")))
     docs = x.select(*dk, "_batch", "_dstart", "_g0", "_first", F.coalesce(chunks_ok, F.lit(0)).alias("_nc"))
     first = F.struct(*[F.col(k) for k in sk]) == F.col("_first")
     spans = (seg.join(docs, dk)
