@@ -98,10 +98,10 @@ def best_so_far(df: DataFrame, save_every: int, by=("name",), step: str = "step"
     the loss of every earlier candidate of its group.
     """
     by = [by] if isinstance(by, str) else list(by)
-    last = df.groupBy(*by).agg(F.max(step).alias("_last"))
-    cand = (df.join(last, by)
-            .where(((F.col(step) + 1) % save_every == 0) | (F.col(step) == F.col("_last")))
-            .drop("_last"))
+    # both kinds of candidates are picked before anything is shuffled or joined
+    due = (F.col(step) + 1) % save_every == 0
+    last = df.groupBy(*by).agg(F.max_by(F.struct(*df.columns), F.col(step)).alias("_last")).select("_last.*")
+    cand = df.where(due).unionByName(last.where(~due))
     prior = min_before(cand, by, [step], loss, "_prior")
     return prior.where(F.col("_prior").isNull() | (F.col(loss) < F.col("_prior"))).drop("_prior")
 

@@ -346,9 +346,9 @@ def choice_prompts(df: DataFrame, seed: int, key: str, question: str = "Question
                    correct: str = "Correct Answer",
                    wrong=("Incorrect Answer 1", "Incorrect Answer 2", "Incorrect Answer 3")) -> DataFrame:
     """Multiple-choice prompt (C11): correct answer inserted at a seeded index
-    0-3 among the wrong ones; choices are the letters A-D."""
+    0-3 among the wrong ones; choices are the letters A-D, the instruction is the query."""
     gold = F.pmod(seeded_hash(seed, key), F.lit(4)).cast("int")
     opts = F.array_insert(F.array(*[c(w) for w in wrong]), gold + 1, c(correct))
     query = _fill(CHOICE_QUERY_TEMPLATE, Question=question, A=opts[0], B=opts[1], C=opts[2], D=opts[3])
-    return df.withColumns({"query": query, "choices": F.array(*[F.lit(x) for x in CHOICE_LETTERS]),
+    return df.withColumns({"query": query, "instruction": query, "choices": F.array(*[F.lit(x) for x in CHOICE_LETTERS]),
                            "gold_index": gold})

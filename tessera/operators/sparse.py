@@ -556,18 +556,44 @@ def latent_index(codes: DataFrame, id_col: str = "id") -> DataFrame:
     return idx.join(first, "latent_id").select("latent_id", id_col, (F.col("_g") - F.col("_f")).alias("slot"))
 
 
+def _sums_by_entry(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, and the sums of their rows."""
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(ids[order]) != 0])
+    return ids[order][first], np.add.reduceat(rows[order], first, axis=0)
+
+
 def latent_grad(codes: DataFrame, grad: DataFrame, d: int, id_col: str = "id",
                 grad_col: str = "grad") -> DataFrame:
     """Per entry ``sum(act * grad_row)`` (E17, decoder-weight gradient).
 
-    Exploded to ``(latent_id, pos)`` and summed with partial aggregation, so
-    a hot entry is combined map-side rather than collected.
+    Each Arrow batch is summed per entry first (one array for each entry it
+    touches, so a hot entry sends one row a batch), then the sums meet by entry.
     """
-    j = codes.join(grad.select(id_col, as_double_array(grad_col).alias("_g")), id_col)
-    x = j.select("latent_id", F.posexplode(F.transform("_g", lambda v: v * F.col("act"))).alias("pos", "v"))
-    per = x.groupBy("latent_id", "pos").agg(F.sum("v").alias("s"))
-    agg = per.groupBy("latent_id").agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("_p"))
-    return agg.select("latent_id", F.transform("_p", lambda s: s["s"]).alias("grad"))
+    j = codes.join(grad.select(id_col, as_double_array(grad_col).alias("_g")), id_col).select("latent_id", "act", "_g")
+    schema = "latent_id bigint, grad array<double>"
+
+    def partial(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 4096):
+                part = b.slice(i, 4096)
+                rows = np.asarray(part.column("act"))[:, None] * _matrix(part.column("_g"), d)
+                ids, sums = _sums_by_entry(np.asarray(part.column("latent_id")), rows)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), _lists(sums)], ["latent_id", "grad"])
+
+    def total(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            if b.num_rows:
+                ids, sums = _sums_by_entry(np.asarray(b.column("latent_id")), _matrix(b.column("grad"), d))
+                for i, row in zip(ids.tolist(), sums):
+                    held[i] = held[i] + row if i in held else row
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), _lists(np.stack(list(held.values())))],
+                                             ["latent_id", "grad"])
+
+    n = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return j.mapInArrow(partial, schema).repartition(n, "latent_id").mapInArrow(total, schema)
 
 
 def code_grad(codes: DataFrame, grad: DataFrame, dictionary: SparseDictionary, id_col: str = "id",

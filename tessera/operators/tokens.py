@@ -101,6 +101,11 @@ def _assemble_chunks(wide: DataFrame, C: int) -> DataFrame:
             .select("batch", "chunk", F.flatten(F.transform("_parts", lambda p: p["_piece"])).alias("input_ids")))
 
 
+def chunk_length(max_seq_len: int, model_max: int | None = None) -> int:
+    """Tokens per chunk: the asked length, at most what the tokenizer's model takes."""
+    return max_seq_len if model_max is None else min(max_seq_len, model_max)
+
+
 def pack(df: DataFrame, tokens: str, order, chunk: int = 2048, batch_rows: int = 2048,
          separator=DEFAULT_SEPARATOR, return_final: bool = False,
          on_empty: str = "error") -> DataFrame:

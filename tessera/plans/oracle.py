@@ -203,6 +203,8 @@ SELECT conv_id, {md5_len(_first, 'text')} FROM f"""
 
 _think, _ans = pr.FAMILY_MARKERS["Qwen"]
 _marked = f"{lit(_think)} || trace || {lit(_ans)} || attempt"
+ORACLE["instruct_conversation"] = ORACLE["instruct_first_turn"]
+
 ORACLE["marked_text"] = f"""WITH {TRACES}
 SELECT conv_id, turn, {md5_len(simple_pair('question', _marked), 'text')} FROM traces"""
 

@@ -171,10 +171,11 @@ def resolve_trace(spark, d):
 @query("adapt_messages")
 def adapt_messages(spark, d):
     """First message as the problem, ``$answer.value$`` from a JSON string
-    (here carrying the conversation's message count), in long form."""
-    f = sc.first_message(fx.read(spark, d, "conversations"))
-    info = F.concat(F.lit('{"answer": {"value": '), F.col("n_messages").cast("string"), F.lit("}}"))
-    return f.select("conv_id", F.md5("text").alias("problem_md5"), sc.json_answer(info).alias("answer"))
+    (here carrying the conversation's message count)."""
+    m = pr.messages_by_key(fx.read(spark, d, "conversations"))
+    info = F.concat(F.lit('{"answer": {"value": '), F.size("messages").cast("string"), F.lit("}}"))
+    a = sc.adapt_messages(m.withColumn("verification_info", info))
+    return a.select("conv_id", F.md5("problem").alias("problem_md5"), "answer")
 
 
 @query("union_splits")
@@ -260,6 +261,12 @@ def instruct_first_turn(spark, d):
     return t.select("conv_id", *_md5_len(F.col("text"), "text"))
 
 
+@query("instruct_conversation")
+def instruct_conversation(spark, d):
+    t = pr.instruct_text_from_conversation(pr.messages_by_key(fx.read(spark, d, "conversations")), "messages", "content")
+    return t.select("conv_id", *_md5_len(F.col("text"), "text"))
+
+
 @query("marked_text")
 def marked_text(spark, d):
     t = sc.resolve_trace(fx.trace_set(spark, d), "simplescaling/s1K", sae=True)

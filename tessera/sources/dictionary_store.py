@@ -86,14 +86,3 @@ def read_dictionaries(spark: SparkSession, path: str, pattern=None, layers=None,
     # one name per stored module: bounded by the model's module count
     names = [r["hookpoint"] for r in hp.orderBy(*natural_sort_keys("hookpoint")).collect()]
     return {h: read_dictionary(spark, path, h, checkpoint, decoder) for h in names}
-
-
-def stored_entries(spark: SparkSession, path: str, pattern=None, checkpoint: str = "latest",
-                   decoder: bool = True) -> DataFrame:
-    """All matching dictionaries as one entry table with a ``hookpoint`` column
-    (partition pruning on checkpoint; glob on the partition value)."""
-    e = spark.read.parquet(f"{path}/entries").where(F.col("checkpoint") == checkpoint)
-    if pattern is not None:
-        e = e.where(matches_any_glob("hookpoint", pattern))
-    cols = ["hookpoint", "latent_id", "w_enc", "b_enc"] + (["w_dec"] if decoder else [])
-    return e.select(*cols)
