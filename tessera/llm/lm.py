@@ -54,12 +54,12 @@ from tessera.llm.common import gather, materialise, table
 from tessera.llm.token_files import WordEncoder, text_blocks
 
 FOLDS, HELD_OUT = 5, 1
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 19
 HEAD = 1 << 20
 END_WORD = -1  # the hash of the end; no word's hash is looked up for it
 CLASSES, SINGLE_CLASSES = 64, 48
 INPUTS, OWN_INPUTS = 2304, 2048
-WIDTH, WINDOW, STRIDE = 16, 16, 32
+WIDTH, WINDOW, STRIDE = 16, 16, 64
 BATCH, RATE, ROUNDS = 256, 0.01, 3
 SMOOTH, PAIR_SMOOTH = 5.0, 5.0
 
@@ -95,6 +95,10 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _code_kind(words: int) -> str:
+    return "<u2" if words <= 1 << 16 else "<u4"
+
+
 def blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The scratch table of blocks (see the module's text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,13 +112,13 @@ def blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     pa.array([names], pa.list_(pa.string())), pa.array([held], pa.list_(pa.bool_())),
                     pa.array([sizes.tolist()], pa.list_(pa.int64())),
                     *[pa.array([np.asarray(x).astype(t).tobytes()], pa.binary()) for x, t in (
-                        (codes, "<u4"), (hashes, "<i8"), (counts, "<u2"), (ids, "<u2"))]],
+                        (codes, _code_kind(len(hashes))), (hashes, "<i8"), (counts, "<u2"), (ids, "<u2"))]],
                     ["names", "held", "sizes", "codes", "hashes", "counts", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("text"))
     out = narrow.mapInArrow(run, "names array<string>, held array<boolean>, sizes array<bigint>, codes binary, "
                                  "hashes binary, counts binary, ids binary")
-    return materialise(out.withColumn("block", F.monotonically_increasing_id()), "word-blocks")
+    return materialise(out.withColumn("block", F.monotonically_increasing_id()), "word-blocks", compression="zstd")
 
 
 class Block:
@@ -126,7 +130,8 @@ class Block:
         self.names = batch.column("names")[row].as_py()
         self.held = np.array(batch.column("held")[row].as_py(), bool)
         self.sizes = np.array(batch.column("sizes")[row].as_py(), np.int64)
-        self.codes, self.hashes = raw("codes", "<u4").astype(np.int64), raw("hashes", "<i8")
+        self.hashes = raw("hashes", "<i8")
+        self.codes = raw("codes", _code_kind(len(self.hashes))).astype(np.int64)
         self.counts, self.pieces = raw("counts", "<u2").astype(np.int64), raw("ids", "<u2")
         self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
@@ -140,6 +145,7 @@ class Block:
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
+    pieces.cache_clear()  # a reused worker needn't keep the words of the first pass
     for b in batches:
         for i in range(b.num_rows):
             yield b.column("block")[i].as_py(), Block(b, i)
@@ -158,18 +164,36 @@ def word_counts(held: DataFrame) -> DataFrame:
     return held.mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def _summed(held: DataFrame, make, size: int) -> np.ndarray:
-    """Element-wise sum over all blocks of arrays of a fixed size; tasks sum their own, Spark the rest."""
+def _summed(held: DataFrame, cells, size: int, at_once: int = 4 << 20) -> np.ndarray:
+    """How often each of ``size`` cells is named by ``cells(block)`` (arrays of
+    cells, or pairs of cells and weights); tasks count their own blocks, Spark adds up."""
     def run(batches):
-        total = np.zeros(size)
+        total, keys, weights, n = np.zeros(size, np.int64), [], [], 0
+
+        def add():
+            if keys:
+                w = np.concatenate(weights) if weights else None
+                total[:] += np.bincount(np.concatenate(keys), w, size).astype(np.int64)
+                keys.clear()
+                weights.clear()
+
         for _, b in _each(batches):
-            total += make(b)
+            got = cells(b)
+            if isinstance(got, tuple):
+                weights.append(got[1])
+                got = got[0]
+            keys.append(got)
+            n += len(got)
+            if n >= at_once:
+                add()
+                n = 0
+        add()
         own = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total[own], pa.float64())], ["at", "x"])
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total[own], pa.int64())], ["at", "x"])
 
     out = np.zeros(size)
     # at most ``size`` rows
-    rows = held.mapInArrow(run, "at bigint, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+    rows = held.mapInArrow(run, "at bigint, x bigint").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
     out[rows.column("at").to_numpy()] = rows.column("x").to_numpy()
     return out
 
@@ -208,22 +232,19 @@ _CLASS_CELLS = INPUTS * CLASSES
 _CELLS = _CLASS_CELLS + INPUTS * (OWN_INPUTS + 1)
 
 
-def pair_counts(b: Block, layout: Layout) -> np.ndarray:
-    """How often each class, and each frequent id, follows each input in the block's training documents."""
+def pair_cells(b: Block, layout: Layout) -> np.ndarray:
+    """The cells of (input, next class) and of (input, next frequent id) at each place of the block's training documents."""
     train = ~b.held
     if not train.any():
-        return np.zeros(_CELLS)
+        return np.empty(0, np.int64)
     ids, sizes = b.ids(train)
     y, _ = layout.sequences(ids, sizes[train])
     x = layout.input[y[:-1]]
-    cells = np.empty(_CELLS)
-    cells[:_CLASS_CELLS] = np.bincount(x * CLASSES + layout.cls[y[1:]], minlength=_CLASS_CELLS)
-    cells[_CLASS_CELLS:] = np.bincount(x * (OWN_INPUTS + 1) + layout.rank[y[1:]], minlength=_CELLS - _CLASS_CELLS)
-    return cells
+    return np.r_[x * CLASSES + layout.cls[y[1:]], _CLASS_CELLS + x * (OWN_INPUTS + 1) + layout.rank[y[1:]]]
 
 
 class Shares:
-    """Smoothed log shares from :func:`pair_counts`."""
+    """Smoothed log shares from counts of the cells of :func:`pair_cells`."""
 
     def __init__(self, layout: Layout, cells: np.ndarray):
         by_class = cells[:_CLASS_CELLS].reshape(INPUTS, CLASSES)
@@ -396,7 +417,7 @@ class Scorer:
         # the share of each id within its class, after the id before it
         within = np.where(rank[1:] < OWN_INPUTS, self.shares.frequent[x[:-1], np.minimum(rank[1:], OWN_INPUTS - 1)],
                           self.layout.share[y[1:]] + self.shares.rest[x[:-1], cls[1:]])
-        out = np.zeros(len(sizes))
+        out, ones = np.zeros(len(sizes)), np.ones(CLASSES, np.float32)
         for i in range(0, len(owner), at_once):
             f = first[i:i + at_once, None]
             keys = f + np.arange(-half, half)
@@ -418,7 +439,7 @@ class Scorer:
             goal = queries.reshape(-1) + 1
             own = z[np.arange(len(z)), cls[goal]] + within[goal - 1]
             np.exp(z, out=z)
-            own -= np.log(z.sum(1))
+            own -= np.log(z @ ones)
             out += np.bincount(np.repeat(owner[i:i + at_once], half), np.where(live.reshape(-1), own, 0), len(sizes))
         return out
 
@@ -427,13 +448,11 @@ def fit(held: DataFrame, n_ids: int) -> Scorer:
     """Count, lay out and train on the training documents of the table of blocks."""
     def used(b):
         words = np.bincount(b.codes[(~b.held)[b.owner]], minlength=len(b.hashes))
-        ids = np.bincount(b.pieces, np.repeat(words, b.counts), n_ids + 1)
-        ids[n_ids] = (~b.held).sum()
-        return ids
+        return np.r_[b.pieces, n_ids].astype(np.int64), np.r_[np.repeat(words, b.counts), (~b.held).sum()].astype(float)
 
     layout = Layout(_summed(held, used, n_ids + 1))
     told = held.sparkSession.sparkContext.broadcast(layout)
-    shares = Shares(layout, _summed(held, lambda b: pair_counts(b, told.value), _CELLS))
+    shares = Shares(layout, _summed(held, lambda b: pair_cells(b, told.value), _CELLS))
     return Scorer(layout, shares, train(held, layout, shares.logits))
 
 
