@@ -39,8 +39,8 @@ def test_base_equals_brute_force(spark, documents, rng):
 
 
 def test_method_adds_likely_spans_and_only_those(spark, documents):
-    plain = [f"order {i} of the year 2019-2020 and {i}{i + 1} pages, part 12 34 56 78 {i:02}" for i in range(20)]
-    likely = [f"phone: (555) 123-45{i:02} said John Smith, mail bob{i} [at] mail.example.com" for i in range(20)]
+    plain = [f"Anna Thble order {i} of the year 2019-2020 and {i}{i + 1} pages, part 12 34 56 78 {i:02}" for i in range(20)]
+    likely = [f"phone: (555) 123-45{i:02} contact John Smith, mail bob{i} [at] mail.example.com" for i in range(20)]
     fixed = [f"call +1 555 123 45{i:02} or a{i}@example.com" for i in range(20)]
     got = {r.doc_id: r.s for r in pii.scan(documents(plain + likely + fixed)).select("doc_id", spans.spell(F.col("_spans")).alias("s")).collect()}
     assert all(got[i] == "" for i in range(20)), got[0]
