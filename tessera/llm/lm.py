@@ -19,8 +19,8 @@ smoothed log share of the class after the last id, plus the output of one
 causal self-attention head over the last ``WINDOW`` ids with learned
 embeddings, projections and relative positions. Counts are exact sums over
 all training documents. The attention is trained in numpy by Adam: in each of
-``ROUNDS`` rounds every task goes over its training documents from the same
-parameters, and the parameters of all tasks are averaged by their numbers of
+``ROUNDS`` rounds every task goes over its training documents of that round
+(each document has one) from the same parameters, and the parameters of all tasks are averaged by their numbers of
 training windows. A training document gives a window for each ``STRIDE`` ids.
 
 Scoring. Windows of ``WINDOW`` ids overlap by half; the ids of the later half
@@ -164,7 +164,42 @@ def word_counts(held: DataFrame) -> DataFrame:
     return held.mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def _summed(held: DataFrame, cells, size: int, at_once: int = 4 << 20) -> np.ndarray:
+_SUMS = "chunk bigint, at array<bigint>, x array<double>"
+
+
+def _chunks(at: np.ndarray, x: np.ndarray, width: int) -> pa.RecordBatch:
+    """Ascending cells and their values as a row for each ``width`` cells."""
+    chunk = at // width
+    first = np.flatnonzero(np.r_[len(chunk) > 0, chunk[1:] != chunk[:-1]])
+    cuts = pa.array(np.r_[first, len(at)], pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(chunk[first], pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(at, pa.int64())),
+                                       pa.ListArray.from_arrays(cuts, pa.array(x, pa.float64()))], ["chunk", "at", "x"])
+
+
+def _added(parts: DataFrame, size: int, width: int = 1 << 14) -> np.ndarray:
+    """Element-wise sum of the tasks' :func:`_chunks`: chunks meet in Spark,
+    and at most ``size`` numbers come to the driver."""
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            ends = np.asarray(b.column("at").offsets)
+            at, x = np.asarray(b.column("at").values), np.asarray(b.column("x").values)
+            for chunk, i, j in zip(b.column("chunk").to_pylist(), ends.tolist(), ends[1:].tolist()):
+                more = np.bincount(at[i:j] - chunk * width, x[i:j], width)
+                held[chunk] = held[chunk] + more if chunk in held else more
+        for chunk, total in held.items():
+            own = np.flatnonzero(total)
+            yield _chunks(own + chunk * width, total[own], width)
+
+    n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = parts.repartition(n, "chunk").mapInArrow(run, _SUMS).toArrow()
+    out = np.zeros(size)
+    for at, x in zip(rows.column("at").chunks, rows.column("x").chunks):
+        out[np.asarray(at.flatten())] = np.asarray(x.flatten())
+    return out
+
+
+def _summed(held: DataFrame, cells, size: int, at_once: int = 4 << 20, width: int = 1 << 14) -> np.ndarray:
     """How often each of ``size`` cells is named by ``cells(block)`` (arrays of
     cells, or pairs of cells and weights); tasks count their own blocks, Spark adds up."""
     def run(batches):
@@ -189,13 +224,9 @@ def _summed(held: DataFrame, cells, size: int, at_once: int = 4 << 20) -> np.nda
                 n = 0
         add()
         own = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total[own], pa.int64())], ["at", "x"])
+        yield _chunks(own, total[own].astype(float), width)
 
-    out = np.zeros(size)
-    # at most ``size`` rows
-    rows = held.mapInArrow(run, "at bigint, x bigint").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
-    out[rows.column("at").to_numpy()] = rows.column("x").to_numpy()
-    return out
+    return _added(held.mapInArrow(run, _SUMS), size, width)
 
 
 class Layout:
@@ -330,8 +361,9 @@ class Adam:
 
 def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids at the last WINDOW positions, which of them exist, next ids) of the
-    block's training windows of round ``turn``: one for each STRIDE ids of a document, one at least."""
-    train = ~b.held
+    training documents of round ``turn`` (each document has one): a window for
+    each STRIDE ids of a document, one at least."""
+    train = ~b.held & (np.arange(len(b.held)) % ROUNDS == turn)
     ids, sizes = b.ids(train)
     sizes = sizes[train]
     y, starts = layout.sequences(ids, sizes)
@@ -341,8 +373,6 @@ def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, n
     owner = np.repeat(np.arange(len(sizes)), n)
     ends = np.cumsum(n)
     at = starts[owner] + lead[owner] + (np.arange(len(owner)) - (ends - n)[owner]) * STRIDE
-    mine = np.arange(len(at)) % ROUNDS == turn
-    at, owner = at[mine], owner[mine]
     place = at[:, None] + np.arange(1 - WINDOW, 1)
     mask = place >= starts[owner][:, None]
     return y[np.maximum(place, 0)], mask, y[at + 1]
@@ -371,17 +401,12 @@ def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
                     pick = order[i:i + BATCH]
                     adam.step(gradients(own, x[pick], mask[pick], logits[x[pick, -1]], goal[pick])[0])
                 weight += len(x)
-            if weight:
-                flat = np.concatenate([own[n].reshape(-1) for n in names]).astype(np.float64) * weight
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1), pa.int64()),
-                                                  pa.array(np.r_[flat, weight], pa.float64())], ["at", "x"])
-
-        rows = held.mapInArrow(run, "at bigint, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
-        if not rows:
-            break
-        flat = np.zeros(size + 1)
-        for r in rows:
-            flat[r["at"]] = r["x"]
+            flat = np.concatenate([*(own[n].reshape(-1) for n in names), [1.0]]).astype(np.float64) * weight
+            yield _chunks(np.arange(size + 1), flat, 1024)
+
+        flat = _added(held.mapInArrow(run, _SUMS), size + 1, 1024)
+        if not flat[-1]:
+            continue
         flat, at = flat[:-1] / flat[-1], 0
         for n in names:
             k = math.prod(_SHAPES[n])
@@ -431,7 +456,8 @@ class Scorer:
             a = np.matmul(self.q[xq], self.k[xk].transpose(0, 2, 1))
             np.exp(a, out=a)
             a *= self.near
-            a *= there[:, None, :]
+            if not there.all():
+                a *= there[:, None, :]
             h = np.matmul(a, self.v[xk]).reshape(-1, WIDTH + 1)
             h = h[:, :WIDTH] / h[:, WIDTH:]
             z = self.logits[xq.reshape(-1)]
