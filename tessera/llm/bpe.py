@@ -36,14 +36,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import gather, table, text_blocks
 
 #: Fixed: the pattern of byte-level pre-tokenisation.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPACES = re.compile(r"\s\s")
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 #: A worker that knows more units keeps the first of them, which are the frequent ones.
-KEPT_UNITS = 600_000
+KEPT_UNITS = 450_000
 FIRST_UNITS = 200_000
 
 
@@ -228,14 +228,6 @@ class Encoder:
         return ids, np.bincount(owner, sizes[codes], minlength=len(texts)).astype(np.int64)
 
 
-def gather(flat: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> np.ndarray:
-    """The runs ``picks`` of ``flat`` (cut into runs of ``sizes``), in a row."""
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[picks]
-    ends = np.cumsum(n)
-    return flat[np.repeat(starts[picks] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
-
-
 def decode_flat(ids: np.ndarray, sizes: np.ndarray, vocab: Vocabulary) -> list[str]:
     """The texts of ids in a row; unknown ids have no bytes."""
     known = (ids >= 0) & (ids < len(vocab.offsets) - 1)
@@ -246,26 +238,13 @@ def decode_flat(ids: np.ndarray, sizes: np.ndarray, vocab: Vocabulary) -> list[s
     return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_BYTES each."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += 4 * len(t) if t and not t.isascii() else len(t or "")
-        if size >= BLOCK_BYTES:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _run(path: str, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         encoder = Encoder(vocab)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for start, end in _blocks(texts):
-                ids, sizes = encoder.encode(texts[start:end])
+            for start, end in text_blocks(b.column("text"), BLOCK_BYTES):
+                ids, sizes = encoder.encode(b.column("text").slice(start, end - start).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(ids, pa.int32()))
                 out = [b.column("name").slice(start, end - start), lists]
                 if back:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +65,13 @@ def gather(flat: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> np.ndarray
     n = sizes[picks]
     ends = np.cumsum(n)
     return flat[np.repeat(starts[picks] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of an Arrow column of texts of about ``most`` bytes each."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < len(column):
+        end = min(int(np.searchsorted(size, done + most)) + 1, len(column))
+        yield start, end
+        start, done = end, int(size[end - 1])

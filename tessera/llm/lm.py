@@ -50,8 +50,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import gather, materialise, table
-from tessera.llm.token_files import WordEncoder, text_blocks
+from tessera.llm.common import gather, materialise, table, text_blocks
+from tessera.llm.token_files import WordEncoder
 
 FOLDS, HELD_OUT = 5, 1
 BLOCK_BYTES = 3 << 19

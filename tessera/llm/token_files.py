@@ -35,12 +35,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import gather, partitions, scratch, table
+from tessera.llm.common import gather, partitions, scratch, table, text_blocks
 
 BLOCK = 128
 #: Fixed: ids per word and bits per id, by selector (0: escape).
@@ -276,7 +275,7 @@ def write(docs: DataFrame, to: str, encoder: Callable, end_id: int, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before, encode = TaskContext.get().partitionId(), 0, 0, encoder()
         for b in batches:
-            for start, end in text_blocks(b.column("text")):
+            for start, end in text_blocks(b.column("text"), TEXT_BYTES):
                 ids, sizes = encode(b.column("text").slice(start, end - start).to_pylist())
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 words, offsets = pack(ids)
@@ -294,16 +293,6 @@ def write(docs: DataFrame, to: str, encoder: Callable, end_id: int, id_col: str
              "offsets binary, words binary").write.parquet(to)
 
 
-def text_blocks(column: pa.Array, most: int = TEXT_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of an Arrow column of texts of about ``most`` bytes each."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    start, done = 0, 0
-    while start < len(column):
-        end = min(int(np.searchsorted(size, done + most)) + 1, len(column))
-        yield start, end
-        start, done = end, int(size[end - 1])
-
-
 def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     """(id, start, n_tokens, ids) of each document of a token file; with
     ``digest`` the CRC-32 of the ids as little-endian 32-bit numbers instead
