@@ -4,8 +4,7 @@ import pytest
 
 from __spark_entry__ import oracle_sql
 from tessera.plans.queries import QUERIES
-from compare import compare, duck
-from conftest import SF_SMALL
+from compare import SF_SMALL, compare, duck
 
 NAMES = sorted(QUERIES)
 

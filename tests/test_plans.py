@@ -5,7 +5,7 @@ import pytest
 
 from __spark_entry__ import queries
 from tessera.plans.queries import QUERIES
-from conftest import SF_SMALL
+from compare import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 NAMES = sorted(n for n in QUERIES if not n.startswith("fit"))
