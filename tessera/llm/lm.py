@@ -55,7 +55,7 @@ from tessera.llm.token_files import WordEncoder
 
 FOLDS, HELD_OUT = 5, 1
 BLOCK_BYTES = 3 << 19
-HEAD = 1 << 20
+HEAD = 1 << 22
 END_WORD = -1  # the hash of the end; no word's hash is looked up for it
 CLASSES, SINGLE_CLASSES = 64, 48
 INPUTS, OWN_INPUTS = 2304, 2048
