@@ -201,26 +201,30 @@ class WordEncoder:
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _learn(self) -> None:
-        words = self.names[len(self.sizes):]
-        cores = [w.rstrip(b".,;:!?").decode() for w in words]
-        plain = np.fromiter(map(str.isalpha, cores), bool, len(cores))
+        known = len(self.sizes)
+        words = self.names[known:]
+        cores = [w.rstrip(b".,;:!?") for w in words]
+        texts = [c.decode() for c in cores]
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        # a core that was a word before has ids already; the others are pieces for the library
         pieces: dict[str, int] = {}
-        used = [pieces.setdefault(c, len(pieces)) for c in itertools.compress(cores, plain.tolist())]
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        tailed = np.flatnonzero(plain & (np.fromiter((len(c.encode()) if not c.isascii() else len(c) for c in cores), np.int64, len(cores)) < size))
-        used += [pieces.setdefault(words[i][len(cores[i].encode()):].decode(), len(pieces)) for i in tailed.tolist()]
+        get = self.known.get
+        used = [k if (k := get(c, known)) < known else known + pieces.setdefault(t, len(pieces))
+                for c, t, p in zip(cores, texts, plain.tolist()) if p]
+        size = lambda xs: np.fromiter(map(len, xs), np.int64, len(xs))
+        tailed = np.flatnonzero(plain & (size(cores) < size(words)))
+        used += [known + pieces.setdefault(words[i][len(cores[i]):].decode(), len(pieces)) for i in tailed.tolist()]
         odd = {i: words[i].decode() for i in np.flatnonzero(~plain).tolist()}
-        owner = np.r_[np.flatnonzero(plain), tailed]
+        owner = np.r_[np.flatnonzero(plain), tailed, np.array(list(odd), np.int64)]
         ids, sizes = self._pieces(list(pieces))
         rest = [e.ids for e in self.library.encode_batch_fast(list(odd.values()), add_special_tokens=False)]
-        ids = np.r_[ids, np.array([i for e in rest for i in e], np.int32)]
-        sizes = np.r_[sizes, np.array([len(e) for e in rest], np.int64)]
-        used = np.array(used + list(range(len(pieces), len(pieces) + len(rest))), np.int64)
-        owner = np.r_[owner, np.array(list(odd), np.int64)]
+        used = np.array(used + list(range(known + len(pieces), known + len(pieces) + len(rest))), np.int64)
         order = np.argsort(owner, kind="stable")
         used, owner = used[order], owner[order]
-        self.flat = np.r_[self.flat, gather(ids, sizes, used)]
-        self.sizes = np.r_[self.sizes, np.bincount(owner, sizes[used], minlength=len(words)).astype(np.int64)]
+        every = np.r_[self.sizes, sizes, np.array([len(e) for e in rest], np.int64)]
+        flat = np.r_[self.flat, ids, np.array([i for e in rest for i in e], np.int32)]
+        self.flat = np.r_[self.flat, gather(flat, every, used)]
+        self.sizes = np.r_[self.sizes, np.bincount(owner, every[used], minlength=len(words)).astype(np.int64)]
 
     def _forget(self) -> None:
         del self.names[FIRST_WORDS:]
