@@ -5,18 +5,21 @@ one space) and hashed. Per host (the ``source`` column) the distinct
 documents that hold a line are counted; equal texts are one document. A line
 is above its limit when it stands among more than ``limit`` different
 documents of the host (at least ``share`` of the host's documents). Different
-means different elsewhere: each document is known by its smallest and its
-largest other line hash, so a line that always comes with the same lines
-(copies of one document, exact or near) is no boilerplate, and copies are left
-to the near-duplicate operator. At least half of the documents that hold the
-line must differ so. Lines above their limit are removed, and a document
-that has less than ``LEFT_SHARE`` of its words or fewer than ``LEFT_WORDS``
-left is depleted and rejected.
+means different elsewhere: lines that stand among more than ``limit`` texts are
+candidates, and a document is known by the smallest and the largest hash of
+``SHINGLE`` words of its other lines. So boilerplate of many lines doesn't hide
+itself, and copies of one document (exact, or with some words changed) are
+known alike and left to the near-duplicate operator. A document of candidates
+alone is known by its smallest and largest other line, one of a single line by
+its text. At least half of the documents that hold the line must differ so.
+Lines above their limit are removed, and a document that has less than
+``LEFT_SHARE`` of its words or fewer than ``LEFT_WORDS`` left is depleted and
+rejected.
 
 Texts are read once: word rules and line hashes of each document go to a
 scratch table, counts and joins run on hashes. Counts are summed before the
-shuffle, and the join of documents with removed lines is salted, as one line
-may stand in a third of all documents.
+shuffle, and the joins of documents with candidates and with removed lines are
+salted, as one line may stand in a third of all documents.
 
 Defined results: a null text is empty and fails the word rules; a null host is
 a host of its own; a document at exactly a limit is kept; repeated rows are
@@ -31,7 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, table
@@ -39,6 +43,7 @@ from tessera.llm.common import materialise, table
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 LIMIT = 20
+SHINGLE = 3
 SHARE = 0.001
 LEFT_SHARE = 0.3
 LEFT_WORDS = 5
@@ -67,10 +72,16 @@ def repeated_words(words: list, window: int = 5) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def line_hash(line: bytes) -> tuple[int, int]:
-    """(hash of the normalised line, its number of words)."""
-    words = line.translate(_NORMAL).split()
-    return (int.from_bytes(hashlib.md5(b" ".join(words)).digest()[:8], "big"), len(words)) if words else (0, 0)
+def line_hash(words: list[bytes]) -> int:
+    """Hash of a normalised line."""
+    return int.from_bytes(hashlib.md5(b" ".join(words)).digest()[:8], "big")
+
+
+def shingle_ends(words: list[bytes]) -> tuple[int, int]:
+    """The smallest and the largest hash of SHINGLE words in a row (of the whole line if it has fewer)."""
+    runs = zip(*(words[i:] for i in range(SHINGLE))) if len(words) > SHINGLE else [words]
+    hashes = list(map(xxhash.xxh64_intdigest, map(b" ".join, runs)))
+    return min(hashes), max(hashes)
 
 
 def _measure(text: str | None) -> tuple:
@@ -79,16 +90,21 @@ def _measure(text: str | None) -> tuple:
     words = raw.split()
     worded = [x for x in raw.split(b"\n") if x.split()]
     total: dict[int, int] = {}
+    ends: dict[int, tuple[int, int]] = {}
     for x in worded:
-        h, n = line_hash(x)
-        total[h] = total.get(h, 0) + n
+        line = x.translate(_NORMAL).split()
+        h = line_hash(line)
+        total[h] = total.get(h, 0) + len(line)
+        if h not in ends:
+            ends[h] = shingle_ends(line)
     order = sorted(total)
     return (len(words), len(t) - sum(map(t.count, SPACES)), sum(map(t.count, SYMBOLS)), len(worded) - len(set(worded)),
             repeated_words(words), hashlib.md5(raw).hexdigest(),
-            np.array(order, np.uint64).view(np.int64), np.array([total[h] for h in order], np.int64))
+            np.array(order, np.uint64).view(np.int64), np.array([total[h] for h in order], np.int64),
+            *(np.array([ends[h][i] for h in order], np.uint64).view(np.int64) for i in (0, 1)))
 
 
-_FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "digest", "line", "words")
+_FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "digest", "line", "words", "first", "last")
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -102,20 +118,54 @@ def measure(docs: DataFrame) -> DataFrame:
 
     return docs.select("name", "host", "text").mapInPandas(
         run, "name string, host string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-             "n_repeat_words bigint, digest string, line array<bigint>, words array<bigint>")
+             "n_repeat_words bigint, digest string, line array<bigint>, words array<bigint>, first array<bigint>, last array<bigint>")
+
+
+def _salted(common: DataFrame) -> DataFrame:
+    return common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+
+
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("row"), F.lit(_SALTS)).cast("int").alias("salt")
+
+
+def held_candidates(measured: DataFrame, texts: DataFrame) -> DataFrame:
+    """(name, row, host, line, words, low, high): the candidates (``texts``: host, line) that each row of
+    ``measured`` holds, with what the document is known by."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for name, row, host, digest, line, words, first, last, found in zip(*(b[c] for c in b.columns)):
+                is_in = np.isin(line, found)
+                at = np.flatnonzero(is_in)
+                own = ~is_in
+                if own.any():
+                    low, high = np.full(len(at), first[own].min()), np.full(len(at), last[own].max())
+                elif len(line) > 1:  # lines are sorted
+                    low, high = np.where(at == 0, line[1], line[0]), np.where(at == len(line) - 1, line[-2], line[-1])
+                else:
+                    low = high = np.array([int(digest[:15], 16)])
+                for x, y in zip(out, ([name] * len(at), [row] * len(at), [host] * len(at), line[at], words[at], low, high)):
+                    x.extend(y)
+            yield pd.DataFrame(dict(zip(("name", "row", "host", "line", "words", "low", "high"), out)))
+
+    # a document's candidates are at most its own lines
+    found = (measured.select("row", "host", _salt(), F.explode("line").alias("line"))
+             .join(_salted(texts.select("host", "line")), ["host", "line", "salt"], "left_semi")
+             .groupBy("row").agg(F.collect_list("line").alias("found")))
+    return measured.join(found, "row").select("name", "row", "host", "digest", "line", "words", "first", "last", "found").mapInPandas(
+        run, "name string, row bigint, host string, line bigint, words bigint, low bigint, high bigint")
 
 
-def common_lines(lines: DataFrame, hosts: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
-    """(host, line) above the limit. ``lines``: host, line, digest, low, high, one row per document and line."""
-    different = lines.select("host", "line", "digest", "low", "high").distinct()
-    held = different.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
+def common_lines(held: DataFrame, texts: DataFrame, hosts: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
+    """(host, line) above the limit. ``held``: see :func:`held_candidates`; ``texts``: host, line, texts."""
     ways = []
     for side in ("low", "high"):
         # two steps, so that a line of very many documents is summed by parts
-        one = different.where(F.col(side).isNotNull()).groupBy("host", "line", side).agg(F.lit(1).alias("x"))
+        one = held.groupBy("host", "line", side).agg(F.lit(1).alias("x"))
         ways.append(one.groupBy("host", "line").agg(F.count(F.lit(1)).alias(f"n_{side}")))
-    return (held.where(F.col("texts") > limit).join(ways[0], ["host", "line"], "left").join(ways[1], ["host", "line"], "left")
-            .join(hosts, "host").withColumn("n", F.greatest(F.coalesce("n_low", F.lit(0)), F.coalesce("n_high", F.lit(0))))
+    return (texts.join(ways[0], ["host", "line"]).join(ways[1], ["host", "line"])
+            .join(hosts, "host").withColumn("n", F.greatest("n_low", "n_high"))
             .where((F.col("n") > limit) & (F.col("n") >= share * F.col("docs")) & (2 * F.col("n") >= F.col("texts")))
             .select("host", "line"))
 
@@ -130,25 +180,20 @@ def judge(docs: DataFrame, name_col: str = "doc_id", host_col: str = "source", l
     # names may repeat; the row numbers are fixed by being written
     measured = materialise(measure(told).withColumn("row", F.monotonically_increasing_id()), "quality")
     hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
-    # the ends of the sorted hashes name the document; the line itself is left out
-    lines = (measured.where(F.size("line") > 0).select(
-        "name", "row", "host", "digest", F.get("line", F.lit(0)).alias("l1"), F.get("line", F.lit(1)).alias("l2"),
-        F.element_at("line", -1).alias("h1"), F.get("line", F.size("line") - 2).alias("h2"),
-        F.explode(F.arrays_zip("line", "words")).alias("x"))
-        .select("name", "row", "host", "digest", F.col("x.line").alias("line"), F.col("x.words").alias("words"),
-                F.when(F.col("x.line") == F.col("l1"), F.col("l2")).otherwise(F.col("l1")).alias("low"),
-                F.when(F.col("x.line") == F.col("h1"), F.col("h2")).otherwise(F.col("h1")).alias("high")))
-    salted = common_lines(lines, hosts, limit, share).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    removed = lines.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(_SALTS)).cast("int")).join(
-        salted, ["host", "line", "salt"], "left_semi").select("name", "row", "line", "words")
+    texts = materialise(
+        measured.select("host", F.xxhash64("digest").alias("digest"), F.explode("line").alias("line")).distinct()
+        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > limit), "quality-texts")
+    held = materialise(held_candidates(measured, texts), "quality-candidates")
+    removed = held.withColumn("salt", _salt()).join(
+        _salted(common_lines(held, texts, hosts, limit, share)), ["host", "line", "salt"], "left_semi").select(
+        "name", "row", "line", "words")
     lost = removed.groupBy("row").agg(F.sum("words").alias("lost"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words")
     verdict = (measured.join(lost, "row", "left").withColumn("n_removed_words", F.coalesce("lost", F.lit(0).cast("bigint")))
                .withColumn("base_failed", failed)
                .withColumn("kept", ~failed & (left >= LEFT_WORDS) & (left >= LEFT_SHARE * F.col("n_words"))))
-    return verdict.drop("lost", "line", "words", "digest", "host"), removed.drop("words")
+    return verdict.drop("lost", "line", "words", "first", "last", "digest", "host"), removed.drop("words")
 
 
 def clean(docs: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:

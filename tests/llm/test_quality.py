@@ -46,6 +46,22 @@ def test_common_lines_go_and_copies_stay(spark, documents, rng):
     assert quality.clean(docs).columns == docs.columns
 
 
+def test_boilerplate_of_many_lines_goes(spark, documents, rng):
+    texts, ids = [], []
+    for k, own in ((1, 0), (5, 1), (10, 3), (30, 10)):
+        for host in range(4):
+            block = [sentence(rng, 4) for _ in range(k)]
+            for i in range(25):
+                mine = block + [sentence(rng, 60) for _ in range(own)]
+                rng.shuffle(mine)
+                texts.append("\n".join(mine) if own else f"{block[0]} of year {2000 + i} for us and for all others")
+                ids.append((f"{k}-{host}", 4 * k if own else len(texts[-1].split())))
+    verdict, _ = quality.judge(documents(texts, source=[h for h, _ in ids]))
+    got = {int(r.name): r for r in verdict.collect()}
+    assert [got[i].n_removed_words for i in range(len(texts))] == [n for _, n in ids]
+    assert all(got[i].kept == (ids[i][0][0] != "1" or ids[i][0][:2] == "10") for i in range(len(texts)))
+
+
 def test_edges_of_the_input(spark, documents, rng):
     texts = [None, "", " \n\t\n", "one two", sentence(rng, 40), "a\n" * 50, "x" * 50000, sentence(rng, 30000), "é ü\n\né ü #$"]
     verdict, _ = quality.judge(documents(texts + texts, [1, 1, None] * 6, [None, "h", "h"] * 6))
