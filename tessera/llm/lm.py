@@ -112,7 +112,7 @@ def blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     pa.array([names], pa.list_(pa.string())), pa.array([held], pa.list_(pa.bool_())),
                     pa.array([sizes.tolist()], pa.list_(pa.int64())),
                     *[pa.array([np.asarray(x).astype(t).tobytes()], pa.binary()) for x, t in (
-                        (codes, _code_kind(len(hashes))), (hashes, "<i8"), (counts, "<u2"), (ids, "<u2"))]],
+                        (codes, _code_kind(len(hashes))), (hashes, "<i8"), (counts, "<u4"), (ids, "<u2"))]],
                     ["names", "held", "sizes", "codes", "hashes", "counts", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("text"))
@@ -132,7 +132,7 @@ class Block:
         self.sizes = np.array(batch.column("sizes")[row].as_py(), np.int64)
         self.hashes = raw("hashes", "<i8")
         self.codes = raw("codes", _code_kind(len(self.hashes))).astype(np.int64)
-        self.counts, self.pieces = raw("counts", "<u2").astype(np.int64), raw("ids", "<u2")
+        self.counts, self.pieces = raw("counts", "<u4").astype(np.int64), raw("ids", "<u2")
         self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
     def ids(self, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

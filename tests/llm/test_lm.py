@@ -140,6 +140,16 @@ def test_training_lowers_the_loss(spark, documents, rng):
     assert model.score(ids, sizes).sum() > start.score(ids, sizes).sum()
 
 
+def test_word_of_very_many_pieces(spark, documents, rng):
+    long = "".join(rng.choice("0123456789abcdef") for _ in range(200_000))
+    texts = [f"the {long} of", "the of", "and the of"]
+    rows = lm.scores(documents(texts, [3, 4, 5]), PATH).collect()
+    got = {r.doc_id: r.n_ids for r in rows}
+    known = Tokenizer.from_file(PATH)
+    assert got[3] > 1 << 16 and all(got[i] == len(known.encode(t, add_special_tokens=False).ids) + 1 for i, t in zip((3, 4, 5), texts))
+    assert all(math.isfinite(r.score) for r in rows)
+
+
 def test_edges_of_the_input(spark, documents, rng, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 4)
     texts = [None, "", " \n ", "The the THE", "Ünï cödé", "x" * 4000, "<|endoftext|> a", sentence(rng, 4000), "the", "the"]
