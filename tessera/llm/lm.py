@@ -21,7 +21,8 @@ embeddings, projections and relative positions. Counts are exact sums over
 all training documents. The attention is trained in numpy by Adam: in each of
 ``ROUNDS`` rounds every task goes over its training documents of that round
 (each document has one) from the same parameters, and the parameters of all tasks are averaged by their numbers of
-training windows. A training document gives a window for each ``STRIDE`` ids.
+targets. Every id and end of a training document is a target once; windows of
+``WINDOW`` ids overlap by half, as in scoring.
 
 Scoring. Windows of ``WINDOW`` ids overlap by half; the ids of the later half
 are scored (each id once) with batched masked attention.
@@ -59,7 +60,7 @@ HEAD = 1 << 22
 END_WORD = -1  # the hash of the end; no word's hash is looked up for it
 CLASSES, SINGLE_CLASSES = 64, 48
 INPUTS, OWN_INPUTS = 2304, 2048
-WIDTH, WINDOW, STRIDE = 16, 16, 64
+WIDTH, WINDOW = 16, 16
 BATCH, RATE, ROUNDS = 256, 0.01, 3
 SMOOTH, PAIR_SMOOTH = 5.0, 5.0
 
@@ -304,45 +305,56 @@ def fresh(seed: int = 0) -> dict[str, np.ndarray]:
     return p
 
 
-def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, goal: np.ndarray) -> tuple[dict, float]:
+def _by_input(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the inputs in ``x``, sum of the ``rows`` of each)."""
+    order = np.argsort(x.reshape(-1).astype(np.int16), kind="stable")
+    x = x.reshape(-1)[order]
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+    return x[first], np.add.reduceat(rows.reshape(-1, rows.shape[-1])[order], first, axis=0)
+
+
+def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, goal: np.ndarray,
+              live: np.ndarray | None = None) -> tuple[dict, float]:
     """Gradients of the mean cross entropy, and its value. ``ctx``: inputs of
-    the last WINDOW ids (latest last), ``mask``: which of them exist,
-    ``logits``: the shares' part, ``goal``: the next class."""
+    WINDOW ids (latest last), ``mask``: which of them exist, ``goal``: the next
+    class of each of the last ids (or of the last one alone), ``logits``: the
+    shares' part there, ``live``: which of them are targets."""
     n, root = len(ctx), WIDTH ** 0.5
-    tk, tv = p["E"] @ p["k"], p["E"] @ p["v"]
-    key, val, last = tk[ctx], tv[ctx], p["E"][ctx[:, -1]]
-    q = last @ p["q"]
-    s = np.matmul(key, q[:, :, None])[:, :, 0] / root + p["r"][::-1]
-    s = np.where(mask, s, np.float32(-1e9))
-    a = np.exp(s - s.max(1, keepdims=True))
-    a /= a.sum(1, keepdims=True)
-    h = np.matmul(a[:, None, :], val)[:, 0]
+    if goal.ndim == 1:
+        goal, logits = goal[:, None], logits[:, None]
+    m = goal.shape[1]
+    live = np.ones((n, m), bool) if live is None else live
+    back = np.arange(WINDOW - m, WINDOW)[:, None] - np.arange(WINDOW)
+    last = ctx[:, WINDOW - m:]
+    key, val, q = (p["E"] @ p["k"])[ctx], (p["E"] @ p["v"])[ctx], (p["E"] @ p["q"])[last]
+    s = np.matmul(q, key.transpose(0, 2, 1)) / root + p["r"][np.maximum(back, 0)]
+    s = np.where(mask[:, None, :] & (back >= 0), s, np.float32(-1e9))
+    a = np.exp(s - s.max(2, keepdims=True))
+    a /= a.sum(2, keepdims=True)
+    h = np.matmul(a, val)
     z = logits + h @ p["o"]
-    z = z - z.max(1, keepdims=True)
+    z = z - z.max(2, keepdims=True)
     e = np.exp(z)
-    total = e.sum(1, keepdims=True)
-    loss = float((np.log(total[:, 0]) - z[np.arange(n), goal]).mean())
+    total = e.sum(2, keepdims=True)
+    targets = max(int(live.sum()), 1)
+    at = (np.arange(n)[:, None], np.arange(m), goal)
+    loss = float(((np.log(total[:, :, 0]) - z[at]) * live).sum() / targets)
     dz = e / total
-    dz[np.arange(n), goal] -= 1
-    dz /= n
+    dz[at] -= 1
+    dz *= (live / np.asarray(targets, dz.dtype))[:, :, None].astype(dz.dtype)
     dh = dz @ p["o"].T
-    da = np.matmul(val, dh[:, :, None])[:, :, 0]
-    ds = a * (da - (a * da).sum(1, keepdims=True))
-    dq = np.matmul(ds[:, None, :], key)[:, 0] / root
-    both = np.concatenate([ds[:, :, None] * (q / root)[:, None, :], a[:, :, None] * dh[:, None, :]], 2).reshape(-1, 2 * WIDTH)
-    order = np.argsort(ctx.reshape(-1).astype(np.int16), kind="stable")
-    rows = ctx.reshape(-1)[order]
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    sums, at = np.add.reduceat(both[order], first, axis=0), rows[first]
+    da = np.matmul(dh, val.transpose(0, 2, 1))
+    ds = a * (da - (a * da).sum(2, keepdims=True))
+    dkey, dval = np.matmul(ds.transpose(0, 2, 1), q) / root, np.matmul(a.transpose(0, 2, 1), dh)
+    at, sums = _by_input(ctx, np.concatenate([dkey, dval], 2))
     dk, dv, own = sums[:, :WIDTH], sums[:, WIDTH:], p["E"][at]
     dE = np.zeros_like(p["E"])
     dE[at] = dk @ p["k"].T + dv @ p["v"].T
-    dlast = dq @ p["q"].T
-    order = np.argsort(ctx[:, -1].astype(np.int16), kind="stable")
-    rows = ctx[order, -1]
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    dE[rows[first]] += np.add.reduceat(dlast[order], first, axis=0)
-    return {"E": dE, "q": last.T @ dq, "k": own.T @ dk, "v": own.T @ dv, "o": h.T @ dz, "r": ds.sum(0)[::-1]}, loss
+    at, dq = _by_input(last, np.matmul(ds, key) / root)
+    dE[at] += dq @ p["q"].T
+    dr = np.bincount(np.maximum(back, 0).reshape(-1), ds.sum(0).reshape(-1), WINDOW).astype(p["r"].dtype)
+    return {"E": dE, "q": p["E"][at].T @ dq, "k": own.T @ dk, "v": own.T @ dv,
+            "o": h.reshape(-1, WIDTH).T @ dz.reshape(-1, CLASSES), "r": dr}, loss
 
 
 class Adam:
@@ -359,23 +371,22 @@ class Adam:
             x -= (rate * self.m[n] / (np.sqrt(self.s[n]) + 1e-8)).astype(np.float32)
 
 
-def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids at the last WINDOW positions, which of them exist, next ids) of the
-    training documents of round ``turn`` (each document has one): a window for
-    each STRIDE ids of a document, one at least."""
+def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of windows that overlap by half, which of them exist, next ids of
+    the later half, which of these are targets) of the training documents of
+    round ``turn`` (each document has one); each id and end is a target once."""
     train = ~b.held & (np.arange(len(b.held)) % ROUNDS == turn)
     ids, sizes = b.ids(train)
     sizes = sizes[train]
     y, starts = layout.sequences(ids, sizes)
-    # a document's first window ends at a place given by its number, so all places are used
-    lead = np.arange(len(sizes)) * 7 % np.minimum(STRIDE, sizes + 1)
-    n = (sizes - lead) // STRIDE + 1
+    half = WINDOW // 2
+    n = (sizes + half) // half
     owner = np.repeat(np.arange(len(sizes)), n)
-    ends = np.cumsum(n)
-    at = starts[owner] + lead[owner] + (np.arange(len(owner)) - (ends - n)[owner]) * STRIDE
-    place = at[:, None] + np.arange(1 - WINDOW, 1)
+    first = starts[owner] + (np.arange(len(owner)) - (np.cumsum(n) - n)[owner]) * half
+    place = first[:, None] + np.arange(-half, half)
+    live = place[:, half:] <= (starts + sizes)[owner][:, None]
     mask = place >= starts[owner][:, None]
-    return y[np.maximum(place, 0)], mask, y[at + 1]
+    return y[np.clip(place, 0, len(y) - 1)], mask, y[np.minimum(place[:, half:] + 1, len(y) - 1)], live
 
 
 def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
@@ -394,13 +405,13 @@ def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
             adam, weight = Adam(own), 0
             rng = np.random.default_rng(turn)
             for _, b in _each(batches):
-                y, mask, goal = training_windows(b, layout, turn)
+                y, mask, goal, live = training_windows(b, layout, turn)
                 x, goal = layout.input[y], layout.cls[goal]
                 order = rng.permutation(len(x))
                 for i in range(0, len(x), BATCH):
                     pick = order[i:i + BATCH]
-                    adam.step(gradients(own, x[pick], mask[pick], logits[x[pick, -1]], goal[pick])[0])
-                weight += len(x)
+                    adam.step(gradients(own, x[pick], mask[pick], logits[x[pick, WINDOW // 2:]], goal[pick], live[pick])[0])
+                weight += int(live.sum())
             flat = np.concatenate([*(own[n].reshape(-1) for n in names), [1.0]]).astype(np.float64) * weight
             yield _chunks(np.arange(size + 1), flat, 1024)
 

@@ -125,6 +125,39 @@ def test_gradients_by_finite_differences():
             assert abs((values[0] - values[1]) / 2e-5 - g[n][at]) < 1e-5, n
 
 
+def test_gradients_of_many_targets_sum_those_of_one():
+    rng = np.random.default_rng(3)
+    p = {n: x.astype(np.float64) for n, x in lm.fresh(1).items()}
+    p["o"] = rng.normal(0, 0.5, p["o"].shape)
+    half = lm.WINDOW // 2
+    ctx, mask = rng.integers(0, 9, (5, lm.WINDOW)), rng.random((5, lm.WINDOW)) < 0.8
+    mask[:, half:] = True
+    logits, goal = rng.normal(0, 1, (5, half, lm.CLASSES)), rng.integers(0, lm.CLASSES, (5, half))
+    live = rng.random((5, half)) < 0.7
+    want = {n: 0 for n in p}
+    for i in range(half):  # the target's place last, what is before the window masked
+        seen = half + i + 1
+        c, k = np.zeros_like(ctx), np.zeros_like(mask)
+        c[:, -seen:], k[:, -seen:] = ctx[:, :seen], mask[:, :seen]
+        for j in np.flatnonzero(live[:, i]):
+            g, _ = lm.gradients(p, c[j:j + 1], k[j:j + 1], logits[j:j + 1, i], goal[j:j + 1, i])
+            want = {n: want[n] + g[n] / live.sum() for n in p}
+    got, _ = lm.gradients(p, ctx, mask, logits, goal, live)
+    assert all(np.allclose(got[n], want[n], atol=1e-10) for n in p)
+
+
+def test_every_training_position_is_a_target_once(spark, documents, rng):
+    texts = [None, "", "the", *(sentence(rng, n) for n in (3, 7, 8, 9, 40, 300))] * 5
+    held_ = lm.blocks(documents(texts), PATH)
+    layout = lm.Layout(np.ones(49409))
+    for r in held_.toArrow().to_batches():
+        for _, b in lm._each([r]):
+            ids, sizes = b.ids(~b.held)
+            want = np.r_[ids.astype(np.int64), np.full((~b.held).sum(), layout.end)]
+            turns = [lm.training_windows(b, layout, t) for t in range(lm.ROUNDS)]
+            assert sorted(np.concatenate([goal[live] for _, _, goal, live in turns])) == sorted(want)
+
+
 def test_training_lowers_the_loss(spark, documents, rng):
     pattern = [sentence(rng, 6) for _ in range(5)]
     held_ = lm.blocks(documents([" ".join(rng.choice(pattern) for _ in range(60)) for _ in range(80)]), PATH)
