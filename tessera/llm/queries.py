@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import chats, quality, secrets
+from tessera.llm import chats, merkle, quality, secrets
 from tessera.llm.bpe import op6_bpe
 from tessera.llm.chats import op3_chats
 from tessera.llm.decontamination import op8_decontamination
 from tessera.llm.lm import op5_lm
+from tessera.llm.merkle import op13_merkle
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
 from tessera.llm.resharding import op2_resharding
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE: dict[str, str] = {
     "op3_chats": chats.ORACLE,
     "op4_quality": quality.oracle(),
     "op7_secrets": secrets.oracle(),
+    "op13_merkle": merkle.oracle(),
 }
