@@ -286,8 +286,8 @@ def oracle(levels: int = 24) -> str:
     leaves AS (SELECT coalesce('=' || lang, '') AS tree, doc_id,
         sha256({' || '.join(part[c] for c in FIELDS)}) AS dg, sha256({' || '.join(more[c] for c in FIELDS)}) AS again,
         n_chars IS NOT NULL AND doc_id IS NOT NULL AND xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
-          list_transform(string_split(doc_id::VARCHAR, ''), ch -> ord(ch)::BIGINT)),
-          (a, b) -> xor(a >> 8, crc.l[(xor(a, b) & 255) + 1]))) % 7 = 0 AS chosen
+          list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+          lambda a, b: xor(a >> 8, crc.l[(xor(a, b) & 255) + 1]))) % 7 = 0 AS chosen
       FROM documents, crc),
     d0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, dg) - 1 AS pos,
         count(*) OVER (PARTITION BY tree) AS size FROM leaves),
@@ -302,7 +302,7 @@ def oracle(levels: int = 24) -> str:
       UNION ALL SELECT tree, pos, n + 1, sha256(CASE WHEN l[n + 1].s IS NULL THEN h
           WHEN l[n + 1].b THEN l[n + 1].s || h ELSE h || l[n + 1].s END), l FROM folds WHERE n < len(l))
     SELECT w.doc_id, w.dg AS leaf, t0.dg AS subroot, top.dg AS root,
-      sha256(array_to_string(list_filter(list_transform(w.l, x -> x.s), x -> x IS NOT NULL), '')) AS proof_sha256,
+      sha256(array_to_string(list_filter(list_transform(w.l, lambda x: x.s), lambda x: x IS NOT NULL), '')) AS proof_sha256,
       f.h AS folded_root, f.h = top.dg AS verified
     FROM whole w JOIN folds f ON f.tree = w.tree AND f.pos = w.pos AND f.n = len(w.l)
     JOIN t0 ON t0.name = w.tree, t{levels} top"""
