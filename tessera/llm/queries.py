@@ -6,6 +6,7 @@ from tessera.llm import chats, merkle, quality, secrets
 from tessera.llm.bpe import op6_bpe
 from tessera.llm.chats import op3_chats
 from tessera.llm.decontamination import op8_decontamination
+from tessera.llm.language import op11_language
 from tessera.llm.lm import op5_lm
 from tessera.llm.merkle import op13_merkle
 from tessera.llm.pii import op9_personal
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
+    "op11_language": op11_language,
     "op13_merkle": op13_merkle,
 }
 
