@@ -33,11 +33,10 @@ import hashlib
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, table
-from tessera.operators.positions import laid_out
+from tessera.llm.common import materialise, numbered, table
 
 SPAN = 512
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -119,18 +118,6 @@ def tree_of(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
 
 
-def numbered(nodes: DataFrame, order: list[str]) -> DataFrame:
-    """``pos``: a row's place in its ``tree`` by ``order``. Rows are laid out by
-    range; a range's part of a tree starts where the earlier ranges end."""
-    laid = laid_out(nodes.withColumn("_one", F.lit(1)), ["tree", *order], "_one")
-    parts = laid.groupBy("_piece", "tree").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("tree").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
-    parts = parts.select("_piece", "tree", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    return (laid.join(parts, ["_piece", "tree"])
-            .withColumn("pos", F.col("_row") - F.col("_first") + F.col("_before"))
-            .select(*nodes.columns, "pos"))
-
-
 class Forest:
     """Trees over ``leaves`` (tree, pos from 0 without gaps, digest, further columns)."""
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import chats, merkle, quality, secrets
+from tessera.llm import chats, merkle, phrases, quality, secrets
 from tessera.llm.bpe import op6_bpe
 from tessera.llm.chats import op3_chats
 from tessera.llm.decontamination import op8_decontamination
 from tessera.llm.language import op11_language
 from tessera.llm.lm import op5_lm
 from tessera.llm.merkle import op13_merkle
+from tessera.llm.phrases import op12_phrases
 from tessera.llm.pii import op9_personal
 from tessera.llm.quality import op4_quality
 from tessera.llm.resharding import op2_resharding
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_personal": op9_personal,
     "op10_simhash": op10_simhash,
     "op11_language": op11_language,
+    "op12_phrases": op12_phrases,
     "op13_merkle": op13_merkle,
 }
 
@@ -35,5 +37,6 @@ ORACLE: dict[str, str] = {
     "op3_chats": chats.ORACLE,
     "op4_quality": quality.oracle(),
     "op7_secrets": secrets.oracle(),
+    "op12_phrases": phrases.oracle(),
     "op13_merkle": merkle.oracle(),
 }
