@@ -6,15 +6,20 @@ of ``TILE`` ranks; frequent words meet in a few tiles near the corner. A block
 of text counts its pairs tile by tile: a tile that many of the block's pairs
 fall into is a dense array addressed by the pair's cell (one ``bincount``),
 all other tiles keep sorted coordinates with counts. Counts of the blocks meet
-in one aggregate. Pairs that occur ``LEAST`` times are ranked in turn and the
-same step, run on (pair, word), counts phrases of three words: a phrase of
-three can only be frequent if both its pairs are.
-
-A block holds its text as local word numbers, so a rank reaches a block once
-per different word (or pair), not once per occurrence; words, pairs and blocks
-meet by joins, and nothing of the vocabulary's size is broadcast or collected.
-Lookups by word are salted, as a frequent word is in many phrases. Counts are
-exact and products of counts are decimals of 38 digits (counts below 10^15).
+in buckets, where sorted coordinates are merged. Pairs that occur ``LEAST``
+times are ranked in turn and the same step, run on (pair, word), counts phrases
+of three words: such a phrase can only be frequent if both its pairs are.
+
+Work moves as arrays: a block of ``BLOCK`` bytes sends each bucket one row with
+the block's different words (or pairs) of that bucket and their counts, and
+gets back one row with the ranks of the frequent ones. Buckets are chosen by
+hash, so many that each meets about ``BUCKET`` bytes of text; a key that is in
+every block is one entry a block. A rank is the place by frequency inside a
+bucket, times the number of buckets, plus the bucket: unique, and in order of
+frequency but for chance. Nothing of the vocabulary's size is broadcast or
+collected; the frequent phrases' words and counts are looked up by salted
+joins, as a frequent word is in many of them. Counts are exact and products of
+counts are decimals of 38 digits (counts below 10^15).
 
 Results in special cases: a null language is ``und``, like that name itself; a
 null or empty text has no words; a piece never runs over a text's end; texts of
@@ -34,13 +39,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, numbered, table, text_blocks
+from tessera.llm.common import materialise, partitions, table, text_blocks
 
 LEAST = 10
 TOP = 2000
 COVER = 50  # a phrase goes if a longer one has this many percent of its count
 TILE = 256
-BLOCK = 1 << 23  # bytes of text in a block
+BLOCK = 1 << 22  # bytes of text in a block
+BUCKET = 1 << 24  # bytes of text whose words meet in a bucket
 SALTS = 16
 
 _SPACE, _BREAK = 1, 2
@@ -78,27 +84,149 @@ def scanned(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, text, goes_on
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block: its different (language, word)s with counts, and its text as
-    their numbers (negative, less one, where a piece begins)."""
-    number = TaskContext.get().partitionId() << 33
-    for batch in batches:
-        for start, stop in text_blocks(batch.column("text"), BLOCK):
-            langs = pc.dictionary_encode(batch.column("lang").slice(start, stop - start))
-            words, text, goes_on = scanned(batch.column("text").slice(start, stop - start))
-            words = pc.dictionary_encode(words)
-            n = max(len(words.dictionary), 1)
-            both = langs.indices.to_numpy().astype(np.int64)[text] * n + words.indices.to_numpy()
-            known, at, count = np.unique(both, return_inverse=True, return_counts=True)
-            at = at.astype(np.int32)
-            row = [pa.array([number], pa.int64())]
-            for values, kind in ((langs.dictionary.take(pa.array(known // n)), pa.string()),
-                                 (words.dictionary.take(pa.array(known % n)), pa.string()),
-                                 (pa.array(count), pa.int64())):
-                row.append(pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), values.cast(kind)))
-            row.append(pa.array([np.where(goes_on, at, ~at).astype("<i4").tobytes()], pa.binary()))
-            yield pa.RecordBatch.from_arrays(row, ["block", "lang", "word", "n", "seq"])
-            number += 1
+def packed(values: np.ndarray) -> bytes:
+    """Non-negative numbers in the narrowest width that holds them all."""
+    top = int(values.max()) if len(values) else 0
+    return values.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+
+
+def unpacked(data, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{max(len(data) // max(n, 1), 1)}", n).astype(np.int64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Hash of 64-bit numbers (the finalizer of SplitMix64)."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def string_hash(words: pa.LargeStringArray) -> np.ndarray:
+    """A hash of each string: a polynomial over its bytes."""
+    words = pa.concat_arrays([words])
+    ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    raw = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
+    starts, size = ends[:-1] - ends[0], np.diff(ends)
+    longest = int(size.max()) if len(size) else 0
+    power = np.full(longest, 0x9E3779B97F4A7C15, np.uint64).cumprod()
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    sums[1:] = np.cumsum((raw + np.uint64(1)) * power[np.arange(len(raw)) - np.repeat(starts, size)])
+    return mixed(sums[starts + size] - sums[starts])
+
+
+def _row(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    """A batch of ``columns``, null in the schema's others."""
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
+def _schema(arrow: pa.Schema):
+    from pyspark.sql.pandas.types import from_arrow_schema
+    return from_arrow_schema(arrow)
+
+
+WORDS_OUT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("lang", pa.string()), ("word", pa.list_(pa.string())),
+                       ("start", pa.int64()), ("n", pa.binary()), ("total", pa.int64()), ("seq", pa.binary())])
+PAIRS_OUT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("size", pa.int64()),
+                       ("left", pa.binary()), ("right", pa.binary()), ("n", pa.binary()), ("seq", pa.binary()),
+                       ("ranks", pa.binary())])
+RANKED = pa.schema([("block", pa.int64()), ("size", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
+                    ("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("left", pa.int64()),
+                    ("right", pa.int64()), ("a", pa.int64())])
+
+
+def _blocks(buckets: int):
+    """Per block its text as local word numbers (less one and negative where a
+    piece begins), and per bucket and language the block's different words.
+    Local numbers follow (bucket, language, word)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for start, stop in text_blocks(batch.column("text"), BLOCK):
+                langs = pc.dictionary_encode(batch.column("lang").slice(start, stop - start))
+                words, text, goes_on = scanned(batch.column("text").slice(start, stop - start))
+                if not len(words):
+                    continue
+                words = pc.dictionary_encode(words)
+                n = len(words.dictionary)
+                both = langs.indices.to_numpy().astype(np.int64)[text] * n + words.indices.to_numpy()
+                known, at, count = np.unique(both, return_inverse=True, return_counts=True)
+                lang, word = known // n, known % n
+                bucket = (string_hash(words.dictionary)[word] % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket * len(langs.dictionary) + lang, kind="stable")
+                place = np.empty_like(order)
+                place[order] = np.arange(len(order))
+                at = place[at].astype("<i4")
+                yield _row(WORDS_OUT, bucket=[-1], block=[number], seq=[np.where(goes_on, at, ~at).astype("<i4").tobytes()])
+                lang, word, count, bucket = lang[order], word[order], count[order], bucket[order]
+                first = np.flatnonzero(np.diff(bucket * len(langs.dictionary) + lang, prepend=-1))
+                last = np.append(first[1:], len(order))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()),
+                                                 words.dictionary.take(pa.array(word)).cast(pa.string()))
+                yield _row(WORDS_OUT, bucket=bucket[first], block=np.full(len(first), number), start=first, word=lists,
+                           lang=langs.dictionary.take(pa.array(lang[first])).cast(pa.string()),
+                           n=[packed(count[f:e]) for f, e in zip(first, last, strict=True)],
+                           total=np.add.reduceat(count, first))
+                number += 1
+    return run
+
+
+def _ranked(batches: Iterator[pa.RecordBatch], least: int, buckets: int, keys) -> Iterator[pa.RecordBatch]:
+    """Meet in a bucket: add up equal keys of all blocks, rank the frequent
+    ones, and answer each block that sent them. ``keys(table, sizes)`` gives
+    a number for each entry (equal for equal keys) and, for chosen entries, the
+    columns of the result."""
+    rows = [b for b in batches if len(b)]
+    if not rows:
+        return
+    got = pa.Table.from_batches(rows)
+    bucket = got["bucket"][0].as_py()
+    sizes, code, named = keys(got)
+    count = np.concatenate([unpacked(x.as_buffer(), n) for x, n in zip(got["n"], sizes, strict=True)])
+    total = np.bincount(code, count).astype(np.int64)  # exact: sums stay below 2 ** 53
+    frequent = np.flatnonzero(total >= least)
+    ids = np.full(len(total), -1, np.int64)
+    best = frequent[np.argsort(-total[frequent], kind="stable")]
+    ids[best] = np.arange(len(best)) * buckets + bucket
+    if len(best):
+        one = np.zeros(len(total), np.int64)
+        one[code] = np.arange(len(code))
+        yield _row(RANKED, id=ids[best], a=total[best], **named(one[best]))
+    ends = np.cumsum(sizes)
+    for i, (block, start) in enumerate(zip(got["block"].to_pylist(), got["start"].to_pylist(), strict=True)):
+        mine = ids[code[ends[i] - sizes[i]:ends[i]]]
+        held = np.flatnonzero(mine >= 0)
+        if len(held) and start is not None:
+            yield _row(RANKED, block=[block], size=[len(held)], at=[packed(start + held)], ids=[packed(mine[held])])
+
+
+def _rank_words(least: int, buckets: int):
+    def keys(got: pa.Table):
+        words = got["word"].combine_chunks()
+        sizes = pc.list_value_length(words).to_numpy()
+        flat = pc.dictionary_encode(words.flatten())
+        langs = pc.dictionary_encode(got["lang"].combine_chunks())
+        lang = np.repeat(langs.indices.to_numpy(), sizes).astype(np.int64)
+        code = np.unique(lang * len(flat.dictionary) + flat.indices.to_numpy(), return_inverse=True)[1]
+        return sizes, code, lambda one: {"lang": langs.dictionary.take(pa.array(lang[one])), "word": flat.take(
+            pa.array(one)).dictionary_decode()}
+    return lambda batches: _ranked(batches, least, buckets, keys)
+
+
+def _rank_pairs(least: int, buckets: int):
+    def keys(got: pa.Table):
+        sizes = got["size"].to_numpy()
+        left, right = (np.concatenate([unpacked(x.as_buffer(), n) for x, n in zip(got[c], sizes, strict=True)])
+                       for c in ("left", "right"))
+        order = np.lexsort((right, left))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)
+        code = np.empty(len(order), np.int64)
+        code[order] = np.cumsum(fresh) - 1
+        return sizes, code, lambda one: {"left": left[one], "right": right[one]}
+    return lambda batches: _ranked(batches, least, buckets, keys)
 
 
 def tiled(left: np.ndarray, right: np.ndarray, left_ids: np.ndarray, right_ids: np.ndarray, tile: int):
@@ -131,68 +259,84 @@ def tiled(left: np.ndarray, right: np.ndarray, left_ids: np.ndarray, right_ids:
     return left[one], right[one], np.concatenate([full[present], count]), slots
 
 
-def _ranks(pairs: pa.StructArray, n: int) -> np.ndarray:
-    """Rank of each local number, -1 where it has none."""
-    out = np.full(n, -1, np.int64)
-    if len(pairs):
-        out[np.asarray(pairs.field("at"))] = np.asarray(pairs.field("id"))
-    return out
-
-
-def _adjacent(seq: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Local numbers of a text's words, and the places whose word and the next
-    one are both known and in one piece."""
-    words = np.where(seq < 0, ~seq, seq)
-    ranked = known[words] >= 0
-    both = ranked[:-1] & ranked[1:] & (seq[1:] >= 0)
-    return words, both, np.flatnonzero(both)
-
-
-def _block_rows(batches: Iterator[pa.RecordBatch], tile: int):
-    """Per block: number, local words, ranks, its pairs as ``tiled`` gives them."""
-    for b in batches:
-        for i in range(len(b)):
-            seq = np.frombuffer(b.column("seq")[i].as_buffer(), "<i4")
-            if len(seq) < 2:
-                continue
-            known = _ranks(b.column("ranks")[i].values, int(np.where(seq < 0, ~seq, seq).max()) + 1)
-            words, both, at = _adjacent(seq, known)
-            yield b, i, words, both, at, known, tiled(words[at], words[at + 1], known, known, tile)
-
-
-def _pair_counts(tile: int):
-    def run(batches):
-        for _, _, _, _, _, known, (left, right, n, _) in _block_rows(batches, tile):
-            yield pa.RecordBatch.from_arrays([pa.array(known[left]), pa.array(known[right]), pa.array(n)], ["w1", "w2", "n"])
+def sent(block: int, left: np.ndarray, right: np.ndarray, n: np.ndarray, buckets: int, answer: bool):
+    """A block's pairs as rows to buckets, and the order they are sent in: by
+    (bucket, left, right). Buckets answer by place in that order."""
+    with np.errstate(over="ignore"):
+        bucket = (mixed(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64))
+                  % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((right, left, bucket))
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    last = np.append(first[1:], len(order))
+    parts = [order[f:e] for f, e in zip(first, last, strict=True)]
+    return order, _row(PAIRS_OUT, bucket=bucket[order[first]], block=np.full(len(first), block), size=last - first,
+                       left=[packed(left[p]) for p in parts], right=[packed(right[p]) for p in parts],
+                       n=[packed(n[p]) for p in parts], **({"start": first} if answer else {}))
+
+
+def _received(group: pa.Table) -> tuple[int, dict, np.ndarray, np.ndarray]:
+    """A block's number, its text's row, and the answers to it: places, ranks."""
+    block = group["block"][0].as_py()
+    answers = group.filter(pc.is_valid(group["at"]))
+    texts = group.filter(pc.is_valid(group["seq"]))
+    sizes = answers["size"].to_pylist()
+    at, ids = ([unpacked(x.as_buffer(), n) for x, n in zip(answers[c], sizes, strict=True)] for c in ("at", "ids"))
+    none = [np.zeros(0, np.int64)]
+    return block, texts, np.concatenate(at + none), np.concatenate(ids + none)
+
+
+def _pairs_of(words: np.ndarray, starts: np.ndarray, ranks: np.ndarray, tile: int):
+    """Places of pairs inside pieces, and the pairs as ``tiled`` gives them."""
+    at = np.flatnonzero(~starts[1:])
+    return at, tiled(words[at], words[at + 1], ranks, ranks, tile)
+
+
+def _send_pairs(buckets: int, tile: int):
+    """Per block: its text without the words that aren't frequent, as local
+    numbers, their ranks, and its pairs to the buckets."""
+    def run(group: pa.Table) -> pa.Table:
+        block, texts, at, ids = _received(group)
+        out = [_row(PAIRS_OUT, bucket=[])]
+        if len(at):
+            seq = np.frombuffer(texts["seq"][0].as_buffer(), "<i4")
+            words = np.where(seq < 0, ~seq, seq)
+            local = np.full(max(int(words.max()), int(at.max())) + 1, -1, np.int64)
+            ranks, place = np.unique(ids, return_inverse=True)
+            local[at] = place
+            words = local[words]
+            # a word begins a piece also after one that isn't frequent
+            starts = (seq < 0) | np.append(True, words[:-1] < 0)
+            words, starts = words[words >= 0], starts[words >= 0]
+            _, (left, right, n, _) = _pairs_of(words, starts, ranks, tile)
+            out.append(_row(PAIRS_OUT, bucket=[-1], block=[block], ranks=[packed(ranks)], size=[len(ranks)],
+                            seq=[np.where(starts, ~words, words).astype("<i4").tobytes()]))
+            out.append(sent(block, ranks[left], ranks[right], n, buckets, True)[1])
+        return pa.Table.from_batches(out)
     return run
 
 
-def _pair_places(tile: int):
-    def run(batches):
-        for b, i, _, _, _, known, (left, right, _, _) in _block_rows(batches, tile):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(left), b.column("block")[i].as_py())), pa.array(np.arange(len(left)), pa.int64()),
-                 pa.array(known[left]), pa.array(known[right])], ["block", "at", "w1", "w2"])
+def _send_triples(buckets: int, tile: int):
+    def run(group: pa.Table) -> pa.Table:
+        block, texts, places, ids = _received(group)
+        out = [_row(PAIRS_OUT, bucket=[])]
+        if len(places):
+            seq = np.frombuffer(texts["seq"][0].as_buffer(), "<i4").astype(np.int64)
+            ranks = unpacked(texts["ranks"][0].as_buffer(), texts["size"][0].as_py())
+            words, starts = np.where(seq < 0, ~seq, seq), seq < 0
+            at, (left, right, n, slots) = _pairs_of(words, starts, ranks, tile)
+            order, _ = sent(block, ranks[left], ranks[right], n, buckets, True)
+            known, place = np.unique(ids, return_inverse=True)
+            local = np.full(len(order), -1, np.int64)
+            local[order[places]] = place
+            pair = np.full(len(words), -1, np.int64)
+            pair[at] = local[slots]
+            start = np.flatnonzero((pair[:-1] >= 0) & (pair[1:] >= 0))
+            left, right, n, _ = tiled(pair[start], words[start + 2], known, ranks, tile)
+            out.append(sent(block, known[left], ranks[right], n, buckets, False)[1])
+        return pa.Table.from_batches(out)
     return run
 
 
-def _triple_counts(tile: int):
-    def run(batches):
-        for b, i, words, _, at, known, (left, _, _, slots) in _block_rows(batches, tile):
-            pid = _ranks(b.column("pair_ranks")[i].values, max(len(left), 1))
-            slot = np.full(len(words), -1, np.int64)
-            slot[at] = np.where(pid[slots] >= 0, slots, -1)
-            start = np.flatnonzero((slot[:-1] >= 0) & (slot[1:] >= 0))
-            left, right, n, _ = tiled(slot[start], words[start + 2], pid, known, tile)
-            yield pa.RecordBatch.from_arrays([pa.array(pid[left]), pa.array(known[right]), pa.array(n)], ["pid", "w3", "n"])
-    return run
-
-
-def _placed(rows: DataFrame, name: str) -> DataFrame:
-    """The ranks that reached each block: (block, name: array of at, id)."""
-    return rows.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias(name))
-
-
 def looked_up(rows: DataFrame, keys: list[str], other: DataFrame, spread: Column) -> DataFrame:
     """Join on ``keys`` (unique in ``other``), each key's rows split over salts."""
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
@@ -207,37 +351,35 @@ def score(a: str, left: str, right: str) -> Column:
 
 def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER, tile: int = TILE) -> DataFrame:
     """Each language's ``top`` phrases of two and three words."""
-    blocks = materialise(
-        docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").mapInArrow(
-            _blocks, "block long, lang array<string>, word array<string>, n array<long>, seq binary"), "phrase-blocks")
-    local = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "x")).select(
-        "block", F.col("at").cast("long").alias("at"), "x.lang", "x.word", "x.n")
-    counts = materialise(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase-counts")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    # ranks run over all languages, the most frequent words of each in a row
-    ranked = (counts.where(F.col("f") >= least)
-              .select(F.lit("").alias("tree"), "lang", "word", "f", (-F.col("f")).alias("_rare")))
-    words = materialise(numbered(ranked, ["lang", "_rare", "word"])
-                        .select(F.col("pos").alias("id"), "lang", "word", "f"), "phrase-words")
-    ranks = _placed(local.select("block", "at", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]),
-                    "ranks")
-    texts = materialise(blocks.select("block", "seq").join(ranks, "block"), "phrase-texts")
-
-    def frequent(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-
-    found = materialise(frequent(texts.mapInArrow(_pair_counts(tile), "w1 long, w2 long, n long"), ["w1", "w2"])
-                        .select(F.lit("").alias("tree"), "w1", "w2", "a", (-F.col("a")).alias("_rare")), "phrase-pairs")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(partitions(docs), size // BUCKET)
+
+    def ranked(rows: DataFrame, run, name: str) -> DataFrame:
+        return materialise(rows.where("bucket >= 0").repartitionById(buckets, F.col("bucket")).mapInArrow(
+            run(least, buckets), _schema(RANKED)), name)
+
+    def answered(texts: DataFrame, answers: DataFrame) -> DataFrame:
+        return (texts.where("bucket < 0").unionByName(answers.where("block IS NOT NULL").select("block", "size", "at", "ids"),
+                                                      allowMissingColumns=True).groupBy("block"))
+
+    blocks = materialise(docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+                         .mapInArrow(_blocks(buckets), _schema(WORDS_OUT)), "phrase-words")
+    totals = blocks.where("bucket >= 0").groupBy("lang").agg(F.sum("total").alias("n"))
+    answers = ranked(blocks, _rank_words, "phrase-words")
+    words = answers.where("id IS NOT NULL").select("id", "lang", "word", F.col("a").alias("f"))
+    texts = materialise(answered(blocks.select("bucket", "block", "seq"), answers).applyInArrow(
+        _send_pairs(buckets, tile), _schema(PAIRS_OUT)), "phrase-pairs")
+    answers = ranked(texts, _rank_pairs, "phrase-pairs")
+    pairs = answers.where("id IS NOT NULL").select(F.col("id").alias("pid"), F.col("left").alias("w1"),
+                                                   F.col("right").alias("w2"), "a")
     first = words.select(F.col("id").alias("w1"), "lang", F.col("word").alias("word1"), F.col("f").alias("f1"))
     second = words.select(F.col("id").alias("w2"), F.col("word").alias("word2"), F.col("f").alias("f2"))
-    pairs = numbered(found, ["_rare", "w1", "w2"]).select(F.col("pos").alias("pid"), "w1", "w2", "a")
     pairs = materialise(looked_up(looked_up(pairs, ["w1"], first, F.col("w2")), ["w2"], second, F.col("w1")),
                         "phrase-pairs")
-    places = texts.mapInArrow(_pair_places(tile), "block long, at long, w1 long, w2 long")
-    pair_ranks = _placed(places.join(pairs.select("w1", "w2", F.col("pid").alias("id")), ["w1", "w2"]), "pair_ranks")
-    triples = materialise(
-        frequent(texts.join(pair_ranks, "block").mapInArrow(_triple_counts(tile), "pid long, w3 long, n long"),
-                 ["pid", "w3"]), "phrase-triples")
+    sent_on = answered(texts.select("bucket", "block", "seq", "size", "ranks"), answers).applyInArrow(
+        _send_triples(buckets, tile), _schema(PAIRS_OUT))
+    triples = ranked(sent_on, _rank_pairs, "phrase-triples").select(
+        F.col("left").alias("pid"), F.col("right").alias("w3"), "a")
 
     third = words.select(F.col("id").alias("w3"), F.col("word").alias("word3"), F.col("f").alias("f3"))
     tail = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("a").alias("a23"))
