@@ -47,7 +47,7 @@ COVER = 50  # a phrase goes if a longer one has this many percent of its count
 TILE = 256
 BLOCK = 1 << 22  # bytes of text in a block
 BUCKET = 1 << 24  # bytes of text whose words meet in a bucket
-SALTS = 16
+SALTS = 4
 
 _SPACE, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -84,14 +84,23 @@ def scanned(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, text, goes_on
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Non-negative numbers in the narrowest width that holds them all."""
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Non-negative numbers (as steps, if they only rise) in the narrowest
+    width that holds them all, their bytes by place, compressed."""
+    values = np.diff(values, prepend=0) if rising else values
     top = int(values.max()) if len(values) else 0
-    return values.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+    width = max((top.bit_length() + 7) // 8, 1)
+    planes = values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width + 16 * rising]) + pa.compress(np.ascontiguousarray(planes), "zstd", asbytes=True)
 
 
-def unpacked(data, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{max(len(data) // max(n, 1), 1)}", n).astype(np.int64)
+def unpacked(data: pa.Buffer, n: int) -> np.ndarray:
+    width, rising = data[0] % 16, data[0] >= 16
+    planes = np.frombuffer(pa.decompress(data[1:], n * width, "zstd"), np.uint8).reshape(width, n)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = planes.T
+    out = out.reshape(-1).view("<i8")
+    return np.cumsum(out) if rising else out
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -128,19 +137,20 @@ def _schema(arrow: pa.Schema):
 
 
 WORDS_OUT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("lang", pa.string()), ("word", pa.list_(pa.string())),
-                       ("start", pa.int64()), ("n", pa.binary()), ("total", pa.int64()), ("seq", pa.binary())])
+                       ("start", pa.int64()), ("n", pa.binary()), ("total", pa.int64()), ("size", pa.int64()),
+                       ("seq", pa.binary()), ("begins", pa.binary())])
 PAIRS_OUT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("size", pa.int64()),
                        ("left", pa.binary()), ("right", pa.binary()), ("n", pa.binary()), ("seq", pa.binary()),
-                       ("ranks", pa.binary())])
+                       ("begins", pa.binary()), ("ranks", pa.binary()), ("known", pa.int64())])
 RANKED = pa.schema([("block", pa.int64()), ("size", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
                     ("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("left", pa.int64()),
                     ("right", pa.int64()), ("a", pa.int64())])
 
 
 def _blocks(buckets: int):
-    """Per block its text as local word numbers (less one and negative where a
-    piece begins), and per bucket and language the block's different words.
-    Local numbers follow (bucket, language, word)."""
+    """Per block its text as local word numbers with the places where pieces
+    begin, and per bucket and language the block's different words. Local
+    numbers follow (bucket, language, word)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -158,8 +168,8 @@ def _blocks(buckets: int):
                 order = np.argsort(bucket * len(langs.dictionary) + lang, kind="stable")
                 place = np.empty_like(order)
                 place[order] = np.arange(len(order))
-                at = place[at].astype("<i4")
-                yield _row(WORDS_OUT, bucket=[-1], block=[number], seq=[np.where(goes_on, at, ~at).astype("<i4").tobytes()])
+                yield _row(WORDS_OUT, bucket=[-1], block=[number], size=[len(at)], seq=[packed(place[at])],
+                           begins=[packed(~goes_on)])
                 lang, word, count, bucket = lang[order], word[order], count[order], bucket[order]
                 first = np.flatnonzero(np.diff(bucket * len(langs.dictionary) + lang, prepend=-1))
                 last = np.append(first[1:], len(order))
@@ -199,7 +209,7 @@ def _ranked(batches: Iterator[pa.RecordBatch], least: int, buckets: int, keys) -
         mine = ids[code[ends[i] - sizes[i]:ends[i]]]
         held = np.flatnonzero(mine >= 0)
         if len(held) and start is not None:
-            yield _row(RANKED, block=[block], size=[len(held)], at=[packed(start + held)], ids=[packed(mine[held])])
+            yield _row(RANKED, block=[block], size=[len(held)], at=[packed(start + held, True)], ids=[packed(mine[held])])
 
 
 def _rank_words(least: int, buckets: int):
@@ -270,7 +280,7 @@ def sent(block: int, left: np.ndarray, right: np.ndarray, n: np.ndarray, buckets
     last = np.append(first[1:], len(order))
     parts = [order[f:e] for f, e in zip(first, last, strict=True)]
     return order, _row(PAIRS_OUT, bucket=bucket[order[first]], block=np.full(len(first), block), size=last - first,
-                       left=[packed(left[p]) for p in parts], right=[packed(right[p]) for p in parts],
+                       left=[packed(left[p], True) for p in parts], right=[packed(right[p]) for p in parts],
                        n=[packed(n[p]) for p in parts], **({"start": first} if answer else {}))
 
 
@@ -279,12 +289,19 @@ def _received(group: pa.Table) -> tuple[int, dict, np.ndarray, np.ndarray]:
     block = group["block"][0].as_py()
     answers = group.filter(pc.is_valid(group["at"]))
     texts = group.filter(pc.is_valid(group["seq"]))
+    texts = {c: texts[c][0] for c in texts.column_names}
     sizes = answers["size"].to_pylist()
     at, ids = ([unpacked(x.as_buffer(), n) for x, n in zip(answers[c], sizes, strict=True)] for c in ("at", "ids"))
     none = [np.zeros(0, np.int64)]
     return block, texts, np.concatenate(at + none), np.concatenate(ids + none)
 
 
+def _text(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Local word numbers of a block's text, and whether a piece begins there."""
+    words, begins = (unpacked(row[c].as_buffer(), row["size"].as_py()) for c in ("seq", "begins"))
+    return words, begins.astype(bool)
+
+
 def _pairs_of(words: np.ndarray, starts: np.ndarray, ranks: np.ndarray, tile: int):
     """Places of pairs inside pieces, and the pairs as ``tiled`` gives them."""
     at = np.flatnonzero(~starts[1:])
@@ -298,18 +315,17 @@ def _send_pairs(buckets: int, tile: int):
         block, texts, at, ids = _received(group)
         out = [_row(PAIRS_OUT, bucket=[])]
         if len(at):
-            seq = np.frombuffer(texts["seq"][0].as_buffer(), "<i4")
-            words = np.where(seq < 0, ~seq, seq)
+            words, starts = _text(texts)
             local = np.full(max(int(words.max()), int(at.max())) + 1, -1, np.int64)
             ranks, place = np.unique(ids, return_inverse=True)
             local[at] = place
             words = local[words]
             # a word begins a piece also after one that isn't frequent
-            starts = (seq < 0) | np.append(True, words[:-1] < 0)
+            starts = starts | np.append(True, words[:-1] < 0)
             words, starts = words[words >= 0], starts[words >= 0]
             _, (left, right, n, _) = _pairs_of(words, starts, ranks, tile)
-            out.append(_row(PAIRS_OUT, bucket=[-1], block=[block], ranks=[packed(ranks)], size=[len(ranks)],
-                            seq=[np.where(starts, ~words, words).astype("<i4").tobytes()]))
+            out.append(_row(PAIRS_OUT, bucket=[-1], block=[block], ranks=[packed(ranks, True)], known=[len(ranks)],
+                            size=[len(words)], seq=[packed(words)], begins=[packed(starts)]))
             out.append(sent(block, ranks[left], ranks[right], n, buckets, True)[1])
         return pa.Table.from_batches(out)
     return run
@@ -320,9 +336,8 @@ def _send_triples(buckets: int, tile: int):
         block, texts, places, ids = _received(group)
         out = [_row(PAIRS_OUT, bucket=[])]
         if len(places):
-            seq = np.frombuffer(texts["seq"][0].as_buffer(), "<i4").astype(np.int64)
-            ranks = unpacked(texts["ranks"][0].as_buffer(), texts["size"][0].as_py())
-            words, starts = np.where(seq < 0, ~seq, seq), seq < 0
+            words, starts = _text(texts)
+            ranks = unpacked(texts["ranks"].as_buffer(), texts["known"].as_py())
             at, (left, right, n, slots) = _pairs_of(words, starts, ranks, tile)
             order, _ = sent(block, ranks[left], ranks[right], n, buckets, True)
             known, place = np.unique(ids, return_inverse=True)
@@ -367,39 +382,50 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER
     totals = blocks.where("bucket >= 0").groupBy("lang").agg(F.sum("total").alias("n"))
     answers = ranked(blocks, _rank_words, "phrase-words")
     words = answers.where("id IS NOT NULL").select("id", "lang", "word", F.col("a").alias("f"))
-    texts = materialise(answered(blocks.select("bucket", "block", "seq"), answers).applyInArrow(
+    texts = materialise(answered(blocks.select("bucket", "block", "size", "seq", "begins"), answers).applyInArrow(
         _send_pairs(buckets, tile), _schema(PAIRS_OUT)), "phrase-pairs")
     answers = ranked(texts, _rank_pairs, "phrase-pairs")
     pairs = answers.where("id IS NOT NULL").select(F.col("id").alias("pid"), F.col("left").alias("w1"),
                                                    F.col("right").alias("w2"), "a")
-    first = words.select(F.col("id").alias("w1"), "lang", F.col("word").alias("word1"), F.col("f").alias("f1"))
-    second = words.select(F.col("id").alias("w2"), F.col("word").alias("word2"), F.col("f").alias("f2"))
+    first = words.select(F.col("id").alias("w1"), "lang", F.col("f").alias("f1"))
+    second = words.select(F.col("id").alias("w2"), F.col("f").alias("f2"))
     pairs = materialise(looked_up(looked_up(pairs, ["w1"], first, F.col("w2")), ["w2"], second, F.col("w1")),
                         "phrase-pairs")
-    sent_on = answered(texts.select("bucket", "block", "seq", "size", "ranks"), answers).applyInArrow(
+    sent_on = answered(texts.select("bucket", "block", "size", "seq", "begins", "ranks", "known"), answers).applyInArrow(
         _send_triples(buckets, tile), _schema(PAIRS_OUT))
     triples = ranked(sent_on, _rank_pairs, "phrase-triples").select(
         F.col("left").alias("pid"), F.col("right").alias("w3"), "a")
 
-    third = words.select(F.col("id").alias("w3"), F.col("word").alias("word3"), F.col("f").alias("f3"))
+    third = words.select(F.col("id").alias("w3"), F.col("f").alias("f3"))
     tail = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("a").alias("a23"))
-    whole = looked_up(triples, ["pid"], pairs.withColumnRenamed("a", "a12"), F.col("w3"))
-    whole = materialise(looked_up(looked_up(whole, ["w3"], third, F.col("pid")), ["w2", "w3"], tail, F.col("w1")),
-                        "phrase-triples")
+    head = pairs.select("pid", "lang", "w1", "w2", F.col("a").alias("a12"), "f1")
+    whole = looked_up(looked_up(triples, ["pid"], head, F.col("w3")), ["w3"], third, F.col("pid"))
+    whole = materialise(looked_up(whole, ["w2", "w3"], tail, F.col("w1")), "phrase-triples")
     longer = (whole.select("w1", "w2", "a").unionByName(whole.select(F.col("w2").alias("w1"), F.col("w3").alias("w2"), "a"))
               .groupBy("w1", "w2").agg(F.max("a").alias("longer")))
     two = (pairs.join(longer, ["w1", "w2"], "left")
            .where(~F.coalesce(100 * F.col("longer") >= cover * F.col("a"), F.lit(False)))
-           .select("lang", F.concat_ws(" ", "word1", "word2").alias("phrase"), "a", F.col("f1").alias("l"),
+           .select("lang", "w1", "w2", F.lit(None).cast("long").alias("w3"), "a", F.col("f1").alias("l"),
                    F.col("f2").alias("r"), score("a", "f1", "f2").alias("score")))
     cuts = whole.withColumn("s1", score("a", "f1", "a23")).withColumn("s2", score("a", "a12", "f3"))
     early = F.col("s1") <= F.col("s2")
-    three = cuts.select("lang", F.concat_ws(" ", "word1", "word2", "word3").alias("phrase"), "a",
-                        F.when(early, F.col("f1")).otherwise(F.col("a12")).alias("l"),
+    three = cuts.select("lang", "w1", "w2", "w3", "a", F.when(early, F.col("f1")).otherwise(F.col("a12")).alias("l"),
                         F.when(early, F.col("a23")).otherwise(F.col("f3")).alias("r"), F.least("s1", "s2").alias("score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (two.unionByName(three).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-            .join(totals, "lang")
+    return _top(materialise(two.unionByName(three), "phrase-scores"), words, totals, top)
+
+
+def _top(scored: DataFrame, words: DataFrame, totals: DataFrame, top: int) -> DataFrame:
+    """Each language's first ``top``. Words are looked up for the phrases that
+    score and count no less than the last of these, ties included."""
+    best = [F.desc("score"), F.desc("a")]
+    last = (scored.select("lang", "score", "a").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)))
+            .where(F.col("rank") <= top).groupBy("lang").agg(F.min(F.struct("score", "a")).alias("last")))
+    held = scored.join(last, "lang").where(F.struct("score", "a") >= F.col("last")).drop("last")
+    for k in ("1", "2", "3"):
+        held = held.join(words.select(F.col("id").alias("w" + k), F.col("word").alias("word" + k)), "w" + k, "left")
+    named = held.withColumn("phrase", F.concat_ws(" ", "word1", "word2", "word3"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*best, "phrase"))
+    return (named.withColumn("rank", place).where(F.col("rank") <= top).join(totals, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
 
