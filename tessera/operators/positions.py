@@ -134,20 +134,67 @@ def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None):
             .withColumn("_pid", F.spark_partition_id()))
 
 
+def _bounds(keys: DataFrame, names: list[str], pieces: int, per_piece: int = 64) -> list:
+    """Up to ``pieces - 1`` rising key rows that cut ``keys`` into even pieces:
+    quantiles of a sample of about ``per_piece`` rows for each piece."""
+    n = keys.count()
+    share = min(1.0, pieces * per_piece / n) if n else 1.0
+    drawn = (keys if share == 1.0 else keys.sample(False, share, 17)).orderBy(*names).collect()
+    at = sorted({len(drawn) * i // pieces for i in range(1, pieces)} - {0})
+    return [drawn[i] for i in at]
+
+
+def _piece_of(names: list[str], schema, bounds: list) -> Column:
+    """How many bounds are not above the row's key: a search over every m-th
+    bound, then over the m - 1 that follow it. The key is computed once."""
+    if not bounds:
+        return F.lit(0)
+
+    def key(row):
+        return F.struct(*[F.lit(row[n]).cast(schema[n].dataType).alias(n) for n in names])
+
+    m = max(1, int(len(bounds) ** 0.5))
+    every, coarse = F.array(*[key(b) for b in bounds]), F.array(*[key(b) for b in bounds[m - 1::m]])
+
+    def search(k):
+        passed = F.size(F.filter(coarse, lambda b: b <= k)) * m
+        return F.transform(F.array(passed), lambda p: p + F.size(F.filter(F.slice(every, p + 1, m), lambda b: b <= k)))[0]
+
+    return F.transform(F.array(F.struct(*names)), search)[0]
+
+
+def in_pieces(df: DataFrame, order, num_partitions: int | None = None) -> DataFrame:
+    """``df`` in range partitions of the ascending columns ``order``, sorted in
+    each. The bounds come from the order's columns alone (written once as a
+    narrow table), so the other columns are computed once: Spark's own range
+    exchange draws its sample from the full rows and then computes them again.
+    A sample of bounded size and the bounds pass the driver."""
+    from tessera.session import scratch_path
+    spark, cols = df.sparkSession, _order_cols(order)
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"_k{i}" for i in range(len(cols))]
+    path = scratch_path(spark, "order-keys")
+    df.select(*[x.alias(n) for x, n in zip(cols, names)]).write.parquet(path)
+    keys = spark.read.parquet(path)
+    keyed = df.select("*", *[x.alias(n) for x, n in zip(cols, names)])
+    piece = _piece_of(names, keys.schema, _bounds(keys, names, num_partitions))
+    return keyed.repartitionById(num_partitions, piece).sortWithinPartitions(*names).drop(*names)
+
+
 def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None) -> DataFrame:
     """Rows in range partitions of ``order``, written once to the scratch
     folder with their place: ``_piece`` (partition), ``_row`` (number in it)
     and ``_cum`` (sum of the non-null integer ``value`` over earlier rows of
     the piece). Each task counts over its own sorted rows; nothing but the
-    range exchange is shuffled. Wide columns are moved and written once."""
+    exchange of :func:`in_pieces` is shuffled. Wide columns are computed, moved
+    and written once."""
     import numpy as np
     import pyarrow as pa
     from pyspark import TaskContext
 
     from tessera.session import scratch_path
-    spark, cols = df.sparkSession, _order_cols(order)
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
 
     def run(batches):
         piece, row, total = TaskContext.get().partitionId(), 0, 0
@@ -162,8 +209,7 @@ def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None
     schema = (df.withColumn("_piece", F.lit(None).cast("int")).withColumn("_row", F.lit(None).cast("bigint"))
               .withColumn("_cum", F.lit(None).cast("bigint")).schema)
     path = scratch_path(spark, "laid-out")
-    (df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols).mapInArrow(run, schema)
-     .write.mode("overwrite").parquet(path))
+    in_pieces(df, order, num_partitions).mapInArrow(run, schema).write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -29,22 +29,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from tessera.operators.positions import in_pieces
+from tessera.sources.store import open_store
+
 TOKEN_DTYPE = np.dtype("<u2")
 SCHEMA = "idx bigint, input_ids array<int>"
 
 
-def _store(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path, and the path in it."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
-
-
 def _files(path: str) -> list[tuple[str, int]]:
     """(path in its store, size) of a token file, or of a folder's ``.bin`` parts in order."""
-    store, at = _store(path)
+    store, at = open_store(path)
     info = store.get_file_info(at)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(f"no token file at {path}")
@@ -94,7 +88,7 @@ class _Reader(DataSourceReader):
             return
         rec = self.ctx * TOKEN_DTYPE.itemsize
         step = max(1, (1 << 20) // self.ctx)
-        with _store(self.path)[0].open_input_file(part.file) as f:
+        with open_store(self.path)[0].open_input_file(part.file) as f:
             for s in range(0, part.rows, step):
                 n = min(step, part.rows - s)
                 f.seek((part.start + s) * rec)
@@ -116,7 +110,7 @@ class _Writer(DataSourceArrowWriter):
         self.path, self.ctx, self.overwrite, self.job = options["path"], int(options["ctx_len"]), overwrite, uuid.uuid4().hex
 
     def write(self, batches):
-        store, at = _store(self.path)
+        store, at = open_store(self.path)
         store.create_dir(at, recursive=True)
         task = TaskContext.get()
         name, rows = f"part-{task.partitionId():06d}-{self.job}-{task.taskAttemptId()}.bin", 0
@@ -134,7 +128,7 @@ class _Writer(DataSourceArrowWriter):
         return _Part(name, rows)
 
     def commit(self, messages):
-        store, at = _store(self.path)
+        store, at = open_store(self.path)
         store.create_dir(at, recursive=True)
         earlier = _files(self.path) if self.overwrite else []
         for m in messages:
@@ -145,7 +139,7 @@ class _Writer(DataSourceArrowWriter):
         self._clear(store, at)
 
     def abort(self, messages):
-        store, at = _store(self.path)
+        store, at = open_store(self.path)
         self._clear(store, at)
 
     def _clear(self, store, at):
@@ -199,11 +193,10 @@ def write_token_bin(df: DataFrame, path: str, ctx_len: int, column: str = "input
     if mode not in ("error", "overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     register(df.sparkSession)
-    store, at = _store(path)
+    store, at = open_store(path)
     if mode == "error" and store.get_file_info(at).type != fs.FileType.NotFound and _files(path):
         raise FileExistsError(f"{path} holds token files; choose mode='overwrite' or 'append'")
     if order is not None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        df = in_pieces(df, order)
     (df.select(F.col(column).cast("array<int>").alias("input_ids")).write.format("tokenbin")
      .option("ctx_len", int(ctx_len)).mode("append" if mode == "append" else "overwrite").save(path))

@@ -52,3 +52,32 @@ def test_prefix_sum_over_shuffle_output(spark):
     df = spark.range(0, n, numPartitions=5).groupBy((F.col("id") * 104729 % n).alias("k")).count()
     got = pos.prefix_sum(df, ["k"], "count", "cum", inclusive=False).collect()
     assert sorted((r["k"], r["cum"]) for r in got) == [(k, k) for k in range(n)]
+
+
+def test_pieces_are_ordered_and_even(spark):
+    rows = [(None if i % 50 == 0 else f"k{i * 7919 % 3000:05d}", i % 3, "x" * (i % 5)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b int, w string").repartition(7)
+    got = pos.in_pieces(df, ["a", "b"], 9).withColumn("p", F.spark_partition_id()).withColumn(
+        "i", F.monotonically_increasing_id()).orderBy("i").collect()
+    keys = [(r["a"] is not None, r["a"] or "", r["b"]) for r in got]
+    assert keys == sorted(keys) and len(keys) == 3000
+    sizes = [sum(r["p"] == p for r in got) for p in range(9)]
+    assert min(sizes) > 150 and max(sizes) < 700
+    assert pos.in_pieces(df.limit(0), ["a"], 4).collect() == []
+    assert [r["a"] for r in pos.in_pieces(df.where("a = 'k00007'"), ["a"], 4).collect()] == ["k00007"]
+
+
+def test_layout_computes_wide_columns_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def costly(x):
+        calls.add(1)
+        return x + 1
+    df = spark.range(0, 400, numPartitions=4).select("id", costly("id").alias("n"))
+    laid = pos.laid_out(df, ["id"], "n", 4)
+    total = {}
+    for r in sorted(laid.collect(), key=lambda r: r["id"]):
+        assert r["_cum"] == total.get(r["_piece"], 0)
+        total[r["_piece"]] = total.get(r["_piece"], 0) + r["n"]
+    assert calls.value == 400
