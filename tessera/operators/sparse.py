@@ -12,13 +12,14 @@ Data layout
 Execution
 ---------
 Pre-activations are a dense product of every vector with every entry, so
-they are computed per Arrow batch with BLAS against broadcast copies of the
-dictionary (never a join that pairs rows with entries). The dictionary is cut
-into blocks of bounded size, each broadcast on its own. A batch goes over all
-blocks with a running selection, one block in memory at a time, and then over
-them again to decode; this is the same for one block and for many, so a
-dictionary's size changes nothing but the number of blocks. Vectors are read
-once and never leave their partition.
+they are computed per Arrow batch with BLAS (never a join that pairs rows with
+entries). The dictionary is written to the shared scratch folder in blocks of
+entries of bounded size, and tasks open the blocks they need there: no
+parameter passes the driver, whatever the number of entries. A slice of rows
+goes over all blocks with a running selection, one block in memory at a time,
+and then over them again to decode; this is the same for one block and for
+many, so a dictionary's size changes nothing but the number of blocks. Vectors
+are read once and never leave their partition.
 
 Rows may be named by several columns (``id_col`` takes a list), which pass
 through with their types. Rows without a vector have no codes and no
@@ -33,21 +34,28 @@ scaled rows per vector.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import as_double_array, c, dot, l2_norm, vscale, vsub
+from tessera.sources.store import open_store
 
 # Fixed value: float32 machine epsilon used when unit-normalising rows.
 F32_EPS = 1.1920929e-07
 
-# Default budget for a broadcast parameter block (bytes).
+# Default budget for a parameter block (bytes).
 BROADCAST_BUDGET = 64 * 1024 * 1024
 
+# Vectors that go over the blocks together when there are several (bytes).
+SLICE_BYTES = 32 * 1024 * 1024
+
 # Copies of an entry in a salted join.
 SALTS = 16
 
@@ -106,30 +114,24 @@ class SparseDictionary:
             self._meta[key] = [(lo, hi) for lo, hi in zip(starts, starts[1:] + [m["hi"] + 1])]
         return self._meta[key]
 
-    def collect_block(self, lo: int, hi: int, dead=None) -> dict:
-        """Parameters of entries with ``lo <= latent_id < hi`` as NumPy arrays
-        (a block of bounded size). ``dead``: a table or list of ``latent_id``."""
-        mine = (F.col("latent_id") >= lo) & (F.col("latent_id") < hi)
-        rows = self.entries.where(mine).select("latent_id", "w_enc", "b_enc", "w_dec")
-        if isinstance(dead, DataFrame):
-            marks = dead.where(mine).select("latent_id").distinct().withColumn("dead", F.lit(True))
-            rows = rows.join(marks, "latent_id", "left")
-        t = rows.orderBy("latent_id").toArrow()
-        out = {"ids": t.column("latent_id").to_numpy().astype(np.int64),
-               "w_enc": _matrix(t.column("w_enc"), self.d), "b_enc": t.column("b_enc").to_numpy().astype(np.float64),
-               "w_dec": _matrix(t.column("w_dec"), self.d),
-               "b_dec": np.asarray(self.b_dec, dtype=np.float64), "transcode": self.transcode}
-        if isinstance(dead, DataFrame):
-            out["dead"] = np.asarray(t.column("dead").is_valid())
-        elif dead is not None:
-            out["dead"] = np.isin(out["ids"], np.asarray(list(dead), dtype=np.int64))
+    def stored(self, budget: int = BROADCAST_BUDGET, dead=None) -> list:
+        """The dictionary in blocks of at most ``budget`` bytes that tasks open
+        in the shared folder. ``dead``: a table or list of ``latent_id``."""
+        from tessera.session import scratch_path
+        key = (budget, "stored")
+        if dead is None and key in self._meta:
+            return self._meta[key]
+        spark, starts = self.entries.sparkSession, [lo for lo, _ in self.blocks(budget)]
+        rows = self.entries.select("latent_id", "w_enc", "b_enc", "w_dec", block_of(starts).alias("block"))
+        if dead is not None:
+            rows = rows.join(dead_ids(spark, dead).withColumn("dead", F.lit(True)), "latent_id", "left")
+        path = scratch_path(spark, "dictionary")
+        write_blocks(rows, path, ["block"], len(starts))
+        out = [StoredBlock(f"{path}/block={i}", self.d, self.b_dec, self.transcode) for i in range(len(starts))]
+        if dead is None:
+            self._meta[key] = out
         return out
 
-    def broadcast(self, budget: int = BROADCAST_BUDGET, dead=None) -> list:
-        """The dictionary as broadcast blocks of at most ``budget`` bytes."""
-        sc = self.entries.sparkSession.sparkContext
-        return [sc.broadcast(self.collect_block(lo, hi, dead)) for lo, hi in self.blocks(budget)]
-
     def skip_matrix(self) -> np.ndarray | None:
         """The skip term's d x d parameter; a table holds it as (row, w)."""
         if self.w_skip is None:
@@ -151,13 +153,64 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
 
 
+def dead_ids(spark, dead) -> DataFrame:
+    """Distinct ``latent_id``s of a table or list."""
+    if not isinstance(dead, DataFrame):
+        dead = spark.createDataFrame([(int(i),) for i in dead], "latent_id bigint")
+    return dead.select("latent_id").distinct()
+
+
+def block_of(starts: list[int]) -> Column:
+    """Number of the block of an entry: the last one that starts at or below it."""
+    if len(starts) == 1:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(int(x)) for x in starts]), lambda x: x <= F.col("latent_id"))) - 1
+
+
+def write_blocks(rows: DataFrame, path: str, by: list[str], n: int) -> None:
+    """A parameter folder: ``rows`` in sub-folders by the columns ``by``, about
+    a file each."""
+    rows.repartition(max(n, 1), *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+@lru_cache(maxsize=1)
+def _opened(path: str, d: int) -> dict:
+    """A block's parameters by ``latent_id``. A worker keeps the last one it
+    opened, so tasks of a dictionary of one block open it once."""
+    store, at = open_store(path)
+    found = store.get_file_info(fs.FileSelector(at, allow_not_found=True))
+    tables = []
+    for f in sorted(i.path for i in found if i.base_name.endswith(".parquet")):
+        with store.open_input_file(f) as file:
+            tables.append(pq.ParquetFile(file).read())
+    if not tables:
+        return {"ids": np.zeros(0, np.int64), "w_enc": np.zeros((0, d)), "b_enc": np.zeros(0), "w_dec": np.zeros((0, d)),
+                "dead": np.zeros(0, bool)}
+    t = pa.concat_tables(tables).sort_by("latent_id")
+    out = {"ids": t["latent_id"].to_numpy().astype(np.int64), "w_enc": _matrix(t["w_enc"], d),
+           "b_enc": t["b_enc"].to_numpy().astype(np.float64), "w_dec": _matrix(t["w_dec"], d)}
+    if "dead" in t.column_names:
+        out["dead"] = np.asarray(t["dead"].is_valid())
+    return out
+
+
+@dataclass(frozen=True)
+class StoredBlock:
+    """A block of entries in a parameter folder, by its sub-folder's path."""
+    path: str
+    d: int
+    b_dec: list = field(repr=False)
+    transcode: bool
+
+    @property
+    def value(self) -> dict:
+        return {**_opened(self.path, self.d), "b_dec": np.asarray(self.b_dec, np.float64), "transcode": self.transcode}
+
+
 def held_one_by_one(blocks: list):
-    """The values of broadcast blocks; with several, a block's memory is
-    given back before the next one is loaded."""
+    """The parameters of blocks, one in memory at a time."""
     for b in blocks:
         yield b.value
-        if len(blocks) > 1:
-            b.__dict__.pop("_value", None)
 
 
 # ------------------------------------------------------------------ dense kernels (per Arrow batch)
@@ -207,17 +260,26 @@ def strongest(x: np.ndarray, blocks: list, k: int, dead: bool = False) -> tuple[
     strongest first, ties by id: a running top-k over the blocks."""
     act, ids = np.zeros((len(x), 0)), np.zeros((len(x), 0), np.int64)
     for p in held_one_by_one(blocks):
-        z, own = pre_activations(x, p), p["ids"]
-        if dead:
-            z, own = z[:, p["dead"]], own[p["dead"]]
-        idx = topk_indices(z, k)
-        act = np.concatenate([act, np.take_along_axis(z, idx, 1)], 1)
-        ids = np.concatenate([ids, own[idx]], 1)
+        best, found = [], []
+        for part in _parts(x, len(p["ids"])):
+            z, own = pre_activations(part, p), p["ids"]
+            if dead:
+                z, own = z[:, p["dead"]], own[p["dead"]]
+            idx = topk_indices(z, k)
+            best.append(np.take_along_axis(z, idx, 1))
+            found.append(own[idx])
+        act, ids = np.concatenate([act, np.concatenate(best)], 1), np.concatenate([ids, np.concatenate(found)], 1)
         order = np.lexsort((ids, -act), axis=1)[:, :k]
         act, ids = np.take_along_axis(act, order, 1), np.take_along_axis(ids, order, 1)
     return act, ids
 
 
+def _parts(x: np.ndarray, width: int) -> list[np.ndarray]:
+    """Rows whose products with ``width`` entries fit the scratch memory."""
+    step = _rows_per_slice(width)
+    return [x[i:i + step] for i in range(0, max(len(x), 1), step)]
+
+
 def group_maxima(x: np.ndarray, blocks: list, k: int, total: int) -> tuple[np.ndarray, np.ndarray]:
     """(activations, latent ids) of the strongest entry of each of k groups of
     consecutive entries; a group may lie in several blocks."""
@@ -226,17 +288,20 @@ def group_maxima(x: np.ndarray, blocks: list, k: int, total: int) -> tuple[np.nd
     width, seen = total // k, 0
     act, ids = np.full((len(x), k), -np.inf), np.full((len(x), k), -1, np.int64)
     for p in held_one_by_one(blocks):
-        z = pre_activations(x, p)
-        at = 0
-        while at < z.shape[1]:
-            group = (seen + at) // width
-            end = min((group + 1) * width - seen, z.shape[1])
-            best = np.argmax(z[:, at:end], axis=1) + at
-            value = z[np.arange(len(x)), best]
-            more = value > act[:, group]
-            act[more, group], ids[more, group] = value[more], p["ids"][best[more]]
-            at = end
-        seen += z.shape[1]
+        n, row = len(p["ids"]), 0
+        for part in _parts(x, n):
+            z, at = pre_activations(part, p), 0
+            here = slice(row, row + len(part))
+            while at < n:
+                group = (seen + at) // width
+                end = min((group + 1) * width - seen, n)
+                best = np.argmax(z[:, at:end], axis=1) + at
+                value = z[np.arange(len(part)), best]
+                more = np.flatnonzero(value > act[here, group])
+                act[row + more, group], ids[row + more, group] = value[more], p["ids"][best[more]]
+                at = end
+            row += len(part)
+        seen += n
     return act, ids
 
 
@@ -263,8 +328,11 @@ def _names(id_col) -> list[str]:
 
 
 def _slices(batches, blocks: list, d: int, widest: int):
-    """(batch of bounded rows, its vectors)."""
+    """(batch of bounded rows, its vectors). With several blocks a slice is as
+    large as memory allows, as each slice opens every block."""
     step = _rows_per_slice(widest)
+    if len(blocks) > 1:
+        step = max(step, SLICE_BYTES // (8 * max(d, 1)))
     for b in batches:
         for i in range(0, b.num_rows, step):
             part = b.slice(i, step)
@@ -288,7 +356,7 @@ def encode(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: st
     total, activation = dictionary.num_latents, dictionary.activation
     if dead is None and activation == "groupmax" and total % k:
         raise ValueError(f"group-max needs a number of entries ({total}) that k ({k}) divides")
-    blocks = dictionary.broadcast(budget, dead)
+    blocks = dictionary.stored(budget, dead)
     widest = min(total, max(1, budget // (max(d, 1) * 16)))
     only_dead = dead is not None
 
@@ -309,7 +377,7 @@ def pre_acts_long(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_
     """All pre-activations in long form ``(id columns, latent_id, act)`` (E2):
     one row for each vector and entry, so meant for checks."""
     names, d = _names(id_col), dictionary.d
-    blocks = dictionary.broadcast(budget)
+    blocks = dictionary.stored(budget)
     widest = min(dictionary.num_latents, max(1, budget // (max(d, 1) * 16)))
 
     def run(batches):
@@ -365,6 +433,14 @@ def decode(codes: DataFrame, dictionary: SparseDictionary, id_col="id", out: str
     return agg.select(*names, F.col("_s").alias(out))
 
 
+def count_dead(dictionary: SparseDictionary, dead) -> int:
+    """How many of the dictionary's entries are among ``dead``."""
+    if dead is None:
+        return 0
+    ids = dead_ids(dictionary.entries.sparkSession, dead)
+    return dictionary.entries.select("latent_id").join(ids, "latent_id", "left_semi").count()
+
+
 def forward(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: str = "vec",
             target_col: str | None = None, k: int | None = None, dead=None, multi: int | None = None,
             skip: bool = True, codes: bool = False, budget: int = BROADCAST_BUDGET) -> DataFrame:
@@ -379,8 +455,8 @@ def forward(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: s
     """
     names, d = _names(id_col), dictionary.d
     k, total, activation = dictionary.k if k is None else k, dictionary.num_latents, dictionary.activation
-    blocks = dictionary.broadcast(budget, dead)
-    n_dead = sum(int(b.value["dead"].sum()) for b in blocks) if dead is not None else 0
+    blocks = dictionary.stored(budget, dead)
+    n_dead = count_dead(dictionary, dead)
     matrix = dictionary.skip_matrix() if skip else None
     extra = df.sparkSession.sparkContext.broadcast(matrix) if matrix is not None else None
     widest = min(total, max(1, budget // (max(d, 1) * 16)))
@@ -433,22 +509,114 @@ def sq_error(y, y_hat) -> Column:
     return F.aggregate(F.zip_with(c(y), c(y_hat), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
 
 
-def fvu(df: DataFrame, y: str = "target", y_hat: str = "recon", by=None) -> DataFrame:
-    """Fraction of variance unexplained per ``by`` group (E10), one pass:
+def _moments_of(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, ...]:
+    """Per position of the vectors ``names[0]``: count, mean, summed squared
+    deviation; and per further column its summed squared distance from them."""
+    y, *others = (batch.column(n) for n in names)
+    sizes = y.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    width = int(sizes.max()) if len(sizes) else 0
+    flat, known = _flat(y)
+    n = np.bincount(pos[known], minlength=width).astype(np.float64)
+    mean = np.bincount(pos[known], flat[known], width) / np.maximum(n, 1)
+    off = np.bincount(pos[known], (flat[known] - mean[pos[known]]) ** 2, width)
+    errors = []
+    for x in others:
+        other, both = _flat(x)
+        if len(other) != len(flat):
+            raise ValueError(f"vectors of different lengths: {names}")
+        both = both & known
+        errors.append(float(((flat[both] - other[both]) ** 2).sum()))
+    return n, mean, off, np.asarray(errors)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    values = column.flatten()
+    return np.asarray(values.to_numpy(zero_copy_only=False), np.float64), np.asarray(values.is_valid())
+
+
+def _met(a: tuple, b: tuple) -> tuple:
+    """Moments of two sets of rows from those of each (Chan's formula)."""
+    width = max(len(a[0]), len(b[0]))
+    (n, mean, off), (m, other, more) = ([np.pad(v, (0, width - len(v))) for v in x[:3]] for x in (a, b))
+    total = n + m
+    step = other - mean
+    share = m / np.maximum(total, 1)
+    return total, mean + step * share, off + more + step * step * n * share, a[3] + b[3]
+
+
+def vector_moments(df: DataFrame, names: list[str], by=None) -> DataFrame:
+    """Per ``by`` group ``(n, mean, off: array<double>, errors: array<double>)``
+    of the vectors ``names[0]``, their squared distances from the other columns
+    summed. Each task merges its batches into one row a group; rows meet in a
+    tree (salted by task, then by group), one group in memory at a time. Rows
+    in which a column is null are left out."""
+    by = [by] if isinstance(by, str) else list(by or [])
+    x = df.select(*by, *[as_double_array(n).alias(f"_v{i}") for i, n in enumerate(names)])
+    columns = [f"_v{i}" for i in range(len(names))]
+    for n in columns:
+        x = x.where(F.col(n).isNotNull())
+    vector = T.ArrayType(T.DoubleType())
+    fields = ["n", "mean", "off", "errors"]
+    schema = T.StructType([*[x.schema[n] for n in by], *[T.StructField(f, vector) for f in fields]])
 
-    explode to ``(by, pos)``, aggregate per position the variance of y and the
-    squared error, then sum over positions. Partial aggregation keeps the
-    shuffle at one row per (map task, group, position).
-    """
+    def row(keys: pa.RecordBatch | None, held: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*([keys.column(n) for n in by] if keys is not None else []),
+                                           *[pa.array([v], pa.list_(pa.float64())) for v in held]], [*by, *fields])
+
+    def runs(batches, moments):
+        """Merge consecutive rows of equal keys."""
+        keys = held = None
+        for b in batches:
+            if not len(b):
+                continue
+            own = pa.RecordBatch.from_arrays([b.column(n) for n in by], by) if by else None
+            codes = pa.StructArray.from_arrays(own.columns, by).to_pylist() if by else [()] * len(b)
+            start = 0
+            for end in [i for i in range(1, len(b)) if codes[i] != codes[i - 1]] + [len(b)]:
+                got = moments(b.slice(start, end - start))
+                if held is not None and (not by or keys.to_pylist()[0] == codes[start]):
+                    held = _met(held, got)
+                else:
+                    if held is not None:
+                        yield row(keys, held)
+                    keys, held = own.slice(start, 1) if by else None, got
+                start = end
+        if held is not None:
+            yield row(keys, held)
+
+    def first(batches):
+        return runs(batches, lambda b: _moments_of(b, columns))
+
+    def again(batches):
+        def moments(b):
+            got = [tuple(np.asarray(b.column(f)[i].values) for f in fields) for i in range(len(b))]
+            out = got[0]
+            for g in got[1:]:
+                out = _met(out, g)
+            return out
+        return runs(batches, moments)
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = (x.sortWithinPartitions(*by) if by else x).mapInArrow(first, schema)
+    salt = F.pmod(F.spark_partition_id(), F.lit(n)).alias("_salt")
+    some = parts.select("*", salt).repartition(n, *by, "_salt").drop("_salt")
+    some = (some.sortWithinPartitions(*by) if by else some).mapInArrow(again, schema)
+    met = some.repartition(n, *by).sortWithinPartitions(*by) if by else some.repartition(1)
+    return met.mapInArrow(again, schema)
+
+
+def fvu(df: DataFrame, y: str = "target", y_hat: str = "recon", by=None) -> DataFrame:
+    """Fraction of variance unexplained per ``by`` group (E10): the squared
+    error over the variance of ``y`` summed over positions, one pass."""
     by = [by] if isinstance(by, str) else list(by or [])
-    x = df.select(*by, F.posexplode(F.arrays_zip(c(y).alias("y"), c(y_hat).alias("h"))).alias("pos", "z"))
-    per_pos = x.groupBy(*by, "pos").agg(
-        (F.var_pop(F.col("z.y")) * F.count(F.col("z.y"))).alias("_tv"),
-        F.sum((F.col("z.y") - F.col("z.h")) ** 2).alias("_se"),
-        F.count(F.lit(1)).alias("_n"))
-    tot = per_pos.groupBy(*by).agg(F.sum("_se").alias("sse"), F.sum("_tv").alias("total_variance"),
-                                   F.sum("_n").alias("n_elements"))
-    return tot.withColumn("fvu", F.col("sse") / F.col("total_variance"))
+    m = vector_moments(df, [y, y_hat], by)
+    return m.select(*by, F.col("errors")[0].alias("sse"), _total("off").alias("total_variance"),
+                    _total("n").cast("bigint").alias("n_elements")).withColumn("fvu", F.col("sse") / F.col("total_variance"))
+
+
+def _total(name: str) -> Column:
+    return F.aggregate(name, F.lit(0.0), lambda a, b: a + b)
 
 
 def recon_mse(df: DataFrame, y: str = "target", y_hat: str = "recon") -> DataFrame:
@@ -473,22 +641,20 @@ def losses(df: DataFrame, dictionary: SparseDictionary, id_col="id", vec_col: st
     """One row ``(fvu, auxk, multi_fvu, total, n_dead)`` from one pass over the
     vectors (E13): ``total = fvu + auxk_alpha * auxk + multi_fvu / 8``."""
     fw = forward(df, dictionary, id_col, vec_col, target_col, dead=dead, multi=multi, budget=budget)
-    half = dictionary.d // 2
-    if dead is None:
-        n_dead = 0
-    else:
-        ids = dead.select("latent_id").distinct() if isinstance(dead, DataFrame) else None
-        n_dead = (dictionary.entries.join(ids, "latent_id", "left_semi") if ids is not None else
-                  dictionary.entries.where(F.col("latent_id").isin([int(i) for i in dead]) if len(dead) else F.lit(False))).count()
-    arrays = [F.col("target").alias("y"), F.col("recon").alias("h")]
-    arrays += [F.col("e_hat").alias("a")] if dead is not None else []
-    arrays += [F.col("multi").alias("m")] if multi is not None else []
-    z = fw.where(F.col("target").isNotNull()).select(F.posexplode(F.arrays_zip(*arrays)).alias("pos", "z"))
-    y, h = F.col("z.y"), F.col("z.h")
-    aux = F.sum((F.col("z.a") - (y - h)) ** 2) if n_dead else F.lit(0.0)
-    per_pos = z.groupBy("pos").agg((F.var_pop(y) * F.count(y)).alias("tv"), F.sum((y - h) ** 2).alias("se"), aux.alias("sa"),
-                                   (F.sum((y - F.col("z.m")) ** 2) if multi is not None else F.lit(0.0)).alias("sm"))
-    t = per_pos.agg(F.sum("tv").alias("tv"), *[F.sum(n).alias(n) for n in ("se", "sa", "sm")])
+    half, n_dead = dictionary.d // 2, count_dead(dictionary, dead)
+    # squared distances from the target: of recon, of recon + e_hat, of multi
+    fw = fw.where(F.col("target").isNotNull())
+    names = ["target", "recon"]
+    if n_dead:
+        fw = fw.withColumn("_both", F.zip_with("recon", "e_hat", lambda a, b: a + b))
+        names.append("_both")
+    if multi is not None:
+        names.append("multi")
+    m = vector_moments(fw, names)
+    at = lambda name: F.col("errors")[names.index(name) - 1] if name in names else F.lit(0.0)
+    t = m.select(_total("off").alias("tv"), at("recon").alias("se"), at("_both").alias("sa"), at("multi").alias("sm"))
+    # one row also without vectors, as of any aggregate
+    t = t.agg(*[F.sum(n).alias(n) for n in ("tv", "se", "sa", "sm")])
     weight = min(n_dead / half, 1.0) if half else 0.0
     # without rows there is no variance, and nothing dead costs nothing
     aux_loss = F.lit(weight) * F.col("sa") / F.col("tv") if n_dead else F.lit(0.0)
@@ -512,14 +678,10 @@ def remove_parallel(df: DataFrame, g: str, w: str, out: str | None = None) -> Da
 
 
 def mean_vector(df: DataFrame, vec: str, by=None, out: str = "mean") -> DataFrame:
-    """Per-dimension mean per group (E16): explode to positions, average with
-    partial aggregation, re-assemble in position order (d values per group)."""
+    """Per-dimension mean per group (E16) and its number of rows."""
     by = [by] if isinstance(by, str) else list(by or [])
-    x = df.select(*by, F.posexplode(as_double_array(vec)).alias("pos", "v"))
-    per = x.groupBy(*by, "pos").agg(F.avg("v").alias("m"), F.count("v").alias("n"))
-    agg = per.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_p"),
-                               F.max("n").alias("n_rows"))
-    return agg.select(*by, F.transform("_p", lambda s: s["m"]).alias(out), "n_rows")
+    return vector_moments(df, [vec], by).select(*by, F.col("mean").alias(out),
+                                                F.array_max("n").cast("bigint").alias("n_rows"))
 
 
 def flatten_vectors(df: DataFrame, seq_col: str, key: str = "sample_id",

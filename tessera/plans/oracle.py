@@ -430,6 +430,11 @@ since AS (SELECT d.latent_id, CAST(tot.total - coalesce(lastf.last_cum, 0) AS BI
 
 ORACLE["fired"] = f"WITH {vec_ctes()} SELECT DISTINCT vec_id // {q.STEP_ROWS} AS step, latent_id FROM codes"
 ORACLE["tokens_since_fired"] = _SINCE + "\nSELECT * FROM since"
+ORACLE["since_fired_by_step"] = _SINCE + """,
+grid AS (SELECT c.step, d.latent_id, c.cum, max(CASE WHEN f.step IS NOT NULL THEN c.cum END)
+                OVER (PARTITION BY d.latent_id ORDER BY c.step) AS last
+         FROM cum c CROSS JOIN dict d LEFT JOIN f ON f.step = c.step AND f.latent_id = d.latent_id)
+SELECT step, latent_id, CAST(cum - coalesce(last, 0) AS BIGINT) AS tokens_since_fired FROM grid"""
 ORACLE["dead_share"] = _SINCE + f"""
 SELECT CAST(sum(CASE WHEN tokens_since_fired > {q.DEAD_THRESHOLD} THEN 1 ELSE 0 END) AS BIGINT) AS n_dead,
        round(avg(CASE WHEN tokens_since_fired > {q.DEAD_THRESHOLD} THEN 1.0 ELSE 0.0 END), 6) AS dead_share FROM since"""
@@ -613,9 +618,11 @@ gb{n} AS (SELECT p, sum(g) AS g FROM (SELECT p, 2 * (h - y) AS g FROM err{n} UNI
 b{n + 1} AS (SELECT list(b.b[gb.p] - {q.FIT_LR} * sign(gb.g) ORDER BY gb.p) AS b FROM gb{n} gb, b{n} b)"""
 
 
-_FIT = f"""WITH {vec_ctes()},
-numbered AS (SELECT vec_id, v, (row_number() OVER (ORDER BY vec_id) - 1) // CAST(ceil(count(*) OVER () / {q.FIT_BATCHES}.0) AS BIGINT) AS batch
-             FROM data),
+def _fit(where: str, size: str) -> str:
+    """Two steps on the vectors ``where``, in batches of ``size``."""
+    return f"""WITH {vec_ctes()},
+numbered AS (SELECT vec_id, v, (row_number() OVER (ORDER BY vec_id) - 1) // {size} AS batch
+             FROM data WHERE {where}),
 e0 AS (SELECT latent_id, w_enc, b_enc, list_transform(w_dec, lambda x: x / (sqrt(list_sum(list_transform(w_dec, lambda y: y * y))) + {_EPS})) AS w_dec
        FROM dict),
 b0 AS (SELECT b FROM bdec),{_fit_step(0, "0", False)},{_fit_step(1, "1", True)},
@@ -626,5 +633,15 @@ told AS (SELECT 0 AS step, fvu, n, (SELECT avg(CASE WHEN s0 > {q.DEAD_THRESHOLD}
          UNION ALL SELECT 1, fvu, n, (SELECT avg(CASE WHEN s1 > {q.DEAD_THRESHOLD} THEN 1.0 ELSE 0 END) FROM since) FROM fvu1)
 SELECT CAST(step AS BIGINT) AS step, CAST({fx.K} AS BIGINT) AS k, round(fvu, 6) AS fvu, round(dead, 6) AS dead_pct,
        CAST(n AS BIGINT) AS n_rows FROM told"""
+
+
+_FIT = _fit("true", f"CAST(ceil(count(*) OVER () / {q.FIT_BATCHES}.0) AS BIGINT)")
 ORACLE["fit_dictionary"] = _FIT
 ORACLE["fit_resume"] = _FIT + " WHERE step = 1"
+
+# Each group on its own, the same from every seed as all start from one dictionary
+_LARGEST = f"""CAST(ceil((SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings WHERE vec_id >= {fx.DICT_ROWS}
+              GROUP BY label % 2)) / {q.FIT_BATCHES}.0) AS BIGINT)"""
+ORACLE["fit_many"] = "\nUNION ALL ".join(
+    f"SELECT 'layers.{g}.mlp' AS hookpoint, CAST({seed} AS BIGINT) AS seed, * FROM ({_fit(f'label % 2 = {g}', _LARGEST)})"
+    for g in (0, 1) for seed in q.FIT_SEEDS)

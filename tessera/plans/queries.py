@@ -555,6 +555,29 @@ def tokens_since_fired(spark, d):
     return hl.tokens_since_fired(codes, steps, D.entries)
 
 
+@query("since_fired_by_step")
+def since_fired_by_step(spark, d):
+    """Counter of every entry after every step of the run."""
+    from tessera.operators import health as hl
+    D, codes, steps = _step_codes(spark, d)
+    ends = steps.agg(F.min("step").alias("lo"), F.max("step").alias("hi")).first()  # one row
+    asked = D.entries.select("latent_id", F.explode(F.sequence(F.lit(ends["lo"]), F.lit(ends["hi"]))).alias("step"))
+    return hl.since_fired_at(codes, steps, asked)
+
+
+@query("auxk_at_step")
+def auxk_at_step(spark, d):
+    """Auxiliary loss of one step's vectors on the entries that were dead after the step before it."""
+    from tessera.operators import health as hl
+    from tessera.operators import sparse as sp
+    D, codes, steps = _step_codes(spark, d)
+    step = int(steps.agg(F.max("step")).first()[0])
+    dead = hl.dead_at(codes, steps, D.entries, step - 1, DEAD_LIST_THRESHOLD)
+    rows = fx.data_vectors(spark, d).where(F.floor(F.col("vec_id") / STEP_ROWS) == step)
+    a = sp.auxk_loss(rows, D, dead, "vec_id", "vec")
+    return a.select(F.lit(step).cast("bigint").alias("step"), _r6(F.col("auxk"), "auxk"), "n_dead")
+
+
 @query("dead_share")
 def dead_share(spark, d):
     from tessera.operators import health as hl
@@ -817,14 +840,20 @@ def fit_resume(spark, d):
     return _fit_metrics(_estimator(data).fit(data, "vec_id", "vec", init=stored, init_since=since, start_step=1).metrics)
 
 
+FIT_SEEDS = (0, 1)
+
+
 @query("fit_many")
 def fit_many(spark, d):
+    """Two groups (labels by parity) and two seeds at once, from the fixture
+    dictionary, two mini-batches of half of the larger group."""
     from tessera.operators.fit import fit_many as run
     data = fx.data_vectors(spark, d).withColumn("hookpoint", F.concat(F.lit("layers."), (F.col("label") % 2)
                                                                       .cast("string"), F.lit(".mlp")))
-    m = run(data, "hookpoint", [0, 1], dict(num_latents=fx.DICT_ROWS, k=fx.K, batch_size=_fit_batch(data), lr=FIT_LR,
-                                            dead_threshold=DEAD_THRESHOLD), "vec_id", "vec")
-    return m.select("hookpoint", "seed", "step", "k", _r6(F.col("fvu"), "fvu"))
+    largest = data.groupBy("hookpoint").count().agg(F.max("count")).first()[0]
+    m = run(data, "hookpoint", FIT_SEEDS, dict(num_latents=fx.DICT_ROWS, k=fx.K, batch_size=-(-largest // FIT_BATCHES), lr=FIT_LR,
+                                               dead_threshold=DEAD_THRESHOLD), "vec_id", "vec", init=fx.dictionary(spark, d))
+    return m.select("hookpoint", "seed", "step", "k", _r6(F.col("fvu"), "fvu"), _r6(F.col("dead_pct"), "dead_pct"), "n_rows")
 
 
 @query("flatten_vectors")

@@ -93,3 +93,53 @@ def test_fit_saves_best_checkpoints_and_resumes(spark, tmp_path):
     assert resumed.metrics.count() == 0  # nothing left after the last step
     again = ft.SparseDictionaryEstimator(8, 2, batch_size=50, lr=1e-3).fit(df, init=stored, start_step=4)
     assert [r["step"] for r in again.metrics.orderBy("step").collect()] == [4, 5]
+
+
+def test_runs_together_equal_runs_alone(spark):
+    x = np.random.default_rng(6).normal(size=(150, 5))
+    rows = [(i, ["a", "b", None][(i % 5) % 3], x[i].tolist()) for i in range(len(x))]
+    df = spark.createDataFrame(rows, "id long, layer string, vec array<double>")
+    args = dict(num_latents=24, k=2, batch_size=40, lr=5e-3, dead_threshold=60)
+    got = {(r["layer"], r["seed"], r["step"]): r for r in ft.fit_many(df, "layer", [0, 3], args).collect()}
+    for layer, seed in (("a", 0), ("a", 3), (None, 3)):
+        alone = ft.SparseDictionaryEstimator(seed=seed, **args).fit(df.where(df.layer.eqNullSafe(layer)))
+        rows = alone.metrics.collect()
+        assert len(rows) == sum(key[:2] == (layer, seed) for key in got)
+        for r in rows:
+            m = got[layer, seed, r["step"]]
+            assert m["fvu"] == pytest.approx(r["fvu"], rel=1e-9)
+            assert (m["k"], m["n_rows"], m["dead_pct"]) == (r["k"], r["n_rows"], r["dead_pct"])
+
+
+def test_a_fit_brings_no_entries_to_the_driver(spark, monkeypatch):
+    """Rows that reach the driver in a fit don't depend on the number of entries."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    x = np.random.default_rng(1).normal(size=(60, 4))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+    seen = []
+    for name in ("collect", "toArrow", "toPandas", "toLocalIterator", "take"):
+        plain = getattr(DataFrame, name)
+
+        def counted(self, *args, _plain=plain, **more):
+            out = _plain(self, *args, **more)
+            out = out if hasattr(out, "__len__") else list(out)
+            seen[-1] += len(out)
+            return out
+        monkeypatch.setattr(DataFrame, name, counted)
+    for entries in (16, 512):
+        seen.append(0)
+        ft.SparseDictionaryEstimator(entries, 2, batch_size=30, lr=1e-3).fit(df)
+    assert seen[0] == seen[1] <= 40
+
+
+def test_blocks_of_parameters_change_nothing(spark):
+    x = np.random.default_rng(9).normal(size=(80, 4))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+    est = ft.SparseDictionaryEstimator(20, 2, batch_size=40, lr=5e-3, seed=1)
+    src = df.withColumn("_group", ft.F.lit(0))
+    one, many = (est.fit_runs(src, [(0, 1)], "id", "vec", budget=b) for b in (1 << 26, 3 * 4 * 16))
+    assert many[1].select("block").distinct().count() == 7
+    np.testing.assert_allclose([r[3] for r in one[0]], [r[3] for r in many[0]], rtol=1e-9)
+    a, b = ({r["latent_id"]: r["w_enc"] for r in t[1].collect()} for t in (one, many))
+    for i in a:
+        np.testing.assert_allclose(a[i], b[i], rtol=1e-9, atol=1e-12)
