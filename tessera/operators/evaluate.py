@@ -3,16 +3,18 @@
 The upstream evaluation harness compares answers symbolically; this is a
 bounded subset expressed with built-in string functions.
 
-* Predictions: the content of the first ``\\boxed{...}`` (braces nested up to
-  ``DEPTH`` deep), else the last number or fraction.
+* Predictions: the content of the first ``\\boxed{...}`` whose braces balance
+  (nested to any depth), else the last number or fraction.
 * Gold of the ``latex`` kind may be a whole solution: the first boxed
   content, else the last ``$...$``, else the last number or fraction, else
   the text. Gold of the ``expr`` kind: the last number or fraction, else the
   text.
+* Numbers: plain, with a leading point, grouped digits or an exponent,
+  fractions of whole numbers and ``\\frac``. A sign belongs to a number unless
+  it follows a digit: the end of ``2009-2012`` is 2012.
 * Letters: after ``Answer:``, else the last letter A to D that stands alone.
 
-Two answers are equal when both are numbers (strict decimals, grouped
-digits, or fractions of them, also ``\\frac``) that agree at a number of
+Two answers are equal when both are such numbers that agree at a number of
 decimals, or when their normalised texts are. An item's score is the largest
 over its gold and predicted answers.
 """
@@ -24,20 +26,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
 
-DEPTH = 5
-
-
-def _braced(depth: int, own: str) -> str:
-    """Text with balanced braces; ``own``: the loops' mark against giving back."""
-    plain = rf"[^{{}}]*{own}"
-    return plain if depth == 0 else rf"{plain}(?:\{{{_braced(depth - 1, own)}\}}{plain})*{own}"
-
-
 # Extraction patterns.
-BOXED = rf"\\boxed\s*\{{({_braced(DEPTH, '+')})\}}"
+BOXED = r"\\boxed\s*\{"
 MATH = r"\$([^$]+)\$"
-NUMBER = (r"(-?\\d?frac\{-?[0-9]+\}\{[0-9]+\}|-?[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?"
-          r"|-?[0-9]+(?:\.[0-9]+)?(?:/[0-9]+)?)")
+NUMBER = (r"((?:(?<![0-9])[-+])?(?:\\d?frac\{-?[0-9]+\}\{[0-9]+\}|[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?(?!,?[0-9])"
+          r"|(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?(?:/[0-9]+)?))")
 LETTER = r"Answer:\s*\$?\(?([A-D])\b"
 BARE_LETTER = r"\b([A-D])\b"
 
@@ -62,11 +55,47 @@ def _first(text, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
 
 
+def _with(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _balanced(tail: Column) -> Column:
+    """The text up to the brace that closes the one before ``tail``; null if
+    none does. Parts of the text end at a brace each; a running depth over
+    them finds the part that brings it to 0."""
+    def step(at, part):
+        depth = at["depth"] + F.when(part.endswith("{"), 1).otherwise(-1)
+        return F.when(at["depth"] == 0, at).otherwise(
+            F.struct(depth.alias("depth"), (at["size"] + F.length(part)).alias("size")))
+
+    end = F.aggregate(F.regexp_extract_all(tail, F.lit(r"[^{}]*[{}]"), 0),
+                      F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size")), step)
+    nested = _with(end, lambda e: F.when(e["depth"] == 0, F.substring(tail, F.lit(1), e["size"] - 1)))
+    plain = F.regexp_extract(tail, r"^([^{}]*)\}", 0)  # no braces inside
+    return _with(plain, lambda p: F.when(p != "", F.substring(p, F.lit(1), F.length(p) - 1)).otherwise(nested))
+
+
+def boxed(text: Column) -> Column:
+    """The content of the first ``\\boxed{...}`` that is closed, else null. A
+    later one is looked at only if the ones before it stay open."""
+    tail = lambda x: F.regexp_extract(x, r"(?s)" + BOXED + "(.*)", 1)
+
+    def later(x):
+        at = F.split(x, r"(?=\\boxed\s*\{)")
+        rest = lambda at: F.transform(F.sequence(F.lit(1), F.size(at)), lambda i: _with(
+            tail(F.array_join(F.slice(at, i, F.size(at)), "")), _balanced))
+        return F.get(F.filter(_with(at, rest), lambda y: y.isNotNull()), F.lit(0))
+
+    return F.when(text.contains("\\boxed"), _with(text, lambda x: F.coalesce(_with(tail(x), _balanced), F.when(
+        F.regexp_count(x, F.lit(BOXED)) > 1, later(x)))))
+
+
 def extract_answer(col, kind: str = "latex") -> Column:
     """The answer of a prediction (H1). Both math kinds read predictions alike."""
     text = c(col)
     if kind in ("latex", "expr"):
-        return F.trim(F.coalesce(_first(text, BOXED), _last(text, NUMBER)))
+        return F.trim(F.coalesce(boxed(text), _last(text, NUMBER)))
     if kind == "letter":
         return F.coalesce(_first(text, LETTER), _last(text, BARE_LETTER))
     raise ValueError(f"unknown answer kind {kind}")
@@ -76,7 +105,7 @@ def extract_gold(col, kind: str = "latex") -> Column:
     """The answer of a gold text (H1)."""
     text = c(col)
     if kind == "latex":
-        return F.trim(F.coalesce(_first(text, BOXED), _last(text, MATH), _last(text, NUMBER), text))
+        return F.trim(F.coalesce(boxed(text), _last(text, MATH), _last(text, NUMBER), text))
     if kind == "expr":
         return F.trim(F.coalesce(_last(text, NUMBER), text))
     if kind == "letter":
@@ -86,19 +115,26 @@ def extract_gold(col, kind: str = "latex") -> Column:
 
 def by_kind(kind, extract, col) -> Column:
     """``extract`` of the kind that a row's column names."""
+    if extract is extract_answer:  # both math kinds read predictions alike
+        return F.when(c(kind).isin("latex", "expr"), extract(col, "latex")).when(c(kind) == "letter", extract(col, "letter"))
     return F.coalesce(*[F.when(c(kind) == k, extract(col, k)) for k in KINDS])
 
 
 def normalised(col) -> Column:
     """An answer without markup that doesn't change it."""
-    x = F.regexp_replace(c(col), r"\\(?:left|right|!|,|;|\s)|\$|\s+", "")
-    x = F.regexp_replace(x, r"\\[dt]frac", r"\\frac")
-    x = F.regexp_replace(x, r"\\(?:text|mathrm|mbox)\{([^{}]*)\}", "$1")
-    x = F.regexp_replace(x, r"\\%|%$|\.$", "")
-    return F.when(x.rlike(r"^[-+]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"), F.regexp_replace(x, ",", "")).otherwise(x)
+    def stripped(x):
+        x = F.regexp_replace(x, r"\\(?:left|right|!|,|;|\s)|\$|\s+", "")
+        x = F.regexp_replace(x, r"\\[dt]frac", r"\\frac")
+        x = F.regexp_replace(x, r"\\(?:text|mathrm|mbox)\{([^{}]*)\}", "$1")
+        return F.regexp_replace(x, r"\\%|%$|\.$", "")
+
+    grouped = lambda x: F.when(x.rlike(r"^[-+]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"),
+                               F.regexp_replace(x, ",", "")).otherwise(x)
+    # plain decimals hold no markup
+    return _with(c(col), lambda x: F.when(x.rlike(r"^[-+]?[0-9]+(\.[0-9]+)?$"), x).otherwise(_with(stripped(x), grouped)))
 
 
-_PLAIN = r"^[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+_PLAIN = r"^[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?$"
 _RATIO = r"^([-+]?[0-9]+)/([0-9]+)$"
 _FRAC = r"^([-+]?)\\frac\{([-+]?[0-9]+)\}\{([0-9]+)\}$"
 

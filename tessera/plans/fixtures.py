@@ -157,14 +157,19 @@ def predictions(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     letter = lambda shift: F.substr(F.lit("ABCD"), ((F.col("l_linenumber") + shift) % 4 + 1).cast("int"), F.lit(1))
     gold = (F.when(F.col("kind") == "letter", letter(0))
             .when((F.col("kind") == "latex") & (h % 3 == 0), F.concat(F.lit("Half of it: 12 and 7, so $x=\\boxed{\\frac{"), q, F.lit("}{2}}$ holds.")))
+            .when((F.col("kind") == "latex") & (h == 7), F.concat(F.lit("We get \\boxed{x^" + "{" * 20), q, F.lit("}" * 20 + "}.")))
             .when((F.col("kind") == "latex") & (h % 3 == 1), F.concat(F.lit("We get \\boxed{x^{"), q, F.lit("}}.")))
             .when(F.col("kind") == "latex", F.concat(F.lit("In all $"), q, F.lit(",500$ of them")))
             .when(h % 2 == 0, q).otherwise(F.concat(q, F.lit(",250"))))
     pred = (F.when(F.col("kind") == "letter", F.concat(F.lit("Answer: "), F.when(h < 2, letter(1)).otherwise(letter(0))))
             .when((F.col("kind") == "latex") & (h % 3 == 0) & (h > 5), F.concat(F.lit("it is "), said, F.lit("/2")))
             .when((F.col("kind") == "latex") & (h % 3 == 0), F.concat(F.lit("the answer is: $\\boxed{ \\dfrac{"), said, F.lit("}{2} }$. I hope it is correct")))
+            .when((F.col("kind") == "latex") & (h == 7), F.concat(F.lit("\\boxed{\\text{x}^" + "{" * 20), said, F.lit("}" * 20 + "} or 3")))
             .when((F.col("kind") == "latex") & (h % 3 == 1), F.concat(F.lit("\\boxed{\\text{x}^{"), said, F.lit("}} or 3")))
             .when(F.col("kind") == "latex", F.concat(F.lit("so \\boxed{"), said, F.lit("500.0}")))
+            .when(h == 4, F.concat(F.lit("somewhere between 1-"), said))
+            .when(h == 6, F.concat(F.lit("it is "), said, F.lit("00e-2 in all")))
+            .when(h == 8, F.concat(F.lit("so x = +"), said, F.lit(".")))
             .when(h % 2 == 0, F.concat(F.lit("The 1st result: "), said, F.lit(" units")))
             .otherwise(F.concat(F.lit("I think "), said, F.lit("250 not 5f, no: \\boxed{"), said, F.lit(",250}"))))
     return li.select("l_orderkey", "l_linenumber", "task", "kind",

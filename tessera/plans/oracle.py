@@ -499,12 +499,15 @@ li AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, {shash(
 k AS (SELECT *, q + CASE WHEN h < 3 THEN 1 ELSE 0 END AS said, l_orderkey % 7 < 3 AS expr, l_orderkey % 7 = 6 AS letter,
              'checkpoint-' || CAST(l_linenumber * 100 AS VARCHAR) AS checkpoint FROM li),
 p AS (SELECT *, CASE WHEN letter THEN substr('ABCD', (l_linenumber + CASE WHEN h < 2 THEN 1 ELSE 0 END) % 4 + 1, 1)
+        WHEN expr AND h = 6 THEN said || '00e-2' WHEN expr AND h = 8 THEN '+' || said
         WHEN expr AND h % 2 = 0 THEN CAST(said AS VARCHAR) WHEN expr THEN said || ',250'
         WHEN h % 3 = 0 AND h > 5 THEN said || '/2' WHEN h % 3 = 0 THEN '\\dfrac{{' || said || '}}{{2}}'
+        WHEN h = 7 THEN '\\text{{x}}^' || repeat('{{', 20) || said || repeat('}}', 20)
         WHEN h % 3 = 1 THEN '\\text{{x}}^{{' || said || '}}' ELSE said || '500.0' END AS pred,
       CASE WHEN letter THEN substr('ABCD', l_linenumber % 4 + 1, 1)
         WHEN expr AND h % 2 = 0 THEN CAST(q AS VARCHAR) WHEN expr THEN q || ',250'
-        WHEN h % 3 = 0 THEN '\\frac{{' || q || '}}{{2}}' WHEN h % 3 = 1 THEN 'x^{{' || q || '}}' ELSE q || ',500' END AS gold FROM k),
+        WHEN h % 3 = 0 THEN '\\frac{{' || q || '}}{{2}}'
+        WHEN h = 7 THEN 'x^' || repeat('{{', 20) || q || repeat('}}', 20) WHEN h % 3 = 1 THEN 'x^{{' || q || '}}' ELSE q || ',500' END AS gold FROM k),
 s AS (SELECT *, CAST(CASE WHEN letter THEN h >= 2 ELSE said = q END AS INTEGER) AS score FROM p)"""
 ORACLE["extract_answer"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, task, pred, gold FROM s"
 ORACLE["score"] = f"WITH {_PRED} SELECT l_orderkey, l_linenumber, score FROM s"
@@ -645,3 +648,20 @@ _LARGEST = f"""CAST(ceil((SELECT max(n) FROM (SELECT count(*) AS n FROM embeddin
 ORACLE["fit_many"] = "\nUNION ALL ".join(
     f"SELECT 'layers.{g}.mlp' AS hookpoint, CAST({seed} AS BIGINT) AS seed, * FROM ({_fit(f'label % 2 = {g}', _LARGEST)})"
     for g in (0, 1) for seed in q.FIT_SEEDS)
+
+ORACLE["auxk_at_step"] = _SINCE + f""",
+now AS (SELECT max(step) AS step FROM steps),
+gone AS (SELECT d.latent_id FROM dict d LEFT JOIN (SELECT latent_id, max(cum) AS last FROM f JOIN cum USING (step), now
+           WHERE step < now.step GROUP BY latent_id) l USING (latent_id),
+         (SELECT max(cum) AS total FROM cum, now WHERE cum.step < now.step) t
+         WHERE t.total - coalesce(l.last, 0) > {q.DEAD_LIST_THRESHOLD}),
+par AS (SELECT count(*) AS n_dead, least(32, count(*)) AS k_aux, least(count(*) / 32.0, 1.0) AS scale FROM gone),
+mine AS (SELECT err.* FROM err, now WHERE vec_id // {q.STEP_ROWS} = now.step),
+acodes AS (SELECT vec_id, latent_id, act FROM (SELECT p.*, row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, latent_id) AS r
+           FROM pre p JOIN gone USING (latent_id)), par WHERE r <= par.k_aux),
+ahat AS (SELECT c.vec_id, u.p, sum(c.act * u.w) + any_value(bdec.b[u.p]) AS eh
+         FROM acodes c JOIN wdec u USING (latent_id), bdec GROUP BY c.vec_id, u.p),
+tv AS (SELECT sum(v) AS v FROM (SELECT var_pop(y) * count(y) AS v FROM mine GROUP BY p)),
+se AS (SELECT sum((a.eh - (e.y - e.h)) * (a.eh - (e.y - e.h))) AS s FROM mine e JOIN ahat a USING (vec_id, p))
+SELECT now.step, CASE WHEN par.n_dead = 0 THEN 0.0 ELSE round(par.scale * se.s / tv.v, 6) END AS auxk,
+       CAST(par.n_dead AS BIGINT) AS n_dead FROM now, par, tv, se"""
