@@ -4,7 +4,7 @@ Method. A line is normalised (A-Z lowered, digits as 0, white space runs as
 one space) and hashed. Per host (the ``source`` column) the distinct
 documents that hold a line are counted; equal texts are one document. A line
 is above its limit when it stands among more than ``limit`` different
-documents of the host (at least ``share`` of the host's documents). Different
+documents of the host, whatever the host's size. Different
 means different elsewhere: lines that stand among more than ``limit`` texts are
 candidates, and a document is known by the smallest and the largest hash of
 ``SHINGLE`` words of its other lines. So boilerplate of many lines doesn't hide
@@ -31,10 +31,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +44,6 @@ MIN_WORDS = 10
 REPEAT_PERCENT = 20
 LIMIT = 20
 SHINGLE = 3
-SHARE = 0.001
 LEFT_SHARE = 0.3
 LEFT_WORDS = 5
 SYMBOLS = "#*$%&|<>"
@@ -80,8 +79,13 @@ def line_hash(words: list[bytes]) -> int:
 def shingle_ends(words: list[bytes]) -> tuple[int, int]:
     """The smallest and the largest hash of SHINGLE words in a row (of the whole line if it has fewer)."""
     runs = zip(*(words[i:] for i in range(SHINGLE))) if len(words) > SHINGLE else [words]
-    hashes = list(map(xxhash.xxh64_intdigest, map(b" ".join, runs)))
-    return min(hashes), max(hashes)
+    hashes = [md5(b" ".join(r)).digest() for r in runs]
+    return _number(min(hashes)), _number(max(hashes))
+
+
+def _number(digest: bytes) -> int:
+    """The first 60 bits of a digest."""
+    return int.from_bytes(digest[:8], "big") >> 4
 
 
 def _measure(text: str | None) -> tuple:
@@ -157,7 +161,7 @@ def held_candidates(measured: DataFrame, texts: DataFrame) -> DataFrame:
         run, "name string, row bigint, host string, line bigint, words bigint, low bigint, high bigint")
 
 
-def common_lines(held: DataFrame, texts: DataFrame, hosts: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
+def common_lines(held: DataFrame, texts: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(host, line) above the limit. ``held``: see :func:`held_candidates`; ``texts``: host, line, texts."""
     ways = []
     for side in ("low", "high"):
@@ -165,13 +169,12 @@ def common_lines(held: DataFrame, texts: DataFrame, hosts: DataFrame, limit: int
         one = held.groupBy("host", "line", side).agg(F.lit(1).alias("x"))
         ways.append(one.groupBy("host", "line").agg(F.count(F.lit(1)).alias(f"n_{side}")))
     return (texts.join(ways[0], ["host", "line"]).join(ways[1], ["host", "line"])
-            .join(hosts, "host").withColumn("n", F.greatest("n_low", "n_high"))
-            .where((F.col("n") > limit) & (F.col("n") >= share * F.col("docs")) & (2 * F.col("n") >= F.col("texts")))
+            .withColumn("n", F.greatest("n_low", "n_high"))
+            .where((F.col("n") > limit) & (2 * F.col("n") >= F.col("texts")))
             .select("host", "line"))
 
 
-def judge(docs: DataFrame, name_col: str = "doc_id", host_col: str = "source", limit: int = LIMIT,
-          share: float = SHARE) -> tuple[DataFrame, DataFrame]:
+def judge(docs: DataFrame, name_col: str = "doc_id", host_col: str = "source", limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
     """The verdict on each row of ``docs`` (``name``: its ``name_col`` as a
     string; the word rules' numbers, ``n_removed_words``, ``base_failed``,
     ``kept``), and the removed lines as (name, row, line)."""
@@ -179,13 +182,12 @@ def judge(docs: DataFrame, name_col: str = "doc_id", host_col: str = "source", l
     told = docs.select(F.col(name_col).cast("string").alias("name"), host.alias("host"), F.col("text").alias("text"))
     # names may repeat; the row numbers are fixed by being written
     measured = materialise(measure(told).withColumn("row", F.monotonically_increasing_id()), "quality")
-    hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     texts = materialise(
         measured.select("host", F.xxhash64("digest").alias("digest"), F.explode("line").alias("line")).distinct()
         .groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > limit), "quality-texts")
     held = materialise(held_candidates(measured, texts), "quality-candidates")
     removed = held.withColumn("salt", _salt()).join(
-        _salted(common_lines(held, texts, hosts, limit, share)), ["host", "line", "salt"], "left_semi").select(
+        _salted(common_lines(held, texts, limit)), ["host", "line", "salt"], "left_semi").select(
         "name", "row", "line", "words")
     lost = removed.groupBy("row").agg(F.sum("words").alias("lost"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
@@ -196,11 +198,11 @@ def judge(docs: DataFrame, name_col: str = "doc_id", host_col: str = "source", l
     return verdict.drop("lost", "line", "words", "first", "last", "digest", "host"), removed.drop("words")
 
 
-def clean(docs: DataFrame, limit: int = LIMIT, share: float = SHARE) -> DataFrame:
+def clean(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """The kept documents of ``docs`` without the lines above their limit
     (``n_chars`` follows), with all columns."""
     numbered = materialise(docs.withColumn("_name", F.monotonically_increasing_id()), "quality-documents")
-    verdict, removed = judge(numbered, "_name", limit=limit, share=share)
+    verdict, removed = judge(numbered, "_name", limit=limit)
     # a document's removed lines are at most its own lines
     gone = removed.groupBy("name").agg(F.collect_set(F.lower(F.lpad(F.hex("line"), 16, "0"))).alias("_gone"))
     kept = (verdict.where("kept").select("name").join(gone, "name", "left")
@@ -236,20 +238,28 @@ grams as (select r, i, array_to_string(w[i:i + 4], ' ') g from (select r, w, unn
 twice as (select r, i, count(*) over (partition by r, g) n from grams),
 repeats as (select r, count(distinct j) n from (select r, unnest(range(i, i + 5)) j from twice where n > 1) group by r),
 l as (select r, host, t, unnest(string_split(t, chr(10))) raw from d),
-worded as (select *, substr(md5(regexp_replace(translate(array_to_string(regexp_extract_all(raw, '{word}'), ' '),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '^$', '')), 1, 16) line,
-    len(regexp_extract_all(raw, '{word}')) words from l where regexp_matches(raw, '{word}')),
+worded as (select *, array_to_string(ws, ' ') as norm, substr(md5(array_to_string(ws, ' ')), 1, 16) as line, len(ws) as words
+    from (select r, host, t, raw, list_transform(regexp_extract_all(raw, '{word}'), lambda x: translate(x,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')) as ws from l where regexp_matches(raw, '{word}'))),
 dups as (select r, count(*) - count(distinct raw) n from worded group by r),
-own as (select r, host, any_value(md5(t)) digest, line, sum(words) words from worded group by r, host, line),
-ends as (select *, min(line) over (partition by r) l1, max(line) over (partition by r) h1 from own),
-others as (select r, min(line) filter (line <> l1) l2, max(line) filter (line <> h1) h2 from ends group by r),
-seen as (select e.*, case when line = l1 then l2 else l1 end low, case when line = h1 then h2 else h1 end high
-    from ends e join others using (r)),
-hosts as (select host, count(*) docs from d group by host),
-common as (select host, line from seen join hosts using (host) group by host, line, docs
-    having count(distinct digest) > {LIMIT} and greatest(count(distinct low), count(distinct high)) > {LIMIT}
-    and greatest(count(distinct low), count(distinct high)) >= {SHARE} * docs
-    and 2 * greatest(count(distinct low), count(distinct high)) >= count(distinct digest)),
+own as (select r, host, any_value(md5(t)) digest, line, sum(words) words, any_value(ws) ws from worded group by r, host, line),
+runs as (select *, list_transform(range(1, greatest(len(ws) - {SHINGLE - 1}, 1) + 1), lambda i:
+    substr(md5(array_to_string(ws[i:i + {SHINGLE - 1}], ' ')), 1, 15)) as h from own),
+texts as (select host, line, count(distinct digest) texts from own group by host, line having count(distinct digest) > {LIMIT}),
+marked as (select o.*, list_min(h) first, list_max(h) last, t.texts is not null candidate, t.texts
+    from runs o left join texts t on t.host = o.host and t.line = o.line),
+known as (select *, min(first) filter (not candidate) over (partition by r) low_own,
+    max(last) filter (not candidate) over (partition by r) high_own,
+    count(*) over (partition by r) n_lines, min(line) over (partition by r) l1, max(line) over (partition by r) h1 from marked),
+others as (select r, min(line) filter (line <> l1) l2, max(line) filter (line <> h1) h2 from known group by r),
+seen as (select k.*, case when low_own is not null then low_own when n_lines = 1 then substr(digest, 1, 15)
+      when line = l1 then l2 else l1 end low,
+    case when high_own is not null then high_own when n_lines = 1 then substr(digest, 1, 15)
+      when line = h1 then h2 else h1 end high
+    from known k join others using (r) where candidate),
+common as (select host, line from seen group by host, line, texts
+    having greatest(count(distinct low), count(distinct high)) > {LIMIT}
+    and 2 * greatest(count(distinct low), count(distinct high)) >= texts),
 gone as (select r, sum(words)::bigint n from seen join common using (host, line) group by r),
 m as (select r, doc_id, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint n_symbols, coalesce(dups.n, 0)::bigint n_dup_lines,

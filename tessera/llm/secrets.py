@@ -3,14 +3,16 @@
 Built-in functions only, one pass over the texts and no shuffle.
 
 Method. Candidates are runs of at least ``WINDOW`` letters, digits and
-``+/_=-``. A candidate's character class sets how random it must be: hex
-digits, capitals with digits, or mixed case with digits (anything else is
-words and is left alone). A window of ``WINDOW`` characters slides over the
-candidate; the counts of its characters are updated by the one that enters
-and the one that leaves, and with them the sum of ``c * log2(c)``, from which
-its Shannon entropy follows. The span runs from the first to the last window
-at or above the limit of the class. Candidates on the allow list (examples
-and placeholders, alphabets, UUIDs, digests named as such) are suppressed.
+``+/_=-``. A window of ``WINDOW`` characters slides over the candidate; the
+counts of its characters are updated by the one that enters and the one that
+leaves, and with them the sum of ``c * log2(c)``, from which its Shannon
+entropy follows, and the counts of digits, small letters, capitals, hex digits
+and separators. These make the window's class, which sets how random it must
+be: hex digits, capitals with digits, small letters with digits, mixed case
+with digits, or mixed case (anything else is words and is left alone). The
+span runs from the first to the last window at or above its class's limit.
+Words of the allow list (examples and placeholders, alphabets; one after the
+other, in any case) are masked, and windows over a mask suppressed; UUIDs and digests named as such are as a whole.
 Sums are whole numbers of millionths, so limits are met exactly.
 
 Defined results: a null or empty text has no spans; a tie at the limit counts
@@ -38,12 +40,16 @@ WINDOW = 20
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 #: A candidate may only start where a run starts, so a long run is read once.
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
-#: (pattern of the whole candidate, least entropy of a window in bits)
-CLASSES = ((r"^(?=[^0-9]*+[0-9])[0-9a-fA-F]+$", 3.0),
-           (r"^(?=[^0-9]*+[0-9])(?=[^A-Z]*+[A-Z])[A-Z0-9]+$", 3.3),
-           (r"^(?=[^0-9]*+[0-9])(?=[^A-Z]*+[A-Z])(?=[^a-z]*+[a-z])", 3.8))
-ALLOWED = (r"(?i)example|sample|dummy|placeholder|changeme|your_|xxxx|0123456789|abcdefghij"
-           r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
+#: Classes of a window in their order: least entropy in bits, and the counts that make the class
+#: (least number of hex digits, digits, small letters and capitals; most small letters, capitals and separators).
+CLASSES = ((3.0, dict(hex=WINDOW, digit=1)),
+           (3.3, dict(digit=1, upper=1, most_lower=0)),
+           (3.75, dict(digit=3, lower=1, most_upper=0, most_other=1)),
+           (3.8, dict(digit=1, lower=1, upper=1)),
+           (3.9, dict(lower=7, upper=7, most_other=1)))
+ALLOWED = ("example", "sample", "dummy", "placeholder", "changeme", "your_", "xxxx", "0123456789", "abcdefghij")
+MASK = "~"
+ALLOWED_WHOLE = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 ALLOWED_BEFORE = r"(?i)(sha-?1|sha-?256|sha-?512|md5|digest|checksum|commit|uuid)\W{0,3}$"
 SCALE = 1_000_000
 
@@ -58,11 +64,31 @@ def _limit(bits: float) -> int:
     return math.floor(WINDOW * (math.log2(WINDOW) - bits) * SCALE)
 
 
-def _hot_windows(hit: Column, limit: Column) -> Column:
-    """(first, last) start of a window of ``hit`` whose weights sum to at most ``limit``; nulls if none."""
+def _members(at: Column) -> dict[str, Column]:
+    """Which classes of characters the letter ``at`` in ALPHABET is in (none: a null or -1)."""
+    return {"digit": at.between(0, 9), "lower": at.between(10, 35), "upper": at.between(36, 61),
+            "other": at.between(62, len(ALPHABET) - 1), "masked": at == len(ALPHABET), "hex": at.between(0, 15) | at.between(36, 41)}
+
+
+def _class_limit(a: Column) -> Column:
+    """The largest sum of weights that a window of its class may have; null without a class."""
+    def test(wanted):
+        parts = [a[n[5:]] <= v if n.startswith("most_") else a[n] >= v for n, v in wanted.items()]
+        out = parts[0]
+        for x in parts[1:]:
+            out = out & x
+        return out
+    return F.coalesce(*[F.when(test(wanted), F.lit(_limit(bits)).cast("bigint")) for bits, wanted in CLASSES])
+
+
+def _hot_windows(hit: Column) -> Column:
+    """(first, last) start of a window of ``hit`` that meets its class's limit
+    and overlaps nothing allowed; nulls if none."""
     weights = F.array(*[F.lit(_weight(c)).cast("bigint") for c in range(WINDOW + 1)])
-    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0).cast("bigint").alias("sum"),
-                    F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+    kinds = ("digit", "lower", "upper", "other", "hex", "masked")
+    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0).cast("bigint").alias("sum"),
+                    F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
+                    *[F.lit(0).alias(k) for k in kinds])
 
     def run(codes, w):
         def moved(counts, enter, leave):
@@ -72,25 +98,34 @@ def _hot_windows(hit: Column, limit: Column) -> Column:
             enter, leave = codes[at], F.coalesce(F.get(codes, at - WINDOW), F.lit(-1))
             gone = F.when(leave >= 0, w[F.get(a["counts"], leave) - 1] - w[F.get(a["counts"], leave)]).otherwise(0)
             here = F.get(a["counts"], enter) - F.when(leave == enter, 1).otherwise(0)
-            return let(a["sum"] + gone + w[here + 1] - w[here], lambda total: let(
-                (at >= WINDOW - 1) & (total <= limit), lambda hot: F.struct(
-                    moved(a["counts"], enter, leave).alias("counts"), total.alias("sum"),
-                    F.when(hot, F.coalesce(a["first"], at - WINDOW + 1)).otherwise(a["first"]).alias("first"),
-                    F.when(hot, at - WINDOW + 1).otherwise(a["last"]).alias("last"))))
+            into, out = _members(enter), _members(leave)
+            now = F.struct((a["sum"] + gone + w[here + 1] - w[here]).alias("sum"),
+                           *[(a[k] + into[k].cast("int") - out[k].cast("int")).alias(k) for k in kinds])
+
+            def kept(n):
+                hot = (at >= WINDOW - 1) & (n["masked"] == 0) & F.coalesce(n["sum"] <= _class_limit(n), F.lit(False))
+                return F.struct(
+                    moved(a["counts"], enter, leave).alias("counts"), n["sum"].alias("sum"),
+                    F.when(hot & a["first"].isNull(), at - WINDOW + 1).otherwise(a["first"]).alias("first"),
+                    F.when(hot, at - WINDOW + 1).otherwise(a["last"]).alias("last"), *[n[k].alias(k) for k in kinds])
+            return let(now, kept)
 
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step,
                            lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")))
 
-    codes = F.transform(F.split(hit, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
+    for word in ALLOWED:
+        hit = F.regexp_replace(hit, f"(?i){word}", MASK * len(word))
+    codes = F.transform(F.split(hit, ""), lambda ch: F.instr(F.lit(ALPHABET + MASK), ch) - 1)
     return let(F.filter(codes, lambda x: x >= 0), lambda c: let(weights, lambda w: run(c, w)))
 
 
 def _entropy_spans(text: Column) -> Column:
     def judged(place):
-        bound = F.coalesce(*[F.when(place["hit"].rlike(p), F.lit(_limit(bits)).cast("bigint")) for p, bits in CLASSES])
         before = F.substring(text, F.greatest(place["start"] - 15, F.lit(1)), F.least(place["start"], F.lit(16)))
-        allowed = place["hit"].rlike(ALLOWED) | before.rlike(ALLOWED_BEFORE)
-        return F.when(bound.isNotNull() & ~allowed, let(_hot_windows(place["hit"], bound), lambda r: F.struct(
+        allowed = place["hit"].rlike(ALLOWED_WHOLE) | before.rlike(ALLOWED_BEFORE)
+        # every class has a digit or a capital
+        likely = place["hit"].rlike("[0-9A-Z]")
+        return F.when(likely & ~allowed, let(_hot_windows(place["hit"]), lambda r: F.struct(
             (place["start"] + r["first"]).alias("start"), F.lit(3).alias("rank"),
             (place["start"] + r["last"] + WINDOW).alias("end"))))
 
@@ -156,21 +191,30 @@ def oracle() -> str:
             'hit': h[i], 'part': g[i]}})) s from (select r, doc_id, text, regexp_extract_all(text, '{pattern}', 0) h,
             regexp_extract_all(text, '{pattern}', {keep}) g, string_split_regex(text, '{pattern}') p from d)"""
 
-    bound = " ".join(f"when {test} then {_limit(bits)}" for test, (_, bits) in zip((
-        "regexp_full_match(s.hit, '[0-9a-fA-F]+') and regexp_matches(s.hit, '[0-9]')",
-        "regexp_full_match(s.hit, '[A-Z0-9]+') and regexp_matches(s.hit, '[0-9]') and regexp_matches(s.hit, '[A-Z]')",
-        "regexp_matches(s.hit, '[0-9]') and regexp_matches(s.hit, '[A-Z]') and regexp_matches(s.hit, '[a-z]')"), CLASSES))
+    sets = {"hex": "[0-9a-fA-F]", "digit": "[0-9]", "lower": "[a-z]", "upper": "[A-Z]", "other": "[+/_=-]"}
+
+    def test(wanted):
+        return " and ".join(f"n_{n[5:]} <= {v}" if n.startswith("most_") else f"n_{n} >= {v}" for n, v in wanted.items())
+
+    masked = "hit"
+    for word in ALLOWED:
+        masked = f"regexp_replace({masked}, '(?i){word}', '{MASK * len(word)}', 'g')"
+    bound = " ".join(f"when {test(wanted)} then {_limit(bits)}" for bits, wanted in CLASSES)
+    numbers = ", ".join(f"len(regexp_extract_all(x, '{p}')) as n_{n}" for n, p in sets.items())
     return f"""
 with d as (select row_number() over () r, doc_id, coalesce(text, '') as text from documents),
 fixed as (select r, doc_id, kind, rank, s.start::bigint a, s.start::bigint + length(s.hit) b from (
     select * from ({kind("assign", 0, assign, 2)}) where length(s.part) >= 6
     union all {kind("access", 1, ACCESS, 0)} union all {kind("hex", 2, HEX, 0)})),
-judged as (select r, doc_id, s.start::bigint a, s.hit hit, case {bound} end lim,
-        text[greatest(s.start::bigint - 15, 1):s.start::bigint] before
+judged as (select r, doc_id, s.start::bigint a, s.hit hit, text[greatest(s.start::bigint - 15, 1):s.start::bigint] before
     from ({kind("entropy", 3, run, 0)})),
-wins as (select r, doc_id, a, lim, unnest(range(0, length(hit) - {WINDOW} + 1)) w, hit from judged
-    where lim is not null and not regexp_matches(hit, '{ALLOWED}') and not regexp_matches(before, '{ALLOWED_BEFORE}')),
-chars as (select r, doc_id, a, lim, w, unnest(string_split(hit[w + 1:w + {WINDOW}], '')) ch from wins),
+cand as (select *, {masked} as seen from judged
+    where regexp_matches(hit, '[0-9A-Z]') and not regexp_matches(hit, '{ALLOWED_WHOLE}')
+      and not regexp_matches(before, '{ALLOWED_BEFORE}')),
+wins as (select r, doc_id, a, unnest(range(0, length(hit) - {WINDOW} + 1)) w, seen from cand),
+cut as (select r, doc_id, a, w, seen[w + 1:w + {WINDOW}] x from wins where not contains(seen[w + 1:w + {WINDOW}], '{MASK}')),
+limits as (select r, doc_id, a, w, x, case {bound} end lim from (select *, {numbers} from cut)),
+chars as (select r, doc_id, a, lim, w, unnest(string_split(x, '')) ch from limits where lim is not null),
 sums as (select r, doc_id, a, lim, w, sum(round(n * log2(n) * {SCALE})::bigint) s
     from (select r, doc_id, a, lim, w, ch, count(*) n from chars group by all) group by all),
 more as (select r, doc_id, 'entropy' kind, 3 rank, a + min(w) a, a + max(w) + {WINDOW} b from sums s0 where s <= lim group by r, doc_id, s0.a),

@@ -185,6 +185,11 @@ class WordEncoder:
         self.known = _Known(self.names)
         self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
+    def _stays_letters(self, core: str) -> bool:
+        """Whether the library, too, sees letters only: its normalizer may turn
+        a letter into one and a mark, which joins punctuation that follows."""
+        return core.isalpha() and (core.isascii() or self.library.normalizer.normalize_str(core).isalpha())
+
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that are one pre-token each: the library gets many
         at once, and each ends with the only token that ends a word."""
@@ -205,7 +210,7 @@ class WordEncoder:
         words = self.names[known:]
         cores = [w.rstrip(b".,;:!?") for w in words]
         texts = [c.decode() for c in cores]
-        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        plain = np.fromiter(map(self._stays_letters, texts), bool, len(texts))
         # a core that was a word before has ids already; the others are pieces for the library
         pieces: dict[str, int] = {}
         get = self.known.get

@@ -20,21 +20,25 @@ def normal(line):
 
 def clean_quality(docs, limit=quality.LIMIT):
     """Rows (id, text, source) after the first stage."""
-    key = lambda s: hashlib.md5(s.encode()).hexdigest()[:16]
-    seen = defaultdict(lambda: (set(), set(), set()))
-    own, hosts = {}, defaultdict(int)
-    for n, (_, text, source) in enumerate(docs):
-        hosts[source] += 1
-        own[n] = sorted({key(normal(x)) for x in (text or "").split("\n") if normal(x)})
-        for x in own[n]:
-            rest = [k for k in own[n] if k != x]
-            texts, low, high = seen[source, x]
-            texts.add(text)
-            if rest:
-                low.add(rest[0])
-                high.add(rest[-1])
-    common = {k for k, (texts, low, high) in seen.items() if len(texts) > limit and (m := max(len(low), len(high))) > limit
-              and m >= quality.SHARE * hosts[k[0]] and 2 * m >= len(texts)}
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    key = lambda s: md5(s)[:16]
+    own, texts = [], defaultdict(set)
+    for _, text, source in docs:
+        own.append({key(normal(x)): normal(x).split() for x in (text or "").split("\n") if normal(x)})
+        for k in own[-1]:
+            texts[source, k].add(text)
+    known = defaultdict(lambda: (set(), set()))
+    for (_, text, source), lines in zip(docs, own):
+        mine = [min(md5(" ".join(ws[i:i + 3]))[:15] for i in range(max(len(ws) - 2, 1))) for k, ws in lines.items()
+                if len(texts[source, k]) <= limit]
+        most = [max(md5(" ".join(ws[i:i + 3]))[:15] for i in range(max(len(ws) - 2, 1))) for k, ws in lines.items()
+                if len(texts[source, k]) <= limit]
+        for k in lines:
+            rest = sorted(set(lines) - {k}) or [md5(text)[:15]]
+            known[source, k][0].add(min(mine) if mine else rest[0])
+            known[source, k][1].add(max(most) if most else rest[-1])
+    common = {k for k, (low, high) in known.items() if len(texts[k]) > limit and (m := max(len(low), len(high))) > limit
+              and 2 * m >= len(texts[k])}
     out = []
     for n, (i, text, source) in enumerate(docs):
         words = (text or "").encode().split()

@@ -62,6 +62,17 @@ def test_boilerplate_of_many_lines_goes(spark, documents, rng):
     assert all(got[i].kept == (ids[i][0][0] != "1" or ids[i][0][:2] == "10") for i in range(len(texts)))
 
 
+def test_verdicts_do_not_change_as_the_host_grows(spark, documents, rng):
+    banner = [sentence(rng, 6), sentence(rng, 7)]
+    planted = [f"{sentence(rng, 9)}\n{banner[0]}\n{banner[1]}" for _ in range(30)] + ["\n".join(banner) + f"\nyes {i}" for i in range(9)]
+    told = []
+    for others in (60, 600):
+        docs = documents(planted + [f"{sentence(rng, 25)}\n{sentence(rng, 25)}" for _ in range(others)])
+        rows = {int(r.name): r for r in quality.judge(docs)[0].collect()}
+        told.append([(rows[i].kept, rows[i].n_removed_words) for i in range(len(planted))])
+    assert told[0] == told[1] == [(True, 13)] * 30 + [(False, 13)] * 9
+
+
 def test_edges_of_the_input(spark, documents, rng):
     texts = [None, "", " \n\t\n", "one two", sentence(rng, 40), "a\n" * 50, "x" * 50000, sentence(rng, 30000), "é ü\n\né ü #$"]
     verdict, _ = quality.judge(documents(texts + texts, [1, 1, None] * 6, [None, "h", "h"] * 6))

@@ -22,13 +22,20 @@ def entropy(text):
     t, out, W = text or "", [], secrets.WINDOW
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
         h = m[0]
-        digit, up, low = (re.search(p, h) for p in ("[0-9]", "[A-Z]", "[a-z]"))
-        bits = (3.0 if digit and re.fullmatch("[0-9a-fA-F]+", h) else 3.3 if digit and up and re.fullmatch("[A-Z0-9]+", h)
-                else 3.8 if digit and up and low else None)
-        if bits is None or re.search(secrets.ALLOWED, h) or re.search(secrets.ALLOWED_BEFORE, t[max(0, m.start() - 15):m.start()]):
+        if re.search(secrets.ALLOWED_WHOLE, h) or re.search(secrets.ALLOWED_BEFORE, t[max(0, m.start() - 15):m.start()]):
             continue
-        hot = [i for i in range(len(h) - W + 1) if -sum(
-            c / W * math.log2(c / W) for c in (h[i:i + W].count(x) for x in set(h[i:i + W]))) >= bits - 1e-7]
+        hot = []
+        for word in secrets.ALLOWED:
+            h = re.sub(f"(?i){word}", "~" * len(word), h)
+        for i in range(len(h) - W + 1):
+            x = h[i:i + W]
+            n = {k: len(re.findall(p, x)) for k, p in (("digit", "[0-9]"), ("lower", "[a-z]"), ("upper", "[A-Z]"),
+                                                       ("other", "[+/_=-]"), ("hex", "[0-9a-fA-F]"))}
+            bits = next((b for b, want in secrets.CLASSES if all(
+                n[k[5:]] <= v if k.startswith("most_") else n[k] >= v for k, v in want.items())), None)
+            e = -sum(c / W * math.log2(c / W) for c in (x.count(ch) for ch in set(x)))
+            if bits is not None and e >= bits - 1e-7 and "~" not in x:
+                hot.append(i)
         if hot:
             out.append((m.start() + hot[0], 3, m.start() + hot[-1] + W))
     return out
@@ -62,6 +69,16 @@ def test_equals_brute_force(spark, documents, rng):
     assert secrets.scan(documents([])).count() == 0
 
 
+def test_classes_of_windows(spark, documents):
+    """A key is found whatever its class, and an allowed word covers only the windows over it."""
+    keys = ["q7w2z9k4m1x8v3b6n5t0y2p4r8s1d3", "QhTzWkLmPxVbNcRtYsDfGjAeUiOwHq", "QZ7-WK2_MX9-VB4_NT6-PR8_SD1", "kd93jfQ8sLw02PzxVt61"]
+    texts = [f"see {k} here" for k in keys] + [f"examples/{k}" for k in keys] + [
+        "thisisaverylongidentifierofwords", "some_long_snake_case_identifier_2", "TheQuickBrownFoxJumpsOverIt", "2024-01-15-report-of-the-year",
+        "example" * 6, "0b0e7a3c-1f2d-4c5b-9a8e-0123456789ab"]
+    got = [len(r._spans) for r in secrets.scan(documents(texts)).orderBy("doc_id").collect()]
+    assert got == [1] * 8 + [0] * 6
+
+
 def test_digest_of_no_spans(spark, documents):
     r = secrets.scan(documents([None])).select(F.sha2(spans.spell(F.col("_base")), 256).alias("d")).first()
     assert r.d == hashlib.sha256(b"").hexdigest()

@@ -43,6 +43,18 @@ def test_encoder_equals_the_library(texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == expect(texts)
 
 
+def test_every_letter_before_punctuation_equals_the_library():
+    """A letter that the normalizer splits in two joins the punctuation after it."""
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    texts = [f"{ch}{'.,;:!?'[i % 6]} a{ch}{'.,;:!?'[(i + 1) % 6]}" for i, ch in enumerate(letters)] + ["İ! İ. xİ?", "İ" * 3 + ","]
+    encoder = tf.WordEncoder(PATH)
+    library = encoder.library
+    ids, sizes = encoder.encode(texts)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 def test_special_tokens_and_forgetting(rng, monkeypatch):
     monkeypatch.setattr(tf, "KEPT_WORDS", 6)
     monkeypatch.setattr(tf, "FIRST_WORDS", 3)
