@@ -14,7 +14,10 @@ at ``SAMPLES`` steps of the walk at a time; windows that agree with an item
 there are candidates, and a banded-free exact edit distance (free ends in the
 document) decides. Walks and samples are repeated until a simulated set of
 items with as many edits as allowed reaches ``RECALL``; the number is found
-on the items themselves, for each class.
+on the items themselves, for each class. Walks of very long items seldom meet
+again after many edits: a class that ``MOST_TABLES`` tables don't bring to
+``RECALL`` is searched exactly by seeds besides (an item with e edits keeps one
+of e + 1 pieces whole), and every candidate goes through the same edit distance.
 
 Windows in which more words are foreign to all items of the class than an item
 may have edits can't match, and are passed over before the walk; this loses
@@ -26,8 +29,9 @@ has one block in memory at a time, and documents are read once. Nothing is
 shuffled and no text or candidate leaves its task.
 
 Defined results: null and empty texts, and texts shorter than an item allows,
-are clean; items of fewer than ``LEAST_WORDS`` words say nothing about a text
-and are left out, as are null items; equal items each get their own hit; a tie
+are clean; an item of fewer than ``LEAST_WORDS`` words allows no edits and says
+nothing about a longer text, so it is found in the texts that are that item as
+a whole; null items and items without a word are found nowhere; equal items each get their own hit; a tie
 at the largest distance is a hit; repeated rows give repeated results; extra
 columns pass through ``clean``; an empty benchmark leaves all documents clean.
 """
@@ -53,6 +57,7 @@ PER_WALK = 8
 MOST_TABLES = 512
 CLASS_RATIO = 1.15
 BLOCK_WORDS = 2_000_000
+REGION_CELLS = 1 << 21
 TEXT_BYTES = 8 << 20
 
 _PLAIN = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
@@ -111,12 +116,25 @@ def distances(items: np.ndarray, sizes: np.ndarray, regions: np.ndarray) -> np.n
     return out
 
 
+def seed_keys(x: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` symbols from each place on."""
+    key = np.zeros(max(len(x) - size + 1, 0), np.uint64)
+    for j in range(size):
+        key = (key + x[j:j + len(key)].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
 class Block:
     """A block of benchmark items, ready for the search."""
 
     def __init__(self, items: list[tuple[object, list[bytes]]], seed: int = 1):
         self.ids = [i for i, _ in items]
         self.symbols: dict[bytes, int] = {}
+        self.short: dict[tuple, list[int]] = {}
+        for i, (_, ws) in enumerate(items):
+            if len(ws) < LEAST_WORDS:
+                self.short.setdefault(tuple(ws), []).append(i)
         coded = [np.array([self.symbols.setdefault(w, len(self.symbols) + 1) for w in ws], np.int32) for _, ws in items]
         self.base = len(self.symbols) + 1
         self.sizes = np.array([len(x) for x in coded])
@@ -127,6 +145,7 @@ class Block:
         self.classes = []
         rng = np.random.default_rng(seed)
         todo = np.argsort(self.sizes, kind="stable")
+        todo = todo[self.sizes[todo] >= LEAST_WORDS]
         while len(todo):
             low = int(self.sizes[todo[0]])
             mine = todo[self.sizes[todo] <= max(low, int(low * CLASS_RATIO))]
@@ -153,7 +172,35 @@ class Block:
         own = np.zeros(self.base, bool)
         own[flat] = True
         own[0] = False
-        return {"low": low, "own": own, "edits": allowed(high), "steps": steps, "walks": walks, "recall": float(found.mean())}
+        recall = float(found.mean()) if tables else 0.0
+        return {"low": low, "own": own, "edits": allowed(high), "steps": steps, "walks": walks, "recall": recall,
+                "seeds": self._seeds(mine) if recall < RECALL else None}
+
+    def _seeds(self, mine: np.ndarray) -> tuple:
+        """Length of a seed, and sorted hashes of all pieces with their items and places."""
+        pieces = [allowed(int(self.sizes[i])) + 1 for i in mine]
+        size = min(int(self.sizes[i]) // n for i, n in zip(mine, pieces))
+        item = np.repeat(mine, pieces)
+        place = np.concatenate([np.arange(n) * int(self.sizes[i]) // n for i, n in zip(mine, pieces)])
+        key = np.concatenate([seed_keys(self.coded[i][:self.sizes[i]], size)[place[item == i]] for i in mine])
+        order = np.argsort(key, kind="stable")
+        return size, key[order], item[order], place[order]
+
+    def _seeded(self, x: np.ndarray, total: int, seeds: tuple) -> np.ndarray:
+        """Candidates (item, place of a seed's hit, first and end of the region to look at)."""
+        size, known, items, places = seeds
+        key = seed_keys(x[:total + size], size)[:total]
+        low = np.searchsorted(known, key)
+        at = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == key)
+        n = np.searchsorted(known, key[at], side="right") - low[at]
+        which = np.repeat(low[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        hit, item = np.repeat(at, n), items[which]
+        # hits whose stretches begin within a run of as many words as there may be edits share a region
+        run = (self.sizes[item] * (1 - SIMILARITY) + 1e-9).astype(np.int64) + 1
+        group = (hit - places[which]) // run
+        _, one = np.unique(np.stack([item, group, self._text_of(hit)]), axis=1, return_index=True)
+        item, group, run, hit = item[one], group[one], run[one], hit[one]
+        return np.stack([item, hit, (group - 1) * run, (group + 2) * run + self.sizes[item] + run])
 
     def _edited(self, item: int, rng) -> np.ndarray:
         """The item with as many random edits as allowed."""
@@ -175,11 +222,12 @@ class Block:
         total = int(sizes.sum())
         x = np.zeros(total + 2 * self.most + 2, np.int32)
         x[:total] = np.fromiter(map(self.symbols.get, itertools.chain.from_iterable(texts), itertools.repeat(0)), np.int32, total)
-        ends = np.cumsum(sizes)
-        pairs = []
+        self._ends = ends = np.cumsum(sizes)
+        found = []
         for c in self.classes:
             foreign = np.r_[0, np.cumsum(~c["own"][x], dtype=np.int32)]
             starts = np.flatnonzero(foreign[c["low"]:total + c["low"]] - foreign[:total] <= c["edits"])
+            pairs = []
             for bits, picks, keys, items in c["walks"]:
                 for key, known, item in zip(walk_keys(x, starts, c["steps"], bits, picks, self.base), keys, items):
                     low = np.searchsorted(known, key)
@@ -189,25 +237,40 @@ class Block:
                         n = np.searchsorted(known, key[hit], side="right") - low
                         which = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
                         pairs.append(np.unique(item[which] * (total + 1) + np.repeat(starts[hit], n)))
-        if not pairs:
-            return []
-        pairs = np.unique(np.concatenate(pairs))
-        item, start = pairs // (total + 1), pairs % (total + 1)
-        text = np.searchsorted(ends, start, side="right")
-        best: dict[tuple[int, int], int] = {}
-        for at in range(0, len(pairs), 4096):
-            i, s, t = item[at:at + 4096], start[at:at + 4096], text[at:at + 4096]
+            if pairs:
+                item, start = np.divmod(np.unique(np.concatenate(pairs)), total + 1)
+                edits = (self.sizes[item] * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+                # the stretch may begin so many words before or after the window's start
+                found.append(np.stack([item, start, start - edits, start + self.sizes[item] + 2 * edits]))
+            if c["seeds"] is not None and total:
+                found.append(self._seeded(x, total, c["seeds"]))
+        best = {(a, b): 0 for a, ws in enumerate(texts) if self.short and len(ws) < LEAST_WORDS and ws
+                for b in self.short.get(tuple(ws), [])}
+        if found:
+            self._verify(x, np.concatenate(found, axis=1), best)
+        return [(a, b, n) for (a, b), n in sorted(best.items())]
+
+    def _text_of(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self._ends, place, side="right")
+
+    def _verify(self, x: np.ndarray, found: np.ndarray, best: dict) -> None:
+        """Exact distances of candidates, as many regions at once as REGION_CELLS allow."""
+        found = found[:, np.argsort(self.sizes[found[0]], kind="stable")]
+        starts = np.r_[0, self._ends]
+        at = 0
+        while at < found.shape[1]:
+            widest = int((found[3] - found[2])[at:at + 4096].max())
+            some = found[:, at:at + min(4096, max(1, REGION_CELLS // widest))]
+            at += some.shape[1]
+            i, t = some[0], self._text_of(some[1])
             size = self.sizes[i]
             edits = (size * (1 - SIMILARITY) + 1e-9).astype(np.int64)
-            # the stretch may begin so many words before or after the window's start
-            first = np.maximum(s - edits, ends[t] - sizes[t])
-            last = np.minimum(s + size + 2 * edits, ends[t])
+            first, last = np.maximum(some[2], starts[t]), np.minimum(some[3], self._ends[t])
             place = first[:, None] + np.arange(int((last - first).max()))
             regions = np.where(place < last[:, None], x[np.minimum(place, len(x) - 1)], -2)
             d = distances(self.coded[i][:, :size.max()], size, regions)
             for a, b, n in zip(t[d <= edits].tolist(), i[d <= edits].tolist(), d[d <= edits].tolist()):
                 best[a, b] = min(n, best.get((a, b), n))
-        return [(a, b, n) for (a, b), n in sorted(best.items())]
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list:
@@ -216,7 +279,7 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     rows = benchmark.where(F.col(text_col).isNotNull()).select(id_col, text_col).orderBy(id_col, text_col)
     for name, text in rows.toLocalIterator():
         words = words_of(text)
-        if len(words) < LEAST_WORDS:
+        if not words:
             continue
         held.append((name, words))
         size += len(words)
@@ -228,6 +291,14 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     return out
 
 
+def one_by_one(held: list) -> Iterator[Block]:
+    """The blocks; with several, one is given back before the next is loaded."""
+    for h in held:
+        yield h.value
+        if len(held) > 1:
+            h.__dict__.pop("_value", None)
+
+
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, hits: array of item and distance, sorted by item) for every row; clean rows have no hits."""
     held = blocks(benchmark)
@@ -239,9 +310,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             hits: list[list[tuple[str, int]]] = [[] for _ in range(len(b))]
             for start, end in text_blocks(b["text"].tolist()):
                 texts = [words_of(t) for t in b["text"].iloc[start:end]]
-                for h in held:
-                    for text, item, d in h.value.search(texts):
-                        name = h.value.ids[item]
+                for block in one_by_one(held):
+                    for text, item, d in block.search(texts):
+                        name = block.ids[item]
                         hits[start + text].append((None if name is None else str(name), d))
             yield pd.DataFrame({"id": b["id"], "items": [[i for i, _ in h] for h in hits],
                                 "distances": [[d for _, d in h] for h in hits]})
@@ -277,8 +348,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             good = np.ones(len(texts), bool)
             for start, end in text_blocks(texts):
                 words = [words_of(t) for t in texts[start:end]]
-                for h in held:
-                    for text, _, _ in h.value.search(words):
+                for block in one_by_one(held):
+                    for text, _, _ in block.search(words):
                         good[start + text] = False
             yield b.filter(pa.array(good))
 

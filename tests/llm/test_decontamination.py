@@ -21,6 +21,8 @@ def brute(texts, items):
         words = de.words_of(t)
         for b, i in items:
             ws = de.words_of(i)
+            if 0 < len(ws) < de.LEAST_WORDS and ws == words:
+                out.append((a, b, 0))
             if len(ws) >= de.LEAST_WORDS and len(ws) - len(set(ws) & set(words)) <= 4 * de.allowed(len(ws)) + 2:
                 d = sellers(ws, words)
                 if d <= de.allowed(len(ws)):
@@ -70,6 +72,28 @@ def test_recall_and_exact_verification(rng):
     assert not [x for x in got if x[0] >= 300 and x[:2] not in {y[:2] for y in want}]
 
 
+def test_seeds_find_what_the_walks_miss(rng, monkeypatch):
+    monkeypatch.setattr(de, "MOST_TABLES", 0)
+    items = [(i, sentence(rng, n)) for i, n in enumerate([5, 6, 9, 20, 21, 60, 400])] + [(90, "Yes, sir"), (91, "yes sir")]
+    block = de.Block([(i, de.words_of(t)) for i, t in items])
+    assert all(c["seeds"] is not None for c in block.classes)
+    texts = ["yes sir!", "oh yes sir", "", "yes"]
+    for n in range(60):
+        words = de.words_of(items[n % 7][1])
+        inner = b" ".join(w if isinstance(w, bytes) else w.encode() for w in edited(rng, words, de.allowed(len(words)) - n % 2)).decode()
+        texts.append(f"{sentence(rng, rng.randrange(0, 60))} {inner} {sentence(rng, rng.randrange(0, 60))}")
+    want = set(brute(texts, items))
+    assert {(a, items[b][0], d) for a, b, d in block.search([de.words_of(t) for t in texts])} == want
+    assert {x[:2] for x in want} >= {(0, 90), (0, 91)} and len(want) > 50
+
+
+def test_long_items_are_found(rng):
+    item = sentence(rng, 900)
+    block = de.Block([(1, de.words_of(item))])
+    inner = b" ".join(w if isinstance(w, bytes) else w.encode() for w in edited(rng, de.words_of(item), 175)).decode()
+    assert [x[:2] for x in block.search([de.words_of(f"{sentence(rng, 50)} {inner} {sentence(rng, 50)}"), []])] == [(0, 0)]
+
+
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
