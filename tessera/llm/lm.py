@@ -20,8 +20,9 @@ causal self-attention head over the last ``WINDOW`` ids with learned
 embeddings, projections and relative positions. Counts are exact sums over
 all training documents. The attention is trained in numpy by Adam: in each of
 ``ROUNDS`` rounds every task goes over its training documents of that round
-(each document has one) from the same parameters, and the parameters of all tasks are averaged by their numbers of
-targets. Every id and end of a training document is a target once; windows of
+(each document has one) from the same parameters, and the parameters of all
+tasks are averaged by their numbers of targets; so scores depend a little on
+how the table of blocks is split into tasks. Every id and end of a training document is a target once; windows of
 ``WINDOW`` ids overlap by half, as in scoring.
 
 Scoring. Windows of ``WINDOW`` ids overlap by half; the ids of the later half
@@ -439,6 +440,7 @@ class Scorer:
         # weight of key j for query i of a window: causal, and at most WINDOW back
         back = np.arange(self.half)[:, None] + self.half - np.arange(WINDOW)
         self.near = np.where(back >= 0, np.exp(p["r"][np.clip(back, 0, WINDOW - 1)]), 0).astype(np.float32)
+        self.reach = np.where(back >= 0, 0, -1e9).astype(np.float32)
 
     def score(self, ids: np.ndarray, sizes: np.ndarray, at_once: int = 1024) -> np.ndarray:
         """Natural log probability of each text, its end included."""
@@ -465,15 +467,17 @@ class Scorer:
             xk = x[keys]
             xq = x[queries]
             a = np.matmul(self.q[xq], self.k[xk].transpose(0, 2, 1))
+            # against the largest of the ids in reach, so that no weight overflows
+            a += self.reach if there.all() else np.where(there[:, None, :], self.reach, np.float32(-1e9))
+            a -= a.max(axis=2, keepdims=True)
             np.exp(a, out=a)
             a *= self.near
-            if not there.all():
-                a *= there[:, None, :]
             h = np.matmul(a, self.v[xk]).reshape(-1, WIDTH + 1)
             h = h[:, :WIDTH] / h[:, WIDTH:]
             z = self.logits[xq.reshape(-1)]
             z += h @ self.o
             goal = queries.reshape(-1) + 1
+            z -= z.max(axis=1, keepdims=True)
             own = z[np.arange(len(z)), cls[goal]] + within[goal - 1]
             np.exp(z, out=z)
             own -= np.log(z @ ones)

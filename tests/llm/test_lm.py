@@ -171,6 +171,8 @@ def test_training_lowers_the_loss(spark, documents, rng):
             sizes.append(n)
     ids, sizes = np.concatenate(ids), np.concatenate(sizes)
     assert model.score(ids, sizes).sum() > start.score(ids, sizes).sum()
+    model.q = model.q * np.float32(500)  # attention logits beyond what exp holds
+    assert np.isfinite(model.score(ids, sizes)).all()
 
 
 def test_word_of_very_many_pieces(spark, documents, rng):
