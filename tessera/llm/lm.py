@@ -246,7 +246,7 @@ class Layout:
         mass = np.bincount(self.cls, counts + 0.5, CLASSES)
         self.share = (np.log(counts + 0.5) - np.log(mass[self.cls])).astype(np.float32)
         self.prior = np.maximum(mass, 1e-9) / mass.sum()
-        self.input = np.empty(len(counts), np.int64)
+        self.input = np.empty(len(counts), np.int16)
         rank = np.arange(len(counts))
         #: frequent ids by number, the others OWN_INPUTS
         self.rank = np.empty(len(counts), np.int64)
@@ -260,6 +260,25 @@ class Layout:
         flat = np.insert(ids.astype(np.int64), ends - sizes, self.end)
         return np.r_[flat, self.end], ends - sizes + np.arange(len(sizes))
 
+    def windows(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(halves: ids in rows of half a window, the first row void, each text
+        from a row of its own on; number of rows of each text; places of all
+        next ids in the rows after the first; the next ids). Rows i and i + 1 are a window."""
+        y, starts = self.sequences(ids, sizes)
+        half = WINDOW // 2
+        n = (sizes + half) // half
+        place = np.arange(len(y) - 1) + np.repeat((np.cumsum(n) - n) * half - starts, sizes + 1)
+        halves = np.full((int(n.sum()) + 1, half), self.end, np.int32)
+        halves[1:].reshape(-1)[place] = y[:-1]
+        return halves, n, place, y[1:]
+
+
+def _first_rows(n: np.ndarray) -> np.ndarray:
+    """Which of the rows of all texts is its text's first, by their numbers of rows."""
+    first = np.zeros(int(n.sum()), bool)
+    first[np.cumsum(n) - n] = True
+    return first
+
 
 _CLASS_CELLS = INPUTS * CLASSES
 _CELLS = _CLASS_CELLS + INPUTS * (OWN_INPUTS + 1)
@@ -272,7 +291,7 @@ def pair_cells(b: Block, layout: Layout) -> np.ndarray:
         return np.empty(0, np.int64)
     ids, sizes = b.ids(train)
     y, _ = layout.sequences(ids, sizes[train])
-    x = layout.input[y[:-1]]
+    x = layout.input[y[:-1]].astype(np.int64)
     return np.r_[x * CLASSES + layout.cls[y[1:]], _CLASS_CELLS + x * (OWN_INPUTS + 1) + layout.rank[y[1:]]]
 
 
@@ -314,48 +333,86 @@ def _by_input(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[first], np.add.reduceat(rows.reshape(-1, rows.shape[-1])[order], first, axis=0)
 
 
+#: logits within it need no shift before exp: products of two weights stay normal float32 numbers
+SAFE = 40.0
+
+
+def _weights(s: np.ndarray, r: np.ndarray, mask: np.ndarray | None, back: np.ndarray) -> np.ndarray:
+    """exp of logits ``s`` (overwritten) plus the part ``r`` of their distance
+    ``back``, 0 for later ids and those not in ``mask`` (None: all exist).
+    Against the largest of each place where exp could leave its range."""
+    seen = back >= 0
+    r = np.where(seen, r[np.maximum(back, 0)], 0).astype(s.dtype)
+    if s.size == 0 or max(np.abs(r).max(), s.max(), -s.min()) < SAFE:
+        np.exp(s, out=s)
+        s *= np.where(seen, np.exp(r), 0).astype(s.dtype)
+        if mask is not None:
+            s *= mask[:, None, :]
+        return s
+    s = np.where(seen if mask is None else seen & mask[:, None, :], s + r, s.dtype.type(-1e9))
+    s -= s.max(2, keepdims=True)
+    return np.exp(s, out=s)
+
+
+def _shifted(z: np.ndarray) -> np.ndarray:
+    """Rows of class logits ``z``, less their largest where exp could leave its range."""
+    if z.size and not (z.max() < 2 * SAFE and z.min() > -2 * SAFE):
+        z -= z.max(1, keepdims=True)
+    return z
+
+
 def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, goal: np.ndarray,
               live: np.ndarray | None = None) -> tuple[dict, float]:
     """Gradients of the mean cross entropy, and its value. ``ctx``: inputs of
     WINDOW ids (latest last), ``mask``: which of them exist, ``goal``: the next
     class of each of the last ids (or of the last one alone), ``logits``: the
-    shares' part there, ``live``: which of them are targets."""
-    n, root = len(ctx), WIDTH ** 0.5
-    if goal.ndim == 1:
-        goal, logits = goal[:, None], logits[:, None]
-    m = goal.shape[1]
-    live = np.ones((n, m), bool) if live is None else live
+    shares' part there, ``live``: which of them are targets.
+
+    Row sums are products with ones, and logits are shifted only if they are
+    large: reductions over short rows take most of the time otherwise."""
+    n, kind = len(ctx), p["E"].dtype
+    m = goal.size // n
     back = np.arange(WINDOW - m, WINDOW)[:, None] - np.arange(WINDOW)
-    last = ctx[:, WINDOW - m:]
-    key, val, q = (p["E"] @ p["k"])[ctx], (p["E"] @ p["v"])[ctx], (p["E"] @ p["q"])[last]
-    s = np.matmul(q, key.transpose(0, 2, 1)) / root + p["r"][np.maximum(back, 0)]
-    s = np.where(mask[:, None, :] & (back >= 0), s, np.float32(-1e9))
-    a = np.exp(s - s.max(2, keepdims=True))
-    a /= a.sum(2, keepdims=True)
-    h = np.matmul(a, val)
-    z = logits + h @ p["o"]
-    z = z - z.max(2, keepdims=True)
-    e = np.exp(z)
-    total = e.sum(2, keepdims=True)
-    targets = max(int(live.sum()), 1)
-    at = (np.arange(n)[:, None], np.arange(m), goal)
-    loss = float(((np.log(total[:, :, 0]) - z[at]) * live).sum() / targets)
-    dz = e / total
-    dz[at] -= 1
-    dz *= (live / np.asarray(targets, dz.dtype))[:, :, None].astype(dz.dtype)
-    dh = dz @ p["o"].T
-    da = np.matmul(dh, val.transpose(0, 2, 1))
-    ds = a * (da - (a * da).sum(2, keepdims=True))
-    dkey, dval = np.matmul(ds.transpose(0, 2, 1), q) / root, np.matmul(a.transpose(0, 2, 1), dh)
-    at, sums = _by_input(ctx, np.concatenate([dkey, dval], 2))
-    dk, dv, own = sums[:, :WIDTH], sums[:, WIDTH:], p["E"][at]
+    each, keys = np.ones(WIDTH, kind), np.concatenate([p["k"], p["v"]], 1)
+    root = kind.type(WIDTH ** -0.5)
+    own = p["E"][ctx]
+    last = own[:, WINDOW - m:].reshape(-1, WIDTH)
+    kv = (own.reshape(-1, WIDTH) @ keys).reshape(n, WINDOW, 2 * WIDTH)
+    key, val = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
+    q = (last @ (p["q"] * root)).reshape(n, m, WIDTH)
+    a = _weights(np.matmul(q, key.transpose(0, 2, 1)), p["r"], None if mask.all() else mask, back)
+    a *= (1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, kind))).reshape(n, m, 1)
+    h = np.matmul(a, val).reshape(-1, WIDTH)
+    z = h @ p["o"]
+    z += logits.reshape(-1, CLASSES)
+    z = _shifted(z)
+    goal, at = goal.reshape(-1), np.arange(n * m)
+    told = z[at, goal]
+    e = np.exp(z, out=z)
+    total = e @ np.ones(CLASSES, kind)
+    weight = np.ones(n * m, kind) if live is None else live.reshape(-1).astype(kind)
+    weight /= max(weight.sum(), 1)
+    loss = float(((np.log(total) - told) * weight).sum())
+    e *= (weight / total)[:, None]
+    e[at, goal] -= weight
+    dh = e @ p["o"].T
+    # the mean of the weights' gradients is that of h along itself
+    ds = np.matmul(dh.reshape(n, m, WIDTH), val.transpose(0, 2, 1))
+    ds -= ((dh * h) @ each).reshape(n, m, 1)
+    ds *= a
+    dkv = np.empty_like(kv)
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dh.reshape(n, m, WIDTH), out=dkv[:, :, WIDTH:])
+    dq = np.matmul(ds, key).reshape(-1, WIDTH)
+    dkv = dkv.reshape(-1, 2 * WIDTH)
+    down = (dkv @ keys.T).reshape(n, WINDOW, WIDTH)
+    down[:, WINDOW - m:] += (dq @ (p["q"] * root).T).reshape(n, m, WIDTH)
+    at, sums = _by_input(ctx, down)
     dE = np.zeros_like(p["E"])
-    dE[at] = dk @ p["k"].T + dv @ p["v"].T
-    at, dq = _by_input(last, np.matmul(ds, key) / root)
-    dE[at] += dq @ p["q"].T
-    dr = np.bincount(np.maximum(back, 0).reshape(-1), ds.sum(0).reshape(-1), WINDOW).astype(p["r"].dtype)
-    return {"E": dE, "q": p["E"][at].T @ dq, "k": own.T @ dk, "v": own.T @ dv,
-            "o": h.reshape(-1, WIDTH).T @ dz.reshape(-1, CLASSES), "r": dr}, loss
+    dE[at] = sums
+    by_key = own.reshape(-1, WIDTH).T @ dkv
+    dr = np.bincount(np.maximum(back, 0).reshape(-1), (np.ones(n, kind) @ ds.reshape(n, -1)), WINDOW).astype(p["r"].dtype)
+    return {"E": dE, "q": last.T @ dq * root, "k": by_key[:, :WIDTH], "v": by_key[:, WIDTH:], "o": h.T @ e, "r": dr}, loss
 
 
 class Adam:
@@ -367,9 +424,16 @@ class Adam:
         self.t += 1
         rate = RATE * math.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
         for n, x in self.p.items():
-            self.m[n] += 0.1 * (g[n] - self.m[n])
-            self.s[n] += 0.01 * (g[n] * g[n] - self.s[n])
-            x -= (rate * self.m[n] / (np.sqrt(self.s[n]) + 1e-8)).astype(np.float32)
+            m, s = self.m[n], self.s[n]
+            m *= 0.9
+            m += 0.1 * g[n]
+            s *= 0.99
+            s += 0.01 * np.square(g[n])
+            d = np.sqrt(s)
+            d += 1e-8
+            np.divide(m, d, out=d)
+            d *= rate
+            x -= d
 
 
 def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -378,16 +442,13 @@ def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, n
     round ``turn`` (each document has one); each id and end is a target once."""
     train = ~b.held & (np.arange(len(b.held)) % ROUNDS == turn)
     ids, sizes = b.ids(train)
-    sizes = sizes[train]
-    y, starts = layout.sequences(ids, sizes)
+    halves, n, place, after = layout.windows(ids, sizes[train])
     half = WINDOW // 2
-    n = (sizes + half) // half
-    owner = np.repeat(np.arange(len(sizes)), n)
-    first = starts[owner] + (np.arange(len(owner)) - (np.cumsum(n) - n)[owner]) * half
-    place = first[:, None] + np.arange(-half, half)
-    live = place[:, half:] <= (starts + sizes)[owner][:, None]
-    mask = place >= starts[owner][:, None]
-    return y[np.clip(place, 0, len(y) - 1)], mask, y[np.minimum(place[:, half:] + 1, len(y) - 1)], live
+    mask = np.ones((len(halves) - 1, WINDOW), bool)
+    mask[_first_rows(n), :half] = False
+    goal, live = np.zeros((len(mask), half), np.int32), np.zeros((len(mask), half), bool)
+    goal.reshape(-1)[place], live.reshape(-1)[place] = after, True
+    return np.concatenate([halves[:-1], halves[1:]], 1), mask, goal, live
 
 
 def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
@@ -438,51 +499,47 @@ class Scorer:
         self.v = np.concatenate([p["E"] @ p["v"], np.ones((INPUTS, 1))], 1).astype(np.float32)
         self.o = p["o"]
         # weight of key j for query i of a window: causal, and at most WINDOW back
-        back = np.arange(self.half)[:, None] + self.half - np.arange(WINDOW)
-        self.near = np.where(back >= 0, np.exp(p["r"][np.clip(back, 0, WINDOW - 1)]), 0).astype(np.float32)
-        self.reach = np.where(back >= 0, 0, -1e9).astype(np.float32)
+        self.back = np.arange(self.half)[:, None] + self.half - np.arange(WINDOW)
+        self.r = p["r"]
+        self.near = np.where(self.back >= 0, np.exp(p["r"][np.clip(self.back, 0, WINDOW - 1)]), 0).astype(np.float32)
 
-    def score(self, ids: np.ndarray, sizes: np.ndarray, at_once: int = 1024) -> np.ndarray:
+    def score(self, ids: np.ndarray, sizes: np.ndarray, at_once: int = 256) -> np.ndarray:
         """Natural log probability of each text, its end included."""
-        y, starts = self.layout.sequences(ids, sizes)
-        half = self.half
-        n = (sizes + half) // half  # windows of a text: its ids and its end, half a window each
-        owner = np.repeat(np.arange(len(sizes)), n)
-        turn = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
-        first = starts[owner] + turn * half
-        last = starts[owner] + sizes[owner]  # the position whose next id is the end
-        x, cls, rank = self.layout.input[y], self.layout.cls[y], self.layout.rank[y]
+        halves, n, place, after = self.layout.windows(ids, sizes)
+        x, first, half = self.layout.input[halves], _first_rows(n), self.half
+        before = x[1:].reshape(-1)[place]
+        cls, rank = self.layout.cls[after], self.layout.rank[after]
         # the share of each id within its class, after the id before it
-        within = np.where(rank[1:] < OWN_INPUTS, self.shares.frequent[x[:-1], np.minimum(rank[1:], OWN_INPUTS - 1)],
-                          self.layout.share[y[1:]] + self.shares.rest[x[:-1], cls[1:]])
-        out, ones = np.zeros(len(sizes)), np.ones(CLASSES, np.float32)
-        for i in range(0, len(owner), at_once):
-            f = first[i:i + at_once, None]
-            keys = f + np.arange(-half, half)
-            queries = keys[:, half:]
-            live = queries <= last[i:i + at_once, None]
-            there = keys >= starts[owner[i:i + at_once], None]
-            keys = np.clip(keys, 0, len(y) - 1)
-            queries = np.minimum(queries, len(y) - 2)
-            xk = x[keys]
-            xq = x[queries]
-            a = np.matmul(self.q[xq], self.k[xk].transpose(0, 2, 1))
-            # against the largest of the ids in reach, so that no weight overflows
-            a += self.reach if there.all() else np.where(there[:, None, :], self.reach, np.float32(-1e9))
-            a -= a.max(axis=2, keepdims=True)
-            np.exp(a, out=a)
-            a *= self.near
-            h = np.matmul(a, self.v[xk]).reshape(-1, WIDTH + 1)
+        out = np.where(rank < OWN_INPUTS, self.shares.frequent[before, np.minimum(rank, OWN_INPUTS - 1)],
+                       self.layout.share[after] + self.shares.rest[before, cls])
+        goal = np.zeros((len(first), half), np.int16)
+        goal.reshape(-1)[place] = cls
+        told, ones = np.empty(goal.size), np.ones(CLASSES, np.float32)
+        for i in range(0, len(first), at_once):
+            rows = slice(i, i + at_once)
+            now = x[i:i + at_once + 1]
+            m = len(now) - 1
+            k, v = self.k[now], self.v[now]
+            mask = None
+            if first[rows].any():
+                mask = np.ones((m, WINDOW), bool)
+                mask[first[rows], :half] = False
+            s = np.empty((m, half, WINDOW), np.float32)
+            q = self.q[now[1:]]
+            np.matmul(q, k[:-1].transpose(0, 2, 1), out=s[:, :, :half])
+            np.matmul(q, k[1:].transpose(0, 2, 1), out=s[:, :, half:])
+            a = _weights(s, self.r, mask, self.back)
+            h = np.matmul(a[:, :, :half], v[:-1])
+            h += np.matmul(a[:, :, half:], v[1:])
+            h = h.reshape(-1, WIDTH + 1)
             h = h[:, :WIDTH] / h[:, WIDTH:]
-            z = self.logits[xq.reshape(-1)]
+            z = self.logits[now[1:].reshape(-1)]
             z += h @ self.o
-            goal = queries.reshape(-1) + 1
-            z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(z)), cls[goal]] + within[goal - 1]
+            z = _shifted(z)
+            own = z[np.arange(len(z)), goal[rows].reshape(-1)]
             np.exp(z, out=z)
-            own -= np.log(z @ ones)
-            out += np.bincount(np.repeat(owner[i:i + at_once], half), np.where(live.reshape(-1), own, 0), len(sizes))
-        return out
+            told[i * half:(i + m) * half] = own - np.log(z @ ones)
+        return np.bincount(np.repeat(np.arange(len(sizes)), sizes + 1), out + told[place], len(sizes))
 
 
 def fit(held: DataFrame, n_ids: int) -> Scorer:
