@@ -181,14 +181,23 @@ class WordEncoder:
         ends = [i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]
         self.ends = np.zeros(max(self.library.get_vocab().values()) + 1, bool)
         self.ends[ends] = True
+        self.tried: set[str] = set()
+        self.split: set[str] = set()
         self.names: list[bytes] = []
         self.known = _Known(self.names)
         self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
-    def _stays_letters(self, core: str) -> bool:
-        """Whether the library, too, sees letters only: its normalizer may turn
-        a letter into one and a mark, which joins punctuation that follows."""
-        return core.isalpha() and (core.isascii() or self.library.normalizer.normalize_str(core).isalpha())
+    def _letters(self, cores: list[str]) -> np.ndarray:
+        """Which cores are letters only for the library too: its normalizer may
+        turn a letter into one and a mark, which joins punctuation that
+        follows. Each character is tried once."""
+        new = set().union(*map("".join, (cores[i:i + 4096] for i in range(0, len(cores), 4096)))) - self.tried
+        self.tried |= new
+        self.split |= {x for x in new if x.isalpha() and not self.library.normalizer.normalize_str(x).isalpha()}
+        plain = np.fromiter(map(str.isalpha, cores), bool, len(cores))
+        if self.split:
+            plain &= np.fromiter(map(self.split.isdisjoint, cores), bool, len(cores))
+        return plain
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that are one pre-token each: the library gets many
@@ -210,7 +219,7 @@ class WordEncoder:
         words = self.names[known:]
         cores = [w.rstrip(b".,;:!?") for w in words]
         texts = [c.decode() for c in cores]
-        plain = np.fromiter(map(self._stays_letters, texts), bool, len(texts))
+        plain = self._letters(texts)
         # a core that was a word before has ids already; the others are pieces for the library
         pieces: dict[str, int] = {}
         get = self.known.get
