@@ -182,11 +182,14 @@ def in_pieces(df: DataFrame, order, num_partitions: int | None = None) -> DataFr
     return keyed.repartitionById(num_partitions, piece).sortWithinPartitions(*names).drop(*names)
 
 
-def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None) -> DataFrame:
+def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None,
+             run_of: str | None = None) -> DataFrame:
     """Rows in range partitions of ``order``, written once to the scratch
     folder with their place: ``_piece`` (partition), ``_row`` (number in it)
     and ``_cum`` (sum of the non-null integer ``value`` over earlier rows of
-    the piece). Each task counts over its own sorted rows; nothing but the
+    the piece). With ``run_of`` (a non-null integer column that ``order`` begins
+    with) also ``_place``: the row's number among the piece's rows of the same
+    value. Each task counts over its own sorted rows; nothing but the
     exchange of :func:`in_pieces` is shuffled. Wide columns are computed, moved
     and written once."""
     import numpy as np
@@ -195,19 +198,27 @@ def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None
 
     from tessera.session import scratch_path
     spark = df.sparkSession
+    places = ["_piece", "_row", "_cum", *(["_place"] if run_of else [])]
 
     def run(batches):
-        piece, row, total = TaskContext.get().partitionId(), 0, 0
+        piece, row, total, now, seen = TaskContext.get().partitionId(), 0, 0, None, 0
         for b in batches:
             x = np.asarray(b.column(value))
             sums = np.cumsum(x)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(len(x), piece), pa.int32()), pa.array(row + np.arange(len(x)), pa.int64()),
-                 pa.array(total + sums - x, pa.int64())], [*b.schema.names, "_piece", "_row", "_cum"])
+            added = [pa.array(np.full(len(x), piece), pa.int32()), pa.array(row + np.arange(len(x)), pa.int64()),
+                     pa.array(total + sums - x, pa.int64())]
+            if run_of and len(x):
+                v, i = np.asarray(b.column(run_of)), np.arange(len(x))
+                new = np.r_[v[0] != now, v[1:] != v[:-1]]
+                start = np.maximum.accumulate(np.where(new, i, -seen))
+                now, seen = v[-1], int(len(x) - start[-1])
+                added.append(pa.array(i - start, pa.int64()))
+            elif run_of:
+                added.append(pa.array([], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], [*b.schema.names, *places])
             row, total = row + len(x), total + (int(sums[-1]) if len(x) else 0)
 
-    schema = (df.withColumn("_piece", F.lit(None).cast("int")).withColumn("_row", F.lit(None).cast("bigint"))
-              .withColumn("_cum", F.lit(None).cast("bigint")).schema)
+    schema = df.select("*", *[F.lit(None).cast("int" if n == "_piece" else "bigint").alias(n) for n in places]).schema
     path = scratch_path(spark, "laid-out")
     in_pieces(df, order, num_partitions).mapInArrow(run, schema).write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)

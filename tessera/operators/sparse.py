@@ -708,14 +708,23 @@ def latent_index(codes: DataFrame, id_col: str = "id") -> DataFrame:
     """Inverted index (E17) as a table clustered by entry: one row per
     ``(latent_id, id)`` with its ``slot`` in the entry's posting list.
 
-    Positions come from the global index over ``(latent_id, id)`` minus the
-    entry's first position, so a hot entry spreads over many partitions
-    instead of being collected into one list.
+    Rows are laid out by ``(latent_id, id)``, so a hot entry spreads over many
+    pieces, and numbered within their entry as they are written. Only the
+    first entry of a piece can begin in earlier ones: their rows of it are
+    carried over from one summary row a piece (broadcast, at most as many as
+    partitions). No join is on the entry. Codes without an entry are left out.
     """
-    from tessera.operators.positions import with_index
-    idx = with_index(codes.select("latent_id", id_col), ["latent_id", id_col], "_g")
-    first = idx.groupBy("latent_id").agg(F.min("_g").alias("_f"))
-    return idx.join(first, "latent_id").select("latent_id", id_col, (F.col("_g") - F.col("_f")).alias("slot"))
+    from tessera.operators.positions import laid_out
+    narrow = codes.where("latent_id is not null").select("latent_id", id_col, F.lit(1).alias("_one"))
+    laid = laid_out(narrow, ["latent_id", id_col], "_one", run_of="latent_id")
+    pieces = laid.groupBy("_piece").agg(F.min("latent_id").alias("_first"), F.max("latent_id").alias("_last"),
+                                        (F.max_by("_place", "_row") + 1).alias("_tail"))
+    upto = F.sum("_tail").over(Window.partitionBy("_last").orderBy("_piece"))
+    before = Window.orderBy("_piece")
+    pieces = pieces.withColumn("_upto", upto).select("_piece", "_first", F.when(
+        F.lag("_last").over(before) == F.col("_first"), F.lag("_upto").over(before)).otherwise(0).alias("_carry"))
+    slot = F.col("_place") + F.when(F.col("latent_id") == F.col("_first"), F.col("_carry")).otherwise(0)
+    return laid.join(F.broadcast(pieces), "_piece").select("latent_id", id_col, slot.alias("slot"))
 
 
 def _sums_by_entry(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -157,3 +157,31 @@ def test_groupmax_requires_divisible_k(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0])], "id long, vec array<double>")
     with pytest.raises(ValueError, match="divides"):
         sp.encode(df, D)
+
+
+@pytest.mark.parametrize("pieces", [1, 7])
+def test_latent_index_numbers_postings_across_pieces(spark, pieces):
+    """A hot entry over several pieces, entries that end or begin with a piece, repeated and missing ids."""
+    rng = np.random.default_rng(pieces)
+    rows = [(7, int(i)) for i in range(900)] + [(int(l), int(i)) for l, i in zip(rng.integers(0, 12, 500), rng.integers(0, 40, 500))]
+    rows += [(3, None), (11, None), (None, 4)]
+    codes = spark.createDataFrame(rows, "latent_id long, id long").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(pieces))
+    try:
+        df = sp.latent_index(codes)
+        got = sorted((r["latent_id"], r["slot"], r["id"]) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    held = {}
+    for l, i in rows:
+        if l is not None:
+            held.setdefault(l, []).append(i)
+    want = sorted((l, s, i) for l, ids in held.items()
+                  for s, i in enumerate(sorted(ids, key=lambda x: (x is not None, x or 0))))
+    assert [(a, s) for a, s, _ in got] == [(a, s) for a, s, _ in want]
+    assert [i for *_, i in got] == [i for *_, i in want]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("_piece" in line and "latent_id" not in line for line in joins)
+    assert sp.latent_index(codes.limit(0)).count() == 0
