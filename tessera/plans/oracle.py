@@ -540,6 +540,13 @@ SELECT row_number() OVER (ORDER BY batch, p // {q.BIN_CTX}) - 1 AS idx, count(*)
 FROM u WHERE p // {q.BIN_CTX} < (total - 1) // {q.BIN_CTX}
 GROUP BY batch, p // {q.BIN_CTX}"""
 
+_shards, _shard, _skip = q.BIN_SHARD
+ORACLE["token_bin_shard"] = f"""
+WITH r AS ({ORACLE["token_bin"]}),
+n AS (SELECT count(*) // {_shards} AS size, count(*) % {_shards} AS more FROM r),
+b AS (SELECT size * {_shard} + least({_shard}, more) AS start, size + CAST({_shard} < more AS INTEGER) AS rows FROM n)
+SELECT r.* FROM r, b WHERE idx >= start + {_skip} AND idx < start + rows"""
+
 ORACLE["scan_registry"] = "SELECT role, count(*) AS n FROM conversations GROUP BY role"
 
 ORACLE["pretokenised"] = f"""

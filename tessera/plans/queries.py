@@ -702,6 +702,7 @@ def layer_groups(spark, d):
 # ============================================================== A: sources and sinks
 
 BIN_CTX = 128
+BIN_SHARD = (7, 3, 2)  # shards, the shard read, rows skipped in it
 SEP_ID = 0
 STATE_HOOKPOINTS = ("layers.0.mlp", "layers.1.mlp", "layers.2.mlp")
 STATE_KEEP = ("layers.0.mlp", "layers.2.mlp")
@@ -715,18 +716,34 @@ def _scratch(spark, name):
     return scratch_path(spark, name)
 
 
-@query("token_bin")
-def token_bin(spark, d):
-    from tessera.sources.token_bin import read_token_bin, write_token_bin
+def _token_files(spark, d) -> str:
+    """Packed documents as token files, in order; their folder."""
+    from tessera.sources.token_bin import write_token_bin
     docs = fx.read(spark, d, "documents").select("doc_id", tk.hashed_ids(whitespace_tokens("text")).alias("ids"))
     packed = tk.pack(docs, "ids", ["doc_id"], chunk=BIN_CTX, batch_rows=DOC_BATCH_ROWS, separator=SEP_ID)
     path = _scratch(spark, "tokens")
     write_token_bin(packed, path, BIN_CTX, order=["batch", "chunk"])
-    back = read_token_bin(spark, path, BIN_CTX)
-    return back.select("idx", F.size("input_ids").cast("bigint").alias("n_tokens"),
+    return path
+
+
+def _token_rows(rows):
+    return rows.select("idx", F.size("input_ids").cast("bigint").alias("n_tokens"),
                        F.md5(F.array_join(F.col("input_ids").cast("array<string>"), " ")).alias("chunk_md5"))
 
 
+@query("token_bin")
+def token_bin(spark, d):
+    from tessera.sources.token_bin import read_token_bin
+    return _token_rows(read_token_bin(spark, _token_files(spark, d), BIN_CTX))
+
+
+@query("token_bin_shard")
+def token_bin_shard(spark, d):
+    from tessera.sources.token_bin import read_token_shard
+    shards, shard, skip = BIN_SHARD
+    return _token_rows(read_token_shard(spark, _token_files(spark, d), BIN_CTX, shards, shard, skip))
+
+
 @query("scan_registry")
 def scan_registry(spark, d):
     from tessera.sources.registry import DatasetRegistry

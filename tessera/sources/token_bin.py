@@ -10,7 +10,10 @@ large file is split across many tasks and no task reads more than
 ``rows_per_split`` rows. The driver only lists files and checks that every
 size is a whole number of rows (a ragged tail would otherwise surface as a
 mid-task read error). Files are read in order of their names, which for
-written files is the order of the writer's partitions.
+written files is the order of the writer's partitions. A range of rows
+(``start``, ``end``) is an option of the read: only its bytes are read. It isn't
+taken from filters on ``idx``, as Spark 4.1 keeps a Python source's pushed
+filters for later queries of the same DataFrame, which then lack rows.
 
 Writing: each task attempt writes a file under a temporary name and reports
 it; Spark's commit of the job renames the reported files (and, in overwrite
@@ -62,7 +65,8 @@ class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.ctx = int(options["ctx_len"])
-        self.max_rows = int(options["max_examples"]) if options.get("max_examples") else None
+        ends = [int(options[k]) for k in ("max_examples", "end") if options.get(k)]
+        self.low, self.high = int(options.get("start") or 0), min(ends, default=None)
         self.rows_per_split = int(options.get("rows_per_split", 65536))
 
     def partitions(self):
@@ -73,13 +77,12 @@ class _Reader(DataSourceReader):
                 raise ValueError(f"{f}: size {size} is not a multiple of the row size {rec} "
                                  f"(ctx_len {self.ctx})")
             n = size // rec
-            if self.max_rows is not None:
-                n = min(n, self.max_rows - index)
-            for s in range(0, n, self.rows_per_split):
-                r = min(self.rows_per_split, n - s)
-                splits.append(_Split(f, s, r, index + s))
+            first = max(self.low - index, 0)
+            last = n if self.high is None else min(n, self.high - index)
+            for s in range(first, last, self.rows_per_split):
+                splits.append(_Split(f, s, min(self.rows_per_split, last - s), index + s))
             index += n
-            if self.max_rows is not None and index >= self.max_rows:
+            if self.high is not None and index >= self.high:
                 break
         return splits or [_Split("", 0, 0, 0)]
 
@@ -172,15 +175,35 @@ def register(spark: SparkSession) -> None:
 
 
 def read_token_bin(spark: SparkSession, path: str, ctx_len: int, max_examples: int | None = None,
-                   rows_per_split: int = 65536) -> DataFrame:
-    """Rows ``(idx, input_ids)`` of a token file or folder of ``.bin`` parts (A3)."""
+                   rows_per_split: int = 65536, start: int = 0, end: int | None = None) -> DataFrame:
+    """Rows ``(idx, input_ids)`` of a token file or folder of ``.bin`` parts (A3),
+    from row ``start`` to before row ``end`` and within the first ``max_examples``."""
     register(spark)
     r = spark.read.format("tokenbin").option("ctx_len", ctx_len).option("rows_per_split", rows_per_split)
-    if max_examples is not None:
-        r = r.option("max_examples", max_examples)
+    for name, value in (("max_examples", max_examples), ("start", start), ("end", end)):
+        if value is not None:
+            r = r.option(name, value)
     return r.load(path)
 
 
+def count_token_rows(path: str, ctx_len: int) -> int:
+    """Rows of a token file or folder, from the files' sizes."""
+    return sum(size // (ctx_len * TOKEN_DTYPE.itemsize) for _, size in _files(path))
+
+
+def read_token_shard(spark: SparkSession, path: str, ctx_len: int, num_shards: int, shard_id: int, skip: int = 0,
+                     rows_per_split: int = 65536) -> DataFrame:
+    """Rows ``(idx, input_ids)`` of one contiguous shard (D9), without its first
+    ``skip`` rows (D10). The first ``rows mod num_shards`` shards hold one row
+    more. Only the shard's byte ranges are read."""
+    if not 0 <= shard_id < num_shards or skip < 0:
+        raise ValueError(f"no shard {shard_id} of {num_shards} without {skip} rows")
+    size, more = divmod(count_token_rows(path, ctx_len), num_shards)
+    start = shard_id * size + min(shard_id, more)
+    end = start + size + (shard_id < more)
+    return read_token_bin(spark, path, ctx_len, rows_per_split=rows_per_split, start=start + skip, end=end)
+
+
 def write_token_bin(df: DataFrame, path: str, ctx_len: int, column: str = "input_ids", order=None,
                     mode: str = "error") -> None:
     """Write fixed-length id rows as uint16 part files.

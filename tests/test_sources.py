@@ -21,6 +21,35 @@ def test_token_file_roundtrip_and_max_examples(spark):
     assert sorted((r["idx"], r["input_ids"]) for r in read_token_bin(spark, out, 8).collect()) == rows
 
 
+def test_a_range_of_rows_chooses_the_bytes(spark, tmp_path):
+    from tessera.sources.token_bin import _Reader, count_token_rows, read_token_shard
+    d, ctx = str(tmp_path), 4
+    for name, rows in (("a", 7), ("b", 0), ("c", 12), ("d", 4)):
+        np.full(rows * ctx, ord(name), dtype="<u2").tofile(os.path.join(d, name + ".bin"))
+
+    def read_rows(**options):
+        r = _Reader({"path": d, "ctx_len": str(ctx), "rows_per_split": "3", **options})
+        splits = r.partitions()
+        batches = [b for s in splits for b in r.read(s)]
+        assert sum(s.rows for s in splits) == sum(b.num_rows for b in batches)
+        return [i for b in batches for i in b.column(0).to_pylist()]
+
+    assert read_rows() == list(range(23)) and read_rows(start="6", end="9") == [6, 7, 8]
+    assert read_rows(start="22") == [22] and read_rows(start="23") == [] and read_rows(end="0") == []
+    assert read_rows(start="18", max_examples="20") == [18, 19] and read_rows(end="3", max_examples="9") == [0, 1, 2]
+    df = read_token_bin(spark, d, ctx, rows_per_split=3)
+    assert sorted(r["idx"] for r in df.where("idx in (4, 9, 40) and idx > 4").collect()) == [9]
+    assert df.where("idx < 3 or idx = 20").count() == 4 and df.count() == 23
+    assert read_token_bin(spark, d, ctx, rows_per_split=3, start=6, end=9).rdd.getNumPartitions() == 2
+    assert count_token_rows(d, ctx) == 23
+    shards = [[r["idx"] for r in read_token_shard(spark, d, ctx, 5, i).orderBy("idx").collect()] for i in range(5)]
+    assert [len(s) for s in shards] == [5, 5, 5, 4, 4] and sum(shards, []) == list(range(23))
+    assert [r["idx"] for r in read_token_shard(spark, d, ctx, 5, 4, skip=3).collect()] == [22]
+    assert read_token_shard(spark, d, ctx, 5, 4, skip=9).count() == 0
+    with pytest.raises(ValueError, match="no shard"):
+        read_token_shard(spark, d, ctx, 5, 5)
+
+
 def test_token_file_modes_and_failed_writes(spark, tmp_path):
     out = str(tmp_path / "t")
     df = spark.createDataFrame([([i, i],) for i in range(10)], "input_ids array<int>")
