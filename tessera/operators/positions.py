@@ -163,9 +163,9 @@ def _piece_of(names: list[str], schema, bounds: list) -> Column:
     return F.transform(F.array(F.struct(*names)), search)[0]
 
 
-def in_pieces(df: DataFrame, order, num_partitions: int | None = None) -> DataFrame:
+def in_pieces(df: DataFrame, order, num_partitions: int | None = None, then=()) -> DataFrame:
     """``df`` in range partitions of the ascending columns ``order``, sorted in
-    each. The bounds come from the order's columns alone (written once as a
+    each, rows of the same order by the columns ``then``. The bounds come from the order's columns alone (written once as a
     narrow table), so the other columns are computed once: Spark's own range
     exchange draws its sample from the full rows and then computes them again.
     A sample of bounded size and the bounds pass the driver."""
@@ -179,7 +179,7 @@ def in_pieces(df: DataFrame, order, num_partitions: int | None = None) -> DataFr
     keys = spark.read.parquet(path)
     keyed = df.select("*", *[x.alias(n) for x, n in zip(cols, names)])
     piece = _piece_of(names, keys.schema, _bounds(keys, names, num_partitions))
-    return keyed.repartitionById(num_partitions, piece).sortWithinPartitions(*names).drop(*names)
+    return keyed.repartitionById(num_partitions, piece).sortWithinPartitions(*names, *then).drop(*names)
 
 
 def laid_out(df: DataFrame, order, value: str, num_partitions: int | None = None,

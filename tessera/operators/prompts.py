@@ -187,7 +187,8 @@ def render_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
 
     Each message is rendered by a column expression before the shuffle, so
     only the rendered pieces travel; the per-key concatenation is the
-    output row itself.
+    output row itself. For conversations too long for a row see
+    :func:`tessera.operators.transcripts.chat_parts`.
     """
     pieces = df.select(key, order, simple_chat_piece(role, content, eos).alias("_piece"))
     agg = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "_piece"))).alias("_p"))
@@ -217,9 +218,36 @@ def _tool_call_text(t) -> Column:
                     F.lit("\n```" + R_CALL_END))
 
 
+def _calls_text(calls) -> Column:
+    """The closed calls block of a message; empty without calls."""
+    calls = F.coalesce(calls, F.array().cast("array<struct<type:string,name:string,arguments:string>>"))
+    joined = F.array_join(F.transform(calls, lambda t: F.concat(F.lit(R_CALL_BEGIN), _tool_call_text(t))), "\n")
+    return F.when(F.size(calls) > 0, F.concat(F.lit(R_ASSISTANT + R_CALLS_BEGIN), joined,
+                                              F.lit(R_CALLS_END + R_EOS))).otherwise(F.lit(""))
+
+
+def reasoning_piece(role, content, calls, after_output) -> Column:
+    """Text that one message adds under the reasoning template (C9);
+    ``after_output``: the last user, assistant or tool message was a tool's."""
+    said = F.coalesce(content, F.lit(""))
+    close = F.when(after_output, F.lit(R_OUTPUTS_END)).otherwise(F.lit(""))
+    return (F.when(role == "user", F.concat(close, F.lit(R_USER), said))
+            .when((role == "assistant") & content.isNull(), F.concat(close, _calls_text(calls)))
+            .when(role == "assistant", F.concat(F.when(after_output, F.lit(R_OUTPUTS_END)).otherwise(F.lit(R_ASSISTANT)),
+                                                content, F.lit(R_EOS)))
+            .when(role == "tool", F.concat(F.when(after_output, F.lit("\n")).otherwise(F.lit(R_OUTPUTS_BEGIN)),
+                                           F.lit(R_OUTPUT_BEGIN), said, F.lit(R_OUTPUT_END)))
+            .otherwise(F.lit("")))
+
+
+def reasoning_tail(after_output, add_generation_prompt: bool = False) -> Column:
+    """What follows the last message: an open output block is closed, else the generation prefix."""
+    return F.when(after_output, F.lit(R_OUTPUTS_END)).otherwise(F.lit(R_ASSISTANT if add_generation_prompt else ""))
+
+
 def render_reasoning_chat_array(messages, bos: str = "", add_generation_prompt: bool = False,
                                 compat: bool = False) -> Column:
-    """Reasoning-model chat rendering (C9) as one ``aggregate`` over the messages.
+    """Reasoning-model chat rendering (C9) of a message array.
 
     Messages are ``struct<role, content, tool_calls array<struct<type,name,arguments>>>``.
     The last system message is hoisted to the front. Tool calls of an
@@ -229,62 +257,63 @@ def render_reasoning_chat_array(messages, bos: str = "", add_generation_prompt:
     Default: every calls block is closed after the last call of its message,
     an output block before the next user, call or text message, and the
     first-call/first-output flags reset per message. A null content of a user
-    or tool message is empty.
+    or tool message is empty. Each message is rendered beside the role of the
+    one before it, in one pass.
     ``compat=True`` reproduces the literal upstream template text instead
     (block closed only from the second call on; flags never reset).
     """
     msgs = c(messages)
     system = F.coalesce(F.try_element_at(F.filter(msgs, lambda m: m["role"] == "system"), F.lit(-1))["content"],
                         F.lit(""))
+    if compat:
+        state = _literal_template(msgs)
+        return F.concat(F.lit(bos), system, state["text"], reasoning_tail(state["is_tool"], add_generation_prompt))
+    acting = F.filter(msgs, lambda m: m["role"].isin("user", "assistant", "tool"))
+    before = F.concat(F.array(F.lit("")), F.transform(acting, lambda m: m["role"]))
+    # one role more than messages: the last one meets no message and adds nothing
+    pieces = F.zip_with(acting, before, lambda m, p: reasoning_piece(m["role"], m["content"], m["tool_calls"], p == "tool"))
+    return F.concat(F.lit(bos), system, F.array_join(pieces, ""),
+                    reasoning_tail(F.element_at(before, -1) == "tool", add_generation_prompt))
+
+
+def _literal_template(msgs: Column) -> Column:
+    """Text and open output block of the literal template, as one ``aggregate``
+    over the messages: the first call ever opens the block, later calls are
+    appended and each closes it; neither flag is ever reset."""
     init = F.struct(F.lit("").alias("text"), F.lit(False).alias("is_tool"),
                     F.lit(False).alias("is_first"), F.lit(True).alias("out_first"))
 
     def step(acc, m):
         role, content = m["role"], m["content"]
         said = F.coalesce(content, F.lit(""))
-        close = F.lit("") if compat else F.when(acc["is_tool"], F.lit(R_OUTPUTS_END)).otherwise(F.lit(""))
         calls = F.coalesce(m["tool_calls"], F.array().cast(
             "array<struct<type:string,name:string,arguments:string>>"))
-        if compat:
-            # literal template: first call ever opens the block, later calls are
-            # appended and each closes the block; is_first is never reset
-            call_text = F.aggregate(
-                calls, F.struct(F.lit("").alias("t"), acc["is_first"].alias("f")),
-                lambda s, t: F.struct(
-                    F.concat(s["t"], F.when(~s["f"], F.concat(F.lit(R_ASSISTANT + R_CALLS_BEGIN + R_CALL_BEGIN),
-                                                                _tool_call_text(t)))
-                             .otherwise(F.concat(F.lit("\n" + R_CALL_BEGIN), _tool_call_text(t),
-                                                 F.lit(R_CALLS_END + R_EOS)))).alias("t"),
-                    F.lit(True).alias("f")))
-            calls_out, first_after = call_text["t"], call_text["f"]
-        else:
-            joined = F.array_join(F.transform(calls, lambda t: F.concat(F.lit(R_CALL_BEGIN), _tool_call_text(t))), "\n")
-            calls_out = F.when(F.size(calls) > 0, F.concat(F.lit(R_ASSISTANT + R_CALLS_BEGIN), joined,
-                                                          F.lit(R_CALLS_END + R_EOS))).otherwise(F.lit(""))
-            first_after = acc["is_first"]
+        called = F.aggregate(
+            calls, F.struct(F.lit("").alias("t"), acc["is_first"].alias("f")),
+            lambda s, t: F.struct(
+                F.concat(s["t"], F.when(~s["f"], F.concat(F.lit(R_ASSISTANT + R_CALLS_BEGIN + R_CALL_BEGIN),
+                                                            _tool_call_text(t)))
+                         .otherwise(F.concat(F.lit("\n" + R_CALL_BEGIN), _tool_call_text(t),
+                                             F.lit(R_CALLS_END + R_EOS)))).alias("t"),
+                F.lit(True).alias("f")))
         is_user = role == "user"
         is_call = (role == "assistant") & content.isNull()
         is_text = (role == "assistant") & content.isNotNull()
         is_out = role == "tool"
-        out_first = acc["out_first"] if compat else F.when(~acc["is_tool"], F.lit(True)).otherwise(acc["out_first"])
-        piece = (F.when(is_user, F.concat(close, F.lit(R_USER), said))
-                 .when(is_call, F.when(calls_out != "", F.concat(close, calls_out)).otherwise(close))
+        piece = (F.when(is_user, F.concat(F.lit(R_USER), said))
+                 .when(is_call, called["t"])
                  .when(is_text & acc["is_tool"], F.concat(F.lit(R_OUTPUTS_END), content, F.lit(R_EOS)))
                  .when(is_text, F.concat(F.lit(R_ASSISTANT), content, F.lit(R_EOS)))
-                 .when(is_out & out_first, F.concat(F.lit(R_OUTPUTS_BEGIN + R_OUTPUT_BEGIN), said,
-                                                    F.lit(R_OUTPUT_END)))
+                 .when(is_out & acc["out_first"], F.concat(F.lit(R_OUTPUTS_BEGIN + R_OUTPUT_BEGIN), said,
+                                                           F.lit(R_OUTPUT_END)))
                  .when(is_out, F.concat(F.lit("\n" + R_OUTPUT_BEGIN), said, F.lit(R_OUTPUT_END)))
                  .otherwise(F.lit("")))
         is_tool = F.when(is_out, F.lit(True)).when(is_user | is_call | is_text, F.lit(False)).otherwise(acc["is_tool"])
         return F.struct(F.concat(acc["text"], piece).alias("text"), is_tool.alias("is_tool"),
-                        F.when(is_call, first_after).otherwise(acc["is_first"]).alias("is_first"),
-                        F.when(is_out, F.lit(False)).otherwise(out_first).alias("out_first"))
+                        F.when(is_call, called["f"]).otherwise(acc["is_first"]).alias("is_first"),
+                        F.when(is_out, F.lit(False)).otherwise(acc["out_first"]).alias("out_first"))
 
-    state = F.aggregate(msgs, init, step)
-    tail = F.when(state["is_tool"], F.lit(R_OUTPUTS_END)).otherwise(F.lit(""))
-    if add_generation_prompt:
-        tail = F.concat(tail, F.when(~state["is_tool"], F.lit(R_ASSISTANT)).otherwise(F.lit("")))
-    return F.concat(F.lit(bos), system, state["text"], tail)
+    return F.aggregate(msgs, init, step)
 
 
 def render_reasoning_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
@@ -292,7 +321,8 @@ def render_reasoning_chat(df: DataFrame, key: str = "conv_id", order: str = "tur
                           add_generation_prompt: bool = False, out: str = "chat") -> DataFrame:
     """Reasoning chat rendering (C9) of long-form messages: one exchange groups
     a conversation, whose text is one output row, and
-    :func:`render_reasoning_chat_array` renders it."""
+    :func:`render_reasoning_chat_array` renders it. For conversations too long
+    for a row see :func:`tessera.operators.transcripts.reasoning_chat_parts`."""
     msgs = messages_by_key(df, key, order, role, content, tool_calls=tool_calls)
     return msgs.select(key, render_reasoning_chat_array("messages", bos, add_generation_prompt).alias(out))
 

@@ -221,7 +221,7 @@ WITH c AS (SELECT conv_id,
            FROM conversations GROUP BY conv_id)
 SELECT conv_id, {md5_len('chat', 'chat')} FROM c"""
 
-ORACLE["chat_reasoning_tools"] = f"""
+_tool_chats = f"""
 WITH t AS (SELECT conv_id, turn, CASE WHEN role = 'user' AND turn % 4 >= 2 THEN 'tool' ELSE role END AS role, text AS raw,
                   role = 'assistant' AND conv_id % 3 = 0 AND turn % 4 = 1 AS is_call FROM conversations),
 m AS (SELECT *, CASE WHEN is_call OR (conv_id % 5 = 0 AND turn % 4 = 0) THEN NULL ELSE raw END AS text FROM t),
@@ -237,8 +237,22 @@ p AS (SELECT conv_id, turn, role, CASE
      ELSE CASE WHEN after_tool THEN '' ELSE '{pr.R_ASSISTANT}' END || text || '{pr.R_EOS}' END END AS piece FROM l),
 c AS (SELECT conv_id, coalesce((SELECT arg_max(text, turn) FROM m s WHERE s.conv_id = p.conv_id AND role = 'system'), '')
              || string_agg(piece, '' ORDER BY turn) || CASE WHEN arg_max(role, turn) = 'tool' THEN '{pr.R_OUTPUTS_END}' ELSE '{pr.R_ASSISTANT}' END AS chat
-      FROM p GROUP BY conv_id)
-SELECT conv_id, {md5_len('chat', 'chat')} FROM c"""
+      FROM p GROUP BY conv_id)"""
+ORACLE["chat_reasoning_tools"] = f"{_tool_chats}\nSELECT conv_id, {md5_len('chat', 'chat')} FROM c"
+
+
+def in_parts(chats: str) -> str:
+    """Transcripts ``c(conv_id, chat)`` cut every so many characters."""
+    n = q.PART_CHARS
+    return f"""{chats},
+s AS (SELECT conv_id, chat, unnest(range(greatest(1, (length(chat) + {n - 1}) // {n}))) AS part FROM c),
+x AS (SELECT conv_id, part, substr(chat, CAST(part * {n} + 1 AS BIGINT), {n}) AS chat FROM s)
+SELECT conv_id, part, {md5_len('chat', 'chat')} FROM x"""
+
+
+ORACLE["chat_simple_parts"] = in_parts(
+    f"WITH t AS ({CHATS}), c AS (SELECT conv_id, text || {lit(pr.SIMPLE_CHAT_GENERATION)} AS chat FROM t)")
+ORACLE["chat_reasoning_parts"] = in_parts(_tool_chats)
 
 _math_prefix = pr.MATH_QUERY_TEMPLATE.split("{Question}")[0]
 ORACLE["eval_prompts"] = "\nUNION ALL\n".join(

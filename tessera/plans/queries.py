@@ -232,6 +232,9 @@ def prompt_length(spark, d):
     return p.select("conv_id", "turn", "target_length", _messages_md5(F.col("prompt")).alias("prompt_md5"))
 
 
+PART_CHARS = 1000
+
+
 def _sft(spark, d, trace_free: bool):
     t = sc.resolve_trace(fx.trace_set(spark, d), "simplescaling/s1K")
     s = pr.sft_conversation(t, trace_free=trace_free)
@@ -292,6 +295,23 @@ def chat_reasoning_tools(spark, d):
     return ch.select("conv_id", *_md5_len(F.col("chat"), "chat"))
 
 
+def _md5_parts(parts):
+    return parts.select("conv_id", "part", *_md5_len(F.col("chat"), "chat"))
+
+
+@query("chat_simple_parts")
+def chat_simple_parts(spark, d):
+    from tessera.operators.transcripts import chat_parts
+    return _md5_parts(chat_parts(fx.read(spark, d, "conversations"), add_generation_prompt=True, chars=PART_CHARS))
+
+
+@query("chat_reasoning_parts")
+def chat_reasoning_parts(spark, d):
+    from tessera.operators.transcripts import reasoning_chat_parts
+    return _md5_parts(reasoning_chat_parts(fx.tool_conversations(spark, d), tool_calls="calls",
+                                           add_generation_prompt=True, chars=PART_CHARS))
+
+
 @query("eval_prompts")
 def eval_prompts(spark, d):
     items = fx.benchmark_items(spark, d)
