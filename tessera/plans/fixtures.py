@@ -175,3 +175,15 @@ def predictions(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", "task", "kind",
                      F.concat(F.lit("checkpoint-"), (F.col("l_linenumber") * 100).cast("string")).alias("checkpoint"),
                      gold.alias("gold_text"), pred.alias("prediction"))
+
+
+def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant texts as thoughts and user texts as answers in tags, some without a tag or with a text around
+    them, some null; whether the answer counts as right."""
+    p = pairs(spark, sf_dir)
+    way = (F.col("conv_id") + F.col("turn")) % 7
+    whole = F.concat(F.lit("<think>"), "answer", F.lit("</think>\n<answer>"), "problem", F.lit("</answer>"))
+    text = (F.when(way == 1, F.col("answer")).when(way == 2, F.concat(whole, F.lit(" so"))).when(way == 3, F.lit(None))
+            .when(way == 4, F.concat(F.lit("<think>"), "answer", F.lit(" "), "answer", F.lit("</think><answer>x</answer>")))
+            .when(way == 5, F.concat(F.lit("<think>"), "answer", F.lit("</answer>"))).otherwise(whole))
+    return p.select("conv_id", "turn", text.alias("completion"), (F.col("conv_id") % 2 == 0).alias("correct"))

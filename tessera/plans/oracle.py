@@ -7,6 +7,7 @@ same constants as the Spark plans so that both sides state them once.
 from __future__ import annotations
 
 from tessera.operators import prompts as pr
+from tessera.operators import rewards as rw
 from tessera.plans import queries as q
 
 ORACLE: dict[str, str] = {}
@@ -539,6 +540,28 @@ ORACLE["layer_groups"] = f"""WITH {NAMES},
 l AS (SELECT name, CAST(regexp_extract(name, 'layers\\.(\\d+)', 1) AS BIGINT) AS layer FROM names)
 SELECT name, layer, (layer - 1) // 4 AS layer_group FROM l WHERE layer BETWEEN 1 AND 26"""
 
+_way = "(conv_id + turn) % 7"
+_tagged = "'<think>' || answer || '</think>' || chr(10) || '<answer>' || problem || '</answer>'"
+_COMPLETIONS = f"""WITH {PAIRS},
+x AS (SELECT conv_id, turn, conv_id % 2 = 0 AS correct, coalesce(CASE {_way}
+        WHEN 1 THEN answer WHEN 2 THEN {_tagged} || ' so' WHEN 3 THEN NULL
+        WHEN 4 THEN '<think>' || answer || ' ' || answer || '</think><answer>x</answer>'
+        WHEN 5 THEN '<think>' || answer || '</answer>' ELSE {_tagged} END, '') AS text FROM pairs),
+w AS (SELECT *, {TOK} AS words, list_transform({TOK}, lambda t: lower(t)) AS lowered,
+             CAST(regexp_full_match(text, '(?s)<think>.*</think>\\s*<answer>.*</answer>') AS INTEGER) AS f FROM x),
+g AS (SELECT *, list_transform(range(1, greatest(len(words) - {rw.N_GRAM} + 2, 1)),
+             lambda i: array_to_string(lowered[i:i + {rw.N_GRAM - 1}], ' ')) AS grams FROM w)"""
+ORACLE["reward_format"] = f"{_COMPLETIONS} SELECT conv_id, turn, CAST(f AS DOUBLE) AS format_score FROM g"
+ORACLE["reward_length"] = f"""{_COMPLETIONS}
+SELECT conv_id, turn, round(CASE WHEN correct THEN {rw.MIN_CORRECT} ELSE {rw.MIN_WRONG} END
+       + CASE WHEN correct THEN {rw.MAX_CORRECT - rw.MIN_CORRECT} ELSE {rw.MAX_WRONG - rw.MIN_WRONG} END
+       * 0.5 * (1 + cos(pi() * least(len(words) / {q.REWARD_LENGTH}.0, 1))), 6) AS length_score FROM g"""
+ORACLE["reward_repetition"] = f"""{_COMPLETIONS}
+SELECT conv_id, turn, round(CASE WHEN len(grams) = list_unique(grams) THEN 0.0
+       ELSE {rw.MAX_PENALTY} * (1 - list_unique(grams) / CAST(len(grams) AS DOUBLE)) END, 6) AS repetition_score FROM g"""
+ORACLE["reward"] = f"""{_COMPLETIONS}
+SELECT conv_id, turn, CAST({rw.WEIGHTS['accuracy']} * CAST(correct AS INTEGER) + {rw.WEIGHTS['format']} * f AS DOUBLE) AS reward FROM g"""
+
 # ============================================================== A
 
 _IDS = f"list_transform({TOK}, lambda t: CAST(('0x' || substr(md5(t), 1, 4)) AS INTEGER) % 65535 + 1)"

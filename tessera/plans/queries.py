@@ -705,6 +705,37 @@ def accuracy(spark, d):
     return ev.accuracy(ev.with_score(_extracted(spark, d))).select("task", "checkpoint", _r6(F.col("accuracy"), "accuracy"), "n")
 
 
+REWARD_LENGTH = 60  # words; the fixture's texts lie on both sides
+
+
+def _scores(spark, d, *names):
+    from tessera.operators import rewards as rw
+    scored = rw.with_rewards(fx.completions(spark, d), weights={n: 1.0 for n in names}, max_length=REWARD_LENGTH)
+    return scored.select("conv_id", "turn", *[_r6(F.col(f"{n}_score"), f"{n}_score") for n in names])
+
+
+@query("reward_format")
+def reward_format(spark, d):
+    return _scores(spark, d, "format")
+
+
+@query("reward_length")
+def reward_length(spark, d):
+    return _scores(spark, d, "length")
+
+
+@query("reward_repetition")
+def reward_repetition(spark, d):
+    return _scores(spark, d, "repetition")
+
+
+@query("reward")
+def reward(spark, d):
+    from tessera.operators import rewards as rw
+    scored = rw.with_rewards(fx.completions(spark, d))
+    return scored.select("conv_id", "turn", _r6(F.col("reward"), "reward"))
+
+
 @query("grid")
 def grid(spark, d):
     from tessera.operators import evaluate as ev
