@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import gather, table, text_blocks
+from tessera.llm.common import gather, ranges, table, text_blocks
 
 #: Fixed: the pattern of byte-level pre-tokenisation.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -45,6 +45,9 @@ BLOCK_BYTES = 6 << 20
 #: A worker that knows more units keeps the first of them, which are the frequent ones.
 KEPT_UNITS = 450_000
 FIRST_UNITS = 200_000
+#: Characters of new units merged at once, and ids decoded at once: the lists
+#: and arrays of both are many times their size.
+MERGED_CHARS, DECODED_IDS = 1 << 18, 1 << 18
 
 
 def byte_symbols() -> list[str]:
@@ -202,13 +205,18 @@ class Encoder:
 
     def learn(self) -> None:
         """Ids of the units that came since the last call."""
-        split = [PRETOKEN.findall(u) for u in self.units[len(self.unit_sizes):]]
-        pieces: dict[str, int] = {}
-        used = np.fromiter((pieces.setdefault(p, len(pieces)) for ps in split for p in ps), np.int64)
-        ids, sizes = merge_all([p.encode() for p in pieces], self.vocab)
-        owner = np.repeat(np.arange(len(split)), [len(ps) for ps in split])
-        self.unit_ids = np.r_[self.unit_ids, gather(ids, sizes, used)]
-        self.unit_sizes = np.r_[self.unit_sizes, np.bincount(owner, sizes[used], minlength=len(split)).astype(np.int64)]
+        known = len(self.unit_sizes)
+        every, counts = [self.unit_ids], [self.unit_sizes]
+        for start, end in ranges(np.fromiter(map(len, self.units[known:]), np.int64), MERGED_CHARS):
+            split = [PRETOKEN.findall(u) for u in self.units[known + start:known + end]]
+            pieces: dict[str, int] = {}
+            used = np.fromiter((pieces.setdefault(p, len(pieces)) for ps in split for p in ps), np.int64)
+            ids, sizes = merge_all([p.encode() for p in pieces], self.vocab)
+            owner = np.repeat(np.arange(len(split)), [len(ps) for ps in split])
+            every.append(gather(ids, sizes, used))
+            counts.append(np.bincount(owner, sizes[used], minlength=len(split)).astype(np.int64))
+        self.unit_ids, self.unit_sizes = np.concatenate(every), np.concatenate(counts)
+        self.units[known:] = [""] * (len(self.units) - known)  # only their number is needed from here on
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each text."""
@@ -230,12 +238,17 @@ class Encoder:
 
 def decode_flat(ids: np.ndarray, sizes: np.ndarray, vocab: Vocabulary) -> list[str]:
     """The texts of ids in a row; unknown ids have no bytes."""
-    known = (ids >= 0) & (ids < len(vocab.offsets) - 1)
-    ids, sizes = ids[known], np.bincount(np.repeat(np.arange(len(sizes)), sizes)[known], minlength=len(sizes))
-    width = vocab.offsets[ids + 1] - vocab.offsets[ids]
-    raw = gather(vocab.bytes, np.diff(vocab.offsets), ids).tobytes()
-    ends = np.r_[0, np.cumsum(width)][np.r_[0, np.cumsum(sizes)]].tolist()
-    return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+    width = np.diff(vocab.offsets)
+    ends = np.r_[0, np.cumsum(sizes)]
+    texts: list[str] = []
+    for start, end in ranges(sizes, DECODED_IDS):
+        own, n = ids[ends[start]:ends[end]], sizes[start:end]
+        known = (own >= 0) & (own < len(width))
+        own, n = own[known], np.bincount(np.repeat(np.arange(len(n)), n)[known], minlength=len(n))
+        raw = gather(vocab.bytes, width, own).tobytes()
+        cuts = np.r_[0, np.cumsum(width[own])][np.r_[0, np.cumsum(n)]].tolist()
+        texts += [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+    return texts
 
 
 def _run(path: str, back: bool):

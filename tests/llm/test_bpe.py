@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,7 @@ from hypothesis import strategies as st
 from llm_helpers import SF_SMALL, sentence
 from tokenizers import Tokenizer
 
-from tessera.llm import bpe
+from tessera.llm import bpe, common
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -51,6 +52,30 @@ def test_special_tokens_long_words_and_forgetting(rng, monkeypatch):
             assert ids_of(encoder, texts[i:i + 3]) == expect(texts[i:i + 3])
 
 
+def test_units_and_ids_a_few_at_a_time(rng, monkeypatch):
+    texts = [sentence(rng, 300), "x" * 500, None, "é" * 40 + "\n\n" + sentence(rng, 30), "a<|endoftext|> b", ""]
+    monkeypatch.setattr(bpe, "MERGED_CHARS", 20)
+    monkeypatch.setattr(bpe, "DECODED_IDS", 7)
+    monkeypatch.setattr(common, "GATHERED", 5)
+    encoder = bpe.Encoder(bpe.vocabulary(PATH))
+    assert ids_of(encoder, texts) == ids_of(encoder, texts) == expect(texts)
+    ids, sizes = encoder.encode(texts)
+    assert bpe.decode_flat(ids, sizes, encoder.vocab) == [t or "" for t in texts]
+
+
+def test_memory_of_a_block_of_new_words(rng):
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(1000)) for _ in range(150)]
+    vocab = bpe.vocabulary(PATH)
+    encoder = bpe.Encoder(vocab)
+    tracemalloc.start()
+    try:
+        bpe.decode_flat(*encoder.encode(texts), vocab)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50 * sum(map(len, texts))
+
+
 def test_query_equals_the_library(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
