@@ -41,7 +41,6 @@ extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
-import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -67,29 +66,13 @@ SMOOTH, PAIR_SMOOTH = 5.0, 5.0
 
 
 class Pieces(WordEncoder):
-    """Numbers words and knows their hashes and pieces, across blocks."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.hashes = np.empty(0, np.int64)
+    """Numbers the words of a block and gives their hashes and pieces."""
 
     def block(self, texts: list[str | None]) -> tuple:
         """(words per text, word numbers, hashes, piece counts, pieces) with words numbered within the block."""
-        from tessera.llm import token_files
-        if len(self.names) > token_files.KEPT_WORDS:
-            self._forget()
-            self.hashes = self.hashes[:len(self.names)].copy()
-        coded = [list(map(self.known.__getitem__, (t or "").encode().lower().split())) for t in texts]
-        self._learn()
-        digest = xxhash.xxh64_intdigest
-        new = np.array([digest(w) for w in self.names[len(self.hashes):]], np.uint64).view(np.int64)
-        self.hashes = np.r_[self.hashes, new]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        codes = np.fromiter(itertools.chain.from_iterable(coded), np.int64, int(sizes.sum()))
-        used = np.flatnonzero(np.bincount(codes, minlength=len(self.names)))
-        place = np.zeros(len(self.names), np.int32)
-        place[used] = np.arange(len(used))
-        return sizes, place[codes], self.hashes[used], self.sizes[used], gather(self.flat, self.sizes, used)
+        sizes, codes, names, counts, ids = self.words([t or "" for t in texts])
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names)).view(np.int64)
+        return sizes, codes, hashes, counts, ids
 
 
 @functools.lru_cache(maxsize=2)

@@ -15,10 +15,11 @@ lie in any store that Spark writes) whose rows are segments: ``part`` and
 the order of document ids, so documents are in ascending order of id (ties by
 a hash of the text), nulls first.
 
-Encoding. Words of the text are kept with their ids, and the library encodes
-only those that a worker hasn't met: the vocabulary drops white space and
-ends its tokens at word ends, so a text's ids are its words' ids in a row.
-Texts with special tokens go to the library whole. Known words are bounded
+Encoding. Units are words, those of letters only without the punctuation at
+their end, and such punctuation. They are kept with their ids, and the library
+encodes only those that a worker hasn't met: the vocabulary drops white space
+and ends its tokens at word ends, so a text's ids are its units' ids in a row.
+Texts with special tokens go to the library whole. Known units are bounded
 in number.
 
 Defined results: a null text is empty (only the end id); repeated rows are
@@ -29,12 +30,12 @@ gives an empty file. Nothing is collected but the number of ids of each part.
 from __future__ import annotations
 
 import functools
-import itertools
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -78,13 +79,23 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     widest[:, :BLOCK] = _widths(grid).reshape(rows, BLOCK)
     of = {1: widest.reshape(-1)}
     choice = np.zeros(widest.size, np.uint8)
+    few = None  # places that fit, once they are few: what doesn't fit a selector doesn't fit a lower one
     for s in range(len(COUNTS) - 1, 0, -1):
         n = int(COUNTS[s])
+        if few is not None:
+            few = few[(of[1][few[:, None] + np.arange(n)] <= WIDTHS[s]).all(1)]
+            choice[few] = s
+            continue
         if n > 1:
             half = max(k for k in of if k <= n and 2 * k >= n)
             of[n] = of[half].copy()
             np.maximum(of[half][:len(choice) - (n - half)], of[half][n - half:], out=of[n][:len(choice) - (n - half)])
-        choice = np.where(of[n] <= WIDTHS[s], np.uint8(s), choice)
+        fits = of[n] <= WIDTHS[s]
+        np.copyto(choice, np.uint8(s), where=fits)
+        fits = fits.reshape(rows, -1)[:, :BLOCK]
+        if np.count_nonzero(fits) < fits.size >> 6:
+            row, at = np.nonzero(fits)
+            few = row * widest.shape[1] + at
     choice = choice.reshape(rows, -1)
     # one word of every block per step
     at, row, steps = np.zeros(rows, np.int64), np.arange(rows), []
@@ -181,12 +192,26 @@ class WordEncoder:
         ends = [i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]
         self.ends = np.zeros(max(self.library.get_vocab().values()) + 1, bool)
         self.ends[ends] = True
+        self.merges = self._merges(path)
         self.tried: set[str] = set()
         self.split: set[str] = set()
         self.names: list[bytes] = []
         self.known = _Known(self.names)
         self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
+    def _merges(self, path: str):
+        """The library without normalizer and pre-tokenizer, for pieces of
+        small ASCII letters; None if these two change such pieces."""
+        from tokenizers import Tokenizer
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        bare, steps = Tokenizer.from_file(path), (self.library.normalizer, self.library.pre_tokenizer)
+        if steps[0] is not None and steps[0].normalize_str(letters) != letters:
+            return None
+        if steps[1] is None or [t for t, _ in steps[1].pre_tokenize_str(letters)] != [letters]:
+            return None
+        bare.normalizer, bare.pre_tokenizer = None, None
+        return bare
+
     def _letters(self, cores: list[str]) -> np.ndarray:
         """Which cores are letters only for the library too: its normalizer may
         turn a letter into one and a mark, which joins punctuation that
@@ -199,46 +224,47 @@ class WordEncoder:
             plain &= np.fromiter(map(self.split.isdisjoint, cores), bool, len(cores))
         return plain
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _pieces(self, pieces: list[str], bare: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that are one pre-token each: the library gets many
-        at once, and each ends with the only token that ends a word."""
+        at once, and each ends with the only token that ends a word. ``bare``:
+        they are small ASCII letters only."""
         ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(pieces), 2000):
             part = pieces[at:at + 2000]
-            got = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
+            if bare:
+                got = self.merges.encode_batch_fast([part], is_pretokenized=True, add_special_tokens=False)
+            else:
+                got = self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            got = np.array(got[0].ids, np.int32)
             stop = np.flatnonzero(self.ends[got]) + 1
             if len(stop) != len(part):  # some piece is more than one pre-token
-                each = [e.ids for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
-                got, stop = np.array([i for e in each for i in e], np.int32), np.cumsum([len(e) for e in each])
+                got, stop = self._each(part)
+                stop = np.cumsum(stop)
             ids.append(got)
             sizes.append(np.diff(np.r_[0, stop]))
         return np.concatenate(ids), np.concatenate(sizes)
 
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that the library gets one by one."""
+        each = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for e in each for i in e], np.int32), np.array([len(e) for e in each], np.int64)
+
     def _learn(self) -> None:
-        known = len(self.sizes)
-        words = self.names[known:]
-        cores = [w.rstrip(b".,;:!?") for w in words]
-        texts = [c.decode() for c in cores]
-        plain = self._letters(texts)
-        # a core that was a word before has ids already; the others are pieces for the library
-        pieces: dict[str, int] = {}
-        get = self.known.get
-        used = [k if (k := get(c, known)) < known else known + pieces.setdefault(t, len(pieces))
-                for c, t, p in zip(cores, texts, plain.tolist()) if p]
-        size = lambda xs: np.fromiter(map(len, xs), np.int64, len(xs))
-        tailed = np.flatnonzero(plain & (size(cores) < size(words)))
-        used += [known + pieces.setdefault(words[i][len(cores[i]):].decode(), len(pieces)) for i in tailed.tolist()]
-        odd = {i: words[i].decode() for i in np.flatnonzero(~plain).tolist()}
-        owner = np.r_[np.flatnonzero(plain), tailed, np.array(list(odd), np.int64)]
-        ids, sizes = self._pieces(list(pieces))
-        rest = [e.ids for e in self.library.encode_batch_fast(list(odd.values()), add_special_tokens=False)]
-        used = np.array(used + list(range(known + len(pieces), known + len(pieces) + len(rest))), np.int64)
-        order = np.argsort(owner, kind="stable")
-        used, owner = used[order], owner[order]
-        every = np.r_[self.sizes, sizes, np.array([len(e) for e in rest], np.int64)]
-        flat = np.r_[self.flat, ids, np.array([i for e in rest for i in e], np.int32)]
-        self.flat = np.r_[self.flat, gather(flat, every, used)]
-        self.sizes = np.r_[self.sizes, np.bincount(owner, every[used], minlength=len(words)).astype(np.int64)]
+        """Ids of the units that came since the last call."""
+        units = self.names[len(self.sizes):]
+        bare = np.fromiter(map(bytes.isalpha, units), bool, len(units)) if self.merges is not None else np.zeros(len(units), bool)
+        other = [units[i].decode() for i in np.flatnonzero(~bare).tolist()]
+        of = self._letters(other)
+        letters = np.zeros(len(units), bool)
+        letters[~bare] = of
+        got = [self._pieces([units[i].decode() for i in np.flatnonzero(bare).tolist()], True),
+               self._pieces([w for w, x in zip(other, of.tolist()) if x], False),
+               self._each([w for w, x in zip(other, of.tolist()) if not x])]
+        owner = np.concatenate([np.flatnonzero(bare), np.flatnonzero(letters), np.flatnonzero(~bare & ~letters)])
+        flat, every = (np.concatenate(x) for x in zip(*got))
+        place = np.argsort(owner, kind="stable")
+        self.flat = np.r_[self.flat, gather(flat, every, place)]
+        self.sizes = np.r_[self.sizes, every[place]]
 
     def _forget(self) -> None:
         del self.names[FIRST_WORDS:]
@@ -247,23 +273,50 @@ class WordEncoder:
         self.sizes = self.sizes[:FIRST_WORDS].copy()
         self.flat = self.flat[:self.sizes.sum()].copy()
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the number of ids of each text."""
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """(words of each text, each word's number, the distinct words, their
+        numbers of ids, their ids). Texts are split and words told apart by
+        Arrow, so that each distinct word is looked up once."""
         if len(self.names) > KEPT_WORDS:
             self._forget()
-        coded, whole = [], {}
-        for i, t in enumerate(texts):
-            t = t or ""
-            if "<|" in t:  # may hold a special token, which is cut out before anything else
-                whole[i] = self.library.encode(t, add_special_tokens=False).ids
-                coded.append([])
-            else:
-                coded.append(list(map(self.known.__getitem__, t.encode().lower().split())))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        every = lists.values
+        there = pc.greater(pc.binary_length(every), 0)  # white space at a text's ends leaves empty words
+        numbers = np.r_[0, np.cumsum(there.to_numpy(zero_copy_only=False))]
+        per_text = np.diff(numbers[lists.offsets.to_numpy()])
+        coded = every.filter(there).dictionary_encode()
+        names = coded.dictionary
+        cores = pc.ascii_rtrim(names, characters=".,;:!?")
+        plain = pc.ascii_is_alpha(cores).to_numpy(zero_copy_only=False).astype(bool)
+        rest = np.flatnonzero(~plain)
+        plain[rest] = self._letters([c.decode() for c in self._bytes(cores.take(pa.array(rest)))])
+        whole = self._bytes(names)
+        units = self._bytes(pc.if_else(pa.array(plain), cores, names))
+        size = pc.binary_length(cores).to_numpy()
+        tailed = np.flatnonzero(plain & (size < pc.binary_length(names).to_numpy()))
+        tails = [whole[i][n:] for i, n in zip(tailed.tolist(), size[tailed].tolist())]
+        get = self.known.__getitem__
+        used = np.fromiter(map(get, units), np.int64, len(units))
+        tails = np.fromiter(map(get, tails), np.int64, len(tails))
         self._learn()
-        codes = np.fromiter(itertools.chain.from_iterable(coded), np.int64)
-        owner = np.repeat(np.arange(len(texts)), [len(cs) for cs in coded])
-        ids = gather(self.flat, self.sizes, codes)
-        sizes = np.bincount(owner, self.sizes[codes], minlength=len(texts)).astype(np.int64)
+        sizes = self.sizes[used]
+        sizes[tailed] += self.sizes[tails]
+        return per_text, coded.indices.to_numpy(), whole, sizes, gather(self.flat, self.sizes, np.insert(used, tailed + 1, tails))
+
+    @staticmethod
+    def _bytes(words: pa.Array) -> list[bytes]:
+        """Words without white space as Python's bytes."""
+        kind = words.type
+        spaced = pc.binary_join_element_wise(words, pa.scalar("", kind), pa.scalar(" ", kind))
+        return spaced.buffers()[2].to_pybytes().split(b" ")[:-1] if len(words) else []
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the number of ids of each text."""
+        # a text that may hold a special token, which is cut out before anything else
+        whole = {i: self.library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if t and "<|" in t}
+        per_text, codes, _, each, flat = self.words(["" if i in whole else t or "" for i, t in enumerate(texts)])
+        ids = gather(flat, each, codes)
+        sizes = np.bincount(np.repeat(np.arange(len(texts)), per_text), each[codes], len(texts)).astype(np.int64)
         if whole:
             parts = np.split(ids, np.cumsum(sizes)[:-1])
             for i, own in whole.items():

@@ -94,3 +94,29 @@ def test_other_encoders_and_wide_ids(spark, documents):
     tf.write(documents(["aaa", "b"]), path, lambda: lambda texts: (
         np.array([1 << 62 if c == "a" else 7 for t in texts for c in t], np.int64), np.array([len(t) for t in texts])), end_id=0)
     assert [r.ids for r in sorted(tf.read(spark, path).collect(), key=lambda r: r.start)] == [[1 << 62] * 3 + [0], [7, 0]]
+
+
+def test_a_block_looks_each_distinct_word_up_once():
+    """Also with punctuation at its end: a word of letters and its tail are kept apart."""
+    encoder, looked = tf.WordEncoder(PATH), []
+
+    class Looked(tf._Known):
+        def __getitem__(self, key):
+            looked.append(key)
+            return super().__getitem__(key) if key in self else self.__missing__(key)
+
+    encoder.known = Looked(encoder.names)
+    texts = ["The sea, the land; the sky.\n", " the sea. The land, THE SKY! "] * 50
+    ids, sizes = encoder.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == expect(texts)
+    assert sorted(encoder.names) == sorted([b"the", b"sea", b"land", b"sky", b",", b";", b".", b"!"])
+    assert len(looked) == 7 + 6  # distinct words, and those with a tail
+
+
+def test_places_that_few_selectors_fit_pack_as_densely(rng):
+    wide = [rng.randrange(1 << 12, 1 << 15) for _ in range(1 << 14)]
+    ids = np.array([*wide, *[1] * 60, *wide[:68], *[1] * 256], np.uint64)
+    words, offsets = tf.pack(ids)
+    assert (tf.unpack(words, offsets, len(ids)) == ids).all()
+    # 32 words a block of four ids each; sixty ones in a word; blocks of 128 ones in 3 words
+    assert np.diff(offsets).tolist() == [32] * 128 + [1 + 17] + [3]
