@@ -313,7 +313,21 @@ def _by_input(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(x.reshape(-1).astype(np.int16), kind="stable")
     x = x.reshape(-1)[order]
     first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-    return x[first], np.add.reduceat(rows.reshape(-1, rows.shape[-1])[order], first, axis=0)
+    return x[first], np.add.reduceat(rows.reshape(-1, rows.shape[-1]).take(order, axis=0), first, axis=0)
+
+
+#: rows of one product in :func:`_product`
+SLICE = 256
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` of many rows with few columns, as a sum of products of SLICE
+    rows: a single one takes more than twice the time."""
+    n = len(a) // SLICE * SLICE
+    out = a[n:].T @ b[n:]
+    if n:
+        out += np.matmul(a[:n].reshape(-1, SLICE, a.shape[1]).transpose(0, 2, 1), b[:n].reshape(-1, SLICE, b.shape[1])).sum(0)
+    return out
 
 
 #: logits within it need no shift before exp: products of two weights stay normal float32 numbers
@@ -330,7 +344,8 @@ def _weights(s: np.ndarray, r: np.ndarray, mask: np.ndarray | None, back: np.nda
         np.exp(s, out=s)
         s *= np.where(seen, np.exp(r), 0).astype(s.dtype)
         if mask is not None:
-            s *= mask[:, None, :]
+            part = np.flatnonzero(~mask.all(1))  # few rows have ids that don't exist
+            s[part] *= mask[part][:, None, :]
         return s
     s = np.where(seen if mask is None else seen & mask[:, None, :], s + r, s.dtype.type(-1e9))
     s -= s.max(2, keepdims=True)
@@ -352,18 +367,21 @@ def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, go
     shares' part there, ``live``: which of them are targets.
 
     Row sums are products with ones, and logits are shifted only if they are
-    large: reductions over short rows take most of the time otherwise."""
-    n, kind = len(ctx), p["E"].dtype
+    large: reductions over short rows take most of the time otherwise. Keys and
+    values are transposed by a copy, which products of small matrices need to
+    be quick."""
+    n, kind, ctx = len(ctx), p["E"].dtype, ctx.astype(np.intp)
     m = goal.size // n
     back = np.arange(WINDOW - m, WINDOW)[:, None] - np.arange(WINDOW)
     each, keys = np.ones(WIDTH, kind), np.concatenate([p["k"], p["v"]], 1)
     root = kind.type(WIDTH ** -0.5)
-    own = p["E"][ctx]
+    own = p["E"].take(ctx, axis=0)
     last = own[:, WINDOW - m:].reshape(-1, WIDTH)
     kv = (own.reshape(-1, WIDTH) @ keys).reshape(n, WINDOW, 2 * WIDTH)
     key, val = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
+    turned = np.ascontiguousarray(kv.transpose(0, 2, 1))
     q = (last @ (p["q"] * root)).reshape(n, m, WIDTH)
-    a = _weights(np.matmul(q, key.transpose(0, 2, 1)), p["r"], None if mask.all() else mask, back)
+    a = _weights(np.matmul(q, turned[:, :WIDTH]), p["r"], None if mask.all() else mask, back)
     a *= (1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, kind))).reshape(n, m, 1)
     h = np.matmul(a, val).reshape(-1, WIDTH)
     z = h @ p["o"]
@@ -380,7 +398,7 @@ def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, go
     e[at, goal] -= weight
     dh = e @ p["o"].T
     # the mean of the weights' gradients is that of h along itself
-    ds = np.matmul(dh.reshape(n, m, WIDTH), val.transpose(0, 2, 1))
+    ds = np.matmul(dh.reshape(n, m, WIDTH), turned[:, WIDTH:])
     ds -= ((dh * h) @ each).reshape(n, m, 1)
     ds *= a
     dkv = np.empty_like(kv)
@@ -393,30 +411,38 @@ def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, go
     at, sums = _by_input(ctx, down)
     dE = np.zeros_like(p["E"])
     dE[at] = sums
-    by_key = own.reshape(-1, WIDTH).T @ dkv
+    by_key = _product(own.reshape(-1, WIDTH), dkv)
     dr = np.bincount(np.maximum(back, 0).reshape(-1), (np.ones(n, kind) @ ds.reshape(n, -1)), WINDOW).astype(p["r"].dtype)
-    return {"E": dE, "q": last.T @ dq * root, "k": by_key[:, :WIDTH], "v": by_key[:, WIDTH:], "o": h.T @ e, "r": dr}, loss
+    return {"E": dE, "q": _product(last, dq) * root, "k": by_key[:, :WIDTH], "v": by_key[:, WIDTH:], "o": _product(h, e), "r": dr}, loss
 
 
 class Adam:
+    """Steps on parameters ``p``, whose arrays become parts of one array."""
+
     def __init__(self, p: dict):
-        self.p, self.t = p, 0
-        self.m, self.s = ({n: np.zeros_like(x) for n, x in p.items()} for _ in range(2))
+        self.names, self.t = list(p), 0
+        self.x = np.concatenate([p[n].reshape(-1) for n in p])
+        self.m, self.s, self.d = (np.zeros_like(self.x) for _ in range(3))
+        at = 0
+        for n, x in p.items():
+            p[n] = self.x[at:at + x.size].reshape(x.shape)
+            at += x.size
 
     def step(self, g: dict) -> None:
         self.t += 1
         rate = RATE * math.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
-        for n, x in self.p.items():
-            m, s = self.m[n], self.s[n]
-            m *= 0.9
-            m += 0.1 * g[n]
-            s *= 0.99
-            s += 0.01 * np.square(g[n])
-            d = np.sqrt(s)
-            d += 1e-8
-            np.divide(m, d, out=d)
-            d *= rate
-            x -= d
+        m, s, d, g = self.m, self.s, self.d, np.concatenate([g[n].reshape(-1) for n in self.names])
+        m *= 0.9
+        m += np.multiply(0.1, g, out=d)
+        s *= 0.99
+        np.square(g, out=d)
+        d *= 0.01
+        s += d
+        np.sqrt(s, out=d)
+        d += 1e-8
+        np.divide(m, d, out=d)
+        d *= rate
+        self.x -= d
 
 
 def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -455,7 +481,9 @@ def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
                 order = rng.permutation(len(x))
                 for i in range(0, len(x), BATCH):
                     pick = order[i:i + BATCH]
-                    adam.step(gradients(own, x[pick], mask[pick], logits[x[pick, WINDOW // 2:]], goal[pick], live[pick])[0])
+                    now = x.take(pick, axis=0)
+                    adam.step(gradients(own, now, mask.take(pick, axis=0), logits.take(now[:, WINDOW // 2:], axis=0),
+                                        goal.take(pick, axis=0), live.take(pick, axis=0))[0])
                 weight += int(live.sum())
             flat = np.concatenate([*(own[n].reshape(-1) for n in names), [1.0]]).astype(np.float64) * weight
             yield _chunks(np.arange(size + 1), flat, 1024)
@@ -500,23 +528,20 @@ class Scorer:
         told, ones = np.empty(goal.size), np.ones(CLASSES, np.float32)
         for i in range(0, len(first), at_once):
             rows = slice(i, i + at_once)
-            now = x[i:i + at_once + 1]
-            m = len(now) - 1
-            k, v = self.k[now], self.v[now]
+            now = x[i:i + at_once + 1].astype(np.intp)
+            m, last = len(now) - 1, now[1:]
+            both = np.concatenate([now[:-1], last], 1)
             mask = None
             if first[rows].any():
                 mask = np.ones((m, WINDOW), bool)
                 mask[first[rows], :half] = False
-            s = np.empty((m, half, WINDOW), np.float32)
-            q = self.q[now[1:]]
-            np.matmul(q, k[:-1].transpose(0, 2, 1), out=s[:, :, :half])
-            np.matmul(q, k[1:].transpose(0, 2, 1), out=s[:, :, half:])
-            a = _weights(s, self.r, mask, self.back)
-            h = np.matmul(a[:, :, :half], v[:-1])
-            h += np.matmul(a[:, :, half:], v[1:])
+            # a transposed copy makes products of small matrices quick
+            keys = np.ascontiguousarray(self.k.take(both, axis=0).transpose(0, 2, 1))
+            a = _weights(np.matmul(self.q.take(last, axis=0), keys), self.r, mask, self.back)
+            h = np.matmul(a, self.v.take(both, axis=0))
             h = h.reshape(-1, WIDTH + 1)
             h = h[:, :WIDTH] / h[:, WIDTH:]
-            z = self.logits[now[1:].reshape(-1)]
+            z = self.logits.take(last.reshape(-1), axis=0)
             z += h @ self.o
             z = _shifted(z)
             own = z[np.arange(len(z)), goal[rows].reshape(-1)]

@@ -198,3 +198,26 @@ def test_edges_of_the_input(spark, documents, rng, monkeypatch):
     only = next(i for i in range(100) if held(i))
     r = lm.scores(documents(["a b"], [only]), PATH).first()
     assert (r.held_out, r.n_known, r.train_tokens) == (True, 0, 0) and math.isfinite(r.score)
+
+
+def test_steps_on_one_array_equal_those_on_each():
+    """Adam by its formula, on the arrays that the caller holds."""
+    rng = np.random.default_rng(4)
+    p = {n: x.astype(np.float64) for n, x in lm.fresh(2).items()}
+    want, m, s = ({n: f(x) for n, x in p.items()} for f in (np.copy, np.zeros_like, np.zeros_like))
+    adam = lm.Adam(p)
+    assert all(np.shares_memory(x, adam.x) for x in p.values())
+    for t in range(1, 4):
+        g = {n: rng.normal(0, 1, x.shape) for n, x in p.items()}
+        adam.step(g)
+        for n in want:
+            m[n], s[n] = 0.9 * m[n] + 0.1 * g[n], 0.99 * s[n] + 0.01 * g[n] ** 2
+            want[n] -= lm.RATE * np.sqrt(1 - 0.99 ** t) / (1 - 0.9 ** t) * m[n] / (np.sqrt(s[n]) + 1e-8)
+    assert all(np.allclose(p[n], want[n], atol=1e-12) for n in p)
+
+
+@pytest.mark.parametrize("rows", [0, 1, lm.SLICE - 1, lm.SLICE, 3 * lm.SLICE + 5])
+def test_products_of_slices_equal_one(rows):
+    rng = np.random.default_rng(rows)
+    a, b = rng.normal(size=(rows, 3)), rng.normal(size=(rows, 5))
+    assert np.allclose(lm._product(a, b), a.T @ b)
