@@ -48,6 +48,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,26 +107,42 @@ def blocks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return materialise(out.withColumn("block", F.monotonically_increasing_id()), "word-blocks", compression="zstd")
 
 
+#: the columns of the table of blocks that count words, and those that give ids
+WORDS = ["block", "held", "sizes", "codes", "hashes"]
+IDS = ["block", "held", "sizes", "codes", "counts", "ids"]
+
+
 class Block:
-    """One row of the table of blocks."""
+    """One row of the table of blocks, or of some of its columns."""
 
     def __init__(self, batch: pa.RecordBatch, row: int):
         def raw(name, kind):
             return np.frombuffer(batch.column(name)[row].as_buffer(), kind)
-        self.names = batch.column("names")[row].as_py()
+        there = batch.schema.names
         self.held = np.array(batch.column("held")[row].as_py(), bool)
         self.sizes = np.array(batch.column("sizes")[row].as_py(), np.int64)
-        self.hashes = raw("hashes", "<i8")
-        self.codes = raw("codes", _code_kind(len(self.hashes))).astype(np.int64)
-        self.counts, self.pieces = raw("counts", "<u4").astype(np.int64), raw("ids", "<u2")
-        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        if "names" in there:
+            self.names = batch.column("names")[row].as_py()
+        if "hashes" in there:
+            self.hashes = raw("hashes", "<i8")
+        if "ids" in there:
+            self.counts, self.pieces = raw("counts", "<u4").astype(np.int64), raw("ids", "<u2")
+        self.codes = raw("codes", _code_kind(len(self.hashes if "hashes" in there else self.counts)))
+
+    @functools.cached_property
+    def owner(self) -> np.ndarray:
+        """The document of each word."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def words(self, only: np.ndarray) -> np.ndarray:
+        """Numbers of the words of the chosen documents."""
+        return self.codes[np.repeat(only, self.sizes)]
 
     def ids(self, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of the (chosen) documents in a row, and their numbers."""
-        codes, owner = self.codes, self.owner
-        if only is not None:
-            codes, owner = codes[only[owner]], owner[only[owner]]
-        sizes = np.bincount(owner, self.counts[codes], minlength=len(self.sizes)).astype(np.int64)
+        codes, words = (self.codes, self.sizes) if only is None else (self.words(only), np.where(only, self.sizes, 0))
+        codes = codes.astype(np.intp)
+        sizes = np.diff(np.r_[0, np.cumsum(self.counts.take(codes))][np.r_[0, np.cumsum(words)]])
         return gather(self.pieces, self.counts, codes), sizes
 
 
@@ -141,12 +158,12 @@ def word_counts(held: DataFrame) -> DataFrame:
     def run(batches):
         for _, b in _each(batches):
             train = ~b.held
-            n = np.bincount(b.codes[train[b.owner]], minlength=len(b.hashes))
+            n = np.bincount(b.words(train), minlength=len(b.hashes))
             own = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.r_[b.hashes[own], END_WORD], pa.int64()),
                                               pa.array(np.r_[n[own], train.sum()], pa.int64())], ["hash", "n"])
 
-    return held.mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 0")
+    return held.select(WORDS).mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 _SUMS = "chunk bigint, at array<bigint>, x array<double>"
@@ -211,7 +228,7 @@ def _summed(held: DataFrame, cells, size: int, at_once: int = 4 << 20, width: in
         own = np.flatnonzero(total)
         yield _chunks(own, total[own].astype(float), width)
 
-    return _added(held.mapInArrow(run, _SUMS), size, width)
+    return _added(held.select(IDS).mapInArrow(run, _SUMS), size, width)
 
 
 class Layout:
@@ -235,6 +252,7 @@ class Layout:
         self.rank = np.empty(len(counts), np.int64)
         self.rank[order] = np.minimum(rank, OWN_INPUTS)
         self.frequent = order[:OWN_INPUTS]
+        self.next = np.where(self.rank < OWN_INPUTS, self.rank, OWN_INPUTS + self.cls)
         self.input[order] = np.where(rank < OWN_INPUTS, rank, OWN_INPUTS + (order * 2654435761 >> 7) % (INPUTS - OWN_INPUTS))
 
     def sequences(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +268,8 @@ class Layout:
         y, starts = self.sequences(ids, sizes)
         half = WINDOW // 2
         n = (sizes + half) // half
-        place = np.arange(len(y) - 1) + np.repeat((np.cumsum(n) - n) * half - starts, sizes + 1)
+        place = np.repeat((np.cumsum(n) - n) * half - starts, sizes + 1)
+        place += np.arange(len(place))
         halves = np.full((int(n.sum()) + 1, half), self.end, np.int32)
         halves[1:].reshape(-1)[place] = y[:-1]
         return halves, n, place, y[1:]
@@ -263,32 +282,35 @@ def _first_rows(n: np.ndarray) -> np.ndarray:
     return first
 
 
-_CLASS_CELLS = INPUTS * CLASSES
-_CELLS = _CLASS_CELLS + INPUTS * (OWN_INPUTS + 1)
+#: cells of an input: the next id if it is frequent, else its class
+_NEXT = OWN_INPUTS + CLASSES
+_CELLS = INPUTS * _NEXT
 
 
 def pair_cells(b: Block, layout: Layout) -> np.ndarray:
-    """The cells of (input, next class) and of (input, next frequent id) at each place of the block's training documents."""
+    """The cell of the input and the next id at each place of the block's training documents."""
     train = ~b.held
     if not train.any():
         return np.empty(0, np.int64)
     ids, sizes = b.ids(train)
     y, _ = layout.sequences(ids, sizes[train])
-    x = layout.input[y[:-1]].astype(np.int64)
-    return np.r_[x * CLASSES + layout.cls[y[1:]], _CLASS_CELLS + x * (OWN_INPUTS + 1) + layout.rank[y[1:]]]
+    cells = layout.input.take(y[:-1]).astype(np.int64)
+    cells *= _NEXT
+    cells += layout.next.take(y[1:])
+    return cells
 
 
 class Shares:
     """Smoothed log shares from counts of the cells of :func:`pair_cells`."""
 
     def __init__(self, layout: Layout, cells: np.ndarray):
-        by_class = cells[:_CLASS_CELLS].reshape(INPUTS, CLASSES)
-        by_id = cells[_CLASS_CELLS:].reshape(INPUTS, OWN_INPUTS + 1)[:, :OWN_INPUTS]
-        self.logits = np.log((by_class + SMOOTH * layout.prior) / (by_class.sum(1, keepdims=True) + SMOOTH)).astype(np.float32)
+        by_id, by_class = cells.reshape(INPUTS, _NEXT)[:, :OWN_INPUTS], cells.reshape(INPUTS, _NEXT)[:, OWN_INPUTS:]
         cls = layout.cls[layout.frequent]
-        weight = np.zeros((INPUTS, CLASSES))
+        frequent = np.zeros((INPUTS, CLASSES))
         for c in range(CLASSES):
-            weight[:, c] = by_id[:, cls == c].sum(1) + PAIR_SMOOTH
+            frequent[:, c] = by_id[:, cls == c].sum(1)
+        by_class, weight = by_class + frequent, frequent + PAIR_SMOOTH
+        self.logits = np.log((by_class + SMOOTH * layout.prior) / (by_class.sum(1, keepdims=True) + SMOOTH)).astype(np.float32)
         own = PAIR_SMOOTH * np.exp(layout.share[layout.frequent])
         self.frequent = np.zeros((INPUTS, OWN_INPUTS), np.float32)
         for i in range(INPUTS):
@@ -308,12 +330,20 @@ def fresh(seed: int = 0) -> dict[str, np.ndarray]:
     return p
 
 
-def _by_input(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the inputs in ``x``, sum of the ``rows`` of each)."""
-    order = np.argsort(x.reshape(-1).astype(np.int16), kind="stable")
-    x = x.reshape(-1)[order]
-    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-    return x[first], np.add.reduceat(rows.reshape(-1, rows.shape[-1]).take(order, axis=0), first, axis=0)
+def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the places of ``x`` by ascending number, which of them in that order begin a number)."""
+    order = np.argsort(x.astype(np.int16), kind="stable")
+    x = x.take(order)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return order, new
+
+
+def _group_sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each group; ``first``: where they begin in ``order``."""
+    # two columns as one complex number: reduceat takes its time by column and group
+    pairs = rows.take(order, axis=0).view(np.result_type(rows.dtype, np.complex64))
+    return np.add.reduceat(pairs, first, axis=0).view(rows.dtype)
 
 
 #: rows of one product in :func:`_product`
@@ -334,15 +364,28 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 SAFE = 40.0
 
 
-def _weights(s: np.ndarray, r: np.ndarray, mask: np.ndarray | None, back: np.ndarray) -> np.ndarray:
-    """exp of logits ``s`` (overwritten) plus the part ``r`` of their distance
-    ``back``, 0 for later ids and those not in ``mask`` (None: all exist).
+@functools.lru_cache(maxsize=8)
+def _distances(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which ids of a window are not later than each of its last ``m``, their distance, 0 for later ones)."""
+    back = np.arange(WINDOW - m, WINDOW)[:, None] - np.arange(WINDOW)
+    return back >= 0, np.maximum(back, 0)
+
+
+def _near(r: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which ids are not later, the part of the logits by their distance, its exp, 0 for later ids) for each of the last ``m`` ids."""
+    seen, far = _distances(m)
+    r = r.take(far)
+    return seen, r, np.exp(np.minimum(r, SAFE)) * seen
+
+
+def _weights(s: np.ndarray, near: tuple, mask: np.ndarray | None) -> np.ndarray:
+    """exp of logits ``s`` (overwritten) plus the part of their distance (see
+    :func:`_near`), 0 for later ids and those not in ``mask`` (None: all exist).
     Against the largest of each place where exp could leave its range."""
-    seen = back >= 0
-    r = np.where(seen, r[np.maximum(back, 0)], 0).astype(s.dtype)
+    seen, r, weight = near
     if s.size == 0 or max(np.abs(r).max(), s.max(), -s.min()) < SAFE:
         np.exp(s, out=s)
-        s *= np.where(seen, np.exp(r), 0).astype(s.dtype)
+        s *= weight
         if mask is not None:
             part = np.flatnonzero(~mask.all(1))  # few rows have ids that don't exist
             s[part] *= mask[part][:, None, :]
@@ -352,68 +395,90 @@ def _weights(s: np.ndarray, r: np.ndarray, mask: np.ndarray | None, back: np.nda
     return np.exp(s, out=s)
 
 
-def _shifted(z: np.ndarray) -> np.ndarray:
-    """Rows of class logits ``z``, less their largest where exp could leave its range."""
-    if z.size and not (z.max() < 2 * SAFE and z.min() > -2 * SAFE):
+#: sums of exp of class logits outside of these may hold some beyond exp's range
+LEAST, MOST = math.exp(-2 * SAFE), math.exp(2 * SAFE)
+
+
+def _exps(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exp of class logits ``z``, the sum of each row). ``z`` is lessened by
+    the largest of each row where exp could leave its range."""
+    ones = np.ones(z.shape[1], z.dtype)
+    with np.errstate(over="ignore", invalid="ignore"):
+        e = np.exp(z)
+        total = e @ ones
+        safe = z.size == 0 or total.min() > LEAST and total.max() < MOST
+    if not safe:
         z -= z.max(1, keepdims=True)
-    return z
+        np.exp(z, out=e)
+        total = e @ ones
+    return e, total
 
 
-def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray, logits: np.ndarray, goal: np.ndarray,
+def gradients(p: dict, ctx: np.ndarray, mask: np.ndarray | None, logits: np.ndarray, goal: np.ndarray,
               live: np.ndarray | None = None) -> tuple[dict, float]:
     """Gradients of the mean cross entropy, and its value. ``ctx``: inputs of
-    WINDOW ids (latest last), ``mask``: which of them exist, ``goal``: the next
-    class of each of the last ids (or of the last one alone), ``logits``: the
-    shares' part there, ``live``: which of them are targets.
-
-    Row sums are products with ones, and logits are shifted only if they are
-    large: reductions over short rows take most of the time otherwise. Keys and
-    values are transposed by a copy, which products of small matrices need to
-    be quick."""
-    n, kind, ctx = len(ctx), p["E"].dtype, ctx.astype(np.intp)
+    WINDOW ids (latest last), ``mask``: which of them exist (None: all),
+    ``goal``: the next class of each of the last ids (or of the last one
+    alone), ``logits``: the shares' part there, ``live``: which of them are
+    targets.
+
+    Each input is projected once, and the gradients of its keys, values and
+    queries are summed before they are projected back. Row sums are products
+    with ones, and logits are shifted only if they are large: reductions over
+    short rows take most of the time otherwise. Keys and values are transposed
+    by a product, which products of small matrices need to be quick. Rows are
+    scaled while they are narrow: weights by their sums, and classes by their
+    shares in the loss, on WIDTH columns."""
+    n, kind = len(ctx), p["E"].dtype
     m = goal.size // n
-    back = np.arange(WINDOW - m, WINDOW)[:, None] - np.arange(WINDOW)
-    each, keys = np.ones(WIDTH, kind), np.concatenate([p["k"], p["v"]], 1)
-    root = kind.type(WIDTH ** -0.5)
-    own = p["E"].take(ctx, axis=0)
-    last = own[:, WINDOW - m:].reshape(-1, WIDTH)
-    kv = (own.reshape(-1, WIDTH) @ keys).reshape(n, WINDOW, 2 * WIDTH)
-    key, val = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
-    turned = np.ascontiguousarray(kv.transpose(0, 2, 1))
-    q = (last @ (p["q"] * root)).reshape(n, m, WIDTH)
-    a = _weights(np.matmul(q, turned[:, :WIDTH]), p["r"], None if mask.all() else mask, back)
-    a *= (1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, kind))).reshape(n, m, 1)
-    h = np.matmul(a, val).reshape(-1, WIDTH)
+    near, root = _near(p["r"], m), kind.type(WIDTH ** -0.5)
+    query, keys = p["q"] * root, np.concatenate([p["k"], p["v"]], 1)
+    flat = ctx.reshape(-1)
+    order, new = _groups(flat)
+    first, place = np.flatnonzero(new), np.empty(len(flat), np.intp)
+    place[order] = np.cumsum(new) - 1
+    inputs = flat.take(order.take(first))
+    own, last = p["E"].take(inputs, axis=0), place.reshape(n, WINDOW)[:, WINDOW - m:].reshape(-1)
+    kv = (own @ keys).take(place, axis=0).reshape(n, WINDOW, 2 * WIDTH)
+    turned = np.matmul(kv.transpose(0, 2, 1), np.eye(WINDOW, dtype=kind))
+    q = (own @ query).take(last, axis=0).reshape(n, m, WIDTH)
+    a = _weights(np.matmul(q, turned[:, :WIDTH]), near, None if mask is None or mask.all() else mask)
+    part = 1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, kind))
+    h = np.matmul(a, kv[:, :, WIDTH:]).reshape(-1, WIDTH)
+    h *= part[:, None]
     z = h @ p["o"]
     z += logits.reshape(-1, CLASSES)
-    z = _shifted(z)
-    goal, at = goal.reshape(-1), np.arange(n * m)
-    told = z[at, goal]
-    e = np.exp(z, out=z)
-    total = e @ np.ones(CLASSES, kind)
+    e, total = _exps(z)
+    at = np.arange(0, z.size, CLASSES)
+    at += goal.reshape(-1)
     weight = np.ones(n * m, kind) if live is None else live.reshape(-1).astype(kind)
     weight /= max(weight.sum(), 1)
-    loss = float(((np.log(total) - told) * weight).sum())
-    e *= (weight / total)[:, None]
-    e[at, goal] -= weight
-    dh = e @ p["o"].T
+    loss = float((np.log(total) - z.reshape(-1).take(at)) @ weight)
+    # gradients by the class logits, but for the factor ``scale`` of each row
+    e.reshape(-1)[at] -= total
+    scale = weight / total
+    by_o = _product(h * scale[:, None], e)
+    dh = e @ np.ascontiguousarray(p["o"].T)
+    dh *= (scale * part)[:, None]
     # the mean of the weights' gradients is that of h along itself
-    ds = np.matmul(dh.reshape(n, m, WIDTH), turned[:, WIDTH:])
-    ds -= ((dh * h) @ each).reshape(n, m, 1)
+    along = (dh * h) @ np.ones(WIDTH, kind)
+    dh = dh.reshape(n, m, WIDTH)
+    ds = np.matmul(dh, turned[:, WIDTH:])
+    ds -= along.reshape(n, m, 1)
     ds *= a
     dkv = np.empty_like(kv)
     np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
-    np.matmul(a.transpose(0, 2, 1), dh.reshape(n, m, WIDTH), out=dkv[:, :, WIDTH:])
-    dq = np.matmul(ds, key).reshape(-1, WIDTH)
-    dkv = dkv.reshape(-1, 2 * WIDTH)
-    down = (dkv @ keys.T).reshape(n, WINDOW, WIDTH)
-    down[:, WINDOW - m:] += (dq @ (p["q"] * root).T).reshape(n, m, WIDTH)
-    at, sums = _by_input(ctx, down)
+    np.matmul(a.transpose(0, 2, 1), dh, out=dkv[:, :, WIDTH:])
+    dq = np.matmul(ds, kv[:, :, :WIDTH]).reshape(-1, WIDTH)
+    by_kv, by_q = _group_sums(dkv.reshape(-1, 2 * WIDTH), order, first), np.zeros((len(first), WIDTH), kind)
+    order, new = _groups(last)
+    first = np.flatnonzero(new)
+    by_q[last.take(order.take(first))] = _group_sums(dq, order, first)
     dE = np.zeros_like(p["E"])
-    dE[at] = sums
-    by_key = _product(own.reshape(-1, WIDTH), dkv)
-    dr = np.bincount(np.maximum(back, 0).reshape(-1), (np.ones(n, kind) @ ds.reshape(n, -1)), WINDOW).astype(p["r"].dtype)
-    return {"E": dE, "q": _product(last, dq) * root, "k": by_key[:, :WIDTH], "v": by_key[:, WIDTH:], "o": _product(h, e), "r": dr}, loss
+    dE[inputs] = by_kv @ keys.T + by_q @ query.T
+    by_key = own.T @ by_kv
+    dr = np.bincount(_distances(m)[1].reshape(-1), np.ones(n, kind) @ ds.reshape(n, -1), WINDOW).astype(p["r"].dtype)
+    return {"E": dE, "q": own.T @ by_q * root, "k": by_key[:, :WIDTH], "v": by_key[:, WIDTH:], "o": by_o, "r": dr}, loss
 
 
 class Adam:
@@ -422,6 +487,7 @@ class Adam:
     def __init__(self, p: dict):
         self.names, self.t = list(p), 0
         self.x = np.concatenate([p[n].reshape(-1) for n in p])
+        # the means of gradients and squares, times 10 and 100
         self.m, self.s, self.d = (np.zeros_like(self.x) for _ in range(3))
         at = 0
         for n, x in p.items():
@@ -433,31 +499,29 @@ class Adam:
         rate = RATE * math.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
         m, s, d, g = self.m, self.s, self.d, np.concatenate([g[n].reshape(-1) for n in self.names])
         m *= 0.9
-        m += np.multiply(0.1, g, out=d)
+        m += g
         s *= 0.99
-        np.square(g, out=d)
-        d *= 0.01
-        s += d
+        s += np.square(g, out=d)
         np.sqrt(s, out=d)
-        d += 1e-8
+        d += 1e-7
         np.divide(m, d, out=d)
         d *= rate
         self.x -= d
 
 
 def training_windows(b: Block, layout: Layout, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids of windows that overlap by half, which of them exist, next ids of
-    the later half, which of these are targets) of the training documents of
-    round ``turn`` (each document has one); each id and end is a target once."""
+    """(halves: ids in rows of half a window, of which i and i + 1 are window i;
+    which windows begin a text, so that their first half doesn't exist; next
+    ids of the later half; which of these are targets) of the training documents
+    of round ``turn`` (each document has one); each id and end is a target once."""
     train = ~b.held & (np.arange(len(b.held)) % ROUNDS == turn)
     ids, sizes = b.ids(train)
-    halves, n, place, after = layout.windows(ids, sizes[train])
-    half = WINDOW // 2
-    mask = np.ones((len(halves) - 1, WINDOW), bool)
-    mask[_first_rows(n), :half] = False
-    goal, live = np.zeros((len(mask), half), np.int32), np.zeros((len(mask), half), bool)
-    goal.reshape(-1)[place], live.reshape(-1)[place] = after, True
-    return np.concatenate([halves[:-1], halves[1:]], 1), mask, goal, live
+    halves, n, place, _ = layout.windows(ids, sizes[train])
+    # a text's last id comes before its end: the next text begins with one, and rows are filled with them
+    goal = np.r_[halves[1:].reshape(-1)[1:], np.full(min(len(n), 1), layout.end, halves.dtype)].reshape(-1, WINDOW // 2)
+    live = np.zeros(goal.shape, bool)
+    live.reshape(-1)[place] = True
+    return halves, _first_rows(n), goal, live
 
 
 def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
@@ -476,19 +540,23 @@ def train(held: DataFrame, layout: Layout, logits: np.ndarray) -> dict:
             adam, weight = Adam(own), 0
             rng = np.random.default_rng(turn)
             for _, b in _each(batches):
-                y, mask, goal, live = training_windows(b, layout, turn)
-                x, goal = layout.input[y], layout.cls[goal]
-                order = rng.permutation(len(x))
-                for i in range(0, len(x), BATCH):
+                y, first, goal, live = training_windows(b, layout, turn)
+                x, goal = layout.input.take(y), layout.cls.take(goal)
+                order = rng.permutation(len(goal))
+                for i in range(0, len(order), BATCH):
                     pick = order[i:i + BATCH]
-                    now = x.take(pick, axis=0)
-                    adam.step(gradients(own, now, mask.take(pick, axis=0), logits.take(now[:, WINDOW // 2:], axis=0),
-                                        goal.take(pick, axis=0), live.take(pick, axis=0))[0])
+                    mask = None
+                    if (begin := first.take(pick)).any():
+                        mask = np.ones((len(pick), WINDOW), bool)
+                        mask[begin, :WINDOW // 2] = False
+                    both = np.concatenate([x.take(pick, axis=0), x.take(pick + 1, axis=0)], 1)
+                    adam.step(gradients(own, both, mask, logits.take(both[:, WINDOW // 2:], axis=0), goal.take(pick, axis=0),
+                                        live.take(pick, axis=0))[0])
                 weight += int(live.sum())
             flat = np.concatenate([*(own[n].reshape(-1) for n in names), [1.0]]).astype(np.float64) * weight
             yield _chunks(np.arange(size + 1), flat, 1024)
 
-        flat = _added(held.mapInArrow(run, _SUMS), size + 1, 1024)
+        flat = _added(held.select(IDS).mapInArrow(run, _SUMS), size + 1, 1024)
         if not flat[-1]:
             continue
         flat, at = flat[:-1] / flat[-1], 0
@@ -509,51 +577,50 @@ class Scorer:
         # a column of ones makes the same product sum the weights
         self.v = np.concatenate([p["E"] @ p["v"], np.ones((INPUTS, 1))], 1).astype(np.float32)
         self.o = p["o"]
-        # weight of key j for query i of a window: causal, and at most WINDOW back
-        self.back = np.arange(self.half)[:, None] + self.half - np.arange(WINDOW)
         self.r = p["r"]
-        self.near = np.where(self.back >= 0, np.exp(p["r"][np.clip(self.back, 0, WINDOW - 1)]), 0).astype(np.float32)
+        # weight of key j for query i of a window: causal, and at most WINDOW back
+        self.near = _near(self.r, self.half)[2]
 
     def score(self, ids: np.ndarray, sizes: np.ndarray, at_once: int = 256) -> np.ndarray:
         """Natural log probability of each text, its end included."""
         halves, n, place, after = self.layout.windows(ids, sizes)
-        x, first, half = self.layout.input[halves], _first_rows(n), self.half
-        before = x[1:].reshape(-1)[place]
-        cls, rank = self.layout.cls[after], self.layout.rank[after]
+        x, first, half = self.layout.input.take(halves), _first_rows(n), self.half
+        before = x[1:].reshape(-1).take(place).astype(np.intp)
+        cls, rank = self.layout.cls.take(after), self.layout.rank.take(after)
         # the share of each id within its class, after the id before it
-        out = np.where(rank < OWN_INPUTS, self.shares.frequent[before, np.minimum(rank, OWN_INPUTS - 1)],
-                       self.layout.share[after] + self.shares.rest[before, cls])
-        goal = np.zeros((len(first), half), np.int16)
-        goal.reshape(-1)[place] = cls
-        told, ones = np.empty(goal.size), np.ones(CLASSES, np.float32)
+        out = self.shares.frequent.reshape(-1).take(before * OWN_INPUTS + np.minimum(rank, OWN_INPUTS - 1))
+        rest = np.flatnonzero(rank == OWN_INPUTS)
+        out[rest] = self.layout.share.take(after.take(rest)) + self.shares.rest.reshape(-1).take(before.take(rest) * CLASSES + cls.take(rest))
+        goal = np.zeros(len(first) * half, np.intp)
+        goal[place] = cls
+        told, near = np.empty(goal.size, np.float32), _near(self.r, half)
         for i in range(0, len(first), at_once):
-            rows = slice(i, i + at_once)
             now = x[i:i + at_once + 1].astype(np.intp)
-            m, last = len(now) - 1, now[1:]
-            both = np.concatenate([now[:-1], last], 1)
+            m, last = len(now) - 1, now[1:].reshape(-1)
             mask = None
-            if first[rows].any():
+            if (begin := first[i:i + at_once]).any():
                 mask = np.ones((m, WINDOW), bool)
-                mask[first[rows], :half] = False
-            # a transposed copy makes products of small matrices quick
-            keys = np.ascontiguousarray(self.k.take(both, axis=0).transpose(0, 2, 1))
-            a = _weights(np.matmul(self.q.take(last, axis=0), keys), self.r, mask, self.back)
-            h = np.matmul(a, self.v.take(both, axis=0))
-            h = h.reshape(-1, WIDTH + 1)
-            h = h[:, :WIDTH] / h[:, WIDTH:]
-            z = self.logits.take(last.reshape(-1), axis=0)
-            z += h @ self.o
-            z = _shifted(z)
-            own = z[np.arange(len(z)), goal[rows].reshape(-1)]
-            np.exp(z, out=z)
-            told[i * half:(i + m) * half] = own - np.log(z @ ones)
-        return np.bincount(np.repeat(np.arange(len(sizes)), sizes + 1), out + told[place], len(sizes))
+                mask[begin, :half] = False
+            # windows overlap by half, so do the views of their keys and values; a transposed copy
+            # makes products of small matrices quick
+            keys, values = np.ascontiguousarray(self.k.take(now.reshape(-1), axis=0).T), self.v.take(now.reshape(-1), axis=0)
+            (far, one), step = keys.strides, half * values.strides[0]
+            keys = as_strided(keys, (m, WIDTH, WINDOW), (half * one, far, one), writeable=False)
+            values = as_strided(values, (m, WINDOW, WIDTH + 1), (step, *values.strides), writeable=False)
+            a = _weights(np.matmul(self.q.take(last, axis=0).reshape(m, half, WIDTH), keys), near, mask)
+            h = np.matmul(a, values).reshape(-1, WIDTH + 1)
+            z = (h[:, :WIDTH] / h[:, WIDTH:]) @ self.o
+            z += self.logits.take(last, axis=0)
+            total = _exps(z)[1]
+            rows = slice(i * half, (i + m) * half)
+            told[rows] = z.reshape(-1).take(np.arange(0, z.size, CLASSES) + goal[rows]) - np.log(total)
+        return np.bincount(np.repeat(np.arange(len(sizes)), sizes + 1), out + told.take(place), len(sizes))
 
 
 def fit(held: DataFrame, n_ids: int) -> Scorer:
     """Count, lay out and train on the training documents of the table of blocks."""
     def used(b):
-        words = np.bincount(b.codes[(~b.held)[b.owner]], minlength=len(b.hashes))
+        words = np.bincount(b.words(~b.held), minlength=len(b.counts))
         return np.r_[b.pieces, n_ids].astype(np.int64), np.r_[np.repeat(words, b.counts), (~b.held).sum()].astype(float)
 
     layout = Layout(_summed(held, used, n_ids + 1))
@@ -584,10 +651,10 @@ def scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for block, b in _each(batches):
             found = np.minimum(np.searchsorted(known, b.hashes), max(len(known) - 1, 0))
             count = np.where(known[found] == b.hashes, seen[found], 0) if len(known) else np.zeros(len(b.hashes), np.int64)
-            worth = np.log10((count + 0.5) / floor)
-            isin = count[b.codes] > 0
+            worth = np.where(count > 0, np.log10((count + 0.5) / floor), 0)
+            isin = (count > 0).take(b.codes)
             m = len(b.sizes)
-            base = np.bincount(b.owner, np.where(isin, worth[b.codes], 0), m) + math.log10((end + 0.5) / floor)
+            base = np.bincount(b.owner, worth.take(b.codes), m) + math.log10((end + 0.5) / floor)
             have = np.bincount(b.owner, isin, m).astype(np.int64) + (end > 0)
             # the other words, each once per document
             pair, times = np.unique(b.owner[~isin] * len(b.hashes) + b.codes[~isin], return_counts=True)
